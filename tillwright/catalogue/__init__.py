@@ -2,7 +2,13 @@
 
 from __future__ import annotations
 
-from tillwright.catalogue import reports  # noqa: F401
+from tillwright.catalogue import (  # noqa: F401
+    cleaning,
+    dataquality,
+    joins,
+    reports,
+    storage,
+)
 from tillwright.catalogue.base import CHECKS, QUERIES, Query
 
 

@@ -156,3 +156,37 @@ def money(expression: str) -> str:
 
 def round2(expression: str) -> str:
     return f"CAST(round(CAST({expression} AS DECIMAL(38,10)), 2) AS DOUBLE)"
+
+HISTORY = f"""{CUSTOMERS}, history AS (
+  SELECT CAST(customer_id AS BIGINT) * 10 + 1 AS customer_key, customer_id, customer_name, email,
+         city, state, signup_date, customer_segment,
+         CASE WHEN balance < 0 THEN DATE '1996-01-01' ELSE DATE '1995-01-01' END AS effective_from,
+         CASE WHEN balance > 5000 THEN DATE '1997-12-31' ELSE DATE '9999-12-31' END
+           AS effective_to,
+         balance <= 5000 AS is_current, 1 AS version FROM r_customers
+  UNION ALL
+  SELECT CAST(customer_id AS BIGINT) * 10 + 2, customer_id, customer_name, email, city, state,
+         signup_date, 'PREMIUM', DATE '1998-01-01', DATE '9999-12-31', TRUE, 2
+  FROM r_customers WHERE balance > 5000)"""
+
+# One row per order number: last arrival, then the greatest content.
+LAST_ORDERS = f"""{ORDERS}, last_orders AS (
+  SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY order_id
+    ORDER BY arrived_on DESC NULLS LAST, customer_id DESC, product_id DESC, store_id DESC,
+      order_date DESC, quantity DESC, unit_price DESC, discount DESC) AS rn FROM r_orders)
+  WHERE rn = 1)"""
+
+# The star as the jobs build it: generated keys over products, stores and history.
+STAR = f"""{LAST_ORDERS}, {HISTORY}, {PRODUCTS},
+star_product AS (SELECT row_number() OVER (ORDER BY product_id) AS product_key, * FROM r_products),
+star_store AS (SELECT row_number() OVER (ORDER BY store_id) AS store_key, store_id
+  FROM (SELECT DISTINCT store_id FROM r_orders)),
+star_fact AS (
+  SELECT order_id AS sale_id, h.customer_key, p.product_key, s.store_key,
+         CAST(strftime(order_date, '%Y%m%d') AS INTEGER) AS date_key, quantity,
+         quantity * unit_price AS sales_amount, discount
+  FROM last_orders o
+  JOIN history h ON o.customer_id = h.customer_id
+    AND order_date BETWEEN h.effective_from AND h.effective_to
+  JOIN star_product p ON o.product_id = p.product_id
+  JOIN star_store s ON o.store_id = s.store_id)"""

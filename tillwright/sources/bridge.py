@@ -292,3 +292,61 @@ def user_changes(t: Tables) -> DataFrame:
         "event_type",
         "value",
     )
+
+
+def customer_history(t: Tables) -> DataFrame:
+    """Customer versions: wealthy customers changed segment in 1998, indebted ones
+    are known from 1996 only."""
+    people = customers(t)
+    first = F.when(F.col("balance") < 0, F.lit("1996-01-01")).otherwise(F.lit("1995-01-01"))
+    moved = F.col("balance") > 5000
+    opened = F.struct(
+        first.cast("date").alias("effective_from"),
+        F.when(moved, F.lit("1997-12-31")).otherwise(F.lit(OPEN_END)).cast("date").alias(
+            "effective_to"
+        ),
+        (~moved).alias("is_current"),
+        F.lit(1).alias("version"),
+        F.col("customer_segment").alias("segment"),
+    )
+    second = F.struct(
+        F.lit("1998-01-01").cast("date").alias("effective_from"),
+        F.lit(OPEN_END).cast("date").alias("effective_to"),
+        F.lit(True).alias("is_current"),
+        F.lit(2).alias("version"),
+        F.lit("PREMIUM").alias("segment"),
+    )
+    versions = people.withColumn(
+        "v", F.explode(F.when(moved, F.array(opened, second)).otherwise(F.array(opened)))
+    )
+    return versions.select(
+        (F.col("customer_id").cast("bigint") * 10 + F.col("v.version")).alias("customer_key"),
+        "customer_id",
+        "customer_name",
+        "email",
+        "city",
+        "state",
+        "signup_date",
+        F.col("v.segment").alias("customer_segment"),
+        "v.effective_from",
+        "v.effective_to",
+        "v.is_current",
+        "v.version",
+    )
+
+
+def snapshot(t: Tables, number: int) -> DataFrame:
+    """Customer source as three successive extracts saw it.
+
+    The first lacks indebted customers, from the second on wealthy customers are
+    premium, in the third the wealthiest have moved.
+    """
+    people = customers(t)
+    if number == 1:
+        return people.filter("balance >= 0").drop("balance")
+    segment = F.when(F.col("balance") > 9000, "PREMIUM").otherwise(F.col("customer_segment"))
+    people = people.withColumn("customer_segment", segment)
+    if number == 3:
+        city = F.when(F.col("balance") > 9500, "ELSEWHERE").otherwise(F.col("city"))
+        people = people.withColumn("city", city)
+    return people.drop("balance")
