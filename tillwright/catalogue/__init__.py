@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from tillwright.catalogue import (  # noqa: F401
+    changes,
     cleaning,
     dataquality,
+    jobs,
     joins,
     reports,
     storage,

@@ -78,6 +78,12 @@ def derive_events(runs: DataFrame) -> DataFrame:
     )
 
 
+def record_runs(runs: DataFrame, base: str) -> None:
+    """Append finished runs and their events to the two log tables."""
+    append_checked(runs, f"{base}/pipeline_runs")
+    append_checked(derive_events(runs), f"{base}/pipeline_events")
+
+
 def record_run(
     spark: SparkSession,
     base: str,
@@ -104,9 +110,7 @@ def record_run(
         status or run_status(valid_count, rejected_count), round(float(processing_time), 3),
         pipeline_version, error_count, dq_failures, job_name, error_message, at,
     )
-    runs = spark.createDataFrame([row], RUN_SCHEMA).coalesce(1)
-    append_checked(runs, f"{base}/pipeline_runs")
-    append_checked(derive_events(runs), f"{base}/pipeline_events")
+    record_runs(spark.createDataFrame([row], RUN_SCHEMA).coalesce(1), base)
     return run_id
 
 
