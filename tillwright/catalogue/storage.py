@@ -175,7 +175,7 @@ def quarantine(t):
     valid, rejected = split_valid(cast_products(bridge.raw_products(t)), product_rules())
     sinks.write_quarantine(rejected, path)
     sinks.write_quarantine(split_valid(valid, product_rules())[1], path)
-    return t.spark.read.parquet(path).drop("failed_rules")
+    return t.spark.read.parquet(path).drop("failed_rules", "batch")
 
 
 @query("snk_full_refresh", "SELECT c_custkey, c_acctbal + 1 AS c_acctbal FROM customer")

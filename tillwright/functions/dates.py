@@ -8,13 +8,14 @@ from pyspark.sql import types as T
 
 from tillwright.functions.text import col, tidy
 
-DAY_PATTERN = "y-M-d"
-
-
 def parse_day(c: Column | str) -> Column:
-    """Text to date: year-month-day, with or without zero padding or a time part."""
-    text = F.regexp_extract(tidy(c), r"^(\d{4}-\d{1,2}-\d{1,2})(?:[ T].*)?$", 1)
-    return F.try_to_date(text, DAY_PATTERN)
+    """Text to date: year-month-day, with or without zero padding or a time part.
+
+    The cast would take a bare year or month too; a day needs two hyphens.
+    """
+    text = tidy(c)
+    has_day = F.substring_index(text, "-", 2) != text
+    return F.when(has_day, text.try_cast("timestamp_ntz").cast("date"))
 
 
 def as_day(df: DataFrame, name: str) -> Column:

@@ -73,9 +73,7 @@ def measure_by(df: DataFrame, dimension: str, measure: str) -> DataFrame:
     usable = df.select(F.col(dimension), number.alias(measure)).filter(
         F.col(dimension).isNotNull() & F.col(measure).isNotNull() & ~F.isnan(measure)
     )
-    return usable.groupBy(dimension).agg(
-        F.sum(F.col(measure).cast("decimal(28,6)")).cast("double").alias(measure)
-    )
+    return usable.groupBy(dimension).agg(money_sum(measure, places=6).alias(measure))
 
 
 def distinct_points(df: DataFrame, dimension: str) -> DataFrame:

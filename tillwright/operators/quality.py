@@ -104,6 +104,21 @@ def check_references(
 
     ``references`` maps a key column to a frame that has a column of that name.
     """
+    return split_classified(classify(df, {}, references))
+
+
+def classify(
+    df: DataFrame, rules: Rules, references: dict[str, DataFrame] | None = None
+) -> DataFrame:
+    """Each row with the names of what it breaks and the reason, null for a good row.
+
+    References are checked for rows that pass the rules.
+    """
+    if not references:
+        marked = df.withColumn("failed_rules", failed_rules(rules))
+        return marked.withColumn(
+            "dq_reason", F.when(F.size("failed_rules") > 0, F.lit(RULE_REASON))
+        )
     marked = df
     for key, table in references.items():
         same_type = F.col(key).try_cast(df.schema[key].dataType)
@@ -114,16 +129,26 @@ def check_references(
             .withColumn(f"__known_{key}", F.lit(True))
         )
         marked = marked.join(known, key, "left")
-    flags = [f"__known_{key}" for key in references]
-    bad = reduce(lambda a, b: a | b, [F.col(f).isNull() for f in flags])
-    names = [F.when(F.col(f"__known_{k}").isNull(), F.lit(f"{k}_unknown")) for k in references]
-    valid = marked.filter(~bad).select(*df.columns)
-    rejected = marked.filter(bad).select(
+    lost = {f"{k}_unknown": F.col(f"__known_{k}").isNull() for k in references}
+    marked = marked.select(
+        *df.columns,
+        (failed_rules(rules) if rules else F.array().cast("array<string>")).alias("__broken"),
+        failed_rules(lost).alias("__lost"),
+    )
+    broken = F.size("__broken") > 0
+    return marked.select(
         *df.columns,
-        F.lit(REFERENCE_REASON).alias("dq_reason"),
-        F.array_compact(F.array(*names)).alias("failed_rules"),
+        F.when(broken, F.col("__broken")).otherwise(F.col("__lost")).alias("failed_rules"),
+        F.when(broken, F.lit(RULE_REASON))
+        .when(F.size("__lost") > 0, F.lit(REFERENCE_REASON))
+        .alias("dq_reason"),
     )
-    return valid, rejected
+
+
+def split_classified(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Valid and rejected rows of a classified frame."""
+    good = F.col("dq_reason").isNull()
+    return df.filter(good).drop("dq_reason", "failed_rules"), df.filter(~good)
 
 
 # --- change records -----------------------------------------------------------

@@ -118,14 +118,15 @@ def category_months(fact: DataFrame, dim_product: DataFrame, dim_date: DataFrame
 def compare_last_months(per_month: DataFrame) -> DataFrame:
     """Each category's revenue in the previous and the latest present month.
 
-    Only categories of the previous month appear. One pass: the two latest
-    months come from a ranking over the (few) distinct months.
+    Only categories of the previous month appear. The set of months present is
+    small (the calendar bounds it) and comes from one scalar subquery.
     """
-    months = per_month.select("month").distinct().orderBy(F.col("month").desc()).limit(2)
-    ends = months.agg(F.max("month").alias("l"), F.min("month").alias("p"))
-    latest, previous = ends.select("l").scalar(), ends.select("p").scalar()
+    newest_first = F.sort_array(F.collect_set("month"), asc=False)
+    present = per_month.agg(newest_first.alias("present")).scalar()
+    latest = F.get(present, F.lit(0))
+    previous = F.get(present, F.lit(1))
     is_latest = F.col("month") == latest
-    is_previous = (F.col("month") == previous) & ~is_latest
+    is_previous = F.col("month") == previous
     return (
         per_month.filter(is_latest | is_previous)
         .groupBy("category")

@@ -8,13 +8,11 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillwright.operators import clean, quality
 from tillwright.operators.aggregates import order_summary_daily
-from tillwright.operators.sets import union_by_name
 from tillwright.operators.upsert import apply_deletes, upsert
 from tillwright.operators.windows import keep_last
 from tillwright.schemas import (
@@ -23,7 +21,8 @@ from tillwright.schemas import (
     PRODUCT_COLUMNS,
     require_columns,
 )
-from tillwright.sources import sinks
+from tillwright.session import staged
+from tillwright.sources import sinks, storage
 from tillwright.sources.tables import Warehouse
 
 
@@ -40,16 +39,29 @@ def _arrival(df: DataFrame, arrival: list[str] | None) -> list[str]:
     return [n for n in arrival or [] if n in df.columns]
 
 
-def curate_customers(raw: DataFrame, arrival: list[str] | None = None) -> Checked:
+Stage = Callable[[DataFrame], DataFrame]
+
+
+def _as_is(df: DataFrame) -> DataFrame:
+    return df
+
+
+def curate_customers(
+    raw: DataFrame, arrival: list[str] | None = None, stage: Stage = _as_is
+) -> Checked:
     df = clean.accept_customer_name(clean.clean_names(raw))
     require_columns(df, CUSTOMER_COLUMNS, "customers")
-    valid, rejected = quality.split_valid(clean.cast_customers(df), quality.customer_rules())
+    checked = stage(quality.classify(clean.cast_customers(df), quality.customer_rules()))
+    valid, rejected = quality.split_classified(checked)
     return Checked(keep_last(valid, ["customer_id"], _arrival(valid, arrival)), rejected)
 
 
-def curate_products(raw: DataFrame, arrival: list[str] | None = None) -> Checked:
+def curate_products(
+    raw: DataFrame, arrival: list[str] | None = None, stage: Stage = _as_is
+) -> Checked:
     df = require_columns(clean.clean_names(raw), PRODUCT_COLUMNS, "products")
-    valid, rejected = quality.split_valid(clean.cast_products(df), quality.product_rules())
+    checked = stage(quality.classify(clean.cast_products(df), quality.product_rules()))
+    valid, rejected = quality.split_classified(checked)
     return Checked(keep_last(valid, ["product_id"], _arrival(valid, arrival)), rejected)
 
 
@@ -58,26 +70,31 @@ def curate_orders(
     customers: DataFrame,
     products: DataFrame,
     arrival: list[str] | None = None,
+    stage: Stage = _as_is,
 ) -> Checked:
-    """Delete records aside, then row rules, reference check, amount, last per order."""
+    """Row rules, reference check, amounts, last row per order; delete records aside."""
     df = require_columns(clean.clean_names(raw), ORDER_COLUMNS, "orders")
-    loads, deletes = quality.split_deletes(df)
-    valid, broken = quality.split_valid(clean.cast_orders(loads), quality.order_rules())
-    known, unknown = quality.check_references(
-        valid, {"customer_id": customers, "product_id": products}
+    marked = clean.cast_orders(df).withColumn("is_delete", quality.is_delete(df))
+    checked = stage(
+        quality.classify(
+            marked, quality.order_rules(), {"customer_id": customers, "product_id": products}
+        )
     )
-    priced = clean.order_amount(known, "total_amount", rounded=False)
+    deletes = checked.filter("is_delete").select("order_id")
+    valid, rejected = quality.split_classified(checked.filter("NOT is_delete").drop("is_delete"))
+    priced = clean.order_amount(valid, "total_amount", rounded=False)
     priced = clean.order_calendar(clean.order_amount(priced, "order_amount", rounded=True))
     return Checked(
-        keep_last(priced, ["order_id"], _arrival(priced, arrival)),
-        union_by_name(broken, unknown),
-        deletes,
+        keep_last(priced, ["order_id"], _arrival(priced, arrival)), rejected, deletes
     )
 
 
-def curate_enriched(raw: DataFrame, arrival: list[str] | None = None) -> Checked:
+def curate_enriched(
+    raw: DataFrame, arrival: list[str] | None = None, stage: Stage = _as_is
+) -> Checked:
     df = clean.cast_enriched(clean.clean_names(raw))
-    valid, rejected = quality.split_valid(df, quality.enriched_rules(df.columns))
+    checked = stage(quality.classify(df, quality.enriched_rules(df.columns)))
+    valid, rejected = quality.split_classified(checked)
     if {"quantity", "unit_price"} <= set(valid.columns):
         valid = clean.order_amount(valid, "total_amount", rounded=False)
     return Checked(keep_last(valid, ["order_id"], _arrival(valid, arrival)), rejected)
@@ -87,43 +104,52 @@ def _load(
     zones: Warehouse,
     dataset: str,
     key: str,
-    checked: Checked,
-    finish: Callable[[DataFrame], DataFrame],
+    curate: Callable[[Stage], Checked],
+    finish: Stage,
     at: str | None,
     batch: str | None,
 ) -> int:
     """Quarantine, processed zone, then the upsert into the curated table.
 
-    The curated table is built from the processed files just written, so the
-    checks run once for both. Returns the number of processed rows.
+    The checked rows are written once to the shared folder and every output is
+    made from there; the curated table is made from the processed files.
+    Returns the number of processed rows.
     """
-    sinks.write_quarantine(checked.rejected, zones.path(f"quarantine/{dataset}"), batch)
-    sinks.write_processed(checked.valid, zones.path(f"processed/{dataset}"))
-    curated = f"curated/{dataset}"
-    state = zones.read_or_none(curated)
-    if checked.deletes is not None:
-        state = apply_deletes(state, checked.deletes, key)
-    processed = zones.read(f"processed/{dataset}")
-    rows = processed.count()
-    if rows or (checked.deletes is not None and state is not None):
-        incoming = clean.stamp(finish(processed), at)
-        sinks.replace_table(upsert(state, incoming, key), zones.path(curated), allow_empty=True)
-    return rows
+    spark = zones.spark
+    folders: list[str] = []
 
+    def stage(df: DataFrame) -> DataFrame:
+        df, path = staged(df, f"checked-{dataset}")
+        folders.append(path)
+        return df
 
-def _same(df: DataFrame) -> DataFrame:
-    return df
+    try:
+        checked = curate(stage)
+        sinks.write_quarantine(checked.rejected, zones.path(f"quarantine/{dataset}"), batch)
+        sinks.write_processed(checked.valid, zones.path(f"processed/{dataset}"))
+        curated = f"curated/{dataset}"
+        state = zones.read_or_none(curated)
+        if checked.deletes is not None:
+            state = apply_deletes(state, checked.deletes, key)
+        processed = zones.read(f"processed/{dataset}")
+        rows = processed.count()
+        if rows or (checked.deletes is not None and state is not None):
+            new_state = upsert(state, clean.stamp(finish(processed), at), key)
+            sinks.replace_table(new_state, zones.path(curated), allow_empty=True)
+        return rows
+    finally:
+        for path in folders:
+            storage.remove(spark, path)
 
 
 def load_customers(
     zones: Warehouse, raw: DataFrame, at: str | None = None, batch: str | None = None, **order
 ) -> int:
-    checked = curate_customers(raw, **order)
     return _load(
         zones,
         "customers",
         "customer_id",
-        checked,
+        lambda stage: curate_customers(raw, stage=stage, **order),
         lambda df: clean.title_case(df, "customer_name"),
         at,
         batch,
@@ -133,12 +159,11 @@ def load_customers(
 def load_products(
     zones: Warehouse, raw: DataFrame, at: str | None = None, batch: str | None = None, **order
 ) -> int:
-    checked = curate_products(raw, **order)
     return _load(
         zones,
         "products",
         "product_id",
-        checked,
+        lambda stage: curate_products(raw, stage=stage, **order),
         lambda df: clean.title_case(df, "product_name"),
         at,
         batch,
@@ -149,21 +174,31 @@ def load_orders(
     zones: Warehouse, raw: DataFrame, at: str | None = None, batch: str | None = None, **order
 ) -> int:
     """The curated customers and products are the references."""
-    raw = raw.persist(StorageLevel.DISK_ONLY)
-    try:
-        checked = curate_orders(
-            raw, zones.read("curated/customers"), zones.read("curated/products"), **order
-        )
-        return _load(zones, "orders", "order_id", checked, _same, at, batch)
-    finally:
-        raw.unpersist()
+    customers = zones.read("curated/customers")
+    products = zones.read("curated/products")
+    return _load(
+        zones,
+        "orders",
+        "order_id",
+        lambda stage: curate_orders(raw, customers, products, stage=stage, **order),
+        _as_is,
+        at,
+        batch,
+    )
 
 
 def load_enriched(
     zones: Warehouse, raw: DataFrame, at: str | None = None, batch: str | None = None, **order
 ) -> int:
-    checked = curate_enriched(raw, **order)
-    return _load(zones, "orders_enriched", "order_id", checked, _same, at, batch)
+    return _load(
+        zones,
+        "orders_enriched",
+        "order_id",
+        lambda stage: curate_enriched(raw, stage=stage, **order),
+        _as_is,
+        at,
+        batch,
+    )
 
 
 def load_order_summary(zones: Warehouse, at: str | None = None) -> int:

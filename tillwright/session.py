@@ -80,6 +80,13 @@ def run_dir(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def staged(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """The frame written once to the shared folder and read back, and the folder."""
+    path = run_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path), path
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Cut lineage through the shared folder, so a lost executor loses nothing."""
     shared_dir(df.sparkSession)

@@ -9,13 +9,15 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillwright.functions.dates import calendar_columns, day_key
 from tillwright.functions.money import line_amount
+from tillwright.operators.joins import estimated_bytes
 
 OPEN_END = "9999-12-31"
+OPEN_COST = 4 * 1024 * 1024  # Spark's default cost of opening a file, in bytes
 
 
 class Tables:
@@ -24,9 +26,22 @@ class Tables:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder.rstrip("/")
+        self._read: dict[str, DataFrame] = {}
 
     def read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        if name not in self._read:
+            self._read[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self._read[name]
+
+    def spread(self, name: str, key: str) -> DataFrame:
+        """The table, spread by key when it is too small to be cut into splits.
+
+        Spark makes no split smaller than the cost of opening a file. Larger
+        tables are left as they are.
+        """
+        df = self.read(name)
+        cores = self.spark.sparkContext.defaultParallelism
+        return df.repartition(cores, key) if estimated_bytes(df) < cores * OPEN_COST else df
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
@@ -82,14 +97,14 @@ def stores(t: Tables) -> DataFrame:
 
 
 def _lines(t: Tables) -> DataFrame:
-    return t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    return t.spread("lineitem", "l_orderkey").join(t.orders, F.col("l_orderkey") == F.col("o_orderkey"))
 
 
-def _order_number():
+def _order_number() -> Column:
     return F.col("l_orderkey") * 10 + F.col("l_linenumber")
 
 
-def _unit_price():
+def _unit_price() -> Column:
     return F.try_divide("l_extendedprice", "l_quantity")
 
 
@@ -169,6 +184,12 @@ def dim_date(t: Tables) -> DataFrame:
 # --- raw text tables with faults ----------------------------------------------
 
 
+def _unpadded(day: Column) -> Column:
+    return F.when(
+        day.isNotNull(), F.concat_ws("-", F.year(day), F.month(day), F.dayofmonth(day))
+    )
+
+
 def raw_customers(t: Tables) -> DataFrame:
     """Indebted customers carry one fault each, chosen by their segment."""
     segment = F.col("c_mktsegment")
@@ -191,7 +212,7 @@ def raw_customers(t: Tables) -> DataFrame:
         F.concat(F.col("n_name"), F.lit(" ")).alias("city"),
         F.lower("r_name").alias("state"),
         F.when(debt & (segment == "HOUSEHOLD"), F.lit("not a date"))
-        .otherwise(F.date_format("first_day", "yyyy-M-d"))
+        .otherwise(_unpadded(F.col("first_day")))
         .alias("signup_date"),
         F.lower(segment).alias("customer_segment"),
     )
@@ -228,8 +249,8 @@ def raw_orders(t: Tables) -> DataFrame:
         F.when(~(returned & (tax == 0.03)), F.col("o_custkey").cast("string")).alias("customer_id"),
         F.col("l_partkey").cast("string").alias("product_id"),
         F.when(returned & (tax == 0.04), F.lit("soon"))
-        .when(F.col("l_linestatus") == "O", F.date_format(day, "yyyy-M-d"))
-        .otherwise(F.date_format(day, "yyyy-MM-dd"))
+        .when(F.col("l_linestatus") == "O", _unpadded(day))
+        .otherwise(day.cast("string"))
         .alias("order_date"),
         F.when(returned & (tax == 0.08), F.lit("many"))
         .when(returned & (tax == 0.07), F.lit("0"))
@@ -245,7 +266,7 @@ def raw_orders(t: Tables) -> DataFrame:
         .when((F.col("l_returnflag") == "A") & (tax == 0.07), F.lit("d"))
         .otherwise(F.lit("UPSERT"))
         .alias("operation"),
-        F.date_format("l_shipdate", "yyyy-MM-dd").alias("arrived_on"),
+        F.col("l_shipdate").cast("date").cast("string").alias("arrived_on"),
     )
 
 
