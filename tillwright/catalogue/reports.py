@@ -10,6 +10,7 @@ from tillwright.functions.dates import month_start
 from tillwright.operators import aggregates, joins, ordering, windows
 from tillwright.operators.clean import month_column
 from tillwright.plans import adhoc, analytics
+from tillwright.session import cut
 from tillwright.sources import bridge
 
 STAR = f"{s.FACT}, {s.DIM_DATE}, {s.DIM_PRODUCT}"
@@ -169,8 +170,10 @@ def recent(t):
     WHERE month IN (SELECT DISTINCT month FROM cm ORDER BY month DESC LIMIT 2)""",
 )
 def latest_two(t):
-    months = analytics.category_months(
-        bridge.fact_sales(t), bridge.dim_product(t), bridge.dim_date(t)
+    months = cut(
+        analytics.category_months(
+            bridge.fact_sales(t), bridge.dim_product(t), bridge.dim_date(t)
+        )
     )
     last = months.select("month").distinct().orderBy(F.col("month").desc()).limit(2)
     return months.join(last, "month", "left_semi").select(

@@ -17,6 +17,9 @@ from tillwright.functions.text import col
 # exact half, such as 1.005, back onto it, so that halves round away from zero.
 _HUNDRED = 100.00000000000005
 
+# Single amounts from here on are faults (infinities included) and stop the job.
+_LIMIT = 9e15
+
 
 def exact_sum(c: Column | str, places: int = 2) -> Column:
     """Exact decimal sum of doubles, each rounded to ``places``; NaN counts as missing.
@@ -26,8 +29,9 @@ def exact_sum(c: Column | str, places: int = 2) -> Column:
     """
     scale = 10**places
     value = F.nanvl(col(c).cast("double"), F.lit(None).cast("double"))
-    whole = F.floor(value)
-    fraction = F.floor((value - whole) * float(scale) + 0.5)
+    too_large = F.raise_error(F.lit("amount out of range")).cast("bigint")
+    whole = F.when(F.abs(value) >= _LIMIT, too_large).otherwise(F.floor(value))
+    fraction = F.floor((value - F.floor(value)) * float(scale) + 0.5)
     unit = F.lit(Decimal(1).scaleb(-places))
     return F.sum(whole).cast("decimal(20,0)") + F.sum(fraction).cast("decimal(20,0)") * unit
 

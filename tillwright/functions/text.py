@@ -33,15 +33,18 @@ def title(c: Column | str) -> Column:
 
 
 def whole_number(c: Column | str) -> Column:
-    """Text to long; anything else than a whole number becomes null."""
-    return tidy(c).try_cast("bigint")
+    """Text to long; anything else than a whole number becomes null.
+
+    The pattern comes first because a failing cast to long raises and catches an
+    exception per row.
+    """
+    text = tidy(c)
+    return F.when(text.rlike(r"^[+-]?[0-9]{1,19}$"), text.try_cast("bigint"))
 
 
 def decimal_number(c: Column | str) -> Column:
-    """Text to double; unparseable text, NaN and infinities become null."""
-    number = tidy(c).try_cast("double")
-    finite = ~F.isnan(number) & (F.abs(number) < F.lit(float("inf")))
-    return F.when(finite, number)
+    """Text to double; unparseable text and NaN become null."""
+    return F.nanvl(tidy(c).try_cast("double"), F.lit(None).cast("double"))
 
 
 def comparable(c: Column | str) -> Column:

@@ -49,7 +49,8 @@ def top_with_other(
     """
     label = F.col(dimension).cast("string").alias(dimension)
     ordered = [F.col(measure).desc_nulls_last(), F.col(dimension)]
-    many = df.agg(F.count(F.lit(1)) > limit).scalar()
+    first = df.orderBy(*ordered).limit(limit + 1)
+    many = first.agg(F.count(measure) + F.count_if(F.col(measure).isNull()) > limit).scalar()
     kept = df.orderBy(*ordered).limit(keep)
     rest = (
         df.join(F.broadcast(kept.select(dimension)), dimension, "left_anti")

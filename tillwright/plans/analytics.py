@@ -10,6 +10,7 @@ from tillwright.functions.money import exact_sum, money_sum, percent
 from tillwright.operators.ordering import top
 from tillwright.operators.quality import current_versions
 from tillwright.operators.windows import change_to_previous
+from tillwright.session import cut
 
 # Length of the top list, days without order that make inactive.
 TOP_PRODUCTS = 10
@@ -118,9 +119,11 @@ def category_months(fact: DataFrame, dim_product: DataFrame, dim_date: DataFrame
 def compare_last_months(per_month: DataFrame) -> DataFrame:
     """Each category's revenue in the previous and the latest present month.
 
-    Only categories of the previous month appear. The set of months present is
-    small (the calendar bounds it) and comes from one scalar subquery.
+    Only categories of the previous month appear. The monthly totals are cut off
+    from the fact, because the latest months are looked up in them first. The
+    set of months present is small: the calendar bounds it.
     """
+    per_month = cut(per_month)
     newest_first = F.sort_array(F.collect_set("month"), asc=False)
     present = per_month.agg(newest_first.alias("present")).scalar()
     latest = F.get(present, F.lit(0))

@@ -11,6 +11,7 @@ from tillwright.operators.joins import lookup
 from tillwright.operators.quality import current_versions, gate_lookups
 from tillwright.operators.windows import dense_rank_by, keep_last
 from tillwright.schemas import require_columns
+from tillwright.session import cut
 from tillwright.sources.sinks import replace_table
 from tillwright.sources.tables import Warehouse
 
@@ -105,7 +106,8 @@ def product_analytics(fact: DataFrame, dim_product: DataFrame) -> DataFrame:
     """Per product: quantity, revenue, average price and dense rank by revenue.
 
     The fact is summed by product key before it meets the dimension, so the
-    join and the ranking see one row per product.
+    join and the ranking see one row per product. Those rows are needed twice,
+    for the ranks and for the result, and are cut off from the fact for that.
     """
     require_columns(fact, ["sale_id", "product_key", "quantity", "sales_amount"], "fact_sales")
     require_columns(dim_product, ["product_key", "product_id"], "dim_product")
@@ -128,7 +130,7 @@ def product_analytics(fact: DataFrame, dim_product: DataFrame) -> DataFrame:
         F.lit(0.0),
     )
     return (
-        dense_rank_by(by_product, "revenue", "sales_rank")
+        dense_rank_by(cut(by_product), "revenue", "sales_rank")
         .select(
             "product_id",
             "total_quantity_sold",
