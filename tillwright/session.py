@@ -84,7 +84,7 @@ def staged(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     """The frame written once to the shared folder and read back, and the folder."""
     path = run_dir(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.parquet(path), path
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 
 def cut(df: DataFrame) -> DataFrame:
