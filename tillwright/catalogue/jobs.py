@@ -418,7 +418,7 @@ def job_monitoring(t):
 
 @query(
     "rag_topk",
-    """WITH q AS (SELECT label AS probe_id, min(vec_id) AS vec_id FROM embeddings GROUP BY label),
+    """WITH q AS (SELECT CAST(label AS BIGINT) AS probe_id, min(vec_id) AS vec_id FROM embeddings GROUP BY label),
     p AS (SELECT probe_id, CAST(embedding AS DOUBLE[]) AS probe FROM q JOIN embeddings e USING (vec_id)),
     d AS (SELECT e.vec_id, probe_id, list_distance(CAST(embedding AS DOUBLE[]), probe) AS distance
       FROM embeddings e, p)

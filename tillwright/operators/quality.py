@@ -182,18 +182,18 @@ def rule_suite(
     accepted_values: dict[str, list[str]] | None = None,
     numeric_ranges: dict[str, tuple[float, float]] | None = None,
 ) -> DataFrame:
-    """(rule, column, failed_rows, total_rows), computed in one aggregation.
+    """(rule, column, failed_rows, total_rows).
 
     A missing required column counts every row. Nulls are the business of the
     not-null rule only; numeric ranges include both ends.
+
+    All row counters come from one pass that shuffles one row per task. The
+    unique key is counted apart, so that its shuffle carries the key only.
     """
     checks: list[tuple[str, str, Column]] = []
     for name in required_columns or []:
         missing = F.count(F.lit(1)) if name not in df.columns else F.lit(0).cast("bigint")
         checks.append(("required", name, missing))
-    if unique_key:
-        key = F.col(unique_key)
-        checks.append(("unique", unique_key, F.count(key) - F.count_distinct(key)))
     for name in not_null_columns or []:
         checks.append(("not_null", name, F.count_if(F.col(name).isNull())))
     for name, allowed in (accepted_values or {}).items():
@@ -202,8 +202,18 @@ def rule_suite(
         number = F.col(name).try_cast("double")
         outside = F.col(name).isNotNull() & ~F.coalesce(number.between(low, high), F.lit(False))
         checks.append(("numeric_range", name, F.count_if(outside)))
-    if not checks:
+    parts = [_report(df, checks)] if checks else []
+    if unique_key:
+        key = F.col(unique_key)
+        repeated = F.count(key) - F.count_distinct(key)
+        parts.append(_report(df, [("unique", unique_key, repeated)]))
+    if not parts:
         raise QualityError("no check was asked for")
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+def _report(df: DataFrame, checks: list[tuple[str, str, Column]]) -> DataFrame:
+    """One aggregate per check, turned into one row per check."""
     counted = df.agg(
         F.count(F.lit(1)).alias("total_rows"),
         *[c.cast("bigint").alias(f"c{i}") for i, (_, _, c) in enumerate(checks)],
@@ -275,19 +285,23 @@ def integrity_report(orders: DataFrame, customers: DataFrame, products: DataFram
             F.coalesce(F.sum("n"), F.lit(0)).alias("failed_rows"),
         )
 
-    own = orders.agg(
-        (F.count("order_id") - F.count_distinct("order_id")).alias("duplicate_order_id"),
+    missing = orders.agg(
         *[
             F.count_if(F.col(n).isNull()).alias(f"missing_{n}")
             for n in ("order_id", "customer_id", "product_id", "customer_name", "product_name")
             if n in orders.columns
-        ],
+        ]
     )
     pairs = F.array(
-        *[F.struct(F.lit(n).alias("check"), F.col(n).alias("failed_rows")) for n in own.columns]
+        *[F.struct(F.lit(n).alias("check"), F.col(n).alias("failed_rows")) for n in missing.columns]
+    )
+    repeated = orders.agg(
+        F.lit("duplicate_order_id").alias("check"),
+        (F.count("order_id") - F.count_distinct("order_id")).alias("failed_rows"),
     )
     return (
-        own.select(F.inline(pairs))
+        missing.select(F.inline(pairs))
+        .unionByName(repeated)
         .unionByName(orphans("customer_id", customers))
         .unionByName(orphans("product_id", products))
     )

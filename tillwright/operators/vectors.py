@@ -2,49 +2,55 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 MAX_PROBES = 64
 
 
-def squared_distance(vector: Column, probe: Column) -> Column:
-    pairs = F.zip_with(
-        vector, probe, lambda a, b: (a.cast("double") - b) * (a.cast("double") - b)
-    )
-    return F.aggregate(pairs, F.lit(0.0), lambda total, x: total + x)
-
-
 def nearest(
     store: DataFrame, probes: list[tuple[int, list[float]]], k: int, id_column: str = "vec_id"
 ) -> DataFrame:
     """The k nearest stored vectors (L2) of each probe, nearest first.
 
-    The probes are call parameters and few, so they are literals of the plan: one
-    pass over the store computes a distance per probe, and every task keeps k
-    candidates per probe before the shuffle.
+    The probes are call parameters and few, so they travel with the task. One
+    pass over the store: each Arrow batch is compared as a matrix and sends on
+    its own k best per probe, ties by id. The last k of each probe are then
+    chosen among those, again limited per task before the shuffle.
     """
-    if k < 1:
-        k = 1
+    k = max(1, k)
     if not probes or len(probes) > MAX_PROBES:
         raise ValueError(f"between 1 and {MAX_PROBES} query vectors, got {len(probes)}")
-    per_probe = F.array(
-        *[
-            F.struct(
-                F.lit(probe_id).alias("probe_id"),
-                F.sqrt(
-                    squared_distance(
-                        F.col("embedding"), F.array(*[F.lit(float(x)) for x in vector])
-                    )
-                ).alias("distance"),
-            )
-            for probe_id, vector in probes
-        ]
-    )
-    scored = store.select(F.col(id_column), F.explode(per_probe).alias("p")).select(
-        id_column, "p.*"
+    targets = [(probe_id, np.asarray(vector, dtype=np.float64)) for probe_id, vector in probes]
+
+    def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            ids = batch.column(0).to_numpy(zero_copy_only=False)
+            flat = batch.column(1).flatten().to_numpy(zero_copy_only=False)
+            matrix = flat.astype(np.float64).reshape(len(ids), -1)
+            for probe_id, target in targets:
+                distance = np.sqrt(((matrix - target) ** 2).sum(axis=1))
+                chosen = np.lexsort((ids, distance))[:k]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(ids[chosen], pa.int64()),
+                        pa.array(np.full(len(chosen), probe_id), pa.int64()),
+                        pa.array(distance[chosen], pa.float64()),
+                    ],
+                    names=[id_column, "probe_id", "distance"],
+                )
+
+    vectors = store.select(F.col(id_column).cast("bigint").alias(id_column), "embedding")
+    candidates = vectors.filter(F.col("embedding").isNotNull()).mapInArrow(
+        best, f"{id_column} bigint, probe_id bigint, distance double"
     )
     window = Window.partitionBy("probe_id").orderBy("distance", id_column)
-    return scored.withColumn("position", F.row_number().over(window)).filter(
+    return candidates.withColumn("position", F.row_number().over(window)).filter(
         F.col("position") <= k
     )
