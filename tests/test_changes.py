@@ -176,3 +176,47 @@ def test_stream_restart_reads_nothing_twice(spark, folder):
         stream = ingest.parquet_stream(spark, f"{folder}/in", df.schema)
         ingest.append_load(stream, f"{folder}/out", f"{folder}/cp")
     assert spark.read.parquet(f"{folder}/out").count() == 2
+
+
+def test_buckets_give_the_same_state_and_spare_the_rest(spark, folder):
+    from tillwright.plans.state import apply_changes
+
+    def batch(ids, v):
+        return spark.createDataFrame([(str(i), v) for i in ids], "order_id string, v string")
+
+    zones = Warehouse(spark, folder)
+    steps = [
+        (batch(range(200), "a"), None),
+        (batch([3, 500], "b"), batch([4, 5], "").select("order_id")),
+        (batch([], "c"), batch([3], "").select("order_id")),
+    ]
+    files = []
+    for incoming, deletes in steps:
+        apply_changes(zones, "whole", "order_id", incoming, deletes)
+        apply_changes(zones, "parts", "order_id", incoming, deletes, buckets=64)
+        files.append(set(zones.read("parts").inputFiles()))
+        assert rows(zones.read("parts").drop("key_bucket")) == rows(zones.read("whole"))
+    assert len(files[0] & files[1]) >= 60
+    assert zones.read("parts").count() == 198
+    # Deleting all rows of a bucket empties it; new columns rewrite everything.
+    apply_changes(zones, "parts", "order_id", batch([], "d"), batch(range(501), "").select("order_id"), buckets=64)
+    assert zones.read_or_none("parts") is None or zones.read("parts").count() == 0
+    from pyspark.sql import functions as F
+
+    wider = batch([1], "e").withColumn("w", F.lit(1))
+    apply_changes(zones, "parts", "order_id", wider, buckets=64)
+    assert rows(zones.read("parts").drop("key_bucket")) == [("1", "e", 1)]
+
+
+def test_bucketed_job(spark, folder):
+    from test_quality import customers
+
+    zones = Warehouse(spark, folder)
+    people = [(str(i), "n", f"n{i}@x.com", "smb") for i in range(20)]
+    curate.load_customers(zones, customers(spark, *people), at="2024-01-01", buckets=8)
+    curate.load_customers(
+        zones, customers(spark, ("3", "n", "n3@x.com", "vip")), at="2024-01-02", buckets=8
+    )
+    state = zones.read("curated/customers")
+    assert state.count() == 20
+    assert rows(state.filter("customer_segment = 'VIP'"), "customer_id") == [("3",)]

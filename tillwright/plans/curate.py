@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 
 from tillwright.operators import clean, quality
 from tillwright.operators.aggregates import order_summary_daily
-from tillwright.operators.upsert import apply_deletes, upsert
 from tillwright.operators.windows import keep_last
+from tillwright.plans.state import apply_changes
 from tillwright.schemas import (
     CUSTOMER_COLUMNS,
     ORDER_COLUMNS,
@@ -108,6 +108,7 @@ def _load(
     finish: Stage,
     at: str | None,
     batch: str | None,
+    buckets: int | None,
 ) -> int:
     """Quarantine, processed zone, then the upsert into the curated table.
 
@@ -128,14 +129,11 @@ def _load(
         sinks.write_quarantine(checked.rejected, zones.path(f"quarantine/{dataset}"), batch)
         sinks.write_processed(checked.valid, zones.path(f"processed/{dataset}"))
         curated = f"curated/{dataset}"
-        state = zones.read_or_none(curated)
-        if checked.deletes is not None:
-            state = apply_deletes(state, checked.deletes, key)
         processed = zones.read(f"processed/{dataset}")
         rows = processed.count()
-        if rows or (checked.deletes is not None and state is not None):
-            new_state = upsert(state, clean.stamp(finish(processed), at), key)
-            sinks.replace_table(new_state, zones.path(curated), allow_empty=True)
+        if rows or (checked.deletes is not None and zones.has(curated)):
+            incoming = clean.stamp(finish(processed), at)
+            apply_changes(zones, curated, key, incoming, checked.deletes, buckets=buckets)
         return rows
     finally:
         for path in folders:
@@ -143,7 +141,12 @@ def _load(
 
 
 def load_customers(
-    zones: Warehouse, raw: DataFrame, at: str | None = None, batch: str | None = None, **order
+    zones: Warehouse,
+    raw: DataFrame,
+    at: str | None = None,
+    batch: str | None = None,
+    buckets: int | None = None,
+    **order,
 ) -> int:
     return _load(
         zones,
@@ -153,11 +156,17 @@ def load_customers(
         lambda df: clean.title_case(df, "customer_name"),
         at,
         batch,
+        buckets,
     )
 
 
 def load_products(
-    zones: Warehouse, raw: DataFrame, at: str | None = None, batch: str | None = None, **order
+    zones: Warehouse,
+    raw: DataFrame,
+    at: str | None = None,
+    batch: str | None = None,
+    buckets: int | None = None,
+    **order,
 ) -> int:
     return _load(
         zones,
@@ -167,11 +176,17 @@ def load_products(
         lambda df: clean.title_case(df, "product_name"),
         at,
         batch,
+        buckets,
     )
 
 
 def load_orders(
-    zones: Warehouse, raw: DataFrame, at: str | None = None, batch: str | None = None, **order
+    zones: Warehouse,
+    raw: DataFrame,
+    at: str | None = None,
+    batch: str | None = None,
+    buckets: int | None = None,
+    **order,
 ) -> int:
     """The curated customers and products are the references."""
     customers = zones.read("curated/customers")
@@ -184,11 +199,17 @@ def load_orders(
         _as_is,
         at,
         batch,
+        buckets,
     )
 
 
 def load_enriched(
-    zones: Warehouse, raw: DataFrame, at: str | None = None, batch: str | None = None, **order
+    zones: Warehouse,
+    raw: DataFrame,
+    at: str | None = None,
+    batch: str | None = None,
+    buckets: int | None = None,
+    **order,
 ) -> int:
     return _load(
         zones,
@@ -198,6 +219,7 @@ def load_enriched(
         _as_is,
         at,
         batch,
+        buckets,
     )
 
 

@@ -12,9 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from tillwright.operators.quality import split_deletes
-from tillwright.operators.upsert import apply_deletes, upsert
-from tillwright.schemas import text_schema
-from tillwright.sources import sinks, storage
+from tillwright.plans.state import apply_changes
+from tillwright.schemas import SchemaError, compare_schema, text_schema
+from tillwright.sources import storage
 from tillwright.sources.tables import Warehouse
 
 
@@ -73,8 +73,6 @@ def append_load(stream: DataFrame, target: str, checkpoint: str) -> None:
             table = spark.read.parquet(target).drop("batch")
             expected, found = dict(table.dtypes), dict(df.dtypes)
             if expected != found:
-                from tillwright.schemas import SchemaError, compare_schema
-
                 raise SchemaError("; ".join(compare_schema(found, expected)["errors"]))
         df.write.mode("overwrite").parquet(part)
 
@@ -89,18 +87,18 @@ def upsert_load(
     checkpoint: str,
     timestamp: str = "updated_at",
     prepare: Callable[[DataFrame], DataFrame] | None = None,
+    buckets: int | None = None,
 ) -> None:
     """Keyed state from a stream of change records.
 
     Deletes of a batch apply to the old state first; its other rows are then
-    upserted, in one rewrite. Repeating a batch gives the same state.
+    upserted, in one rewrite of the table or, with ``buckets``, of the buckets
+    the batch touches. Repeating a batch gives the same state.
     """
 
     def batch(df: DataFrame, batch_id: int) -> None:
         changes = prepare(df) if prepare else df
         loads, deletes = split_deletes(changes)
-        state = apply_deletes(warehouse.read_or_none(table), deletes, key)
-        result = upsert(state, loads, key, timestamp)
-        sinks.replace_table(result, warehouse.path(table), allow_empty=True)
+        apply_changes(warehouse, table, key, loads, deletes, timestamp, buckets=buckets)
 
     run_batches(stream, checkpoint, batch)
