@@ -11,6 +11,7 @@ from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tillwright.functions.dates import calendar_columns, day_key
 from tillwright.functions.money import line_amount
@@ -20,6 +21,10 @@ OPEN_END = "9999-12-31"
 OPEN_COST = 4 * 1024 * 1024  # Spark's default cost of opening a file, in bytes
 
 
+# The given tables do not change, so a session looks up each schema once.
+_SCHEMAS: dict[tuple[str, str], T.StructType] = {}
+
+
 class Tables:
     """The given Parquet tables by name."""
 
@@ -30,7 +35,13 @@ class Tables:
 
     def read(self, name: str) -> DataFrame:
         if name not in self._read:
-            self._read[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+            path = f"{self.folder}/{name}.parquet"
+            seen = (self.spark.sparkContext.applicationId, path)
+            if seen in _SCHEMAS:
+                self._read[name] = self.spark.read.schema(_SCHEMAS[seen]).parquet(path)
+            else:
+                self._read[name] = self.spark.read.parquet(path)
+                _SCHEMAS[seen] = self._read[name].schema
         return self._read[name]
 
     def spread(self, name: str, key: str) -> DataFrame:
