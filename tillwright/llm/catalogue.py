@@ -4,13 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tillwright.llm.common import table
 from tillwright.llm.decontaminate import decontaminate
 from tillwright.llm.exact_dedup import exact_dedup
+from tillwright.llm.langid import held_out, learn, predict
+from tillwright.llm.packing import pack
 from tillwright.llm.simhash import hex_print, near_duplicates
 
+#: The vocabulary file that op9 and the pipeline encode with.
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -23,16 +30,43 @@ def op3_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame
     return decontaminate(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def language_training_rows(docs: DataFrame) -> DataFrame:
+    """Rows the language network may learn from."""
+    return docs.where(~held_out(F.col("doc_id"), 4, 2)).select("doc_id", "text", "lang")
+
+
+def op4_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    network = learn(language_training_rows(docs))
+    return docs.select(
+        "doc_id",
+        held_out(F.col("doc_id"), 4, 2).alias("held_out"),
+        predict(network, F.col("text")).alias("found"),
+    ).select(
+        "doc_id",
+        "held_out",
+        F.col("found.lang").alias("lang_pred"),
+        F.col("found.score").alias("score"),
+        F.col("found.label_bytes").alias("label_bytes"),
+    )
+
+
 def op8_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup(table(spark, folder, "documents"))
 
 
+def op9_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return pack(table(spark, folder, "documents"), TOKENIZER, capacity=4096)
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_simhash_near_dedup,
         op3_benchmark_decontamination,
+        op4_language_id,
         op8_exact_dedup,
+        op9_best_fit_packing,
     )
 }
 
