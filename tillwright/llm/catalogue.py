@@ -8,15 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillwright.llm import quality, toxicity
 from tillwright.llm.common import table
 from tillwright.llm.decontaminate import decontaminate
 from tillwright.llm.exact_dedup import exact_dedup
+from tillwright.llm.html_extract import extract_pages
 from tillwright.llm.langid import held_out, learn, predict
 from tillwright.llm.packing import pack
 from tillwright.llm.simhash import hex_print, near_duplicates
+from tillwright.llm.substring_dedup import substring_dedup
+from tillwright.llm.token_counts import token_counts
 
 #: The vocabulary file that op9 and the pipeline encode with.
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+#: The ranks that op5 counts with.
+RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -26,6 +32,10 @@ def op1_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", hex_print().alias("fingerprint"), "component_id")
 
 
+def op2_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return substring_dedup(table(spark, folder, "documents"))
+
+
 def op3_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
@@ -51,6 +61,31 @@ def op4_language_id(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op5_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return token_counts(table(spark, folder, "documents"), RANKS)
+
+
+def op6_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    return extract_pages(table(spark, folder, "pages"))
+
+
+def _judged(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """All documents, and the labels that may be learned from."""
+    labels = table(spark, folder, "labels")
+    return table(spark, folder, "documents"), labels.where(~held_out(F.col("doc_id"), 3, 1))
+
+
+def op7_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = _judged(spark, folder)
+    scorer = quality.train(docs.select("doc_id", "text"), labels)
+    found = docs.select(
+        "doc_id",
+        held_out(F.col("doc_id"), 3, 1).alias("held_out"),
+        quality.score(scorer, F.col("text")).alias("score"),
+    )
+    return found.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
 def op8_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup(table(spark, folder, "documents"))
 
@@ -59,14 +94,36 @@ def op9_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack(table(spark, folder, "documents"), TOKENIZER, capacity=4096)
 
 
+def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = _judged(spark, folder)
+    judge = toxicity.train(docs.select("doc_id", "text"), labels)
+    found = docs.select(
+        "doc_id",
+        held_out(F.col("doc_id"), 3, 1).alias("held_out"),
+        toxicity.score(judge, F.col("text")).alias("found"),
+    )
+    return found.select(
+        "doc_id",
+        "held_out",
+        F.col("found.score").alias("score"),
+        (F.col("found.score") >= 0.7).cast("int").alias("predicted"),
+        F.col("found.passages").alias("passages"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_simhash_near_dedup,
+        op2_substring_dedup,
         op3_benchmark_decontamination,
         op4_language_id,
+        op5_token_counts,
+        op6_html_extraction,
+        op7_quality_classifier,
         op8_exact_dedup,
         op9_best_fit_packing,
+        op10_toxicity,
     )
 }
 
