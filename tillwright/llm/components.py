@@ -1,41 +1,46 @@
 """Connected components of a link table, by alternating large and small stars.
 
-Every round is two shuffled aggregations and joins on the shared folder; nothing is
-gathered. A round halves the longest chains, so the number of rounds grows with the
-logarithm of a component's diameter.
+Every round is a few shuffled aggregations and joins, written to the shared folder;
+nothing is gathered. A round about halves the longest chains, so the number of rounds
+grows with the logarithm of a component's diameter.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tillwright.llm.common import keep
 
 MAX_ROUNDS = 60
+#: Links in a file of a round's result; few links make few files and few tasks.
+ROWS_PER_FILE = 500_000
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
+    """Links every larger neighbour of a node to the smallest of its neighbourhood."""
     both = edges.union(edges.select("b", "a")).toDF("u", "v")
     low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-    return (
-        both.where("v > u").join(low, "u").where("v != m")
-        .select(F.col("v").alias("a"), F.col("m").alias("b"))
-    )
+    return both.where("v > u").join(low, "u").select(F.col("v").alias("a"), F.col("m").alias("b"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
-    down = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-    low = down.groupBy("u").agg(F.min("v").alias("m"))
-    moved = down.join(low, "u").where("v != m").select(F.col("v").alias("a"), F.col("m").alias("b"))
-    return moved.union(low.select(F.col("u").alias("a"), F.col("m").alias("b")))
+    """Links a node and its smaller neighbours (``b`` < ``a``) to the smallest of them."""
+    low = edges.groupBy("a").agg(F.min("b").alias("m"))
+    moved = edges.join(low, "a").where("b != m").select("b", "m").toDF("a", "b")
+    return moved.union(low.select("a", F.col("m").alias("b")))
 
 
-def _state(edges: DataFrame) -> tuple:
-    """Count and order-free checksum, to see when nothing changes any more."""
-    return tuple(
-        edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+def _stored(edges: DataFrame, files: int | None = None) -> tuple[DataFrame, tuple]:
+    """The links written, with their number and an order-free checksum of them."""
+    seen = Observation()
+    watched = edges.observe(
+        seen,
+        F.count(F.lit(1)).alias("n"),
+        F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("mark"),
     )
+    out = keep(watched.coalesce(files) if files else watched, "links")
+    return out, (seen.get["n"], seen.get["mark"])
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -44,13 +49,13 @@ def components(edges: DataFrame) -> DataFrame:
     Links to itself and repeated links change nothing; nulls are ignored; no links
     give an empty result.
     """
-    current = keep(edges.where("a != b").select("a", "b").distinct(), "links")
-    state = _state(current)
+    straight = edges.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    current, state = _stored(straight.distinct())
     for _ in range(MAX_ROUNDS):
         if not state[0]:
             break
-        current = keep(_small_star(_large_star(current).distinct()).distinct(), "stars")
-        now = _state(current)
+        files = -(-state[0] // ROWS_PER_FILE)
+        current, now = _stored(_small_star(_large_star(current)).distinct(), files)
         if now == state:
             break
         state = now

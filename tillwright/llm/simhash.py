@@ -90,20 +90,21 @@ def links(prints: DataFrame, distance: int = 3, blocks: int = BLOCKS, crowd: int
         ),
         "blocks",
     )
-    sizes = keep(
-        keyed.groupBy("choice", "part").agg(F.count("*").alias("n")).where("n > 1"), "block-sizes"
+    key = ["choice", "part"]
+    crowded = keep(
+        keyed.groupBy(*key).agg(F.count("*").alias("n")).where(F.col("n") > crowd).select(*key), "crowded"
     )
-    shared = keyed.join(sizes, ["choice", "part"])
-    small = shared.where(F.col("n") <= crowd).drop("n")
-    other = small.select("choice", "part", F.col("fp").alias("other"))
-    paired = small.join(other, ["choice", "part"]).where(
+    some = not crowded.isEmpty()
+    small = keyed.join(crowded, key, "left_anti") if some else keyed
+    other = small.select(*key, F.col("fp").alias("other"))
+    paired = small.join(other, key).where(
         (F.col("fp") < F.col("other"))
         & (F.bit_count(F.col("fp").bitwiseXOR(F.col("other"))) <= distance)
     )
     near = paired.select(F.col("fp").alias("a"), F.col("other").alias("b"))
-    if not sizes.where(F.col("n") > crowd).isEmpty():
-        near = near.union(_crowded(shared.where(F.col("n") > crowd), masks, distance))
-    return near.distinct()
+    if some:
+        near = near.union(_crowded(keyed.join(crowded, key), masks, distance))
+    return near
 
 
 def _crowded(members: DataFrame, masks: list[int], distance: int) -> DataFrame:
@@ -152,14 +153,18 @@ def near_duplicates(
     classes = keep(
         prints.groupBy("fp").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("n")), "fp-classes"
     )
-    nodes = components(links(classes, distance))
-    roots = classes.join(nodes, classes["fp"] == nodes["node"], "left").select(
-        "fp", "first_id", "n", F.coalesce("root", "fp").alias("root")
+    # A class without a link is its own component; the others take the smallest id
+    # of the classes that they reach.
+    nodes = keep(components(links(classes, distance)), "nodes")
+    linked = nodes.join(classes, nodes["node"] == classes["fp"]).select("fp", "root", "first_id")
+    lowest = linked.groupBy("root").agg(F.min("first_id").alias("lowest"))
+    reached = keep(linked.join(lowest, "root").select("fp", "lowest"), "reached")
+    named = keep(
+        classes.join(reached, "fp", "left").select(
+            "fp", "n", F.coalesce("lowest", "first_id").alias("component_id")
+        ),
+        "fp-components",
     )
-    roots = keep(roots, "fp-roots")
-    # Only nodes that have a link meet in a group; a lone class names itself.
-    lowest = roots.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    named = keep(roots.join(lowest, "root").select("fp", "n", "component_id"), "fp-components")
     return attach(prints, named, "fp", "n").select(
         "doc_id", "fp", "component_id"
     )
