@@ -56,10 +56,9 @@ def test_refresh_refuses_nothing_and_keeps_the_table(spark, folder):
     assert sinks.replace_table(df, path) == 1
     with pytest.raises(ValueError, match="empty"):
         sinks.replace_table(df.limit(0), path)
-    assert rows(spark.read.parquet(path)) == [(1,)]
-    assert sinks.replace_table(spark.read.parquet(path).selectExpr("k + 1 AS k"), path) == 1
-    assert rows(spark.read.parquet(path)) == [(2,)]
-    assert not storage.exists(spark, path + ".staged") and not storage.exists(spark, path + ".before")
+    assert rows(storage.read_table(spark, path)) == [(1,)]
+    assert sinks.replace_table(storage.read_table(spark, path).selectExpr("k + 1 AS k"), path) == 1
+    assert rows(storage.read_table(spark, path)) == [(2,)]
 
 
 def test_failed_refresh_leaves_the_table(spark, folder):
@@ -68,7 +67,40 @@ def test_failed_refresh_leaves_the_table(spark, folder):
     broken = spark.range(1).select(F.raise_error(F.lit("broken")).cast("int").alias("k"))
     with pytest.raises(Exception, match="broken"):
         sinks.replace_table(broken, path)
-    assert rows(spark.read.parquet(path)) == [(1,)]
+    assert rows(storage.read_table(spark, path)) == [(1,)]
+
+
+def test_a_load_that_dies_at_any_step_leaves_the_old_or_the_new_state(spark, folder, monkeypatch):
+    path = f"{folder}/t"
+    for k in range(3):
+        sinks.replace_table(spark.createDataFrame([(k,)] * 100, "k int"), path)
+    state = [(2,)] * 100
+    steps = {"remove": storage.remove, "commit": storage.commit, "_clean": storage._clean}
+    for number, (name, step) in enumerate(steps.items()):
+
+        def die(*args, **kwargs):
+            raise KeyboardInterrupt
+
+        monkeypatch.setattr(storage, name, die)
+        try:
+            sinks.replace_table(spark.createDataFrame([(9 + number,)] * 3, "k int"), path)
+        except KeyboardInterrupt:
+            pass
+        monkeypatch.setattr(storage, name, step)
+        found = rows(storage.read_table(spark, path))
+        assert found in (state, [(9 + number,)] * 3)
+        state = found
+    # A record that was begun and never written counts for nothing, and the next load goes past it.
+    number = max(n for n, _ in storage._records(spark, path)) + 1
+    storage._fs(spark, path).create(storage._path(spark, f"{path}/_records/{number:010d}.json"), False).close()
+    assert rows(storage.read_table(spark, path)) == state
+    sinks.replace_table(spark.createDataFrame([(7,)], "k int"), path)
+    assert rows(storage.read_table(spark, path)) == [(7,)]
+    # At most two versions stay.
+    sinks.replace_table(spark.createDataFrame([(8,)], "k int"), path)
+    fs = storage._fs(spark, path)
+    names = [str(s.getPath().getName()) for s in fs.listStatus(storage._path(spark, path))]
+    assert sum(n.startswith("v-") for n in names) == 2
 
 
 def test_unfinished_write_is_no_table(spark, folder):
@@ -132,7 +164,24 @@ def test_publish_is_all_or_nothing(spark, folder):
     broken = spark.range(1).select(F.raise_error(F.lit("broken")).cast("int").alias("k"))
     with pytest.raises(Exception, match="broken"):
         publish.publish(spark, {"a": good.union(good), "b": broken}, folder)
-    assert spark.read.parquet(f"{folder}/a").count() == 1
+    assert publish.read_published(spark, folder, "a").count() == 1
+
+
+def test_publish_shows_all_tables_in_one_step(spark, folder, monkeypatch):
+    old = {"a": spark.range(7), "b": spark.range(7)}
+    publish.publish(spark, old, folder)
+    step = storage.commit
+
+    def die(*args):
+        raise OSError("gone")
+
+    monkeypatch.setattr(storage, "commit", die)
+    with pytest.raises(OSError):
+        publish.publish(spark, {"a": spark.range(50), "b": spark.range(50)}, folder)
+    assert [publish.read_published(spark, folder, n).count() for n in "ab"] == [7, 7]
+    monkeypatch.setattr(storage, "commit", step)
+    publish.publish(spark, {"b": spark.range(50)}, folder)
+    assert [publish.read_published(spark, folder, n).count() for n in "ab"] == [7, 50]
 
 
 def test_ingest_log(spark, folder):

@@ -13,6 +13,7 @@ from tillwright.plans import curate, marts, monitoring, optimised_join, scd2, st
 from tillwright.session import run_dir
 from tillwright.sources import bridge
 from tillwright.sources.sinks import replace_table
+from tillwright.sources.storage import read_table
 from tillwright.sources.tables import Warehouse
 
 NEXT_AT = "2024-02-02 06:00:00"
@@ -399,7 +400,7 @@ def job_optimised(t):
         start="1996-01-01",
         end="1996-03-01",
     )
-    return t.spark.read.parquet(f"{base}/wide")
+    return read_table(t.spark, f"{base}/wide")
 
 
 @query(

@@ -12,7 +12,7 @@ from tillwright.operators.quality import product_rules, split_valid
 from tillwright.operators.clean import cast_products
 from tillwright.plans import analytics
 from tillwright.session import run_dir
-from tillwright.sources import bridge, files, publish, sinks, tables
+from tillwright.sources import bridge, files, publish, sinks, storage, tables
 
 RAW_TEXT = {"header": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
 
@@ -146,12 +146,14 @@ def path_parse(t):
     return files.parse_paths(t.orders.select(path.alias("path")))
 
 
-@query("snk_append", "SELECT * FROM orders WHERE o_orderstatus IN ('F', 'O')")
+@query("snk_append", "SELECT * FROM orders")
 def append(t):
+    """Two loads, told apart by a status; nulls come with the second."""
     path = run_dir(t.spark, "append")
-    for status in ("F", "O"):
-        sinks.append(t.orders.filter(F.col("o_orderstatus") == status), path)
-    return t.spark.read.parquet(path)
+    first = F.coalesce(F.col("o_orderstatus") == "F", F.lit(False))
+    for load in (first, ~first):
+        sinks.append(t.orders.filter(load), path)
+    return storage.read_table(t.spark, path)
 
 
 @query("snk_processed_state", "SELECT * FROM orders WHERE o_orderstatus IN ('O', 'P')")
@@ -160,7 +162,7 @@ def processed_state(t):
     path = run_dir(t.spark, "processed")
     for status, add in (("F", False), ("O", False), ("P", True)):
         sinks.write_processed(t.orders.filter(F.col("o_orderstatus") == status), path, add)
-    return t.spark.read.parquet(path)
+    return storage.read_table(t.spark, path)
 
 
 @query(
@@ -183,9 +185,9 @@ def full_refresh(t):
     """The second refresh reads the table it replaces."""
     path = run_dir(t.spark, "refresh")
     sinks.replace_table(t.customer.select("c_custkey", "c_acctbal"), path)
-    old = t.spark.read.parquet(path)
+    old = storage.read_table(t.spark, path)
     sinks.replace_table(old.withColumn("c_acctbal", F.col("c_acctbal") + 1), path)
-    return t.spark.read.parquet(path)
+    return storage.read_table(t.spark, path)
 
 
 @query("snk_append_checked", "SELECT * FROM part")
@@ -203,18 +205,17 @@ def append_checked(t):
 
 @query(
     "snk_partitioned",
-    """SELECT o_orderkey, o_custkey, CAST(date_trunc('year', o_orderdate) AS DATE) AS order_year
-    FROM orders""",
+    "SELECT o_orderkey, o_custkey, CAST(o_orderdate AS DATE) AS order_day FROM orders",
 )
 def partitioned(t):
     path = run_dir(t.spark, "partitioned")
     orders = t.orders.select(
         "o_orderkey",
         "o_custkey",
-        F.trunc(F.col("o_orderdate").cast("date"), "year").alias("order_year"),
+        F.col("o_orderdate").cast("date").alias("order_day"),
     )
-    sinks.write_by_day(orders, path, "order_year")
-    return t.spark.read.parquet(path)
+    sinks.write_by_day(orders, path, "order_day")
+    return storage.read_table(t.spark, path)
 
 
 @query(
@@ -292,7 +293,7 @@ def _published(t):
 def stage_verify_publish(t):
     base, _ = _published(t)
     frames = [
-        t.spark.read.parquet(f"{base}/{n}").agg(F.count(F.lit(1)).alias("rows")).select(
+        publish.read_published(t.spark, base, n).agg(F.count(F.lit(1)).alias("rows")).select(
             F.lit(n).alias("published"), "rows"
         )
         for n in PUBLISHED
@@ -308,7 +309,7 @@ def stage_verify_publish(t):
 )
 def job_publish(t):
     base, _ = _published(t)
-    return t.spark.read.parquet(f"{base}/orders")
+    return publish.read_published(t.spark, base, "orders")
 
 
 @query(

@@ -127,10 +127,9 @@ def _load(
     try:
         checked = curate(stage)
         sinks.write_quarantine(checked.rejected, zones.path(f"quarantine/{dataset}"), batch)
-        sinks.write_processed(checked.valid, zones.path(f"processed/{dataset}"))
+        rows = sinks.write_processed(checked.valid, zones.path(f"processed/{dataset}"))
         curated = f"curated/{dataset}"
         processed = zones.read(f"processed/{dataset}")
-        rows = processed.count()
         if rows or (checked.deletes is not None and zones.has(curated)):
             incoming = clean.stamp(finish(processed), at)
             apply_changes(zones, curated, key, incoming, checked.deletes, buckets=buckets)

@@ -1,26 +1,34 @@
 """Applying a batch of changes to a keyed table.
 
-Without a table format there is no MERGE, so rows change by rewriting files. A
-small table is rewritten whole. A large one is kept in buckets by a hash of its
-key, and a batch rewrites only the buckets its keys fall into.
+Without a table format there is no MERGE, so rows change by rewriting files. The
+table is kept in buckets by a hash of its key, and a batch rewrites only the buckets
+its keys fall into. The table's record names a folder for each bucket and says how
+many buckets there are, so a batch becomes visible in one step and a table is never
+written with another count.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from tillwright.operators.clean import null_columns_to_string
 from tillwright.operators.upsert import apply_deletes, upsert
-from tillwright.session import staged
-from tillwright.sources import sinks, storage
+from tillwright.sources import storage
 from tillwright.sources.tables import Warehouse
 
 BUCKET = "key_bucket"
+#: Buckets of a new table; a large one should get about one per GB.
+BUCKETS = 16
+
+
+class BucketError(ValueError):
+    """A table was addressed with another bucket count than it has."""
 
 
 def bucket_of(key: str, buckets: int) -> Column:
     text = F.trim(F.col(key).cast("string"))
-    return F.pmod(F.xxhash64(text), F.lit(buckets)).cast("int")
+    return F.coalesce(F.pmod(F.xxhash64(text), F.lit(buckets)), F.lit(0)).cast("int")
 
 
 def apply_changes(
@@ -35,70 +43,64 @@ def apply_changes(
 ) -> None:
     """Deletes leave the old state first, then the incoming rows are upserted.
 
-    Applying the same batch again gives the same state, so a failed run is
-    simply repeated. ``buckets`` has to stay the same for the life of the table.
+    Applying the same batch again gives the same state, so a failed run is simply
+    repeated. ``buckets`` is taken from the table where it has a count; another one is
+    refused. A table that was not in buckets is put into them.
     """
+    spark, path = zones.spark, zones.path(table)
+    record = storage.current(spark, path)
+    kept = record.get("buckets") if record else None
+    if kept and buckets and kept != buckets:
+        raise BucketError(f"{table} has {kept} buckets, not {buckets}")
+    count = kept or buckets or BUCKETS
     state = zones.read_or_none(table)
-    if buckets is None:
-        if deletes is not None:
-            state = apply_deletes(state, deletes, key)
-        new = upsert(state, incoming, key, timestamp, arrival)
-        sinks.replace_table(new, zones.path(table), allow_empty=True)
-        return
-    known = [n for n in state.columns if n != BUCKET] if state is not None else []
-    if state is None or set(incoming.columns) - set(known):
-        # First load, or new columns that every file has to get.
-        old = state.drop(BUCKET) if state is not None else None
-        if deletes is not None:
-            old = apply_deletes(old, deletes, key)
-        new = upsert(old, incoming, key, timestamp, arrival)
-        sinks.replace_partitioned(
-            new.withColumn(BUCKET, bucket_of(key, buckets)), zones.path(table), BUCKET
-        )
-        return
-    _rewrite_buckets(zones, table, key, state, incoming, deletes, timestamp, arrival, buckets)
+    touched = None
+    if kept and not set(incoming.columns) - set(state.columns):
+        touched = _touched(incoming, deletes, key, count)
+        if not touched:
+            return
+        state = _buckets(zones, path, record, touched)
+    # Otherwise a first load, or new columns that every file has to get.
+    old = apply_deletes(state, deletes, key) if deletes is not None else state
+    new = null_columns_to_string(upsert(old, incoming, key, timestamp, arrival))
+    folder = storage.new_version(path)
+    schema = new.schema
+    seen = Observation()
+    marked = new.withColumn(BUCKET, bucket_of(key, count)).observe(
+        seen, F.collect_set(BUCKET).alias("written")
+    )
+    marked.hint("rebalance", BUCKET).write.partitionBy(BUCKET).parquet(folder)
+    name = folder.rsplit("/", 1)[-1]
+    parts = {str(b): f"{name}/{BUCKET}={b}" for b in seen.get["written"]}
+    if touched is not None:
+        rest = {b: f for b, f in record["parts"].items() if int(b) not in touched}
+        parts = rest | parts
+    storage.commit(
+        spark,
+        path,
+        {
+            "buckets": count,
+            "parts": parts,
+            "folders": [parts[b] for b in sorted(parts, key=int)],
+            "schema": schema.jsonValue(),
+        },
+    )
 
 
-def _rewrite_buckets(
-    zones: Warehouse,
-    table: str,
-    key: str,
-    state: DataFrame,
-    incoming: DataFrame,
-    deletes: DataFrame | None,
-    timestamp: str,
-    arrival: list[str] | None,
-    buckets: int,
-) -> None:
-    spark, path = zones.spark, zones.path(table)
-    changed = incoming.select(key)
+def _touched(
+    incoming: DataFrame, deletes: DataFrame | None, key: str, buckets: int
+) -> set[int]:
+    """Numbers of the buckets that a batch falls into, ``buckets`` at most."""
+    changed = incoming.select(F.col(key).cast("string").alias(key))
     if deletes is not None:
+        kind = incoming.schema[key].dataType
         changed = changed.unionByName(
-            deletes.select(F.col(key).cast(incoming.schema[key].dataType).alias(key))
+            deletes.select(F.col(key).cast(kind).cast("string").alias(key))
         )
-    found = (
-        changed.filter(F.col(key).isNotNull()).select(bucket_of(key, buckets).alias("b")).distinct()
-    )
-    touched = [row["b"] for row in found.collect()]  # at most one number per bucket
-    if not touched:
-        return
-    old = state.filter(F.col(BUCKET).isin(touched)).drop(BUCKET)
-    if deletes is not None:
-        old = apply_deletes(old, deletes, key)
-    new = upsert(old, incoming, key, timestamp, arrival).withColumn(
-        BUCKET, bucket_of(key, buckets)
-    )
-    ready, folder = staged(new, "buckets")
-    try:
-        left = {row[BUCKET] for row in ready.select(BUCKET).distinct().collect()}
-        (
-            ready.hint("rebalance", BUCKET)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(BUCKET)
-            .parquet(path)
-        )
-        for emptied in set(touched) - left:
-            storage.remove(spark, f"{path}/{BUCKET}={emptied}")
-    finally:
-        storage.remove(spark, folder)
+    found = changed.where(F.col(key).isNotNull()).select(bucket_of(key, buckets).alias("b"))
+    return {row["b"] for row in found.distinct().collect()}
+
+
+def _buckets(zones: Warehouse, path: str, record: dict, wanted: set[int]) -> DataFrame:
+    own = [f for b, f in record["parts"].items() if int(b) in wanted]
+    return storage.read_record(zones.spark, path.rstrip("/"), record | {"folders": own})

@@ -9,8 +9,6 @@ from pyspark.sql import types as T
 from tillwright.operators.clean import null_columns_to_string
 from tillwright.sources import storage
 
-STAGING_PREFIX = "_staging_"
-
 _ISO_SECONDS = "yyyy-MM-dd'T'HH:mm:ss"
 
 
@@ -47,29 +45,41 @@ def relational_form(df: DataFrame) -> DataFrame:
 
 
 def publish(spark: SparkSession, tables: dict[str, DataFrame], base: str) -> dict[str, int]:
-    """Stage every table, check the counts, swap all in, check again.
+    """Write every table, check every count, then show all by one manifest.
 
-    Until every table is staged and counted no target is touched. The count
-    expected of a stage is observed while it is written, so each plan runs once.
+    Until the manifest is created readers see the tables as they were. The count that
+    a table should have is observed while it is written, so each plan runs once.
+    Tables that were published before and are not among these stay.
     """
+    base = base.rstrip("/")
+    before = storage.current(spark, base) or {"tables": {}}
     expected: dict[str, int] = {}
+    manifest = dict(before["tables"])
     for name, df in tables.items():
-        staged = f"{base}/{STAGING_PREFIX}{name}"
-        watch = _observed(df)
-        watch[0].write.mode("overwrite").parquet(staged)
-        expected[name] = int(watch[1].get["rows"])
-        found = spark.read.parquet(staged).count()
+        folder = storage.new_version(f"{base}/{name}")
+        ready, seen = _observed(df)
+        ready.write.parquet(folder)
+        expected[name] = int(seen.get["rows"])
+        found = spark.read.schema(ready.schema).parquet(folder).count()
         if found != expected[name]:
-            raise RuntimeError(f"{name}: staged {found} rows, expected {expected[name]}")
-    for name in tables:
-        storage.swap_in(spark, f"{base}/{STAGING_PREFIX}{name}", f"{base}/{name}")
-    for name, rows in expected.items():
-        found = spark.read.parquet(f"{base}/{name}").count()
-        if found != rows:
-            raise RuntimeError(f"{name}: published {found} rows, expected {rows}")
+            raise RuntimeError(f"{name}: wrote {found} rows, expected {expected[name]}")
+        manifest[name] = {
+            "folders": [folder.removeprefix(f"{base}/{name}/")],
+            "schema": ready.schema.jsonValue(),
+        }
+    storage.commit(spark, base, {"tables": manifest})
     return expected
 
 
+def read_published(spark: SparkSession, base: str, name: str) -> DataFrame:
+    """A published table, as the newest manifest has it."""
+    base = base.rstrip("/")
+    manifest = storage.current(spark, base)
+    if manifest is None or name not in manifest["tables"]:
+        raise LookupError(f"table {name} is not published below {base}")
+    return storage.read_record(spark, f"{base}/{name}", manifest["tables"][name])
+
+
 def _observed(df: DataFrame):
     from pyspark.sql import Observation
 

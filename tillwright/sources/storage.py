@@ -3,8 +3,13 @@
 from __future__ import annotations
 
 import json
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+
+RECORDS = "_records"
+VERSION = "v-"
 
 
 def _path(spark: SparkSession, path: str):
@@ -20,7 +25,7 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 
 def has_data(spark: SparkSession, path: str) -> bool:
-    """The folder holds a finished data file; unfinished writes lie in hidden folders."""
+    """The folder holds a finished data file; unfinished writes lie in folders that don't count."""
     fs = _fs(spark, path)
     root = _path(spark, path)
     if not fs.exists(root):
@@ -29,43 +34,128 @@ def has_data(spark: SparkSession, path: str) -> bool:
     files = fs.listFiles(root, True)
     while files.hasNext():
         below = str(files.next().getPath().toString())[len(base) :].strip("/").split("/")
-        if not any(part.startswith(("_", ".")) for part in below):
+        if not any(part.startswith(("_", ".", VERSION)) for part in below):
             return True
     return False
 
 
-def rename(spark: SparkSession, source: str, target: str) -> None:
-    if not _fs(spark, source).rename(_path(spark, source), _path(spark, target)):
-        raise OSError(f"could not rename {source} to {target}")
-
-
 def remove(spark: SparkSession, path: str) -> None:
     _fs(spark, path).delete(_path(spark, path), True)
 
 
-def make_parent(spark: SparkSession, path: str) -> None:
-    p = _path(spark, path)
-    _fs(spark, path).mkdirs(p.getParent())
-
-
-def swap_in(spark: SparkSession, staged: str, target: str) -> None:
-    """Put a staged folder in the place of the target; the old one comes back on failure."""
-    before = f"{target.rstrip('/')}.before"
-    had = exists(spark, target)
-    if had:
-        if exists(spark, before):
-            remove(spark, before)
-        rename(spark, target, before)
-    else:
-        make_parent(spark, target)
-    try:
-        rename(spark, staged, target)
-    except Exception:
-        if had:
-            rename(spark, before, target)
-        raise
-    if had:
-        remove(spark, before)
+# --- versions -------------------------------------------------------------------
+#
+# A table that is replaced lives in folders of its own, one per write, and a small
+# numbered record names those that make up the table. A write becomes visible by the
+# creation of the next record, a single step on any file system; nothing is renamed.
+# A record that cannot be read (its writer died) does not count. The record before
+# the newest stays with its folders, for readers that began before. One writer at a
+# time: two that take the same number cannot both create the record.
+
+
+def new_version(path: str) -> str:
+    """A folder for the next write of a table; it is invisible until it is committed."""
+    return f"{path.rstrip('/')}/{VERSION}{uuid.uuid4().hex}"
+
+
+def _records(spark: SparkSession, path: str) -> list[tuple[int, dict | None]]:
+    """Numbers and records, newest first; None for one that cannot be read."""
+    fs, folder = _fs(spark, path), _path(spark, f"{path}/{RECORDS}")
+    if not fs.exists(folder):
+        return []
+    out = []
+    for status in fs.listStatus(folder):
+        name = str(status.getPath().getName())
+        if not name.endswith(".json") or name.startswith("."):
+            continue
+        size = int(status.getLen())
+        try:
+            stream = fs.open(status.getPath())
+            text = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8") if size else ""
+            stream.close()
+            record = json.loads(text)
+        except ValueError:
+            record = None
+        out.append((int(name.removesuffix(".json")), record))
+    return sorted(out, key=lambda r: -r[0])
+
+
+def current(spark: SparkSession, path: str) -> dict | None:
+    """The newest record of a table; None if it was never committed."""
+    return next((r for _, r in _records(spark, path) if r is not None), None)
+
+
+def commit(spark: SparkSession, path: str, record: dict) -> None:
+    """Make a record the current one, then remove what only older ones name."""
+    known = _records(spark, path)
+    number = known[0][0] + 1 if known else 1
+    fs = _fs(spark, path)
+    stream = fs.create(_path(spark, f"{path}/{RECORDS}/{number:010d}.json"), False)
+    stream.write(bytearray(json.dumps(record).encode()))
+    stream.close()
+    before = next((r for _, r in known if r is not None), None)
+    _clean(spark, path, [r for r in (record, before) if r], known)
+
+
+def _clean(spark: SparkSession, path: str, kept: list[dict], known: list) -> None:
+    fs = _fs(spark, path)
+    readable = 0
+    for number, record in known:
+        readable += record is not None
+        if record is None or readable > 1:
+            remove(spark, f"{path}/{RECORDS}/{number:010d}.json")
+    for folder, used in _used(path, kept).items():
+        root = _path(spark, folder)
+        if not fs.exists(root):
+            continue
+        for status in fs.listStatus(root):
+            name = str(status.getPath().getName())
+            if name.startswith(VERSION) and name not in used:
+                fs.delete(status.getPath(), True)
+
+
+def _used(path: str, kept: list[dict]) -> dict[str, set[str]]:
+    """Per table folder, the version folders that a kept record names."""
+    out: dict[str, set[str]] = {}
+    for record in kept:
+        for name, table in record.get("tables", {"": record}).items():
+            own = out.setdefault(f"{path}/{name}".rstrip("/"), set())
+            own.update(f.split("/")[0] for f in table["folders"])
+    return out
+
+
+def read_record(spark: SparkSession, path: str, record: dict) -> DataFrame:
+    """The rows of a record; its folders lie below ``path``."""
+    schema = T.StructType.fromJson(record["schema"])
+    if not record["folders"]:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(*[f"{path}/{f}" for f in record["folders"]])
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """A table by its current record, or a plain folder of files."""
+    path = path.rstrip("/")
+    record = current(spark, path)
+    return spark.read.parquet(path) if record is None else read_record(spark, path, record)
+
+
+def has_table(spark: SparkSession, path: str) -> bool:
+    return current(spark, path.rstrip("/")) is not None or has_data(spark, path)
+
+
+def commit_folder(spark: SparkSession, path: str, folder: str, schema: T.StructType) -> None:
+    """Make one written folder the whole table."""
+    path = path.rstrip("/")
+    name = folder.removeprefix(f"{path}/")
+    commit(spark, path, {"folders": [name], "schema": schema.jsonValue()})
+
+
+def write_folder(spark: SparkSession, path: str) -> str:
+    """Where rows are appended: the current version's folder, or the plain folder."""
+    record = current(spark, path.rstrip("/"))
+    if record is None:
+        return path
+    return f"{path.rstrip('/')}/{record['folders'][-1]}"
 
 
 def append_line(spark: SparkSession, path: str, record: dict) -> None:

@@ -18,15 +18,15 @@ class Warehouse:
         return f"{self.base}/{name}"
 
     def has(self, name: str) -> bool:
-        return storage.has_data(self.spark, self.path(name))
+        return storage.has_table(self.spark, self.path(name))
 
     def read(self, name: str) -> DataFrame:
         if not self.has(name):
             raise LookupError(f"table {name} does not exist below {self.base}")
-        return self.spark.read.parquet(self.path(name))
+        return storage.read_table(self.spark, self.path(name))
 
     def read_or_none(self, name: str) -> DataFrame | None:
-        return self.spark.read.parquet(self.path(name)) if self.has(name) else None
+        return storage.read_table(self.spark, self.path(name)) if self.has(name) else None
 
 
 def scan(spark: SparkSession, name: str) -> DataFrame:
