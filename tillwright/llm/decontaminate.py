@@ -26,11 +26,11 @@ from pyspark.sql import functions as F
 from tillwright.llm.common import keep
 
 SPAN = 10
-GRAM = 6
+GRAM = 8
 WINNOW = SPAN - GRAM + 1
 
 WORD = "[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
-ANY_CASE_WORD = "[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"
+BETWEEN = "[\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 #: Benchmark fingerprints or windows are broadcast up to this many (64 bits, or
@@ -50,23 +50,57 @@ def _positions(length: Column, size: int) -> Column:
     return F.when(last >= 1, F.sequence(F.lit(1), last)).otherwise(F.array().cast("array<int>"))
 
 
-def _hashes(own: Column) -> Column:
-    return F.transform(_positions(F.size(own), GRAM), lambda i: F.xxhash64(F.slice(own, i, GRAM)))
+def _cut(rows: DataFrame, text: Column, *keys: str) -> DataFrame:
+    """The keys and the words ``own`` of a text, as they are written in it.
 
+    Splitting costs half of extracting; an empty first or last part is no word.
+    """
+    parts = rows.select(*keys, F.split(text, BETWEEN).alias("parts"))
+    head = (F.get("parts", F.lit(0)) == "").cast("int")
+    tail = ((F.size("parts") > 1) & (F.element_at("parts", -1) == "")).cast("int")
+    return parts.select(*keys, F.slice("parts", head + 1, F.size("parts") - head - tail).alias("own"))
 
-def _winnowed(hashes: Column) -> Column:
-    picked = F.transform(
-        _positions(F.size(hashes), WINNOW), lambda i: F.array_min(F.slice(hashes, i, WINNOW))
+
+def _ahead(values: Column, by: int) -> Column:
+    return F.slice(values, by + 1, F.greatest(F.size(values) - by, F.lit(0)))
+
+
+def _folded(rows: DataFrame, column: str, size: int, pair) -> DataFrame:
+    """``column``, with every place now standing for ``size`` places from there on.
+
+    Runs are doubled by pairing the array with itself moved ahead; only the first
+    ``len - size + 1`` places hold full runs. One step reads one stored array, so each
+    is computed once.
+    """
+    others = [c for c in rows.columns if c != column]
+    own, reach = F.col(column), 1
+    while reach * 2 <= size:
+        rows = rows.select(*others, F.zip_with(own, _ahead(own, reach), pair).alias(column))
+        reach *= 2
+    if reach < size:  # the rest overlaps
+        rows = rows.select(*others, F.zip_with(own, _ahead(own, size - reach), pair).alias(column))
+    return rows
+
+
+def gram_hashes(rows: DataFrame) -> DataFrame:
+    """``hashes`` of every GRAM words of ``own``, in order; GRAM is a power of two."""
+    others = [c for c in rows.columns if c != "own"]
+    single = rows.select(
+        *others, F.size("own").alias("n_own"), F.transform("own", lambda w: F.xxhash64(w)).alias("hashes")
     )
-    return F.array_distinct(picked)
+    folded = _folded(single, "hashes", GRAM, lambda a, b: F.xxhash64(a, b))
+    full = F.slice("hashes", 1, F.greatest(F.col("n_own") - (GRAM - 1), F.lit(0)))
+    return folded.select(*others, full.alias("hashes"))
 
 
 def fingerprints(rows: DataFrame, key: list[str]) -> DataFrame:
     """One row per key and fingerprint of its ``text``."""
-    lowered = F.lower(F.coalesce("text", F.lit("")))
-    own = rows.select(*key, F.regexp_extract_all(lowered, F.lit(WORD), F.lit(0)).alias("own"))
-    hashed = own.where(F.size("own") >= SPAN).select(*key, _hashes(F.col("own")).alias("hashes"))
-    return hashed.select(*key, F.explode(_winnowed(F.col("hashes"))).alias("print"))
+    own = _cut(rows, F.lower(F.coalesce("text", F.lit(""))), *key)
+    hashed = gram_hashes(own)
+    counted = hashed.select(*key, F.size("hashes").alias("n_hashes"), "hashes")
+    least = _folded(counted, "hashes", WINNOW, lambda a, b: F.least(a, b))
+    full = F.slice("hashes", 1, F.greatest(F.col("n_hashes") - (WINNOW - 1), F.lit(0)))
+    return least.select(*key, F.explode(F.array_distinct(full)).alias("print"))
 
 
 def _window_text(own: str, start: Column, size: Column | int) -> Column:
@@ -123,12 +157,10 @@ def occurrences(rows: DataFrame, items: DataFrame) -> DataFrame:
     again = rows.join(
         hits, rows["doc_id"].eqNullSafe(hits["doc_id"]) & (rows["text_key"] == hits["text_key"])
     ).select(rows["doc_id"], rows["text_key"], rows["text"], hits["prints"])
-    lowered = F.lower(F.coalesce("text", F.lit("")))
-    own = again.select(
-        "doc_id", "text_key", "prints", words(F.col("text")).alias("own"),
-        F.regexp_extract_all(lowered, F.lit(WORD), F.lit(0)).alias("loose"),
+    key = ["doc_id", "text_key", "prints", "text"]
+    hashed = gram_hashes(_cut(again, F.lower(F.coalesce("text", F.lit(""))), *key)).select(
+        "doc_id", "text_key", "prints", words(F.col("text")).alias("own"), "hashes"
     )
-    hashed = own.select("doc_id", "text_key", "prints", "own", _hashes(F.col("loose")).alias("hashes"))
     at = F.filter(
         F.sequence(F.lit(1), F.size("hashes")),
         lambda i: F.array_contains(F.col("prints"), F.element_at(F.col("hashes"), i)),
@@ -183,10 +215,8 @@ def decontaminate(
         ).select(covered["doc_id"], covered["text_key"], "n_hit", "items"),
         "hits",
     )
-    counted = rows.select(
-        "doc_id", "text_key",
-        F.size(F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(ANY_CASE_WORD), F.lit(0)))
-        .cast("long").alias("n_words"),
+    counted = _cut(rows, F.coalesce("text", F.lit("")), "doc_id", "text_key").select(
+        "doc_id", "text_key", F.size("own").cast("long").alias("n_words")
     )
     none = F.array().cast("array<string>")
     hit_items = F.coalesce("items", none)
