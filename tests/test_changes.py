@@ -2,10 +2,12 @@ from datetime import datetime
 
 import pytest
 from helpers import rows
+from pyspark.sql import functions as F
 
 from tillwright.operators import upsert
 from tillwright.operators.windows import keep_last
 from tillwright.plans import curate
+from tillwright.plans.state import BucketError, apply_changes
 from tillwright.schemas import SchemaError
 from tillwright.sources.tables import Warehouse
 from tillwright.streaming import ingest, ledger
@@ -147,12 +149,44 @@ def test_ledger(spark, folder):
 
 
 def test_watermark(spark):
-    assert ledger.watermark(None, 3) == 3 and ledger.watermark(0, 3) == 0
-    with pytest.raises(ValueError):
-        ledger.watermark(None)
     df = spark.createDataFrame([(1,), (2,)], "n int")
+    none = df.limit(0)
     assert rows(ledger.after_watermark(df, "n", df.filter("n = 1"))) == [(2,)]
     assert rows(ledger.after_watermark(df, "n", None, 0)) == [(1,), (2,)]
+    assert rows(ledger.after_watermark(df, "n", none, 1)) == [(2,)]
+    assert rows(ledger.after_watermark(df, "n", df.filter("n = 1"), 9)) == [(2,)]
+    for state in (None, none):
+        with pytest.raises(Exception, match="start from"):
+            ledger.after_watermark(df, "n", state).collect()
+
+
+def test_ledger_compares_with_the_latest_entry(spark, folder):
+    """A file that is changed and then put back counts as changed both times."""
+    zones = Warehouse(spark, folder)
+    old, new = [
+        spark.createDataFrame([("d", "a.csv", datetime(2024, 1, day), size)], "dataset string, path string, modified_time timestamp, size bigint")
+        for day, size in ((1, 10), (2, 20))
+    ]
+    for run, files in enumerate((old, new, old)):
+        assert ledger.new_or_changed(files, ledger.read_ledger(zones)).count() == 1
+        ledger.mark_processed(zones, files, f"2024-02-0{run + 1} 00:00:00", records=run)
+        assert ledger.new_or_changed(files, ledger.read_ledger(zones)).count() == 0
+    state = ledger.ledger_state(ledger.read_ledger(zones)).first()
+    assert (state["files"], state["bytes"], state["last_records"]) == (1, 10, 2)
+
+
+def test_bucket_count_stays_with_the_table(spark, folder):
+    zones = Warehouse(spark, folder)
+    rows_of = lambda n, at: spark.range(n).select(
+        F.col("id").cast("string").alias("k"), F.lit(at).cast("timestamp").alias("updated_at")
+    )
+    apply_changes(zones, "t", "k", rows_of(100, "2024-01-01"), buckets=64)
+    with pytest.raises(BucketError):
+        apply_changes(zones, "t", "k", rows_of(50, "2024-01-02"), buckets=8)
+    apply_changes(zones, "t", "k", rows_of(50, "2024-01-02"))
+    found = zones.read("t")
+    assert found.count() == 100 and "key_bucket" not in found.columns
+    assert found.filter("updated_at = '2024-01-02'").count() == 50
 
 
 def test_stream_refuses_another_schema(spark, folder):

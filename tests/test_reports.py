@@ -39,6 +39,8 @@ def test_measure_leaves_out_text_and_nulls(spark):
         "k string, m string",
     )
     assert rows(aggregates.measure_by(df, "k", "m")) == [("a", 3.5)]
+    tiny = spark.range(1000).selectExpr("'a' AS k", "1e-7 AS m")
+    assert abs(aggregates.measure_by(tiny, "k", "m").first()["m"] - 1e-4) < 1e-12
 
 
 def test_daily_summary_keeps_orders_without_day(spark):
@@ -88,7 +90,9 @@ def test_events(spark):
         (3, "WARNING", "PIPELINE_RUN"),
     ]
     error = events.filter("event_type = 'PIPELINE_ERROR'").first()
-    assert len(error["message"]) == 2000
+    assert len(error["message"]) == 3000
+    cut_off = monitoring.derive_events(runs(spark), 2000).filter("event_type = 'PIPELINE_ERROR'")
+    assert len(cut_off.first()["message"]) == 2000
     assert monitoring.select_events(events, []).count() == 0
 
 
@@ -105,22 +109,29 @@ def test_record_run(spark, folder):
     ]
 
 
-def test_nearest_against_brute_force(spark):
+def test_nearest_against_brute_force(spark, monkeypatch):
     import random
 
+    monkeypatch.setattr(vectors, "STORE_BLOCK", 100)
+    monkeypatch.setattr(vectors, "PROBE_BLOCK", 30)
     chance = random.Random(5)
     points = [(i, [chance.random() for _ in range(6)]) for i in range(300)]
-    df = spark.createDataFrame(points, "vec_id bigint, embedding array<float>").repartition(7)
-    probes = [(0, points[0][1]), (1, [0.5] * 6)]
+    kind = "embedding array<float>"
+    df = spark.createDataFrame(points, f"vec_id bigint, {kind}").repartition(7)
+    probes = [(0, points[0][1]), *((i, [chance.random() for _ in range(6)]) for i in range(1, 65))]
+    asked = spark.createDataFrame(probes, f"probe_id bigint, {kind}")
     got = {}
-    for r in vectors.nearest(df, probes, 4).collect():
+    for r in vectors.nearest(df, asked, 4).collect():
         got.setdefault(r["probe_id"], []).append((r["position"], r["vec_id"]))
+    assert len(got) == 65
     for probe_id, probe in probes:
         by_distance = sorted(points, key=lambda p: sum((a - b) ** 2 for a, b in zip(p[1], probe, strict=True)))
         assert [v for _, v in sorted(got[probe_id])] == [p[0] for p in by_distance[:4]]
-    assert vectors.nearest(df, probes, 0).count() == 2
-    with pytest.raises(ValueError):
-        vectors.nearest(df, [], 3)
+    assert vectors.nearest(df, asked, 0).count() == 65
+    assert vectors.nearest(df, asked.limit(0), 3).count() == 0
+    uneven = spark.createDataFrame([(1, [1.0, 2.0]), (2, [3.0]), (3, [4.0, 5.0, 6.0])], f"vec_id bigint, {kind}")
+    with pytest.raises(Exception, match="differ in length"):
+        vectors.nearest(uneven, asked, 1).collect()
 
 
 def test_adhoc_is_capped_and_read_only(spark):
@@ -139,11 +150,14 @@ def test_union_relaxed_types(spark):
 
 def test_broadcast_only_within_the_cap(spark, folder):
     spark.range(1000).write.parquet(folder)
-    small = spark.read.parquet(folder)
-    assert joins.broadcast_if_small(small, 100)[1]
-    assert not joins.broadcast_if_small(small, 0)[1]
-    big = spark.range(10**9)
-    assert not joins.broadcast_if_small(big, 100)[1]
+    stored = spark.read.parquet(folder)
+    size = joins.stored_bytes(stored)
+    assert size > 1000
+    shown = [
+        joins.hinted(stored, mb)._jdf.queryExecution().logical().toString()
+        for mb in (100, size / 2**20 / 2, None)
+    ]
+    assert ["broadcast" in text for text in shown] == [True, False, False]
 
 
 def test_contribution(spark):

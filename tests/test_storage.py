@@ -185,16 +185,16 @@ def test_publish_shows_all_tables_in_one_step(spark, folder, monkeypatch):
 
 
 def test_ingest_log(spark, folder):
-    entry = {
-        "file_name": "f", "source": "s", "record_count": 1, "processing_status": "failed",
-        "processing_time_seconds": 1.23456, "pipeline_version": "1",
-    }
-    record = sinks.log_ingestion(spark, folder, **entry, extra={"k": "v"})
-    assert (record["processing_status"], record["processing_time_seconds"]) == ("FAILED", 1.235)
-    assert spark.read.json(folder).select("extra.k").first()[0] == "v"
-    for bad in ({"record_count": -1}, {"processing_status": "done"}):
-        with pytest.raises(ValueError):
-            sinks.log_ingestion(spark, folder, **(entry | bad))
+    kind = "file_name string, record_count bigint, processing_status string, processing_time_seconds double"
+    sinks.log_ingestion(spark.createDataFrame([("f", 1, "failed", 1.23456)], kind), folder)
+    sinks.log_ingestion(spark.createDataFrame([("g", 0, "SUCCESS", 0.0)], kind), folder)
+    found = storage.read_table(spark, folder)
+    assert rows(found, "file_name", "processing_status", "processing_time_seconds", "error_count", "source") == [
+        ("f", "FAILED", 1.235, 0, None), ("g", "SUCCESS", 0.0, 0, None),
+    ]
+    for bad in (("f", -1, "FAILED", 1.0), ("f", 1, "FAILED", -1.0), ("f", 1, "DONE", 1.0), ("f", 1, None, 1.0)):
+        with pytest.raises(Exception, match="negative|none of"):
+            sinks.log_ingestion(spark.createDataFrame([bad], kind), folder)
 
 
 def test_tables(spark):

@@ -69,24 +69,31 @@ def path_ledger(t):
 
 @query(
     "inc_mark_processed",
-    "SELECT 'customers' AS dataset, TRUE AS complete, TIMESTAMP '2024-02-01 06:00:00' AS processed_at",
+    """SELECT 'customers' AS dataset, count(DISTINCT c_mktsegment) AS segments,
+           count(*) AS last_records, TIMESTAMP '2024-02-01 06:00:00' AS last_run,
+           TRUE AS complete FROM customer""",
 )
 def mark_processed(t):
-    """The ledger holds every listed file with its size, marked once."""
+    """The ledger holds every listed file with its size, marked once with the run's rows."""
     base = run_dir(t.spark, "marked")
     warehouse = Warehouse(t.spark, f"{base}/warehouse")
     _segment_files(t, f"{base}/raw")
     files = ledger.list_files(t.spark, f"{base}/raw", "customers")
-    ledger.mark_processed(warehouse, ledger.oldest_first(files), "2024-02-01 06:00:00")
+    rows = t.spark.read.options(**TEXT).csv(f"{base}/raw").count()
+    ledger.mark_processed(
+        warehouse, ledger.oldest_first(files), "2024-02-01 06:00:00", records=rows
+    )
     book = ledger.read_ledger(warehouse)
     listed = files.groupBy("dataset").agg(F.count("path").alias("n"), F.sum("size").alias("b"))
     complete = (F.col("files") == F.col("n")) & (F.col("bytes") == F.col("b"))
-    marks = book.groupBy("dataset").agg(F.max("processed_at").alias("processed_at"))
+    segments = book.groupBy("dataset").agg(
+        F.count_distinct(F.regexp_extract("path", r"segment=([^/]+)/", 1)).alias("segments")
+    )
     return (
         ledger.ledger_state(book)
         .join(listed, "dataset")
-        .join(marks, "dataset")
-        .select("dataset", complete.alias("complete"), "processed_at")
+        .join(segments, "dataset")
+        .select("dataset", "segments", "last_records", "last_run", complete.alias("complete"))
     )
 
 
@@ -127,7 +134,7 @@ def inc_upsert(t):
 @query(
     "inc_upsert_counts",
     """WITH o AS (SELECT DISTINCT o_custkey AS k FROM orders WHERE o_orderdate < DATE '1996-01-01'),
-    n AS (SELECT DISTINCT o_custkey AS k FROM orders WHERE o_orderdate >= DATE '2000-01-01')
+    n AS (SELECT DISTINCT o_custkey AS k FROM orders WHERE o_orderdate >= DATE '1996-01-01')
     SELECT count(*) FILTER (k NOT IN (SELECT k FROM o)) AS inserted,
            count(*) FILTER (k IN (SELECT k FROM o)) AS matched FROM n""",
 )
@@ -135,7 +142,7 @@ def upsert_counts(t):
     orders = t.orders.select(F.col("o_custkey").alias("customer_id"), "o_orderdate")
     return upsert.upsert_counts(
         orders.filter("o_orderdate < DATE '1996-01-01'"),
-        orders.filter("o_orderdate >= DATE '2000-01-01'"),
+        orders.filter("o_orderdate >= DATE '1996-01-01'"),
         "customer_id",
     )
 
@@ -157,14 +164,15 @@ def inc_delete(t):
     return upsert.apply_deletes(state, quality.split_deletes(late)[1], "user_id")
 
 
-WEEKS = ("2024-01-01", "2024-01-09", "2024-01-17", "2024-01-25", "2024-02-01")
+WEEKS = ("2024-01-09", "2024-01-17", "2024-01-25")
 
 
 def _week(df, i, column):
-    return df.filter(
-        (F.col(column) >= F.lit(WEEKS[i]).cast("timestamp_ntz"))
-        & (F.col(column) < F.lit(WEEKS[i + 1]).cast("timestamp_ntz"))
-    )
+    """The i-th arrival; the first and the last have open ends, nulls come last."""
+    number = F.lit(len(WEEKS))
+    for k in reversed(range(len(WEEKS))):
+        number = F.when(F.col(column) < F.lit(WEEKS[k]).cast("timestamp_ntz"), k).otherwise(number)
+    return df.filter(number == i)
 
 
 # Deletes of a week leave the state of the weeks before; the other records of the
@@ -172,8 +180,8 @@ def _week(df, i, column):
 # record, or if no later week has a delete record.
 STREAM_SQL = f"""WITH e AS (
       SELECT CAST(user_id AS VARCHAR) AS user_id, ts AS updated_at, event_type, value,
-             CASE {' '.join(f"WHEN ts < TIMESTAMP '{d}' THEN {i}" for i, d in enumerate(WEEKS[1:]))}
-             END AS week FROM events),
+             CASE {' '.join(f"WHEN ts < TIMESTAMP '{d}' THEN {i}" for i, d in enumerate(WEEKS))}
+             ELSE {len(WEEKS)} END AS week FROM events),
     loads AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY updated_at DESC,
                 event_type DESC, value DESC) AS rn FROM e WHERE event_type <> 'error'),
     gone AS (SELECT user_id, max(week) AS week FROM e WHERE event_type = 'error' GROUP BY user_id)
@@ -188,7 +196,7 @@ def upsert_stream(t):
     base = run_dir(t.spark, "upsert-stream")
     warehouse = Warehouse(t.spark, f"{base}/warehouse")
     changes = bridge.user_changes(t)
-    for i in range(len(WEEKS) - 1):
+    for i in range(len(WEEKS) + 1):
         _week(changes, i, "updated_at").write.mode("append").parquet(f"{base}/arrivals")
         stream = ingest.parquet_stream(t.spark, f"{base}/arrivals", changes.schema)
         ingest.upsert_load(stream, warehouse, "users", "user_id", f"{base}/checkpoint")
@@ -216,7 +224,7 @@ def append_load(t):
     """The first lot creates the table, later lots are appended, none is read twice."""
     base = run_dir(t.spark, "append-load")
     events = t.events.select("event_id", "ts", "user_id", "event_type", "value")
-    for i in range(len(WEEKS) - 1):
+    for i in range(len(WEEKS) + 1):
         _week(events, i, "ts").write.mode("append").parquet(f"{base}/arrivals")
         stream = ingest.parquet_stream(t.spark, f"{base}/arrivals", events.schema)
         ingest.append_load(stream, f"{base}/table", f"{base}/checkpoint")

@@ -37,13 +37,8 @@ def required(t):
 
 @query("prj_validate_schema", f"WITH {s.PRODUCTS} SELECT * FROM r_products")
 def validated(t):
-    expected = {
-        "product_id": "STRING",
-        "product_name": "string",
-        "category": "string",
-        "price": "Double",
-    }
-    return validate_schema(bridge.products(t), expected, allow_extra_columns=True)
+    contract = "product_id STRING, product_name STRING, category STRING, price DOUBLE"
+    return validate_schema(bridge.products(t), contract, extra=True)
 
 
 @query("prj_drop_index_cols", "SELECT p_partkey, p_name FROM part")

@@ -11,18 +11,13 @@ from tillwright.catalogue.base import query
 from tillwright.operators import clean, quality
 from tillwright.plans import monitoring
 from tillwright.schemas import FACT_COLUMNS
-from tillwright.session import staged
 from tillwright.sources import bridge
 
 REASON = quality.RULE_REASON
 
 
 def _raw_orders(t):
-    """Raw orders as stored files, the form in which they arrive.
-
-    Left as a view, each rule of a filter would build the faulty text again.
-    """
-    return staged(bridge.raw_orders(t), "raw-orders")[0]
+    return bridge.raw_orders(t)
 
 
 @query("flt_customer_valid", f"WITH {s.CAST_CUSTOMERS} SELECT * FROM cast_c WHERE NOT coalesce({s.BAD_CUSTOMER}, FALSE)")
@@ -293,7 +288,9 @@ def date_range(t):
     orders = t.orders.select(
         "o_orderkey", F.col("o_orderdate").alias("order_date"), F.col("o_orderstatus").alias("order_status")
     )
-    chosen = quality.order_filter(orders, "1996-01-01", "1996-04-01")
+    chosen = orders.where(
+        quality.within_days("order_date", "1996-01-01", "1996-04-01") & quality.known_status()
+    )
     return chosen.withColumn("order_date", F.col("order_date").cast("date"))
 
 

@@ -151,7 +151,7 @@ RUNS = """runs AS (
 
 
 def money(expression: str) -> str:
-    return f"CAST(sum(CAST({expression} AS DECIMAL(18,2))) AS DOUBLE)"
+    return f"round(sum(CAST({expression} AS DOUBLE)), 2)"
 
 
 def round2(expression: str) -> str:

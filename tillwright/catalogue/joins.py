@@ -30,11 +30,11 @@ def chain(t):
 
 @query(
     "jn_broadcast_capped",
-    f"{WIDE_SQL} WHERE order_date >= DATE '1996-01-01' AND order_date < DATE '1997-01-01'",
+    WIDE_SQL,
 )
 def capped(t):
-    """Products are broadcast when the size estimate is within the cap."""
-    return wide_orders(*_inputs(t), start="1996-01-01", end="1997-01-01", broadcast_mb=100)
+    """Products are broadcast when their files are within the cap."""
+    return wide_orders(*_inputs(t), broadcast_mb=100)
 
 
 @query(
@@ -79,14 +79,15 @@ def anti_delete(t):
 
 @query(
     "jn_semi_keys",
-    """WITH i AS (SELECT DISTINCT user_id FROM events WHERE event_type = 'purchase'),
-    e AS (SELECT DISTINCT user_id FROM events WHERE value > 250)
+    """WITH i AS (SELECT DISTINCT user_id FROM events),
+    e AS (SELECT DISTINCT o_custkey AS user_id FROM orders)
     SELECT count(*) FILTER (user_id NOT IN (SELECT user_id FROM e)) AS inserted,
            count(*) FILTER (user_id IN (SELECT user_id FROM e)) AS matched FROM i""",
 )
 def semi_keys(t):
+    """Users of events against customers with orders."""
     return joins.key_overlap(
-        t.events.filter("event_type = 'purchase'"), t.events.filter("value > 250"), "user_id"
+        t.events, t.orders.select(F.col("o_custkey").alias("user_id")), "user_id"
     )
 
 
@@ -190,15 +191,15 @@ def distinct_values(t):
 
 @query(
     "st_key_diff",
-    """WITH l AS (SELECT DISTINCT user_id AS k FROM events WHERE value > 100),
-    r AS (SELECT DISTINCT c_custkey AS k FROM customer WHERE c_acctbal > 0)
+    """WITH l AS (SELECT DISTINCT user_id AS k FROM events),
+    r AS (SELECT DISTINCT o_custkey AS k FROM orders)
     SELECT k, CASE WHEN l.k IS NOT NULL AND r.k IS NOT NULL THEN 'both'
                    WHEN l.k IS NOT NULL THEN 'left' ELSE 'right' END AS found_in
     FROM l FULL JOIN r USING (k)""",
 )
 def key_diff(t):
     return sets.key_sets(
-        t.events.filter("value > 100").select(F.col("user_id").alias("k")),
-        t.customer.filter("c_acctbal > 0").select(F.col("c_custkey").alias("k")),
+        t.events.select(F.col("user_id").alias("k")),
+        t.orders.select(F.col("o_custkey").alias("k")),
         "k",
     )

@@ -10,7 +10,6 @@ from tillwright.functions.dates import month_start
 from tillwright.operators import aggregates, joins, ordering, windows
 from tillwright.operators.clean import month_column
 from tillwright.plans import adhoc, analytics
-from tillwright.session import cut
 from tillwright.sources import bridge
 
 STAR = f"{s.FACT}, {s.DIM_DATE}, {s.DIM_PRODUCT}"
@@ -75,16 +74,37 @@ def q4(t):
     )
 
 
-@query("q4_inactive_by_customer_id", Q4_SQL)
+Q4_HISTORY_SQL = f"""WITH {s.HISTORY}, {s.FACT}, {s.DIM_DATE},
+    recent AS (SELECT DISTINCT f.customer_key AS original FROM fact f JOIN d_date USING (date_key)
+      WHERE full_date >= (SELECT max(full_date) FROM d_date) - INTERVAL 90 DAY),
+    active AS (SELECT DISTINCT customer_id FROM history
+      WHERE (customer_key - 1) // 10 IN (SELECT original FROM recent))
+    SELECT customer_key, customer_id, customer_name, email, city, state, customer_segment,
+           effective_from
+    FROM history WHERE effective_to = DATE '9999-12-31'
+      AND customer_id NOT IN (SELECT customer_id FROM active)
+    ORDER BY customer_id"""
+
+
+def _old_versions_sell(t):
+    """Sales of which every one belongs to a customer's first version."""
+    return bridge.fact_sales(t).withColumn("customer_key", F.col("customer_key") * 10 + 1)
+
+
+@query("q4_inactive_by_customer_id", Q4_HISTORY_SQL)
 def q4_by_id(t):
+    """Customers with several versions; orders of all versions count."""
+    history = bridge.customer_history(t).withColumn(
+        "is_current", F.col("effective_to") == F.lit("9999-12-31").cast("date")
+    )
     return analytics.inactive_customers(
-        bridge.fact_sales(t), bridge.dim_date(t), bridge.dim_customer(t), by="customer_id"
+        _old_versions_sell(t), bridge.dim_date(t), history, by="customer_id"
     )
 
 
 MONTHS_SQL = f"""{STAR}, cm AS (
       SELECT category, CAST(date_trunc('month', full_date) AS DATE) AS month,
-             sum(CAST(sales_amount AS DECIMAL(18,2))) AS revenue
+             round(sum(sales_amount), 2) AS revenue
       FROM fact JOIN d_product USING (product_key) JOIN d_date USING (date_key) GROUP BY 1, 2)"""
 
 COMPARE_SQL = f"""{MONTHS_SQL},
@@ -170,15 +190,9 @@ def recent(t):
     WHERE month IN (SELECT DISTINCT month FROM cm ORDER BY month DESC LIMIT 2)""",
 )
 def latest_two(t):
-    months = cut(
-        analytics.category_months(
-            bridge.fact_sales(t), bridge.dim_product(t), bridge.dim_date(t)
-        )
-    )
-    last = months.select("month").distinct().orderBy(F.col("month").desc()).limit(2)
-    return months.join(last, "month", "left_semi").select(
-        "category", "month", F.col("revenue").cast("double").alias("revenue")
-    )
+    fact = bridge.fact_sales(t)
+    days = analytics.last_months(fact, bridge.dim_date(t))
+    return analytics.category_months(fact, bridge.dim_product(t), days)
 
 
 @query(
@@ -187,9 +201,7 @@ def latest_two(t):
 )
 def period_compare(t):
     return analytics.compare_last_months(
-        analytics.category_months(
-            bridge.fact_sales(t), bridge.dim_product(t), bridge.dim_date(t)
-        )
+        bridge.fact_sales(t), bridge.dim_product(t), bridge.dim_date(t)
     )
 
 
@@ -291,11 +303,12 @@ def business_stats(t):
 
 @query(
     "ag_dim_measure",
-    """SELECT event_type, CAST(sum(CAST(value AS DECIMAL(28,6))) AS DOUBLE) AS value
+    """SELECT event_type, round(sum(value), 4) AS value
     FROM events WHERE event_type IS NOT NULL AND value IS NOT NULL GROUP BY event_type""",
 )
 def dim_measure(t):
-    return aggregates.measure_by(t.events, "event_type", "value")
+    found = aggregates.measure_by(t.events, "event_type", "value")
+    return found.withColumn("value", F.round("value", 4))
 
 
 GIVEN = (
@@ -550,21 +563,22 @@ def topn_cap(t):
 @query(
     "so_topn_other",
     """WITH g AS (SELECT p_brand AS brand,
-             CAST(sum(CAST(l_extendedprice AS DECIMAL(28,6))) AS DOUBLE) AS revenue
+             sum(l_extendedprice) AS revenue
       FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1),
     r AS (SELECT *, row_number() OVER (ORDER BY revenue DESC, brand) AS rn,
                  count(*) OVER () AS n FROM g)
     SELECT CASE WHEN n <= 12 OR rn <= 10 THEN brand ELSE 'Other' END AS brand,
-           CAST(sum(CAST(revenue AS DECIMAL(28,6))) AS DOUBLE) AS revenue
+           round(sum(revenue), 3) AS revenue
     FROM r GROUP BY 1 HAVING sum(revenue) <> 0""",
 )
 def topn_other(t):
     lines = t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey")).select(
         F.col("p_brand").alias("brand"), F.col("l_extendedprice").alias("revenue")
     )
-    return ordering.top_with_other(
+    found = ordering.top_with_other(
         aggregates.measure_by(lines, "brand", "revenue"), "brand", "revenue"
     )
+    return found.withColumn("revenue", F.round("revenue", 3))
 
 
 @query(
@@ -639,7 +653,9 @@ for _name in ("customer_segment", "store_id"):
 def product_months(t):
     """The monthly series of every product name."""
     fact = bridge.fact_sales(t).join(bridge.dim_date(t).select("date_key", "full_date"), "date_key")
-    by_key = aggregates.sum_by(month_column(fact), ["product_key", "month"], "sales_amount")
+    by_key = aggregates.sum_by(
+        month_column(fact), ["product_key", "month"], "sales_amount", final=False
+    )
     names = bridge.dim_product(t).select("product_key", "product_name")
     return aggregates.sum_by(by_key.join(names, "product_key"), ["product_name", "month"], "revenue")
 

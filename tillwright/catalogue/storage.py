@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from datetime import datetime
-
 from pyspark.sql import functions as F
 
 from tillwright.catalogue import fragments as s
@@ -107,9 +105,11 @@ def view_register(t):
     )
 
 
-@query("src_preview", "SELECT * FROM region LIMIT 10")
+@query("src_preview", "SELECT (SELECT least(count(*), 10) FROM orders) AS shown, 6 AS columns")
 def preview(t):
-    return tables.preview({"region": t.region}, "region", 10)
+    """Which rows a preview shows is open; how many of how many columns is not."""
+    shown = tables.preview({"orders": t.orders}, "orders", 10)
+    return shown.agg(F.count(F.lit(1)).alias("shown"), F.lit(len(shown.columns)).alias("columns"))
 
 
 @query(
@@ -354,17 +354,16 @@ def ingest_log(t):
     """One record per given table with its row count."""
     path = run_dir(t.spark, "ingest-log")
     for name in LOGGED:
-        sinks.log_ingestion(
-            t.spark,
-            path,
-            file_name=f"{name}.parquet",
-            source="given",
-            record_count=t.read(name).count(),
-            processing_status="partial",
-            processing_time_seconds=1.2349,
-            pipeline_version="1",
-            at=datetime(2024, 2, 1),
+        load = t.read(name).agg(F.count(F.lit(1)).alias("record_count")).select(
+            "record_count",
+            F.lit(f"{name}.parquet").alias("file_name"),
+            F.lit("given").alias("source"),
+            F.lit("partial").alias("processing_status"),
+            F.lit(1.2349).alias("processing_time_seconds"),
+            F.lit("1").alias("pipeline_version"),
+            F.lit("2024-02-01").cast("timestamp").alias("ingestion_time"),
         )
-    return t.spark.read.json(path).select(
+        sinks.log_ingestion(load, path)
+    return storage.read_table(t.spark, path).select(
         "file_name", "processing_status", "record_count", "processing_time_seconds"
     )

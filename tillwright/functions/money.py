@@ -1,48 +1,28 @@
-"""Money expressions.
-
-Amounts are doubles in the tables. Sums are exact, so that a total never
-depends on the order in which partitions are merged.
-"""
+"""Money expressions. Amounts are doubles; a total is rounded once, at its end."""
 
 from __future__ import annotations
 
-from decimal import Decimal
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tillwright.functions.text import col
 
-# A hundred and a few units in the last place: lifts a value that stands for an
-# exact half, such as 1.005, back onto it, so that halves round away from zero.
-_HUNDRED = 100.00000000000005
-
-# Single amounts from here on are faults (infinities included) and stop the job.
-_LIMIT = 9e15
-
 
-def exact_sum(c: Column | str, places: int = 2) -> Column:
-    """Exact decimal sum of doubles, each rounded to ``places``; NaN counts as missing.
-
-    Whole units and fractions are summed as two longs. That is as fast as summing
-    doubles, and neither overflows before nine trillion million rows or units.
-    """
-    scale = 10**places
-    value = F.nanvl(col(c).cast("double"), F.lit(None).cast("double"))
-    too_large = F.raise_error(F.lit("amount out of range")).cast("bigint")
-    whole = F.when(F.abs(value) >= _LIMIT, too_large).otherwise(F.floor(value))
-    fraction = F.floor((value - F.floor(value)) * float(scale) + 0.5)
-    unit = F.lit(Decimal(1).scaleb(-places))
-    return F.sum(whole).cast("decimal(20,0)") + F.sum(fraction).cast("decimal(20,0)") * unit
+def total(c: Column | str) -> Column:
+    """Sum of the values as they are, for totals that are summed further; NaN counts as missing."""
+    return F.sum(F.nanvl(col(c).cast("double"), F.lit(None).cast("double")))
 
 
 def money_sum(c: Column | str, places: int = 2) -> Column:
-    return exact_sum(c, places).cast("double")
+    return F.round(total(c), places)
 
 
 def round2(c: Column | str) -> Column:
-    """Round a double at two places, halves away from zero."""
-    return F.rint(col(c).cast("double") * _HUNDRED) / 100.0
+    """Round a double at two places, halves away from zero.
+
+    It is first rounded at eight, so that the last bit of a quotient does not decide a half.
+    """
+    return F.round(F.round(col(c).cast("double"), 8), 2)
 
 
 def line_amount(quantity: Column | str, price: Column | str, rounded: bool = False) -> Column:

@@ -39,7 +39,7 @@ def whole_number(c: Column | str) -> Column:
     exception per row.
     """
     text = tidy(c)
-    return F.when(text.rlike(r"^[+-]?[0-9]{1,19}$"), text.try_cast("bigint"))
+    return F.when(text.rlike(r"^[+-]?0*[0-9]{1,19}$"), text.try_cast("bigint"))
 
 
 def decimal_number(c: Column | str) -> Column:

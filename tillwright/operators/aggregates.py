@@ -5,15 +5,20 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillwright.functions.money import exact_sum, money_sum, percent
+from tillwright.functions.money import money_sum, percent, total
 
 
 def sum_by(
-    df: DataFrame, keys: list[str], amount: str | None = None, quantity: str | None = None
+    df: DataFrame,
+    keys: list[str],
+    amount: str | None = None,
+    quantity: str | None = None,
+    final: bool = True,
 ) -> DataFrame:
+    """Revenue and units per group; with ``final`` off the revenue is summed further, unrounded."""
     aggregates: list[Column] = []
     if amount:
-        aggregates.append(money_sum(amount).alias("revenue"))
+        aggregates.append((money_sum(amount) if final else total(amount)).alias("revenue"))
     if quantity:
         aggregates.append(F.sum(quantity).alias("units"))
     return df.groupBy(*keys).agg(*aggregates)
@@ -57,23 +62,21 @@ def bounds(df: DataFrame, name: str) -> DataFrame:
 
 
 def business_stats(orders: DataFrame, amount: str = "total_amount") -> DataFrame:
-    total = exact_sum(amount)
+    revenue = money_sum(amount)
     return orders.agg(
         F.count(F.lit(1)).alias("total_orders"),
-        total.cast("double").alias("total_revenue"),
-        F.try_divide(total.cast("double"), F.count(amount).cast("double")).alias(
-            "average_order_value"
-        ),
+        revenue.alias("total_revenue"),
+        F.try_divide(revenue, F.count(amount).cast("double")).alias("average_order_value"),
     )
 
 
 def measure_by(df: DataFrame, dimension: str, measure: str) -> DataFrame:
-    """Sum of a measure by a dimension; non-numeric measures and nulls are left out."""
+    """Sum of a measure by a dimension, as it is; non-numeric measures and nulls are left out."""
     number = F.col(measure).cast("string").try_cast("double")
     usable = df.select(F.col(dimension), number.alias(measure)).filter(
         F.col(dimension).isNotNull() & F.col(measure).isNotNull() & ~F.isnan(measure)
     )
-    return usable.groupBy(dimension).agg(money_sum(measure, places=6).alias(measure))
+    return usable.groupBy(dimension).agg(F.sum(measure).alias(measure))
 
 
 def distinct_points(df: DataFrame, dimension: str) -> DataFrame:
@@ -100,11 +103,11 @@ def overview(tables: dict[str, DataFrame]) -> DataFrame:
 def run_kpis(runs: DataFrame) -> DataFrame:
     """Run count, success rate, failures, records, rejects, mean duration; zeros if empty."""
     status = F.col("processing_status")
-    total = F.count(F.lit(1))
+    n_runs = F.count(F.lit(1))
     zero = F.lit(0.0)
     return runs.agg(
-        total.alias("pipeline_runs"),
-        F.coalesce(percent(F.count_if(status == "SUCCESS"), total), zero).alias("success_rate"),
+        n_runs.alias("pipeline_runs"),
+        F.coalesce(percent(F.count_if(status == "SUCCESS"), n_runs), zero).alias("success_rate"),
         F.count_if(status == "FAILED").alias("failed_runs"),
         F.coalesce(F.sum("record_count"), F.lit(0)).alias("total_records"),
         F.coalesce(F.sum("rejected_count"), F.lit(0)).alias("rejected_records"),

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillwright.functions.dates import parse_day
-from tillwright.functions.money import money_sum
 
 # Result cap of ad-hoc SQL; chart group limit and groups kept.
 RESULT_CAP = 500
@@ -54,7 +53,7 @@ def top_with_other(
     kept = df.orderBy(*ordered).limit(keep)
     rest = (
         df.join(F.broadcast(kept.select(dimension)), dimension, "left_anti")
-        .agg(money_sum(measure, places=6).alias(measure))
+        .agg(F.sum(measure).alias(measure))
         .filter(many & (F.coalesce(F.col(measure), F.lit(0.0)) != 0))
         .select(F.lit("Other").alias(dimension), measure)
     )

@@ -6,11 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillwright.functions.dates import month_start
-from tillwright.functions.money import exact_sum, money_sum, percent
+from tillwright.functions.money import money_sum, percent, total
 from tillwright.operators.ordering import top
 from tillwright.operators.quality import current_versions
 from tillwright.operators.windows import change_to_previous
-from tillwright.session import cut
 
 # Length of the top list, days without order that make inactive.
 TOP_PRODUCTS = 10
@@ -20,7 +19,7 @@ INACTIVE_DAYS = 90
 def top_products(fact: DataFrame, dim_product: DataFrame, n: int = TOP_PRODUCTS) -> DataFrame:
     """Products by revenue. The fact shrinks to one row per product before the join."""
     by_key = fact.groupBy("product_key").agg(
-        exact_sum("sales_amount").alias("r"), F.sum("quantity").alias("q")
+        total("sales_amount").alias("r"), F.sum("quantity").alias("q")
     )
     per_product = (
         by_key.join(
@@ -28,7 +27,7 @@ def top_products(fact: DataFrame, dim_product: DataFrame, n: int = TOP_PRODUCTS)
             "product_key",
         )
         .groupBy("product_id", "product_name", "category")
-        .agg(F.sum("r").cast("double").alias("revenue"), F.sum("q").alias("units_sold"))
+        .agg(F.round(F.sum("r"), 2).alias("revenue"), F.sum("q").alias("units_sold"))
     )
     return top(per_product, "revenue", ["product_id"], n)
 
@@ -102,42 +101,47 @@ def inactive_customers(
     )
 
 
-def category_months(fact: DataFrame, dim_product: DataFrame, dim_date: DataFrame) -> DataFrame:
-    """Exact revenue per category and month, summed by key before the product join."""
+def last_months(fact: DataFrame, dim_date: DataFrame, n: int = 2) -> DataFrame:
+    """Days (date_key, month) of the last months that have sales, found by the distinct days."""
+    sold = fact.select("date_key").distinct()
+    days = dim_date.join(sold, "date_key", "left_semi").select(
+        "date_key", month_start("full_date").alias("month")
+    )
+    newest = days.select("month").distinct().orderBy(F.col("month").desc_nulls_last()).limit(n)
+    return days.join(newest, "month", "left_semi").select("date_key", "month")
+
+
+def category_months(fact: DataFrame, dim_product: DataFrame, days: DataFrame) -> DataFrame:
+    """Revenue per category and month over the given days, summed by key before the product join."""
     by_key = (
-        fact.join(dim_date.select("date_key", "full_date"), "date_key")
-        .groupBy("product_key", month_start("full_date").alias("month"))
-        .agg(exact_sum("sales_amount").alias("r"))
+        fact.join(days.select("date_key", "month"), "date_key")
+        .groupBy("product_key", "month")
+        .agg(total("sales_amount").alias("r"))
     )
     return (
         by_key.join(dim_product.select("product_key", "category"), "product_key")
         .groupBy("category", "month")
-        .agg(F.sum("r").alias("revenue"))
+        .agg(F.round(F.sum("r"), 2).alias("revenue"))
     )
 
 
-def compare_last_months(per_month: DataFrame) -> DataFrame:
+def compare_last_months(
+    fact: DataFrame, dim_product: DataFrame, dim_date: DataFrame
+) -> DataFrame:
     """Each category's revenue in the previous and the latest present month.
 
-    Only categories of the previous month appear. The monthly totals are cut off
-    from the fact, because the latest months are looked up in them first. The
-    set of months present is small: the calendar bounds it.
+    Only the sales of these two months are read; only categories of the previous
+    month appear.
     """
-    per_month = cut(per_month)
-    newest_first = F.sort_array(F.collect_set("month"), asc=False)
-    present = per_month.agg(newest_first.alias("present")).scalar()
-    latest = F.get(present, F.lit(0))
-    previous = F.get(present, F.lit(1))
+    days = last_months(fact, dim_date)
+    latest = days.agg(F.max("month")).scalar()
     is_latest = F.col("month") == latest
-    is_previous = F.col("month") == previous
     return (
-        per_month.filter(is_latest | is_previous)
+        category_months(fact, dim_product, days)
         .groupBy("category")
         .agg(
-            F.sum(F.when(is_previous, F.col("revenue"))).cast("double").alias(
-                "previous_month_revenue"
-            ),
-            F.coalesce(F.sum(F.when(is_latest, F.col("revenue"))).cast("double"), F.lit(0.0)).alias(
+            F.sum(F.when(~is_latest, F.col("revenue"))).alias("previous_month_revenue"),
+            F.coalesce(F.sum(F.when(is_latest, F.col("revenue"))), F.lit(0.0)).alias(
                 "latest_month_revenue"
             ),
         )
@@ -151,7 +155,7 @@ def declining_categories(
     """Categories whose revenue fell from the previous to the latest month."""
     change = F.col("latest_month_revenue") - F.col("previous_month_revenue")
     return (
-        compare_last_months(category_months(fact, dim_product, dim_date))
+        compare_last_months(fact, dim_product, dim_date)
         .withColumn("revenue_change", change)
         .withColumn("change_percent", percent("revenue_change", "previous_month_revenue"))
         .filter(F.col("revenue_change") < 0)
@@ -170,11 +174,11 @@ def category_revenue(
     by_key = (
         fact.join(days, "date_key", "left_semi")
         .groupBy("product_key")
-        .agg(exact_sum("sales_amount").alias("r"))
+        .agg(total("sales_amount").alias("r"))
     )
     return (
         by_key.join(dim_product.select("product_key", "category"), "product_key")
         .groupBy("category")
-        .agg(F.sum("r").cast("double").alias("revenue"))
+        .agg(F.round(F.sum("r"), 2).alias("revenue"))
         .orderBy("category")
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillwright.functions.money import exact_sum, money_sum, round2
+from tillwright.functions.money import money_sum, round2, total
 from tillwright.operators.clean import region_lookup
 from tillwright.operators.joins import lookup
 from tillwright.operators.quality import current_versions, gate_lookups
@@ -77,7 +77,7 @@ def customer_analytics(fact: DataFrame, dim_date: DataFrame, dim_customer: DataF
     )
     spend = sales.groupBy("customer_id").agg(
         F.count_distinct("sale_id").alias("total_orders"),
-        exact_sum("sales_amount").alias("spend"),
+        money_sum("sales_amount").alias("spend"),
         F.max("order_date").alias("last_order_date"),
     )
     segments = current_versions(dim_customer).select(
@@ -112,7 +112,7 @@ def product_analytics(fact: DataFrame, dim_product: DataFrame) -> DataFrame:
     require_columns(fact, ["sale_id", "product_key", "quantity", "sales_amount"], "fact_sales")
     require_columns(dim_product, ["product_key", "product_id"], "dim_product")
     by_key = fact.groupBy("product_key").agg(
-        F.sum("quantity").alias("q"), exact_sum("sales_amount").alias("r")
+        F.sum("quantity").alias("q"), total("sales_amount").alias("r")
     )
     by_product = (
         by_key.join(
@@ -122,7 +122,7 @@ def product_analytics(fact: DataFrame, dim_product: DataFrame) -> DataFrame:
         .groupBy("product_id")
         .agg(
             F.sum("q").alias("total_quantity_sold"),
-            F.sum("r").alias("revenue"),
+            F.round(F.sum("r"), 2).alias("revenue"),
         )
     )
     average = F.coalesce(

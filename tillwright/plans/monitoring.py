@@ -9,8 +9,6 @@ from pyspark.sql import functions as F
 
 from tillwright.sources.sinks import append_checked
 
-MESSAGE_LENGTH = 2000  # fixed value: stored length of an error message
-
 RUN_SCHEMA = (
     "run_id bigint, file_name string, source string, ingestion_time timestamp, "
     "record_count bigint, valid_count bigint, rejected_count bigint, "
@@ -30,8 +28,14 @@ def run_status(valid: int, rejected: int) -> str:
     return "PARTIAL" if valid else "FAILED"
 
 
-def derive_events(runs: DataFrame) -> DataFrame:
-    """One event per run, one more for an error message and for quality failures."""
+def derive_events(runs: DataFrame, message_length: int | None = None) -> DataFrame:
+    """One event per run, one more for an error message and for quality failures.
+
+    Error messages are whole unless a length is given.
+    """
+    told = F.col("error_message")
+    if message_length is not None:
+        told = F.substring(told, 1, message_length)
     failed = F.col("processing_status") == "FAILED"
     severity = (
         F.when(failed, "ERROR").when(F.col("rejected_count") > 0, "WARNING").otherwise("INFO")
@@ -56,9 +60,7 @@ def derive_events(runs: DataFrame) -> DataFrame:
             event(severity, "PIPELINE_RUN", summary),
             F.when(
                 has_error,
-                event(
-                    "ERROR", "PIPELINE_ERROR", F.substring("error_message", 1, MESSAGE_LENGTH)
-                ),
+                event("ERROR", "PIPELINE_ERROR", told),
             ),
             F.when(
                 has_failures,

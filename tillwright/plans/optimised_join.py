@@ -6,20 +6,24 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from tillwright.operators.clean import join_inputs
-from tillwright.operators.joins import BROADCAST_CAP_MB, star_chain
-from tillwright.operators.quality import order_filter
+from tillwright.operators.joins import star_chain
+from tillwright.operators.quality import known_status, within_days
 from tillwright.schemas import require_columns
 from tillwright.sources.files import read_source
 from tillwright.sources.sinks import write_by_day
 
 
+def _chosen(orders: DataFrame, start: str | None, end: str | None) -> DataFrame:
+    return orders.where(within_days("order_date", start, end) & known_status())
+
+
 def wide_orders(
     orders: DataFrame,
     customers: DataFrame,
     products: DataFrame,
     start: str | None = None,
     end: str | None = None,
-    broadcast_mb: int = BROADCAST_CAP_MB,
+    broadcast_mb: float | None = None,
 ) -> DataFrame:
     """Filter on the stored columns, so that it reaches the scan; then project and join."""
     require_columns(
@@ -35,7 +39,7 @@ def wide_orders(
     )
     require_columns(products, ["product_id", "product_name", "category", "price"], "products")
     typed, people, goods = join_inputs(orders, customers, products)
-    return star_chain(order_filter(typed, start, end), people, goods, broadcast_mb)
+    return star_chain(_chosen(typed, start, end), people, goods, broadcast_mb)
 
 
 def run(
@@ -47,14 +51,14 @@ def run(
     file_format: str = "parquet",
     start: str | None = None,
     end: str | None = None,
-    broadcast_mb: int = BROADCAST_CAP_MB,
+    broadcast_mb: float | None = None,
     output_partitions: int | None = None,
     keep_orders: bool = False,
     explain: bool = False,
 ) -> None:
     orders = read_source(spark, orders_path, file_format)
     if keep_orders:
-        orders = order_filter(orders, start, end).persist(StorageLevel.MEMORY_AND_DISK)
+        orders = _chosen(orders, start, end).persist(StorageLevel.MEMORY_AND_DISK)
     joined = wide_orders(
         orders,
         read_source(spark, customers_path, file_format),

@@ -108,8 +108,20 @@ def build_fact(
     return fact.select(*FACT_COLUMNS)
 
 
+MUST_BE_ZERO = ("customer_bad_current_keys", "customer_bad_date_order", "fact_duplicate_sale_ids")
+
+
+def require_sound_star(fact: DataFrame, dim_customer: DataFrame) -> dict[str, int]:
+    """All counts of the verification; a fault stops the load."""
+    counts = {r["check"]: r["rows"] for r in verify_star(fact, dim_customer).collect()}
+    faults = {n: counts[n] for n in MUST_BE_ZERO if counts[n]}
+    if faults:
+        raise quality.QualityError(f"the star is not sound: {faults}")
+    return counts
+
+
 def verify_star(fact: DataFrame, dim_customer: DataFrame) -> DataFrame:
-    """(check, rows) of both verifications; raises nothing, ``bad_`` rows must be 0."""
+    """(check, rows) of both verifications; those named in MUST_BE_ZERO have to be 0."""
     frames = [quality.verify_history(dim_customer), quality.verify_fact(fact)]
     parts = []
     for prefix, df in zip(("customer", "fact"), frames, strict=True):
@@ -155,4 +167,8 @@ def load_star(
         arrival,
     )
     rows["fact_sales"] = replace_table(fact, warehouse.path("fact_sales"))
+    counts = require_sound_star(warehouse.read("fact_sales"), warehouse.read("dim_customer"))
+    for name, check in (("fact_sales", "fact_total_rows"), ("dim_customer", "customer_total_rows")):
+        if counts[check] != rows[name]:
+            raise quality.QualityError(f"{name} has {counts[check]} rows, {rows[name]} were written")
     return rows

@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from tillwright.operators.quality import split_deletes
 from tillwright.plans.state import apply_changes
-from tillwright.schemas import SchemaError, compare_schema, text_schema
+from tillwright.schemas import text_schema, validate_schema
 from tillwright.sources import storage
 from tillwright.sources.tables import Warehouse
 
@@ -71,9 +71,7 @@ def append_load(stream: DataFrame, target: str, checkpoint: str) -> None:
         part = f"{target}/batch={batch_id}"
         if storage.has_data(spark, target):
             table = spark.read.parquet(target).drop("batch")
-            expected, found = dict(table.dtypes), dict(df.dtypes)
-            if expected != found:
-                raise SchemaError("; ".join(compare_schema(found, expected)["errors"]))
+            validate_schema(df, table.schema)
         df.write.mode("overwrite").parquet(part)
 
     run_batches(stream, checkpoint, batch)

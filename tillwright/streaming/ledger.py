@@ -31,11 +31,19 @@ def read_ledger(warehouse: Warehouse, name: str = "file_ledger") -> DataFrame |
     return warehouse.read_or_none(name)
 
 
+def latest_entries(ledger: DataFrame) -> DataFrame:
+    """The newest entry of each dataset and path."""
+    order = F.struct("processed_at", "modified_time", "size")
+    return ledger.groupBy("dataset", "path").agg(
+        F.max_by(F.struct("modified_time", "size"), order).alias("entry")
+    ).select("dataset", "path", "entry.modified_time", "entry.size")
+
+
 def new_or_changed(files: DataFrame, ledger: DataFrame | None) -> DataFrame:
-    """Files whose path is unknown or whose time or size differs from every entry."""
+    """Files whose path is unknown or whose time or size differs from the latest entry."""
     if ledger is None:
         return files
-    return files.join(ledger.select(*COLUMNS), COLUMNS, "left_anti")
+    return files.join(latest_entries(ledger), COLUMNS, "left_anti")
 
 
 def new_paths(files: DataFrame, ledger: DataFrame | None) -> DataFrame:
@@ -50,31 +58,40 @@ def oldest_first(files: DataFrame) -> DataFrame:
 
 
 def mark_processed(
-    warehouse: Warehouse, files: DataFrame, at: str | None = None, name: str = "file_ledger"
+    warehouse: Warehouse,
+    files: DataFrame,
+    at: str | None = None,
+    name: str = "file_ledger",
+    records: int | None = None,
 ) -> None:
-    """Record files after their rows are safely written."""
+    """Record files after their rows are safely written, with the run's time and rows."""
     moment = F.lit(at).cast("timestamp") if at else F.current_timestamp()
-    append(files.select(*COLUMNS).withColumn("processed_at", moment), warehouse.path(name))
+    marked = files.select(
+        *COLUMNS, moment.alias("processed_at"), F.lit(records).cast("bigint").alias("run_records")
+    )
+    append(marked, warehouse.path(name))
 
 
 def ledger_state(ledger: DataFrame) -> DataFrame:
-    """Files, bytes and newest change per dataset."""
-    return ledger.groupBy("dataset").agg(
-        F.count_distinct("path").alias("files"),
+    """Per dataset: files, bytes and newest change of their latest entries, last run and its rows."""
+    files = latest_entries(ledger).groupBy("dataset").agg(
+        F.count("path").alias("files"),
         F.sum("size").alias("bytes"),
         F.max("modified_time").alias("newest"),
     )
-
-
-def watermark(last, fallback=None):
-    """Last successful value, else the fallback, else an error."""
-    value = last if last is not None else fallback
-    if value is None:
-        raise ValueError("no watermark: neither a saved value nor a fallback")
-    return value
+    runs = ledger.groupBy("dataset").agg(
+        F.max("processed_at").alias("last_run"),
+        F.max_by("run_records", "processed_at").alias("last_records"),
+    )
+    return files.join(runs, "dataset")
 
 
 def after_watermark(df: DataFrame, column: str, state: DataFrame | None, fallback=None) -> DataFrame:
-    """Rows newer than the state's greatest value (one aggregate row on the driver)."""
-    last = state.agg(F.max(column)).first()[0] if state is not None else None
-    return df.filter(F.col(column) > F.lit(watermark(last, fallback)))
+    """Rows newer than the state's greatest value, or than the fallback where there is none.
+
+    The bound is a scalar in the plan; without either the query fails.
+    """
+    kind = df.schema[column].dataType
+    saved = state.agg(F.max(column)).scalar() if state is not None else F.lit(None)
+    none = F.raise_error(F.lit("neither a saved value nor a fallback to start from"))
+    return df.filter(F.col(column) > F.coalesce(saved, F.lit(fallback), none.cast(kind)))
