@@ -210,6 +210,6 @@ def test_tables(spark):
 def test_groups_of_different_types(spark, folder):
     spark.createDataFrame([(1, "a")], "k int, v string").write.parquet(f"{folder}/1/x")
     spark.createDataFrame([(2.5,)], "k double").write.parquet(f"{folder}/2")
-    read = files.read_parquet_groups(spark, [f"{folder}/1", f"{folder}/2"])
+    read = files.read_parquet_tree(spark, folder)
     assert dict(read.dtypes)["k"] == "double"
     assert rows(read, "k", "v") == [(1.0, "a"), (2.5, None)]

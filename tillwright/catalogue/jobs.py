@@ -9,7 +9,7 @@ from tillwright.catalogue.base import query
 from tillwright.catalogue.cleaning import RUN_AT, TITLE
 from tillwright.catalogue.dataquality import EVENTS_SQL
 from tillwright.operators import clean, vectors
-from tillwright.plans import curate, marts, monitoring, optimised_join, scd2, star
+from tillwright.plans import curate, incremental, marts, monitoring, optimised_join, scd2, star
 from tillwright.session import run_dir
 from tillwright.sources import bridge
 from tillwright.sources.sinks import replace_table
@@ -53,6 +53,45 @@ def job_customers(t):
     return zones.read("curated/customers")
 
 
+INCREMENTAL_SQL = f"""WITH {CUSTOMERS_SQL},
+    n AS (SELECT customer_segment AS segment, count(DISTINCT customer_id) AS rows
+      FROM valid_c GROUP BY 1)
+    SELECT 1 AS run, (SELECT count(*) FROM n WHERE segment <> 'FURNITURE') AS segments,
+           CAST(sum(rows) AS BIGINT) AS rows FROM n WHERE segment <> 'FURNITURE'
+    UNION ALL SELECT 2, 2, CAST(sum(rows) AS BIGINT) FROM n
+      WHERE segment IN ('FURNITURE', 'BUILDING')
+    UNION ALL SELECT 3, 0, 0
+    UNION ALL SELECT 4, 1, CAST(sum(rows) AS BIGINT) FROM n WHERE segment = 'BUILDING'"""
+
+
+@query("job_incremental", INCREMENTAL_SQL)
+def job_incremental(t):
+    """A first arrival, a new folder with a changed one, nothing new, a folder put back.
+
+    Files lie in a folder per segment. Each run loads and marks only what is new; the
+    rows of a run are what it processed.
+    """
+    base = run_dir(t.spark, "incremental")
+    text = {"header": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    raw = bridge.raw_customers(t).withColumn("part", F.lower(F.trim("customer_segment")))
+
+    def arrive(parts):
+        for part in parts:
+            own = raw.filter(F.col("part") == part).drop("part")
+            own.coalesce(1).write.options(**text).mode("overwrite").csv(
+                f"{base}/raw/customers/part-{part}"
+            )
+
+    segments = [r["part"] for r in raw.select("part").distinct().collect()]
+    arrivals = [[n for n in segments if n != "furniture"], ["furniture", "building"], [], ["building"]]
+    runs = []
+    for number, parts in enumerate(arrivals, 1):
+        arrive(parts)
+        (load,) = incremental.run(t.spark, f"{base}/raw", f"{base}/lake", f"2024-02-0{number} 06:00:00")
+        runs.append((number, load.files, load.rows))
+    return t.spark.createDataFrame(runs, "run int, segments bigint, rows bigint")
+
+
 @query(
     "job_customers_quarantine",
     f"""WITH {s.CAST_CUSTOMERS} SELECT customer_id, customer_name, email, customer_segment,

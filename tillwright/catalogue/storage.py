@@ -77,7 +77,7 @@ def parquet_tree(t):
     t.supplier.select(
         F.col("s_suppkey").cast("int").alias("id"), F.col("s_name").alias("name")
     ).write.parquet(f"{path}/load=2")
-    return files.read_parquet_groups(t.spark, [f"{path}/load=1", f"{path}/load=2"])
+    return files.read_parquet_tree(t.spark, path)
 
 
 @query("src_table_scan", "SELECT * FROM supplier")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,16 +41,40 @@ def read_source(spark: SparkSession, path: str, file_format: str = "parquet") ->
 
 
 def read_parquet_tree(spark: SparkSession, path: str) -> DataFrame:
-    """All Parquet files below a folder with one common schema."""
-    return spark.read.option("recursiveFileLookup", True).parquet(path)
+    """All Parquet files below a folder, whatever their columns and types; empty files don't count.
 
-
-def read_parquet_groups(spark: SparkSession, groups: list[str]) -> DataFrame:
-    """Several folders whose columns differ in type or presence, widened and united.
-
-    One scan per folder, not per file; the folders are the loads a table got.
+    Files whose schemas Spark can merge are one scan; the groups are widened and
+    united. Only file names come to the driver.
     """
-    return union_relaxed(*[read_parquet_tree(spark, g) for g in groups])
+    listed = (
+        spark.read.format("binaryFile")
+        .option("recursiveFileLookup", True)
+        .load(path)
+        .select("path", "length")
+    )
+    files = sorted(r["path"] for r in listed.filter("length > 0").collect())
+    if not files:
+        raise LookupError(f"no Parquet file below {path}")
+    groups: dict[str, list[str]] = {}
+    for own in _mergeable(spark, files):
+        groups.setdefault(_scan(spark, own).schema.json(), []).extend(own)
+    return union_relaxed(*[_scan(spark, own) for own in groups.values()])
+
+
+def _scan(spark: SparkSession, files: list[str]) -> DataFrame:
+    return spark.read.option("mergeSchema", True).parquet(*files)
+
+
+def _mergeable(spark: SparkSession, files: list[str]) -> list[list[str]]:
+    """Runs of files whose schemas merge, found by halving; loads of one kind lie together."""
+    try:
+        _scan(spark, files)
+        return [files]
+    except (PySparkException, Py4JJavaError):
+        if len(files) == 1:
+            raise
+    half = len(files) // 2
+    return _mergeable(spark, files[:half]) + _mergeable(spark, files[half:])
 
 
 def read_columns(df: DataFrame, *names: str) -> DataFrame:

@@ -17,6 +17,9 @@ class Warehouse:
     def path(self, name: str) -> str:
         return f"{self.base}/{name}"
 
+    def has_folder(self, path: str) -> bool:
+        return storage.exists(self.spark, path)
+
     def has(self, name: str) -> bool:
         return storage.has_table(self.spark, self.path(name))
 
