@@ -9,6 +9,7 @@ from tillwright.catalogue.base import query
 from tillwright.operators.quality import product_rules, split_valid
 from tillwright.operators.clean import cast_products
 from tillwright.plans import analytics
+from tillwright.schemas import SchemaError
 from tillwright.session import run_dir
 from tillwright.sources import bridge, files, publish, sinks, storage, tables
 
@@ -198,7 +199,7 @@ def append_checked(t):
     sinks.append_checked(t.part.filter("p_size > 25"), path)
     try:
         sinks.append_checked(t.part.withColumn("p_size", F.col("p_size").cast("string")), path)
-    except sinks.SchemaError:
+    except SchemaError:
         return t.spark.read.parquet(path)
     raise AssertionError("a load of another type was accepted")
 
