@@ -45,8 +45,8 @@ def cut_pieces(rows: DataFrame, path: str, capacity: int) -> DataFrame:
         for batch in batches:
             ids = batch.column(0).to_pylist()
             out: list[tuple] = []
-            for first, block in text_blocks(as_bytes(batch.column(1))):
-                for i, raw in enumerate(coder.encode([t.decode() for t in block])):
+            for first, block in text_blocks(as_bytes(batch.column(1)), 1_000_000):
+                for i, raw in enumerate(coder.encode_block(block)):
                     raw += end
                     total = len(raw) // 4
                     for piece, start in enumerate(range(0, total, capacity)):

@@ -1,9 +1,11 @@
-"""Whole texts to token ids, each distinct word encoded once per worker.
-
-The tokenizer splits at white space and treats what lies between on its own, so a
-text's ids are its words' ids one after the other, and words repeat. New words are
-encoded together in one call of a byte-pair encoder that holds the same vocabulary;
-words beyond plain Latin letters, digits and signs go to the tokenizer itself.
+"""Whole texts to token ids, many texts in one call.
+
+The tokenizer cuts a text into pieces (runs of letters, single digits, runs of signs)
+and merges the bytes of each. Texts of plain Latin letters are lowered and cut for a
+whole block at once, on its bytes, and a byte-pair encoder that holds the same
+vocabulary merges all pieces in one call. Any other text is split at white space,
+where the tokenizer never merges, and its words are encoded once per worker: plain
+ones as above, the rest by the tokenizer itself.
 """
 
 from __future__ import annotations
@@ -28,6 +30,27 @@ CUT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\w\s]|_)+")
 SEPARATORS = "\x1c\x1d\x1e\x1f"
 SPACE = re.compile(r"[ \t\n\v\f\r]+")
 
+BLANK, LETTER, DIGIT, SIGN, OTHER = range(5)
+#: First byte of the Latin letters beyond ASCII that plain texts may have (À to ÿ).
+LATIN = 0xC3
+
+
+def _kinds() -> np.ndarray:
+    """What each byte of a lowered plain text is part of."""
+    out = np.full(256, OTHER, np.uint8)
+    out[0x21:0x7F] = SIGN
+    out[list(b" \t\n\v\f\r")] = BLANK
+    out[ord("0") : ord("9") + 1] = DIGIT
+    out[ord("a") : ord("z") + 1] = LETTER
+    out[ord("A") : ord("Z") + 1] = LETTER
+    out[0x80:0xC0] = out[LATIN] = LETTER
+    return out
+
+
+KIND = _kinds()
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[ord("A") : ord("Z") + 1] += 32
+
 
 def _byte_of() -> dict[str, int]:
     """The byte that each printable stand-in of a byte-level vocabulary means."""
@@ -94,8 +117,54 @@ class WordEncoder:
         ):
             self.known[word] = np.array(found.ids, "<u4").tobytes()
 
-    def encode(self, texts: list[str]) -> list[bytes]:
+    def _cut_block(self, raw: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Lowered bytes with a mark after each piece, where pieces end, and odd bytes."""
+        kind, low = KIND[raw], LOWER[raw]
+        second = np.zeros(len(raw), bool)
+        second[1:] = raw[:-1] == LATIN
+        low[second & (raw >= 0x80) & (raw <= 0x9E)] += 32
+        # Odd: beyond plain, a multiplication or division sign, half a character.
+        odd = kind == OTHER
+        odd |= (raw >= 0x80) & (raw < 0xC0) & ~second
+        odd |= second & ((raw == 0x97) | (raw == 0xB7))
+        ends = np.zeros(len(raw), bool)
+        ends[:-1] = (kind[:-1] != kind[1:]) | (kind[:-1] == DIGIT)
+        real = kind > 0
+        ends &= real
+        size = real.astype(np.int64) + ends
+        place = np.cumsum(size) - size
+        out = np.full(int(size.sum()), ord(END), np.uint8)
+        out[place[real]] = low[real]
+        return out, ends, odd
+
+    def encode_block(self, texts: list[bytes]) -> list[bytes]:
         """Each text's ids as little-endian unsigned 32-bit numbers."""
+        plain = [t for t in texts if b"'" not in t and b"<|" not in t]
+        found: dict[int, bytes] = {}
+        if plain:
+            raw = np.frombuffer(b"\n".join(plain) + b"\n", np.uint8)
+            starts = np.cumsum([0, *(len(t) + 1 for t in plain)])
+            marked, ends, odd = self._cut_block(raw)
+            clean = np.add.reduceat(odd, starts[:-1], dtype=np.int64) == 0
+            if not clean.all():
+                plain = [t for t, c in zip(plain, clean.tolist(), strict=True) if c]
+                raw = np.frombuffer(b"\n".join(plain) + b"\n", np.uint8)
+                starts = np.cumsum([0, *(len(t) + 1 for t in plain)])
+                marked, ends, _ = self._cut_block(raw)
+            places = self.encoder.encode_to_numpy(marked.tobytes().decode(), disallowed_special=())
+            stops = np.concatenate([[0], np.flatnonzero(self.ends[places]) + 1])
+            pieces = np.concatenate([[0], np.cumsum(ends)])[starts]
+            if len(stops) != pieces[-1] + 1:
+                raise ValueError("a piece's end got lost")
+            ids, at = self.id_of[places].tobytes(), (stops[pieces] * 4).tolist()
+            found = {
+                id(t): ids[i:j] for t, i, j in zip(plain, at[:-1], at[1:], strict=True)
+            }
+        rest = [t for t in texts if id(t) not in found]
+        found |= {id(t): r for t, r in zip(rest, self._by_word([t.decode() for t in rest]), strict=True)}
+        return [found[id(t)] for t in texts]
+
+    def _by_word(self, texts: list[str]) -> list[bytes]:
         split = [
             SPACE.split(t) if any(c in t for c in SEPARATORS) else t.split() for t in texts
         ]
@@ -104,7 +173,7 @@ class WordEncoder:
         new = every.difference(self.known)
         if new:
             self.learn(new)
-            if len(self.known) < len(every):  # it started afresh
+            if not every <= self.known.keys():  # it started afresh
                 self.learn(every.difference(self.known))
         self.known[""] = b""
         return [b"".join(map(self.known.__getitem__, words)) for words in split]
