@@ -25,7 +25,7 @@ from tillwright.llm.packing import pack
 from tillwright.llm.simhash import near_duplicates
 
 #: A document is rejected below this mean probability of its best language.
-MIN_LANGUAGE_SCORE = 0.35
+MIN_LANGUAGE_SCORE = 0.3
 _TEMP = "_stage_value"
 
 
