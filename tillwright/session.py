@@ -43,6 +43,8 @@ def build_session(
         builder = builder.master(master)
     for key, value in SQL_SETTINGS.items():
         builder = builder.config(key, value)
+    # Checkpoint files go once no frame refers to them any more.
+    builder = builder.config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     builder = builder.config(
         "spark.sql.shuffle.partitions",
         str(shuffle_partitions or default_shuffle_partitions()),
