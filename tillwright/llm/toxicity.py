@@ -10,8 +10,8 @@ of that length is K n exp(-lambda S), from the scores of clean text, and the pas
 below SIGNIFICANT are reported. A document's evidence is the sum over them of
 lambda S - ln(K n), mapped to a probability on the labelled rows.
 
-The labelled rows are a bounded sample (SAMPLE, the smallest by a hash of the id); the
-prior counts every document.
+The labelled rows are a bounded sample (half of SAMPLE of each kind, the smallest by a
+hash of the id); the prior counts every document.
 
 Defined results: null and empty texts have no tokens and the lowest score; labels that
 repeat an id each count; null labels are not learned from; without labels of both
@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillwright.llm.common import as_bytes, keep, text_blocks
+from tillwright.llm.common import as_bytes, bounded_sample, keep, text_blocks
 from tillwright.llm.words import LETTER, mix, split
 
 SAMPLE = 20_000
@@ -36,7 +36,12 @@ BLOCK = 1_000_000
 STEMS = (4, 5)
 #: Standard errors that a log-odds must stand above zero by.
 CAUTION = 1.5
-#: The prior's weight as a share of the toxic rows.
+#: The least score of a scored unit: weaker ones are chance, and a text that repeats a
+#: phrase many times would add them up.
+LEAST = 1.0
+#: Evidence beyond this is certain either way and doesn't bend the final mapping.
+CERTAIN = 30.0
+#: The prior's weight as a share of the words of the toxic rows.
 PRIOR = 0.25
 DRIFT = 0.04
 SIGNIFICANT = 0.05
@@ -125,6 +130,26 @@ def toxic_units(sample: DataFrame) -> DataFrame:
     )
 
 
+def distinct_words(rows: DataFrame) -> dict[int, int]:
+    """Per label, the sum over its texts of the distinct words in each."""
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(2, np.int64)
+        for batch in batches:
+            label = np.array(batch.column(1).to_pylist(), np.int64)
+            for first, block in text_blocks(as_bytes(batch.column(0)), BLOCK):
+                words = _words(block)
+                order = np.lexsort((words.hash, words.owner))
+                owner, own = words.owner[order], words.hash[order]
+                new = np.ones(len(own), bool)
+                new[1:] = (owner[1:] != owner[:-1]) | (own[1:] != own[:-1])
+                total += np.bincount(label[first + owner[new]], minlength=2)
+        yield pa.RecordBatch.from_arrays([pa.array([0, 1]), pa.array(total)], ["label", "n"])
+
+    summed = rows.select("own", "label").mapInArrow(gather, "label long, n long")
+    return {r[0]: r[1] for r in summed.groupBy("label").agg(F.sum("n")).collect()}
+
+
 def document_counts(rows: DataFrame, lexicon: Lexicon) -> tuple[np.ndarray, int]:
     """In how many of the rows' texts each unit of the lexicon is, and the number of rows."""
 
@@ -262,7 +287,7 @@ class Judge:
     def probability(self, evidence: float) -> float:
         if not self.known:
             return 0.0
-        z = self.slope * evidence + self.offset
+        z = self.slope * min(evidence, CERTAIN) + self.offset
         return float(1 / (1 + np.exp(-np.clip(z, -30, 30))))
 
 
@@ -287,8 +312,10 @@ def train(
     marked = labels.where(F.col(doc_id).isNotNull() & F.col(label).isNotNull()).select(
         F.col(doc_id).alias("label_id"), (F.col(label) > 0).cast("int").alias("label")
     )
-    order = [F.xxhash64("label_id"), F.col("label_id")]
-    picked = [marked.where(F.col("label") == v).orderBy(*order).limit(sample // 2) for v in (0, 1)]
+    picked = [
+        bounded_sample(marked.where(F.col("label") == v), sample // 2, "label_id").select("label_id", "label")
+        for v in (0, 1)
+    ]
     asked = F.broadcast(keep(picked[0].union(picked[1]), "labels"))  # ``sample`` rows at most
     rows = keep(
         docs.join(asked, F.col(doc_id) == F.col("label_id")).select(
@@ -311,17 +338,21 @@ def _train(corpus: DataFrame, rows: DataFrame) -> Judge:
     every = Lexicon(names, np.zeros(len(names)))
     counts, n_all = document_counts(corpus, every)
     good, _ = document_counts(rows.where("label = 0").select("own"), every)
-    weight = PRIOR * n_bad
-    prior = weight * np.maximum(counts, 1) / max(n_all, 1)
+    # Shares are of all distinct words in a class's texts, so that long texts and very
+    # common words weigh no more than they should.
+    sums = distinct_words(rows)
+    all_bad, all_good = sums.get(1, 0) + 1, sums.get(0, 0) + 1
+    weight = PRIOR * all_bad
+    prior = weight * np.maximum(counts, 1) / (max(n_all, 1) * (all_bad + all_good) / (n_bad + n_good))
     a, b = bad + prior, good + prior
-    odds = np.log(a / np.maximum(n_bad + weight - a, 0.5)) - np.log(b / np.maximum(n_good + weight - b, 0.5))
+    odds = np.log(a / (all_bad + weight)) - np.log(b / (all_good + weight))
     lower = odds - CAUTION * np.sqrt(1 / a + 1 / b)
-    judge = Judge(Lexicon(names[lower > 0], lower[lower > 0]), 1.0, 1.0)
+    judge = Judge(Lexicon(names[lower >= LEAST], lower[lower >= LEAST]), 1.0, 1.0)
     judge.rate = _rate(judge.lexicon, rows.where("label = 0").select("own"))
     seen = rows.select(score(judge, F.col("own"))["evidence"].alias("evidence"), "label", "label_id")
     pairs = sorted((r.label_id, r.label, r.evidence) for r in seen.collect())
     judge.slope, judge.offset = _logistic(
-        np.array([e for _, _, e in pairs]), np.array([float(v) for _, v, _ in pairs])
+        np.minimum([e for _, _, e in pairs], CERTAIN), np.array([float(v) for _, v, _ in pairs])
     )
     return judge
 
