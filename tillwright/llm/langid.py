@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillwright.llm.common import as_bytes, text_blocks
+from tillwright.llm.common import as_bytes, bounded_sample, text_blocks
 
 SAMPLE = 4000
 STRETCH = 400
@@ -260,19 +260,16 @@ def held_out(doc_id: Column, parts: int, part: int) -> Column:
 
 
 def learn(rows: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", sample: int = SAMPLE) -> Network | None:
-    """Train on a bounded sample of the rows with a language and a text."""
-    start = 1 + F.pmod(F.xxhash64(text), F.greatest(F.char_length(text) - STRETCH, F.lit(1)))
-    picked = (
-        rows.where(F.col(lang).isNotNull() & (F.char_length(text) > 0))
-        .select(
-            F.xxhash64(doc_id, text).alias("order"),
-            F.col(text).substr(start.cast("int"), F.lit(STRETCH)).alias("stretch"),
-            F.col(lang).alias("lang"),
-        )
-        .orderBy("order", "stretch", "lang")
-        .limit(sample)
-        .collect()
+    """Train on a bounded sample of the rows with a language."""
+    usable = rows.where(F.col(lang).isNotNull()).select(
+        F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.col(lang).alias("lang")
     )
+    start = 1 + F.pmod(F.col("order"), F.greatest(F.char_length("text") - STRETCH, F.lit(1)))
+    stretch = F.coalesce(F.col("text").substr(start.cast("int"), F.lit(STRETCH)), F.lit(""))
+    cut = bounded_sample(usable, sample, "doc_id").select(
+        "lang", stretch.alias("stretch")
+    )
+    picked = sorted(cut.collect(), key=lambda r: (r.lang, r.stretch))
     return train([r.stretch.encode() for r in picked], [r.lang for r in picked])
 
 
