@@ -9,8 +9,8 @@ short first and last blocks are whole, and what is no text of the article wherev
 stands (menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles,
 comments) is left out of scan and result alike.
 
-The labelled pages are a bounded sample (SAMPLE, the smallest by a hash of the id);
-without any, the weights are defaults.
+The labelled pages are those of a bounded sample (SAMPLE pages, the smallest by a hash
+of the id); without any, the weights are defaults.
 
 Defined results: null and empty pages give an empty text; a page without tags is one
 block; unclosed tags, comments and references are read as far as they go; pages that
@@ -29,6 +29,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tillwright.llm.common import bounded_sample
+
 SAMPLE = 2000
 #: Cost of an ordinary tag, and of a tag that is not known.
 ORDINARY, UNKNOWN = 0.2, 0.5
@@ -201,8 +203,11 @@ def learn(pages: list[str]) -> Weights:
         part = _labelled(own)
         if part is None:
             continue
+        skip = apart(own)
         for i, token in enumerate(own):
             within = part[0] <= i < part[1]
+            if skip[i]:
+                continue  # free in the scan, wherever it stands
             if token.key:
                 (inside if within else outside)[token.key] += 1
             elif not within and token.text.strip():
@@ -275,15 +280,9 @@ def extract(html: str | None, weights: Weights) -> str:
 
 
 def train(pages: DataFrame, page_id: str = "page_id", html: str = "html", sample: int = SAMPLE) -> Weights:
-    """Weights from a bounded sample of the pages whose markup names the main part."""
-    marked = F.lower(html).rlike("<(article|main)\\b|articlebody")
-    picked = (
-        pages.where(marked)
-        .select(F.xxhash64(page_id, html).alias("order"), F.col(html).alias("html"))
-        .orderBy("order")
-        .limit(sample)
-    )
-    return learn([r.html for r in picked.toLocalIterator()])
+    """Weights from those of a bounded sample of pages whose markup names the main part."""
+    own = pages.select(F.col(page_id).alias("page_id"), F.col(html).alias("html"))
+    return learn([r.html for r in bounded_sample(own, sample, "page_id").toLocalIterator() if r.html])
 
 
 def main_text(weights: Weights, html: Column) -> Column:
