@@ -4,7 +4,8 @@ Every word has a sparse random index vector (fixed by its hash); its context vec
 the sum of the index vectors of the words around it, over all documents. Words are
 kept in BUCKETS hashed rows, so the vectors are a table of fixed size however large
 the vocabulary; it is summed by partition, then by row in a shuffle. A document is
-the mean and the spread of its words' unit vectors. The network is trained in numpy on
+the mean and the spread of its words' unit vectors, its share of different words and
+the log of their number. The network is trained in numpy on
 a bounded sample of labelled rows (SAMPLE, the smallest by a hash of the id), and a
 temperature fitted on a part it did not train on calibrates its probabilities.
 
@@ -24,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillwright.llm.common import as_bytes, keep, text_blocks
+from tillwright.llm.common import as_bytes, bounded_sample, keep, text_blocks
 from tillwright.llm.words import split
 
 BUCKETS = 1 << 14
@@ -33,6 +34,7 @@ NONZERO = 4
 REACH = 2
 SAMPLE = 20_000
 HIDDEN = 16
+FEATURES = 2 * SIZE + 2
 EPOCHS = 40
 BLOCK = 1_000_000
 
@@ -83,10 +85,10 @@ def word_vectors(docs: DataFrame, text: str = "text") -> np.ndarray:
 
 
 def pool(vectors: np.ndarray, texts: list[bytes]) -> np.ndarray:
-    """Mean and spread of each text's word vectors, and the log of its number of words."""
+    """Mean and spread of each text's word vectors, its share of different words, the log of their number."""
     words = split(texts)
     n = np.bincount(words.owner, minlength=len(texts))
-    out = np.zeros((len(texts), 2 * SIZE + 1))
+    out = np.zeros((len(texts), FEATURES))
     if len(words.owner):
         own = vectors[_rows(words.hash)]
         there = np.flatnonzero(n)
@@ -95,6 +97,11 @@ def pool(vectors: np.ndarray, texts: list[bytes]) -> np.ndarray:
         square = np.add.reduceat(own * own, first, axis=0) / n[there, None]
         out[there, :SIZE] = mean
         out[there, SIZE : 2 * SIZE] = np.sqrt(np.maximum(square - mean * mean, 0))
+        order = np.lexsort((words.hash, words.owner))
+        owner, each = words.owner[order], words.hash[order]
+        new = np.ones(len(each), bool)
+        new[1:] = (owner[1:] != owner[:-1]) | (each[1:] != each[:-1])
+        out[there, 2 * SIZE] = np.bincount(owner[new], minlength=len(texts))[there] / n[there]
     out[:, -1] = np.log1p(n) / 10
     return out
 
@@ -126,7 +133,7 @@ def _loss(z: np.ndarray, y: np.ndarray) -> float:
 
 
 def fit(vectors: np.ndarray, pooled: np.ndarray, y: np.ndarray, seed: int = 11) -> Scorer:
-    center, scale = np.zeros(2 * SIZE + 1), np.ones(2 * SIZE + 1)
+    center, scale = np.zeros(FEATURES), np.ones(FEATURES)
     if len(set(y.tolist())) < 2:
         share = float(y.mean()) if len(y) else 0.5
         return Scorer(vectors, center, scale, [], constant=share)
@@ -179,12 +186,10 @@ def train(
 ) -> Scorer:
     """Word vectors from all of ``docs``, the network from a bounded sample of ``labels``."""
     vectors = word_vectors(docs, text)
-    picked = (
-        labels.where(F.col(doc_id).isNotNull() & F.col(label).isNotNull())
-        .select(F.col(doc_id).alias("label_id"), F.col(label).cast("int").alias("label"))
-        .orderBy(F.xxhash64("label_id"), "label_id", "label")
-        .limit(sample)
+    marked = labels.where(F.col(doc_id).isNotNull() & F.col(label).isNotNull()).select(
+        F.col(doc_id).alias("label_id"), F.col(label).cast("int").alias("label")
     )
+    picked = bounded_sample(marked, sample, "label_id").select("label_id", "label")
     asked = F.broadcast(keep(picked, "labels"))  # SAMPLE rows at most
     found = (
         docs.join(asked, F.col(doc_id) == F.col("label_id"))
@@ -192,7 +197,7 @@ def train(
         .collect()
     )
     found.sort(key=lambda r: (r.label_id, r.label, r.pooled))
-    pooled = np.array([r.pooled for r in found]).reshape(len(found), 2 * SIZE + 1)
+    pooled = np.array([r.pooled for r in found]).reshape(len(found), FEATURES)
     return fit(vectors, pooled, np.array([float(r.label > 0) for r in found]))
 
 
