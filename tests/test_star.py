@@ -2,9 +2,10 @@ from datetime import date
 
 import pytest
 from helpers import rows
+from pyspark.sql import functions as F
 
 from tillwright.operators import windows
-from tillwright.operators.quality import verify_history
+from tillwright.operators.quality import QualityError, verify_history
 from tillwright.plans import analytics, marts, scd2, star
 from tillwright.sources.tables import Warehouse
 
@@ -282,3 +283,23 @@ def test_dense_rank_with_hot_value(spark):
     got = windows.dense_rank_by(df, "v", "r")
     order = {v: i + 1 for i, v in enumerate(sorted({r["v"] for r in df.collect()}, reverse=True))}
     assert all(r["r"] == order[r["v"]] for r in got.collect()) and got.count() == 900
+
+
+def test_a_damaged_star_stops_the_load(spark):
+    fact = spark.createDataFrame(
+        [("1", 1, 1, 1, 1, 2, 5.0, 0.0)],
+        "sale_id string, customer_key bigint, product_key bigint, store_key bigint, date_key int, "
+        "quantity bigint, sales_amount double, discount double",
+    )
+    dim = spark.createDataFrame(
+        [("1", date(2024, 1, 1), date(9999, 12, 31), True)],
+        "customer_id string, effective_from date, effective_to date, is_current boolean",
+    )
+    assert star.require_sound_star(fact, dim)["fact_total_rows"] == 1
+    with pytest.raises(QualityError, match="duplicate_sale_ids"):
+        star.require_sound_star(fact.union(fact), dim)
+    with pytest.raises(QualityError, match="bad_current_keys"):
+        star.require_sound_star(fact, dim.union(dim))
+    reversed_days = dim.withColumn("effective_to", F.lit("2023-01-01").cast("date"))
+    with pytest.raises(QualityError, match="bad_date_order"):
+        star.require_sound_star(fact, reversed_days)
