@@ -234,3 +234,39 @@ def test_substring_query(spark, data):
     rows = spark.read.parquet(f"{data}/documents.parquet").select("doc_id", "text").collect()
     found = {r.doc_id: r.text for r in catalogue.op2_substring_dedup(spark, data).collect()}
     assert found == plain_substring([tuple(r) for r in rows])
+
+
+def every_repeat(rows):
+    """All stretches of three sentences and 8 words, or of 40 words, compared as they are."""
+    first, cut, own = {}, {}, {}
+    for doc_id, text in sorted(rows):
+        raw = text.encode()
+        own[doc_id] = said = [raw[a:b] for a, b in substring_dedup.sentences(raw)]
+        said = [b" ".join(s.split()) for s in said]
+        size = [max(len(s.split()), len(s) // 16) for s in said]
+        for a in range(len(said)):
+            for b in range(a + 1, len(said) + 1):
+                n = sum(size[a:b])
+                if (n >= 8 and b - a >= 3) or n >= 40:
+                    if first.setdefault(b" ".join(said[a:b]), (doc_id, a)) != (doc_id, a):
+                        cut.setdefault(doc_id, set()).update(range(a, b))
+    return {d: b"".join(s for i, s in enumerate(said) if i not in cut.get(d, ())).decode() for d, said in own.items()}
+
+
+def test_every_long_enough_stretch_is_found(spark):
+    def sentence(name, n):
+        return " ".join(f"{name}{i}" for i in range(n)) + ". "
+
+    tiny = "".join(f"Tiny{i}!! " for i in range(60))
+    tail = sentence("a", 45) + sentence("b", 8) + sentence("c", 7)
+    ends = sentence("d", 8) + "One. Two. Three. "
+    lines = "".join(chr(0x4E00 + i) * 30 + "\n" for i in range(3))
+    rows = []
+    for i, passage in enumerate([tiny, tail, ends, lines]):
+        rows += [(2 * i, f"Alone {i}. {passage}And {i}."), (2 * i + 1, f"Before {i}. {passage}After {i}.")]
+    rng = random.Random(3)
+    for i in range(30):
+        rows.append((100 + i, "".join(sentence(rng.choice("xyz"), rng.choice([1, 1, 1, 2, 3, 20, 40])) for _ in range(rng.randint(1, 25)))))
+    found = {r.doc_id: r.text for r in substring_dedup.substring_dedup(docs(spark, rows)).collect()}
+    assert found == every_repeat(rows)
+    assert [found[2 * i + 1] for i in range(4)] == [f"Before {i}. After {i}." for i in range(4)]

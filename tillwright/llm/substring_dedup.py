@@ -2,8 +2,10 @@
 
 A sentence ends at a line's end or at ``.``, ``!`` or ``?`` before white space. Every
 run of RUN consecutive sentences is hashed (128 bits over the words, white space made
-one space); a sentence or a pair of LONG words or more is a run of its own, so that a
-long passage is found however few sentences it has. Runs meet in one shuffled
+one space). One below MIN_WORDS is lengthened, forwards from its first sentence and
+backwards from its last, until it has as many, so that a passage of tiny sentences is
+found from its first to its last. A sentence or a pair of LONG words or more is a run
+besides, so that a long passage is found however few sentences it has. Runs meet in one shuffled
 aggregation, which names the first occurrence of each (smallest id, then place), and
 the runs that occur again are joined back to it. A sentence inside any occurrence but
 the first goes.
@@ -18,6 +20,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +33,8 @@ from tillwright.llm.common import as_bytes, keep, text_blocks
 RUN = 3
 #: Words of a run at least, so that a few tiny sentences don't count.
 MIN_WORDS = 8
+#: A sentence counts a word for so many bytes at least: some scripts have no spaces.
+WORD_BYTES = 16
 #: From so many words on, one or two sentences are a run.
 LONG = 40
 #: A sentence with the white space after it; offsets are bytes of the UTF-8.
@@ -43,20 +48,36 @@ def sentences(text: bytes) -> list[tuple[int, int]]:
     return [m.span() for m in SENTENCE.finditer(text) if m.end() > m.start()]
 
 
+def _weight(joined: bytes) -> int:
+    """Words of a sentence; text written without spaces counts by its length."""
+    return max(joined.count(b" ") + 1, len(joined) // WORD_BYTES) if joined else 0
+
+
 def runs(text: bytes, run: int = RUN, min_words: int = MIN_WORDS, long: int = LONG) -> list[tuple[int, int, bytes]]:
     """(first sentence, last sentence, 16-byte hash) of every run."""
-    words = [text[a:b].split() for a, b in sentences(text)]
-    joined = [b" ".join(w) for w in words]
-    sizes = [len(w) for w in words]
-    out = []
-    for i in range(len(words)):
-        total = 0
-        for k in range(min(run, len(words) - i)):
-            total += sizes[i + k]
-            if (k + 1 == run and total >= min_words) or (total >= long and sizes[i + k]):
-                out.append((i, i + k, xxhash.xxh3_128_digest(b" ".join(joined[i : i + k + 1]))))
-                break
-    return out
+    joined = [b" ".join(text[a:b].split()) for a, b in sentences(text)]
+    n = len(joined)
+    before = [0, *accumulate(map(_weight, joined))]
+    found = set()
+    end = 0  # behind the shortest run from i; never falls
+    for i in range(n):
+        for k in range(i + 1, min(i + run, n + 1)):
+            if before[k] - before[i] >= long:
+                found.add((i, k))
+        end = max(end, i + run)
+        while end <= n and before[end] - before[i] < min_words:
+            end += 1
+        if end <= n:
+            found.add((i, end))
+    start = n  # of the shortest run up to k
+    for k in range(n, run - 1, -1):
+        start = min(start, k - run)
+        while start >= 0 and before[k] - before[start] < min_words:
+            start -= 1
+        if start < 0:
+            break
+        found.add((start, k))
+    return [(i, k - 1, xxhash.xxh3_128_digest(b" ".join(joined[i:k]))) for i, k in sorted(found)]
 
 
 def _spans(rows: DataFrame) -> DataFrame:
