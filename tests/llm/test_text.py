@@ -259,6 +259,37 @@ def test_odd_pages(html, text):
     assert html_extract.extract(html, html_extract.Weights()) == text
 
 
+@pytest.mark.parametrize(
+    ("html", "text"),
+    [
+        ('<ul><li class="share">a<li class="share">b</ul><p>rest of it', "rest of it"),
+        ('<ul><li class="share">a<li>one<li>two</ul><p>rest', "one\n\ntwo\n\nrest"),
+        ('<p class="notice">x<p>rest<p>more', "rest\n\nmore"),
+        ('<p class="notice">x <b>y<div>rest</div>', "rest"),
+        ('<div><p class="notice">x</div>rest', "rest"),
+        ('<div><span class="share">x</div><p>rest', "rest"),
+        ('<div><div class="ad">x<div>y</div></div></div><p>rest', "rest"),
+        ('<dl><dt class="ad">x<dd>one<dt>two</dl>rest', "one\n\ntwo\n\nrest"),
+        ('<table><tr><td class="ad">x<td>one<tr class="promo"><td>y<tr><td>two</table>rest', "one\n\ntwo\n\nrest"),
+        ('<datalist><option>x<option>y</datalist><p>rest', "rest"),
+        ('<ul><li class="share">a<ul><li>b</ul>c<li>one</ul>rest', "one\n\nrest"),
+        ('<p class="notice">x <b>y</p><p>rest', "rest"),
+        ('<b><p class="notice">x</b> y</p><p>rest', "rest"),
+        ('<aside><p>x<ul><li>y</aside><p>rest', "rest"),
+        ('<a class="promo"><p>x</a></p>rest', "rest"),
+        ('<table><tr><td><div class="ad">x</td><td>one</table>rest', "one\n\nrest"),
+    ],
+)
+def test_unclosed_elements_end_with_their_parent(html, text):
+    page = f"<body><article><p>First words.</p>{html}</article><p class=x>"
+    own = html_extract.tokens(page)
+    skip = html_extract.apart(own)
+    left = "".join(" " if t.key and t.name in html_extract.BLOCK else t.text for t, s in zip(own, skip, strict=True) if not s)
+    assert left.split() == ["First", "words.", *text.split()]
+    weights = html_extract.Weights({t.key: 0.01 for t in own if t.key})
+    assert html_extract.extract(page, weights) == "First words.\n\n" + text
+
+
 def test_page_table_edges(spark):
     prepare(spark)
     rows = [(1, "u", None), (2, None, ""), (2, "v", "<p>x y</p>"), (None, "w", PAGE.format(open="article", close="article"))]

@@ -59,6 +59,28 @@ BLOCK = frozenset(
 #: A compound name with one of these speaks of the content, not of what is apart.
 CONTENT_PARTS = frozenset("content with has no without".split())
 MAIN = ("article", "main")
+#: Elements whose closing tag leaves the blocks in them open.
+INLINE = frozenset(
+    "a abbr b bdi bdo big cite code del dfn em font i ins kbd label mark q s samp small span strike strong "
+    "sub sup time tt u var".split()
+)
+LISTS = frozenset(["ul", "ol"])
+#: A closing tag inside one of these ends nothing outside it.
+CELLS = frozenset("table caption td th button".split())
+TABLE = frozenset("table caption thead tbody tfoot tr td th".split())
+ROWS = frozenset(["thead", "tbody", "tfoot"])
+#: Opening tags, the elements that they end without a closing tag, and those beyond
+#: which they end none.
+IMPLIED = (
+    (frozenset(["li"]), frozenset(["li"]), BLOCK - {"address", "div", "p", "li"} | {"button"}),
+    (frozenset(["dt", "dd"]), frozenset(["dt", "dd"]), BLOCK - {"address", "div", "p", "dt", "dd"} | {"button"}),
+    (frozenset(["option"]), frozenset(["option"]), BLOCK | {"optgroup", "datalist"}),
+    (frozenset(["optgroup"]), frozenset(["option", "optgroup"]), BLOCK | {"datalist"}),
+    (frozenset(["td", "th"]), frozenset(["td", "th", "caption"]), frozenset(["table"])),
+    (frozenset(["tr"]), frozenset(["tr", "td", "th", "caption"]), frozenset(["table"])),
+    (ROWS, ROWS | {"tr", "td", "th", "caption"}, frozenset(["table"])),
+    (BLOCK - TABLE - {"legend", "body", "html"} | {"table", "dialog"}, frozenset(["p"]), CELLS),
+)
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -133,35 +155,97 @@ def tokens(html: str) -> list[Token]:
     return out
 
 
+def _implied(names: list[str], ends: frozenset[str], stops: frozenset[str]) -> int | None:
+    """Place in the open elements of the outermost that an opening tag ends, up to a stop."""
+    found = None
+    for place in range(len(names) - 1, -1, -1):
+        if names[place] in ends:
+            found = place
+        elif names[place] in stops:
+            break
+    return found
+
+
+def _closing(names: list[str], name: str) -> int | None:
+    """Place in the open elements of the one that a closing tag ends."""
+    if name in ("body", "html"):
+        stops = frozenset()
+    elif name in TABLE:
+        stops = frozenset(["table"])
+    else:
+        stops = LISTS | CELLS if name == "li" else CELLS
+    for place in range(len(names) - 1, -1, -1):
+        if names[place] == name:
+            return place
+        if names[place] in stops:
+            break
+    return None
+
+
+def _ends(own: list[Token]) -> list[tuple[int, bool]]:
+    """For every token the end of the element that it opens, and whether its own closing tag is there."""
+    out = [(i + 1, True) for i in range(len(own))]
+    places: list[int] = []
+    names: list[str] = []
+    number: Counter[str] = Counter()  # of the open elements, by name
+
+    def cut(at: int, end: int) -> None:
+        for place in places[at:]:
+            out[place] = (end, False)
+        number.subtract(names[at:])
+        del places[at:], names[at:]
+
+    for i, token in enumerate(own):
+        name = token.name
+        if not name:
+            continue
+        if token.closes:
+            at = _closing(names, name) if number[name] else None
+            if at is None:
+                continue
+            if name not in INLINE or BLOCK.isdisjoint(names[at + 1 :]):
+                cut(at + 1, i)
+            out[places[at]] = (i + 1, True)
+            number[name] -= 1
+            del places[at], names[at]  # blocks in an inline element go on
+            continue
+        for starts, ends, stops in IMPLIED:
+            if name in starts and any(number[e] for e in ends):
+                at = _implied(names, ends, stops)
+                if at is not None:
+                    cut(at, i)
+        if name not in VOID:
+            places.append(i)
+            names.append(name)
+            number[name] += 1
+    cut(0, len(own))
+    return out
+
+
 def apart(own: list[Token]) -> list[bool]:
     """Which tokens lie in an element that is no part of an article (its tags included).
 
-    Such an element ends at its closing tag. One that is never closed ends where its
-    parent or the main part begins or ends.
+    Such an element ends at its closing tag. One that is never closed ends at its
+    parent's closing tag or at an opening tag that implies its end (as a ``p`` or ``li``
+    the one before). None goes on where the main part begins or ends.
     """
     out = [False] * len(own)
+    ends = _ends(own) if any(t.apart for t in own) else []
     i = 0
     while i < len(own):
         token = own[i]
         if not token.apart or token.name in VOID:
             i += 1
             continue
-        depth, end = 0, None
-        for j in range(i, len(own)):
+        stop, closed = ends[i]
+        for j in range(i + 1, stop):
             other = own[j]
-            if other.name == token.name:
-                depth += -1 if other.closes else 1
-                if depth == 0:
-                    end = j
-                    break
-            elif other.main or (other.closes and other.name in (*MAIN, "body", "html")):
+            edge = other.main or (other.closes and other.name in (*MAIN, "body", "html"))
+            if edge and not (closed and other.name == token.name):
+                stop = j
                 break
-        stop = j if end is None else end + 1
-        if end is None and j == len(own) - 1 and not (own[j].main or own[j].closes):
-            stop = len(own)
-        for k in range(i, max(stop, i + 1)):
-            out[k] = True
-        i = max(stop, i + 1)
+        out[i:stop] = [True] * (stop - i)
+        i = stop
     return out
 
 
