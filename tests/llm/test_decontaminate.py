@@ -110,3 +110,13 @@ def test_no_python_in_the_plan(spark, data):
     for query in (op3_benchmark_decontamination, op8_exact_dedup):
         plan = query(spark, data)._jdf.queryExecution().executedPlan().toString()
         assert not re.search("Python|Arrow|Pandas", plan)
+
+
+def test_capital_greek_between_other_marks(spark):
+    """A capital sigma lowers to a final one before a space, not before ``.`` and a letter."""
+    item = [f"{a}ΛΟΓΟΣ" for a in "ΑΒΓΔΕΖΗΘΙΚ"]
+    docs = [(1, "πριν " + ".".join(item) + " μετά"), (2, "'".join(item)), (3, " ".join(item).lower()), (4, " ".join(item[:9]))]
+    items = [(1, " ".join(item))]
+    found = run(spark, docs, items)
+    assert found == plain(docs, items)
+    assert [r[-1] for r in found] == [True, True, False, False]

@@ -10,7 +10,8 @@ searched for those lengths exactly, as they are too short to be winnowed.
 
 Words are runs of ASCII letters and digits and of everything beyond ASCII, with A-Z
 lowered. The first pass lowers by ``lower()``, which only merges more words, so it
-can add candidates and lose none.
+can add candidates and lose none; a capital sigma, which alone ``lower()`` turns into
+one or another letter by what follows its word, is replaced before.
 
 Defined results: null and empty texts have no words and no hits; items without words
 hit nothing; items without an id are not listed; repeated item ids are one item;
@@ -44,6 +45,11 @@ def words(text: Column) -> Column:
     return F.regexp_extract_all(lowered, F.lit(WORD), F.lit(0))
 
 
+def _lowered(text: Column) -> Column:
+    """The text in lower case, equal words in equal letters whatever stands next to them."""
+    return F.lower(F.replace(F.coalesce(text, F.lit("")), F.lit("\u03a3"), F.lit("\u03c3")))
+
+
 def _positions(length: Column, size: int) -> Column:
     """1, 2, ... of every run of ``size`` in an array of that length; none if shorter."""
     last = length - (size - 1)
@@ -95,7 +101,7 @@ def gram_hashes(rows: DataFrame) -> DataFrame:
 
 def fingerprints(rows: DataFrame, key: list[str]) -> DataFrame:
     """One row per key and fingerprint of its ``text``."""
-    own = _cut(rows, F.lower(F.coalesce("text", F.lit(""))), *key)
+    own = _cut(rows, _lowered(F.col("text")), *key)
     hashed = gram_hashes(own)
     counted = hashed.select(*key, F.size("hashes").alias("n_hashes"), "hashes")
     least = _folded(counted, "hashes", WINNOW, lambda a, b: F.least(a, b))
@@ -158,7 +164,7 @@ def occurrences(rows: DataFrame, items: DataFrame) -> DataFrame:
         hits, rows["doc_id"].eqNullSafe(hits["doc_id"]) & (rows["text_key"] == hits["text_key"])
     ).select(rows["doc_id"], rows["text_key"], rows["text"], hits["prints"])
     key = ["doc_id", "text_key", "prints", "text"]
-    hashed = gram_hashes(_cut(again, F.lower(F.coalesce("text", F.lit(""))), *key)).select(
+    hashed = gram_hashes(_cut(again, _lowered(F.col("text")), *key)).select(
         "doc_id", "text_key", "prints", words(F.col("text")).alias("own"), "hashes"
     )
     at = F.filter(
