@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tillwright.llm import catalogue, langid, quality, toxicity
-from tillwright.llm.common import prepare
+from tillwright.llm.common import bounded_sample, prepare
 from tillwright.llm.words import split
 
 EDGE = [(1, None), (2, ""), (3, " \n"), (4, "123 !!"), (5, "a"), (5, "a"), (None, "no id"), (6, "word " * 40_000)]
@@ -229,3 +229,15 @@ def test_models_on_rows_held_out(spark):
     bad = catalogue.op10_toxicity(spark, data).join(truth, "doc_id").where("held_out").collect()
     assert sum(r.predicted == r.toxic for r in bad) >= 0.9 * len(bad)
     assert not any(r.predicted for r in bad if r.toxic == 0)
+
+
+def test_rare_languages_are_learned(spark):
+    kinds = [("often", "aaa bbb ")] * 500 + [("some", "xyz zyx ")] * 300 + [("rare", "qqq kkk ")] * 3
+    rows = spark.createDataFrame([(i, t * 9, k) for i, (k, t) in enumerate(kinds)], "doc_id long, text string, lang string")
+    over_all = bounded_sample(rows, 40, "doc_id")
+    assert "rare" not in {r.lang for r in over_all.collect()}
+    net = langid.learn(rows, sample=40)
+    assert sorted(net.labels) == ["often", "rare", "some"]
+    found = rows.select("lang", langid.predict(net, F.col("text")).alias("f")).distinct().collect()
+    assert all(r.f.lang == r.lang for r in found)
+    assert [langid._share(c, 40) for c in ([500, 300, 3], [5, 6], [], [9] * 100)] == [18, 6, 1, 1]

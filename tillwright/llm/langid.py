@@ -5,8 +5,9 @@ byte. A text is read whole, in windows of WINDOW bytes: each direction starts af
 in a window, every byte gets a probability of each language, and the text's
 probabilities are their mean.
 
-The training rows are a bounded sample (SAMPLE rows, the smallest by a hash of the
-id, one stretch of STRETCH characters each); predictions cover every row.
+The training rows are a bounded sample (SAMPLE rows, of each language the smallest by
+a hash of the id, one stretch of STRETCH characters each). Every language has an equal
+share, and what a rare one leaves goes to the others. Predictions cover every row.
 
 Defined results: a text that is null or has no letter is ``und`` with score 0; equal
 texts have equal results; without any labelled row every text is ``und``; empty input
@@ -21,10 +22,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillwright.llm.common import as_bytes, bounded_sample, text_blocks
+from tillwright.llm.common import as_bytes, text_blocks
 
 SAMPLE = 4000
 STRETCH = 400
@@ -259,17 +260,36 @@ def held_out(doc_id: Column, parts: int, part: int) -> Column:
     return F.coalesce(own, F.lit(False))
 
 
+def _share(counts: list[int], size: int) -> int:
+    """Rows of each language at most, so that all have ``size`` together (one each at least)."""
+    left = size
+    for place, n in enumerate(sorted(counts)):
+        each = left // (len(counts) - place)
+        if n > each:
+            return max(1, each)
+        left -= n
+    return max(counts, default=1)
+
+
 def learn(rows: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", sample: int = SAMPLE) -> Network | None:
-    """Train on a bounded sample of the rows with a language."""
+    """Train on a bounded sample of the rows with a language, a share of it for each."""
     usable = rows.where(F.col(lang).isNotNull()).select(
         F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.col(lang).alias("lang")
     )
+    counts = {r[0]: r[1] for r in usable.groupBy("lang").count().collect()}
+    each = _share(list(counts.values()), sample)
+    wanted = each + each // 2 + 200  # a cut at the hash first, as in bounded_sample
+    cuts = [(k, -(1 << 63) + (1 << 64) * min(wanted, n) // n - (n <= wanted)) for k, n in counts.items()]
+    near = (
+        usable.withColumn("order", F.xxhash64("doc_id"))
+        .join(F.broadcast(rows.sparkSession.createDataFrame(cuts, "lang string, cut long")), "lang")
+        .where("order <= cut")
+    )
     start = 1 + F.pmod(F.col("order"), F.greatest(F.char_length("text") - STRETCH, F.lit(1)))
     stretch = F.coalesce(F.col("text").substr(start.cast("int"), F.lit(STRETCH)), F.lit(""))
-    cut = bounded_sample(usable, sample, "doc_id").select(
-        "lang", stretch.alias("stretch")
-    )
-    picked = sorted(cut.collect(), key=lambda r: (r.lang, r.stretch))
+    first = Window.partitionBy("lang").orderBy("order", "doc_id", "stretch")
+    cut = near.select("lang", "order", "doc_id", stretch.alias("stretch")).withColumn("nth", F.row_number().over(first))
+    picked = sorted(cut.where(F.col("nth") <= each).collect(), key=lambda r: (r.lang, r.stretch))
     return train([r.stretch.encode() for r in picked], [r.lang for r in picked])
 
 
