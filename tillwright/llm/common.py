@@ -40,6 +40,13 @@ def keep(df: DataFrame, name: str) -> DataFrame:
     return staged(df, name)[0]
 
 
+def discard(spark: SparkSession, *paths: str) -> None:
+    """Remove intermediate folders that nothing will read again."""
+    for path in paths:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def attach(rows: DataFrame, groups: DataFrame, key: str, size: str) -> DataFrame:
     """``rows`` with the columns of their group; inner join on ``key``.
 
