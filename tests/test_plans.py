@@ -20,7 +20,7 @@ def test_filter_reaches_the_scan(t):
     )
     text = plan(orders.where(quality.within_days("order_date", "1996-01-01", "1996-04-01")).select("o_orderkey"))
     assert "GreaterThanOrEqual(o_orderdate,1996-01-01" in text
-    assert "ReadSchema: struct<o_orderkey:bigint,o_orderstatus:string,o_orderdate:timestamp_ntz>" in text
+    assert "ReadSchema: struct<o_orderkey:bigint,o_orderdate:timestamp_ntz>" in text
 
 
 def test_only_the_asked_column_is_read(t):

@@ -303,3 +303,30 @@ def test_a_damaged_star_stops_the_load(spark):
     reversed_days = dim.withColumn("effective_to", F.lit("2023-01-01").cast("date"))
     with pytest.raises(QualityError, match="bad_date_order"):
         star.require_sound_star(fact, reversed_days)
+
+
+def test_a_damaged_star_leaves_the_old_one(spark, folder, monkeypatch):
+    warehouse = Warehouse(spark, folder)
+    customers = spark.createDataFrame(
+        [("1", "A", "a@x.de", "C", "S", date(2024, 1, 1), "SEG")],
+        "customer_id string, customer_name string, email string, city string, state string, "
+        "signup_date date, customer_segment string",
+    )
+    products = spark.createDataFrame(
+        [("1", "P", "CAT", 2.0, "SUP")],
+        "product_id string, product_name string, category string, price double, supplier string",
+    )
+    kind = "order_id string, customer_id string, product_id string, store_id string, order_date date, quantity bigint, unit_price double"
+    orders = spark.createDataFrame([("1", "1", "1", "1", date(2024, 1, 2), 1, 2.0)], kind)
+    star.load_star(warehouse, customers, products, orders, "2024-02-01")
+    names = ["dim_customer", "dim_product", "dim_store", "dim_date", "fact_sales"]
+    before = {n: rows(warehouse.read(n)) for n in names}
+    more = orders.union(spark.createDataFrame([("2", "1", "1", "2", date(2024, 1, 3), 1, 2.0)], kind))
+    build = star.build_fact
+    monkeypatch.setattr(star, "build_fact", lambda *args: build(*args).union(build(*args)))
+    with pytest.raises(QualityError, match="duplicate_sale_ids"):
+        star.load_star(warehouse, customers, products, more, "2024-02-02")
+    assert {n: rows(warehouse.read(n)) for n in names} == before
+    monkeypatch.setattr(star, "build_fact", build)
+    star.load_star(warehouse, customers, products, more, "2024-02-02")
+    assert warehouse.read("fact_sales").count() == 2 and warehouse.read("dim_store").count() == 2

@@ -75,8 +75,8 @@ def test_a_load_that_dies_at_any_step_leaves_the_old_or_the_new_state(spark, fol
     for k in range(3):
         sinks.replace_table(spark.createDataFrame([(k,)] * 100, "k int"), path)
     state = [(2,)] * 100
-    steps = {"remove": storage.remove, "commit": storage.commit, "_clean": storage._clean}
-    for number, (name, step) in enumerate(steps.items()):
+    for number, name in enumerate(["show", "_show", "_selection", "read_shown"]):
+        step = getattr(storage, name)
 
         def die(*args, **kwargs):
             raise KeyboardInterrupt
@@ -90,17 +90,39 @@ def test_a_load_that_dies_at_any_step_leaves_the_old_or_the_new_state(spark, fol
         found = rows(storage.read_table(spark, path))
         assert found in (state, [(9 + number,)] * 3)
         state = found
-    # A record that was begun and never written counts for nothing, and the next load goes past it.
-    number = max(n for n, _ in storage._records(spark, path)) + 1
-    storage._fs(spark, path).create(storage._path(spark, f"{path}/_records/{number:010d}.json"), False).close()
-    assert rows(storage.read_table(spark, path)) == state
+    # The next load goes past what the others left, which can be removed.
     sinks.replace_table(spark.createDataFrame([(7,)], "k int"), path)
     assert rows(storage.read_table(spark, path)) == [(7,)]
-    # At most two versions stay.
-    sinks.replace_table(spark.createDataFrame([(8,)], "k int"), path)
-    fs = storage._fs(spark, path)
-    names = [str(s.getPath().getName()) for s in fs.listStatus(storage._path(spark, path))]
-    assert sum(n.startswith("v-") for n in names) == 2
+    assert len(storage.drop_unshown(spark, path)) >= 5
+    assert rows(storage.read_table(spark, path)) == [(7,)]
+    assert storage.drop_unshown(spark, path) == []
+
+
+def test_the_catalogue_shows_a_table(spark, folder):
+    path = f"{folder}/it's a table"
+    days = spark.createDataFrame([("007", date(2024, 1, 5), 1), ("x", None, 2)], "code string, d date, v int")
+    sinks.replace_partitioned(days, path, "code", "d")
+    view = storage.view_name(spark, path)
+    assert dict(spark.table(view).dtypes) == {"code": "string", "d": "date", "v": "int"}
+    assert rows(spark.table(view)) == rows(storage.read_table(spark, path)) == rows(days)
+    sinks.replace_partitioned(days.limit(0).withColumn("more", F.lit(1.5)), path, "code", "d")
+    assert spark.table(view).columns == ["code", "d", "v", "more"] and spark.table(view).count() == 0
+    assert storage.read_table(spark, path).count() == 0
+
+
+def test_a_table_that_the_catalogue_lost_is_not_taken_for_new(spark, folder, monkeypatch):
+    path = f"{folder}/t"
+    sinks.replace_table(spark.createDataFrame([(1,)], "k int"), path)
+    spark.sql(f"DROP VIEW {storage.view_name(spark, path)}")
+    # In the process that wrote it, a folder that is not shown is a write that died.
+    assert not storage.has_table(spark, path)
+    monkeypatch.setattr(storage, "_OWN", set())
+    with pytest.raises(LookupError, match="adopt"):
+        tables.Warehouse(spark, folder).read_or_none("t")
+    storage.adopt(spark, path)
+    assert rows(tables.Warehouse(spark, folder).read("t")) == [(1,)]
+    with pytest.raises(LookupError):
+        storage.adopt(spark, f"{folder}/none")
 
 
 def test_unfinished_write_is_no_table(spark, folder):
@@ -170,16 +192,16 @@ def test_publish_is_all_or_nothing(spark, folder):
 def test_publish_shows_all_tables_in_one_step(spark, folder, monkeypatch):
     old = {"a": spark.range(7), "b": spark.range(7)}
     publish.publish(spark, old, folder)
-    step = storage.commit
+    step = storage._show
 
     def die(*args):
         raise OSError("gone")
 
-    monkeypatch.setattr(storage, "commit", die)
+    monkeypatch.setattr(storage, "_show", die)
     with pytest.raises(OSError):
         publish.publish(spark, {"a": spark.range(50), "b": spark.range(50)}, folder)
     assert [publish.read_published(spark, folder, n).count() for n in "ab"] == [7, 7]
-    monkeypatch.setattr(storage, "commit", step)
+    monkeypatch.setattr(storage, "_show", step)
     publish.publish(spark, {"b": spark.range(50)}, folder)
     assert [publish.read_published(spark, folder, n).count() for n in "ab"] == [7, 50]
 

@@ -17,7 +17,8 @@ from tillwright.operators.sets import distinct_values
 from tillwright.operators.windows import keep_last, number_rows
 from tillwright.plans.scd2 import build_customer_dimension
 from tillwright.schemas import FACT_COLUMNS, require_columns
-from tillwright.sources.sinks import replace_table
+from tillwright.sources import storage
+from tillwright.sources.sinks import write_version
 from tillwright.sources.tables import Warehouse
 
 
@@ -143,32 +144,33 @@ def load_star(
     run_day: date | str,
     arrival: list[str] | None = None,
 ) -> dict[str, int]:
-    """All dimensions, then the fact; every table is staged before it is replaced."""
+    """All dimensions, then the fact, verified and only then shown, all in one step.
+
+    Until the written tables have passed, readers see the star as it was; a fault leaves
+    it so.
+    """
+    spark = warehouse.spark
     first_day = orders.agg(F.min(as_day(orders, "order_date"))).first()[0]
     if first_day is None:
         raise ValueError("orders hold no date, so the history cannot start")
-    rows = {}
-    dim = build_customer_dimension(
-        customers, warehouse.read_or_none("dim_customer"), first_day, run_day, arrival
-    )
-    rows["dim_customer"] = replace_table(dim, warehouse.path("dim_customer"))
-    for name, df in {
-        "dim_product": product_dimension(products, arrival),
-        "dim_store": store_dimension(orders),
-        "dim_date": date_dimension(orders),
-    }.items():
-        rows[name] = replace_table(df, warehouse.path(name))
-    fact = build_fact(
-        orders,
-        warehouse.read("dim_customer"),
-        warehouse.read("dim_product"),
-        warehouse.read("dim_store"),
-        warehouse.read("dim_date"),
-        arrival,
-    )
-    rows["fact_sales"] = replace_table(fact, warehouse.path("fact_sales"))
-    counts = require_sound_star(warehouse.read("fact_sales"), warehouse.read("dim_customer"))
+    ready: dict[str, storage.Shown] = {}
+    rows: dict[str, int] = {}
+
+    def write(name: str, df: DataFrame) -> DataFrame:
+        ready[name], rows[name] = write_version(df, warehouse.path(name))
+        return storage.read_shown(spark, ready[name])
+
+    known = warehouse.read_or_none("dim_customer")
+    dims = [
+        write("dim_customer", build_customer_dimension(customers, known, first_day, run_day, arrival)),
+        write("dim_product", product_dimension(products, arrival)),
+        write("dim_store", store_dimension(orders)),
+        write("dim_date", date_dimension(orders)),
+    ]
+    fact = write("fact_sales", build_fact(orders, *dims, arrival))
+    counts = require_sound_star(fact, dims[0])
     for name, check in (("fact_sales", "fact_total_rows"), ("dim_customer", "customer_total_rows")):
         if counts[check] != rows[name]:
             raise quality.QualityError(f"{name} has {counts[check]} rows, {rows[name]} were written")
+    storage.show_together(spark, warehouse.base, ready)
     return rows

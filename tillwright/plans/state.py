@@ -2,13 +2,15 @@
 
 Without a table format there is no MERGE, so rows change by rewriting files. The
 table is kept in buckets by a hash of its key, and a batch rewrites only the buckets
-its keys fall into. The table's record names a folder for each bucket and says how
-many buckets there are, so a batch becomes visible in one step and a table is never
-written with another count.
+its keys fall into. The catalogue's view of the table selects each bucket from the
+folder that it was last written to and knows how many buckets there are, so a batch
+becomes visible in one step and a table is never written with another count.
 """
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -17,7 +19,7 @@ from tillwright.operators.upsert import apply_deletes, upsert
 from tillwright.sources import storage
 from tillwright.sources.tables import Warehouse
 
-BUCKET = "key_bucket"
+BUCKET = storage.BUCKET
 #: Buckets of a new table; a large one should get about one per GB.
 BUCKETS = 16
 
@@ -48,8 +50,8 @@ def apply_changes(
     refused. A table that was not in buckets is put into them.
     """
     spark, path = zones.spark, zones.path(table)
-    record = storage.current(spark, path)
-    kept = record.get("buckets") if record else None
+    shown = storage.current(spark, path)
+    kept = shown.buckets if shown else None
     if kept and buckets and kept != buckets:
         raise BucketError(f"{table} has {kept} buckets, not {buckets}")
     count = kept or buckets or BUCKETS
@@ -59,7 +61,7 @@ def apply_changes(
         touched = _touched(incoming, deletes, key, count)
         if not touched:
             return
-        state = _buckets(zones, path, record, touched)
+        state = _buckets(zones, shown, touched)
     # Otherwise a first load, or new columns that every file has to get.
     old = apply_deletes(state, deletes, key) if deletes is not None else state
     new = null_columns_to_string(upsert(old, incoming, key, timestamp, arrival))
@@ -70,21 +72,10 @@ def apply_changes(
         seen, F.collect_set(BUCKET).alias("written")
     )
     marked.hint("rebalance", BUCKET).write.partitionBy(BUCKET).parquet(folder)
-    name = folder.rsplit("/", 1)[-1]
-    parts = {str(b): f"{name}/{BUCKET}={b}" for b in seen.get["written"]}
+    parts = {b: folder for b in seen.get["written"]}
     if touched is not None:
-        rest = {b: f for b, f in record["parts"].items() if int(b) not in touched}
-        parts = rest | parts
-    storage.commit(
-        spark,
-        path,
-        {
-            "buckets": count,
-            "parts": parts,
-            "folders": [parts[b] for b in sorted(parts, key=int)],
-            "schema": schema.jsonValue(),
-        },
-    )
+        parts |= {b: f for b, f in shown.parts.items() if b not in touched}
+    storage.show(spark, path, storage.Shown(schema, buckets=count, parts=parts))
 
 
 def _touched(
@@ -101,6 +92,6 @@ def _touched(
     return {row["b"] for row in found.distinct().collect()}
 
 
-def _buckets(zones: Warehouse, path: str, record: dict, wanted: set[int]) -> DataFrame:
-    own = [f for b, f in record["parts"].items() if int(b) in wanted]
-    return storage.read_record(zones.spark, path.rstrip("/"), record | {"folders": own})
+def _buckets(zones: Warehouse, shown: storage.Shown, wanted: set[int]) -> DataFrame:
+    own = {b: f for b, f in shown.parts.items() if b in wanted}
+    return storage.read_shown(zones.spark, replace(shown, parts=own))

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from tillwright.operators.clean import null_columns_to_string
 from tillwright.sources import storage
+from tillwright.sources.sinks import write_version
 
 _ISO_SECONDS = "yyyy-MM-dd'T'HH:mm:ss"
 
@@ -45,44 +46,28 @@ def relational_form(df: DataFrame) -> DataFrame:
 
 
 def publish(spark: SparkSession, tables: dict[str, DataFrame], base: str) -> dict[str, int]:
-    """Write every table, check every count, then show all by one manifest.
+    """Write every table, check every count, then show all by one statement.
 
-    Until the manifest is created readers see the tables as they were. The count that
-    a table should have is observed while it is written, so each plan runs once.
-    Tables that were published before and are not among these stay.
+    Until then readers see the tables as they were. The count that a table should have
+    is observed while it is written, so each plan runs once. Tables that were published
+    before and are not among these stay.
     """
     base = base.rstrip("/")
-    before = storage.current(spark, base) or {"tables": {}}
     expected: dict[str, int] = {}
-    manifest = dict(before["tables"])
+    ready: dict[str, storage.Shown] = {}
     for name, df in tables.items():
-        folder = storage.new_version(f"{base}/{name}")
-        ready, seen = _observed(df)
-        ready.write.parquet(folder)
-        expected[name] = int(seen.get["rows"])
-        found = spark.read.schema(ready.schema).parquet(folder).count()
+        form = relational_form(null_columns_to_string(df))
+        ready[name], expected[name] = write_version(form, f"{base}/{name}", allow_empty=True)
+        found = storage.read_shown(spark, ready[name]).count()
         if found != expected[name]:
             raise RuntimeError(f"{name}: wrote {found} rows, expected {expected[name]}")
-        manifest[name] = {
-            "folders": [folder.removeprefix(f"{base}/{name}/")],
-            "schema": ready.schema.jsonValue(),
-        }
-    storage.commit(spark, base, {"tables": manifest})
+    storage.show_together(spark, base, ready)
     return expected
 
 
 def read_published(spark: SparkSession, base: str, name: str) -> DataFrame:
-    """A published table, as the newest manifest has it."""
-    base = base.rstrip("/")
-    manifest = storage.current(spark, base)
-    if manifest is None or name not in manifest["tables"]:
+    """A published table, as the catalogue shows it."""
+    shown = storage.shown_together(spark, base.rstrip("/"))
+    if name not in shown:
         raise LookupError(f"table {name} is not published below {base}")
-    return storage.read_record(spark, f"{base}/{name}", manifest["tables"][name])
-
-
-def _observed(df: DataFrame):
-    from pyspark.sql import Observation
-
-    observation = Observation()
-    ready = relational_form(null_columns_to_string(df))
-    return ready.observe(observation, F.count(F.lit(1)).alias("rows")), observation
+    return storage.read_shown(spark, shown[name])

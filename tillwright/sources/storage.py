@@ -1,15 +1,31 @@
-"""Folder operations through the Hadoop file system, local or remote alike."""
+"""Tables at paths: written by Spark to fresh folders, shown by the catalogue.
+
+A table that is replaced is written to a folder of its own first. One statement,
+``CREATE OR REPLACE VIEW``, then makes the catalogue's view of the table's path select
+from that folder; until then readers see the table as it was, and nothing is renamed.
+Several tables below one base can be shown by one such statement: their base then has a
+view that lists them. The catalogue has to outlive the session where tables shall; in
+one that does not, ``adopt`` shows a finished folder again. Folders that no view names
+any more stay until ``drop_unshown`` is called.
+
+A folder that rows are only added to needs no view and is read as it is.
+"""
 
 from __future__ import annotations
 
+import hashlib
 import json
 import uuid
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-RECORDS = "_records"
 VERSION = "v-"
+#: The partition column of a table that is kept in buckets.
+BUCKET = "key_bucket"
+#: Metastores limit the length of a property's value.
+PROPERTY = 3000
 
 
 def _path(spark: SparkSession, path: str):
@@ -43,123 +59,232 @@ def remove(spark: SparkSession, path: str) -> None:
     _fs(spark, path).delete(_path(spark, path), True)
 
 
-# --- versions -------------------------------------------------------------------
-#
-# A table that is replaced lives in folders of its own, one per write, and a small
-# numbered record names those that make up the table. A write becomes visible by the
-# creation of the next record, a single step on any file system; nothing is renamed.
-# A record that cannot be read (its writer died) does not count. The record before
-# the newest stays with its folders, for readers that began before. One writer at a
-# time: two that take the same number cannot both create the record.
+# --- what the catalogue shows -----------------------------------------------------
+
+
+@dataclass(frozen=True)
+class Shown:
+    """The folder that makes up a table, and its columns.
+
+    A table that is kept in buckets has ``buckets`` of them at most, and ``parts`` says in
+    which folder the files of each are.
+    """
+
+    schema: T.StructType
+    folder: str | None = None
+    buckets: int | None = None
+    parts: dict[int, str] = field(default_factory=dict)
+
+    @property
+    def folders(self) -> list[str]:
+        if self.buckets is None:
+            return [self.folder]
+        return [f"{self.parts[b]}/{BUCKET}={b}" for b in sorted(self.parts)]
+
+    def queries(self) -> list[str]:
+        """What to select from, one for each version that has a part in the table."""
+        if self.buckets is None:
+            return [f"parquet.{_quoted(self.folder)}"]
+        own: dict[str, list[int]] = {}
+        for bucket, folder in sorted(self.parts.items()):
+            own.setdefault(folder, []).append(bucket)
+        return [
+            f"parquet.{_quoted(f)} WHERE {BUCKET} IN ({', '.join(_text(str(b)) for b in buckets)})"
+            for f, buckets in own.items()
+        ]
+
+    def as_json(self) -> dict:
+        return {
+            "schema": self.schema.jsonValue(),
+            "folder": self.folder,
+            "buckets": self.buckets,
+            "parts": {str(k): v for k, v in self.parts.items()},
+        }
+
+    @staticmethod
+    def from_json(kept: dict) -> Shown:
+        parts = {int(k): v for k, v in kept["parts"].items()}
+        return Shown(T.StructType.fromJson(kept["schema"]), kept["folder"], kept["buckets"], parts)
+
+
+def view_name(spark: SparkSession, path: str) -> str:
+    """The catalogue's name for a path: its last part and a hash of all of it."""
+    whole = str(_fs(spark, path).makeQualified(_path(spark, path)).toString()).rstrip("/")
+    last = "".join(c if c.isalnum() and c.isascii() else "_" for c in whole.rsplit("/", 1)[-1].lower())
+    return f"{last[:60]}_{hashlib.sha256(whole.encode()).hexdigest()[:16]}"
+
+
+def _text(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _selection(tables: dict[str, Shown], has_files: bool) -> str:
+    """The view's query: the rows of one table, or the names and folders of several."""
+    if set(tables) != {""}:
+        rows = [f"({_text(n)}, {_text(f)})" for n, t in sorted(tables.items()) for f in t.folders]
+        none = "SELECT CAST(NULL AS STRING) AS name, CAST(NULL AS STRING) AS folder WHERE false"
+        return f"SELECT * FROM VALUES {', '.join(rows)} AS t(name, folder)" if rows else none
+    (table,) = tables.values()
+    typed = [f"CAST({{}} AS {f.dataType.simpleString()}) AS {_quoted(f.name)}" for f in table.schema]
+    queries = table.queries() if has_files else []
+    if not queries:
+        return f"SELECT {', '.join(c.format('NULL') for c in typed)} WHERE false"
+    columns = ", ".join(c.format(_quoted(f.name)) for c, f in zip(typed, table.schema, strict=True))
+    return " UNION ALL ".join(f"SELECT {columns} FROM {q}" for q in queries)
+
+
+def _show(spark: SparkSession, path: str, tables: dict[str, Shown]) -> None:
+    """The one statement that makes a write visible."""
+    # An empty table in partitions has no file that would tell its columns.
+    own = tables.get("")
+    has_files = own is None or own.buckets is not None or _any_file(spark, own.folder)
+    kept = json.dumps({n: t.as_json() for n, t in tables.items()})
+    chunks = [kept[i : i + PROPERTY] for i in range(0, len(kept), PROPERTY)]
+    properties = ", ".join(f"'shown_{i:05d}' = {_text(c)}" for i, c in enumerate(chunks))
+    # Partition values keep their text; the view casts them to the columns' types.
+    guess = "spark.sql.sources.partitionColumnTypeInference.enabled"
+    before = spark.conf.get(guess)
+    spark.conf.set(guess, "false")
+    try:
+        spark.sql(
+            f"CREATE OR REPLACE VIEW {view_name(spark, path)} COMMENT {_text(path)} "
+            f"TBLPROPERTIES ({properties}) AS {_selection(tables, has_files)}"
+        )
+    finally:
+        spark.conf.set(guess, before)
+
+
+def _any_file(spark: SparkSession, folder: str) -> bool:
+    files = _fs(spark, folder).listFiles(_path(spark, folder), True)
+    while files.hasNext():
+        if not str(files.next().getPath().getName()).startswith(("_", ".")):
+            return True
+    return False
+
+
+def _shown(spark: SparkSession, path: str) -> dict[str, Shown]:
+    name = view_name(spark, path)
+    if not spark.catalog.tableExists(name):
+        return {}
+    rows = spark.sql(f"SHOW TBLPROPERTIES {name}").collect()
+    chunks = sorted((r["key"], r["value"]) for r in rows if r["key"].startswith("shown_"))
+    return {n: Shown.from_json(t) for n, t in json.loads("".join(c for _, c in chunks)).items()}
+
+
+def _split(path: str) -> tuple[str, str]:
+    base, _, name = path.rstrip("/").rpartition("/")
+    return base, name
+
+
+def current(spark: SparkSession, path: str) -> Shown | None:
+    """What the catalogue shows for a table, by its own view or that of its base."""
+    own = _shown(spark, path).get("")
+    if own is not None:
+        return own
+    base, name = _split(path)
+    return _shown(spark, base).get(name)
+
+
+def show(spark: SparkSession, path: str, table: Shown) -> None:
+    """Make these folders the table."""
+    base, name = _split(path)
+    if name in _shown(spark, base):
+        show_together(spark, base, {name: table})
+    else:
+        _show(spark, path, {"": table})
+
+
+def show_together(spark: SparkSession, base: str, tables: dict[str, Shown]) -> None:
+    """Make several tables of a base visible in one step; its other tables stay."""
+    _show(spark, base, {n: t for n, t in _shown(spark, base).items() if n} | tables)
+
+
+def shown_together(spark: SparkSession, base: str) -> dict[str, Shown]:
+    return {n: t for n, t in _shown(spark, base).items() if n}
+
+
+# --- writing and reading ------------------------------------------------------------
+
+#: Version folders that this process began. One that is not shown was not finished here.
+_OWN: set[str] = set()
 
 
 def new_version(path: str) -> str:
-    """A folder for the next write of a table; it is invisible until it is committed."""
-    return f"{path.rstrip('/')}/{VERSION}{uuid.uuid4().hex}"
+    """A folder for the next write of a table; it is invisible until it is shown."""
+    folder = f"{path.rstrip('/')}/{VERSION}{uuid.uuid4().hex}"
+    _OWN.add(folder.rsplit("/", 1)[-1])
+    return folder
 
 
-def _records(spark: SparkSession, path: str) -> list[tuple[int, dict | None]]:
-    """Numbers and records, newest first; None for one that cannot be read."""
-    fs, folder = _fs(spark, path), _path(spark, f"{path}/{RECORDS}")
-    if not fs.exists(folder):
+def _finished(spark: SparkSession, path: str) -> list[str]:
+    """Version folders that a write has finished, the newest first."""
+    fs, root = _fs(spark, path), _path(spark, path)
+    if not fs.exists(root):
         return []
-    out = []
-    for status in fs.listStatus(folder):
-        name = str(status.getPath().getName())
-        if not name.endswith(".json") or name.startswith("."):
-            continue
-        size = int(status.getLen())
-        try:
-            stream = fs.open(status.getPath())
-            text = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8") if size else ""
-            stream.close()
-            record = json.loads(text)
-        except ValueError:
-            record = None
-        out.append((int(name.removesuffix(".json")), record))
-    return sorted(out, key=lambda r: -r[0])
-
-
-def current(spark: SparkSession, path: str) -> dict | None:
-    """The newest record of a table; None if it was never committed."""
-    return next((r for _, r in _records(spark, path) if r is not None), None)
-
-
-def commit(spark: SparkSession, path: str, record: dict) -> None:
-    """Make a record the current one, then remove what only older ones name."""
-    known = _records(spark, path)
-    number = known[0][0] + 1 if known else 1
-    fs = _fs(spark, path)
-    stream = fs.create(_path(spark, f"{path}/{RECORDS}/{number:010d}.json"), False)
-    stream.write(bytearray(json.dumps(record).encode()))
-    stream.close()
-    before = next((r for _, r in known if r is not None), None)
-    _clean(spark, path, [r for r in (record, before) if r], known)
+    found = []
+    for status in fs.listStatus(root):
+        folder = str(status.getPath().toString())
+        mark = _path(spark, f"{folder}/_SUCCESS")
+        if str(status.getPath().getName()).startswith(VERSION) and fs.exists(mark):
+            found.append((int(fs.getFileStatus(mark).getModificationTime()), folder))
+    return [f for _, f in sorted(found, reverse=True)]
+
+
+def adopt(spark: SparkSession, path: str, folder: str | None = None) -> None:
+    """Show a finished folder (the newest) of a table that this catalogue does not know.
+
+    For tables that are one folder; one in buckets has as many folders as batches touched it.
+    """
+    folder = folder or next(iter(_finished(spark, path)), None)
+    if folder is None:
+        raise LookupError(f"no finished folder below {path}")
+    show(spark, path, Shown(spark.read.parquet(folder).schema, folder))
+
+
+def drop_unshown(spark: SparkSession, path: str) -> list[str]:
+    """Remove the finished folders of a table that the catalogue does not show."""
+    table = current(spark, path)
+    if table is None:
+        return []
+    used = {f.rsplit("/", 1)[-1] for f in (table.parts.values() if table.buckets else [table.folder])}
+    gone = [f for f in _finished(spark, path) if f.rsplit("/", 1)[-1] not in used]
+    for folder in gone:
+        remove(spark, folder)
+    return gone
 
 
-def _clean(spark: SparkSession, path: str, kept: list[dict], known: list) -> None:
-    fs = _fs(spark, path)
-    readable = 0
-    for number, record in known:
-        readable += record is not None
-        if record is None or readable > 1:
-            remove(spark, f"{path}/{RECORDS}/{number:010d}.json")
-    for folder, used in _used(path, kept).items():
-        root = _path(spark, folder)
-        if not fs.exists(root):
-            continue
-        for status in fs.listStatus(root):
-            name = str(status.getPath().getName())
-            if name.startswith(VERSION) and name not in used:
-                fs.delete(status.getPath(), True)
-
-
-def _used(path: str, kept: list[dict]) -> dict[str, set[str]]:
-    """Per table folder, the version folders that a kept record names."""
-    out: dict[str, set[str]] = {}
-    for record in kept:
-        for name, table in record.get("tables", {"": record}).items():
-            own = out.setdefault(f"{path}/{name}".rstrip("/"), set())
-            own.update(f.split("/")[0] for f in table["folders"])
-    return out
-
-
-def read_record(spark: SparkSession, path: str, record: dict) -> DataFrame:
-    """The rows of a record; its folders lie below ``path``."""
-    schema = T.StructType.fromJson(record["schema"])
-    if not record["folders"]:
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(*[f"{path}/{f}" for f in record["folders"]])
+def read_shown(spark: SparkSession, table: Shown) -> DataFrame:
+    if not table.folders:
+        return spark.createDataFrame([], table.schema)
+    found = spark.read.schema(table.schema).parquet(*table.folders)
+    return found.select(*[_quoted(n) for n in table.schema.names])  # partition columns come last in files
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """A table by its current record, or a plain folder of files."""
+    """A table as the catalogue shows it, or a plain folder of files."""
     path = path.rstrip("/")
-    record = current(spark, path)
-    return spark.read.parquet(path) if record is None else read_record(spark, path, record)
+    table = current(spark, path)
+    return spark.read.parquet(path) if table is None else read_shown(spark, table)
 
 
 def has_table(spark: SparkSession, path: str) -> bool:
-    return current(spark, path.rstrip("/")) is not None or has_data(spark, path)
-
+    """Whether there is such a table; versions that the catalogue does not know are an error.
 
-def commit_folder(spark: SparkSession, path: str, folder: str, schema: T.StructType) -> None:
-    """Make one written folder the whole table."""
+    Taking them for no table would start a history anew.
+    """
     path = path.rstrip("/")
-    name = folder.removeprefix(f"{path}/")
-    commit(spark, path, {"folders": [name], "schema": schema.jsonValue()})
+    if current(spark, path) is not None or has_data(spark, path):
+        return True
+    if any(f.rsplit("/", 1)[-1] not in _OWN for f in _finished(spark, path)):
+        raise LookupError(f"the catalogue does not show {path}, which has finished folders; use storage.adopt")
+    return False
 
 
 def write_folder(spark: SparkSession, path: str) -> str:
-    """Where rows are appended: the current version's folder, or the plain folder."""
-    record = current(spark, path.rstrip("/"))
-    if record is None:
-        return path
-    return f"{path.rstrip('/')}/{record['folders'][-1]}"
-
-
-def append_line(spark: SparkSession, path: str, record: dict) -> None:
-    """One JSON record as one more file of a JSON folder."""
-    spark.createDataFrame([(json.dumps(record),)], "value string").coalesce(1).write.mode(
-        "append"
-    ).text(path)
+    """Where rows are appended: the shown folder, or the plain folder."""
+    table = current(spark, path.rstrip("/"))
+    return path if table is None else table.folder
