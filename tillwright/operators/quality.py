@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from datetime import date
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tillwright.functions.text import EMAIL_PATTERN, code
@@ -89,13 +90,71 @@ def any_failed(rules: Rules) -> Column:
     return reduce(lambda a, b: a | b, checks)
 
 
+def evaluated(df: DataFrame) -> DataFrame:
+    """The same rows, every column computed once, whatever reads it afterwards.
+
+    A rule refers to typed columns. Without this step the optimiser writes their casts out
+    again in each rule and in a filter below the projection; it can't look into the struct
+    that the generator takes apart. Columns that nobody needs should be dropped before.
+    """
+    row = F.struct(*[F.col(f"`{n}`") for n in df.columns])
+    return df.select(F.inline(F.array(row)))
+
+
+#: Groups that rows with a null key are dealt over in a reference check.
+NULL_SPREAD = 1024
+_SPREAD = "__null_spread"
+
+#: What became of a row.
+VALID, REJECTED, DELETED = "valid", "rejected", "deleted"
+
+
 def split_valid(df: DataFrame, rules: Rules) -> tuple[DataFrame, DataFrame]:
     """Valid and rejected rows; the two are disjoint and together are the input."""
-    bad = any_failed(rules)
-    rejected = df.filter(bad).withColumns(
+    bad, typed = any_failed(rules), evaluated(df)
+    rejected = typed.filter(bad).withColumns(
         {"dq_reason": F.lit(RULE_REASON), "failed_rules": failed_rules(rules)}
     )
-    return df.filter(~bad), rejected
+    return typed.filter(~bad), rejected
+
+
+@dataclass(frozen=True)
+class Outcomes:
+    """A batch split in one pass: its rows by outcome, and how many there are of each."""
+
+    valid: DataFrame
+    rejected: DataFrame
+    deletes: DataFrame
+    counts: dict[str, int]
+
+
+def write_outcomes(classified: DataFrame, path: str, deleted: str | None = None) -> Outcomes:
+    """One write of a classified batch, in a folder per outcome, counted while it is written.
+
+    ``deleted`` names a column that marks delete records; those are neither valid nor
+    rejected. Every outcome is then read from its own folder only.
+    """
+    gone = F.col(deleted) if deleted else F.lit(False)
+    outcome = F.when(gone, DELETED).when(F.col("dq_reason").isNull(), VALID).otherwise(REJECTED)
+    seen = Observation()
+    every = {n: F.count_if(F.col("outcome") == n).alias(n) for n in (VALID, REJECTED, DELETED)}
+    marked = classified.withColumn("outcome", outcome).drop(*([deleted] if deleted else []))
+    marked.observe(seen, *every.values()).write.partitionBy("outcome").parquet(path)
+    schema = marked.drop("outcome").schema
+    spark = classified.sparkSession
+
+    def rows(name: str) -> DataFrame:
+        if not seen.get[name]:
+            return spark.createDataFrame([], schema)
+        return spark.read.schema(schema).parquet(f"{path}/outcome={name}")
+
+    reasons = ("dq_reason", "failed_rules")
+    return Outcomes(
+        rows(VALID).drop(*reasons),
+        rows(REJECTED),
+        rows(DELETED).drop(*reasons),
+        {n: int(seen.get[n]) for n in every},
+    )
 
 
 def check_references(
@@ -113,8 +172,11 @@ def classify(
 ) -> DataFrame:
     """Each row with the names of what it breaks and the reason, null for a good row.
 
-    References are checked for rows that pass the rules.
+    References are checked for rows that pass the rules. A null key is in no reference;
+    rows without a key do not meet in one task.
     """
+    df = evaluated(df)
+    columns = df.columns
     if not references:
         marked = df.withColumn("failed_rules", failed_rules(rules))
         return marked.withColumn(
@@ -123,22 +185,24 @@ def classify(
     marked = df
     for key, table in references.items():
         same_type = F.col(key).try_cast(df.schema[key].dataType)
-        known = (
-            table.select(same_type.alias(key))
-            .filter(F.col(key).isNotNull())
-            .distinct()
-            .withColumn(f"__known_{key}", F.lit(True))
+        known = table.select(same_type.alias(key)).filter(F.col(key).isNotNull()).distinct()
+        # Rows without the key match nothing; a second join column spreads them. It is 0
+        # for all others, on the reference's side by an expression that is not folded.
+        known = known.withColumns(
+            {_SPREAD: F.pmod(F.xxhash64(key), F.lit(1)), f"__known_{key}": F.lit(True)}
         )
-        marked = marked.join(known, key, "left")
+        spread = F.when(F.col(key).isNull(), F.pmod(F.xxhash64(*columns), F.lit(NULL_SPREAD)))
+        marked = marked.withColumn(_SPREAD, F.coalesce(spread, F.lit(0)).cast("bigint"))
+        marked = marked.join(known, [key, _SPREAD], "left").drop(_SPREAD)
     lost = {f"{k}_unknown": F.col(f"__known_{k}").isNull() for k in references}
     marked = marked.select(
-        *df.columns,
+        *columns,
         (failed_rules(rules) if rules else F.array().cast("array<string>")).alias("__broken"),
         failed_rules(lost).alias("__lost"),
     )
     broken = F.size("__broken") > 0
     return marked.select(
-        *df.columns,
+        *columns,
         F.when(broken, F.col("__broken")).otherwise(F.col("__lost")).alias("failed_rules"),
         F.when(broken, F.lit(RULE_REASON))
         .when(F.size("__lost") > 0, F.lit(REFERENCE_REASON))

@@ -6,7 +6,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,48 +21,68 @@ from tillwright.schemas import (
     PRODUCT_COLUMNS,
     require_columns,
 )
-from tillwright.session import staged
+from tillwright.session import run_dir
 from tillwright.sources import sinks, storage
 from tillwright.sources.tables import Warehouse
 
 
 @dataclass
 class Checked:
-    """Outcome of one batch."""
+    """Outcome of one batch; ``rejects`` and ``n_deletes`` where rows have been counted."""
 
     valid: DataFrame
     rejected: DataFrame
     deletes: DataFrame | None = None
+    rejects: int | None = None
+    n_deletes: int | None = None
 
 
 def _arrival(df: DataFrame, arrival: list[str] | None) -> list[str]:
     return [n for n in arrival or [] if n in df.columns]
 
 
-Stage = Callable[[DataFrame], DataFrame]
+#: Takes a classified batch and, if it has one, the column that marks deletes.
+Stage = Callable[[DataFrame, str | None], quality.Outcomes]
+Finish = Callable[[DataFrame], DataFrame]
 
 
 def _as_is(df: DataFrame) -> DataFrame:
     return df
 
 
+def _split(classified: DataFrame, stage: Stage | None, deleted: str | None = None) -> Checked:
+    """By one write, if there is a stage, else by filters."""
+    if stage is None:
+        gone = classified.filter(deleted).drop(deleted) if deleted else None
+        rest = classified.filter(f"NOT {deleted}").drop(deleted) if deleted else classified
+        return Checked(*quality.split_classified(rest), gone)
+    found = stage(classified, deleted)
+    return Checked(
+        found.valid,
+        found.rejected,
+        found.deletes if deleted else None,
+        found.counts[quality.REJECTED],
+        found.counts[quality.DELETED],
+    )
+
+
 def curate_customers(
-    raw: DataFrame, arrival: list[str] | None = None, stage: Stage = _as_is
+    raw: DataFrame, arrival: list[str] | None = None, stage: Stage | None = None
 ) -> Checked:
     df = clean.accept_customer_name(clean.clean_names(raw))
     require_columns(df, CUSTOMER_COLUMNS, "customers")
-    checked = stage(quality.classify(clean.cast_customers(df), quality.customer_rules()))
-    valid, rejected = quality.split_classified(checked)
-    return Checked(keep_last(valid, ["customer_id"], _arrival(valid, arrival)), rejected)
+    checked = _split(quality.classify(clean.cast_customers(df), quality.customer_rules()), stage)
+    last = keep_last(checked.valid, ["customer_id"], _arrival(checked.valid, arrival))
+    return replace(checked, valid=last)
 
 
 def curate_products(
-    raw: DataFrame, arrival: list[str] | None = None, stage: Stage = _as_is
+    raw: DataFrame, arrival: list[str] | None = None, stage: Stage | None = None
 ) -> Checked:
     df = require_columns(clean.clean_names(raw), PRODUCT_COLUMNS, "products")
-    checked = stage(quality.classify(clean.cast_products(df), quality.product_rules()))
-    valid, rejected = quality.split_classified(checked)
-    return Checked(keep_last(valid, ["product_id"], _arrival(valid, arrival)), rejected)
+    checked = _split(quality.classify(clean.cast_products(df), quality.product_rules()), stage)
+    last = keep_last(checked.valid, ["product_id"], _arrival(checked.valid, arrival))
+    return replace(checked, valid=last)
 
 
 def curate_orders(
@@ -70,34 +90,33 @@ def curate_orders(
     customers: DataFrame,
     products: DataFrame,
     arrival: list[str] | None = None,
-    stage: Stage = _as_is,
+    stage: Stage | None = None,
 ) -> Checked:
     """Row rules, reference check, amounts, last row per order; delete records aside."""
     df = require_columns(clean.clean_names(raw), ORDER_COLUMNS, "orders")
     marked = clean.cast_orders(df).withColumn("is_delete", quality.is_delete(df))
-    checked = stage(
-        quality.classify(
-            marked, quality.order_rules(), {"customer_id": customers, "product_id": products}
-        )
+    classified = quality.classify(
+        marked, quality.order_rules(), {"customer_id": customers, "product_id": products}
     )
-    deletes = checked.filter("is_delete").select("order_id")
-    valid, rejected = quality.split_classified(checked.filter("NOT is_delete").drop("is_delete"))
-    priced = clean.order_amount(valid, "total_amount", rounded=False)
+    checked = _split(classified, stage, "is_delete")
+    priced = clean.order_amount(checked.valid, "total_amount", rounded=False)
     priced = clean.order_calendar(clean.order_amount(priced, "order_amount", rounded=True))
-    return Checked(
-        keep_last(priced, ["order_id"], _arrival(priced, arrival)), rejected, deletes
+    return replace(
+        checked,
+        valid=keep_last(priced, ["order_id"], _arrival(priced, arrival)),
+        deletes=checked.deletes.select("order_id"),
     )
 
 
 def curate_enriched(
-    raw: DataFrame, arrival: list[str] | None = None, stage: Stage = _as_is
+    raw: DataFrame, arrival: list[str] | None = None, stage: Stage | None = None
 ) -> Checked:
     df = clean.cast_enriched(clean.clean_names(raw))
-    checked = stage(quality.classify(df, quality.enriched_rules(df.columns)))
-    valid, rejected = quality.split_classified(checked)
+    checked = _split(quality.classify(df, quality.enriched_rules(df.columns)), stage)
+    valid = checked.valid
     if {"quantity", "unit_price"} <= set(valid.columns):
         valid = clean.order_amount(valid, "total_amount", rounded=False)
-    return Checked(keep_last(valid, ["order_id"], _arrival(valid, arrival)), rejected)
+    return replace(checked, valid=keep_last(valid, ["order_id"], _arrival(valid, arrival)))
 
 
 def _load(
@@ -105,34 +124,36 @@ def _load(
     dataset: str,
     key: str,
     curate: Callable[[Stage], Checked],
-    finish: Stage,
+    finish: Finish,
     at: str | None,
     batch: str | None,
     buckets: int | None,
 ) -> int:
     """Quarantine, processed zone, then the upsert into the curated table.
 
-    The checked rows are written once to the shared folder and every output is
-    made from there; the curated table is made from the processed files.
+    The checked rows are written once to the shared folder, in a folder per outcome, and
+    every output is made from there; the curated table is made from the processed files.
     Returns the number of processed rows.
     """
     spark = zones.spark
     folders: list[str] = []
 
-    def stage(df: DataFrame) -> DataFrame:
-        df, path = staged(df, f"checked-{dataset}")
-        folders.append(path)
-        return df
+    def stage(df: DataFrame, deleted: str | None) -> quality.Outcomes:
+        folders.append(run_dir(spark, f"checked-{dataset}"))
+        return quality.write_outcomes(df, folders[-1], deleted)
 
     try:
         checked = curate(stage)
-        sinks.write_quarantine(checked.rejected, zones.path(f"quarantine/{dataset}"), batch)
+        sinks.write_quarantine(
+            checked.rejected, zones.path(f"quarantine/{dataset}"), batch, checked.rejects
+        )
         rows = sinks.write_processed(checked.valid, zones.path(f"processed/{dataset}"))
         curated = f"curated/{dataset}"
         processed = zones.read(f"processed/{dataset}")
-        if rows or (checked.deletes is not None and zones.has(curated)):
+        deletes = checked.deletes if checked.n_deletes else None
+        if rows or (deletes is not None and zones.has(curated)):
             incoming = clean.stamp(finish(processed), at)
-            apply_changes(zones, curated, key, incoming, checked.deletes, buckets=buckets)
+            apply_changes(zones, curated, key, incoming, deletes, buckets=buckets)
         return rows
     finally:
         for path in folders:
