@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillwright.session import apply_settings, shared_dir, staged
@@ -47,7 +47,32 @@ def discard(spark: SparkSession, *paths: str) -> None:
         place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
-def attach(rows: DataFrame, groups: DataFrame, key: str, size: str) -> DataFrame:
+class Scratch:
+    """Intermediate tables of one call, removed together once nothing reads them."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def keep(self, df: DataFrame, name: str) -> DataFrame:
+        out, path = staged(df, name)
+        self.paths.append(path)
+        return out
+
+    def drop(self) -> None:
+        discard(self.spark, *self.paths)
+        self.paths = []
+
+
+#: Two hashes of a text, 128 bits together, under names that a document has hardly.
+TEXT_MARKS = ("_text_mark_1", "_text_mark_2")
+
+
+def text_marks(text: Column | str) -> list[Column]:
+    """The hashes that, with the id, name a row whatever its id is worth."""
+    return [F.xxhash64(F.lit(seed), text).alias(n) for seed, n in enumerate(TEXT_MARKS)]
+
+
+def attach(rows: DataFrame, groups: DataFrame, key: str | list[str], size: str) -> DataFrame:
     """``rows`` with the columns of their group; inner join on ``key``.
 
     ``groups`` has one row per key, and ``size`` in it is the number of rows that
@@ -68,6 +93,9 @@ def attach(rows: DataFrame, groups: DataFrame, key: str, size: str) -> DataFrame
 def bounded_sample(rows: DataFrame, size: int, *key: str) -> DataFrame:
     """The ``size`` rows with the smallest hash of ``key``, in that order (column ``order``).
 
+    ``key`` should tell rows apart: all rows of one key have one hash, and a cut takes all
+    of them or none.
+
     A cut at the hash that leaves half as many again keeps what tasks send on near the
     sample's size, however many tasks there are; fewer rows than ``size`` are all kept.
     """

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillwright.llm.common import attach, discard, prepare
+from tillwright.llm.common import Scratch, attach, prepare
 from tillwright.llm.list_rank import FINISH, list_sums
 from tillwright.operators.windows import number_rows
 from tillwright.session import staged
@@ -45,22 +45,7 @@ WORD = "[^\\x20\\x09-\\x0D]+"
 MARK = ["mark1", "mark2"]
 
 
-class _Scratch:
-    """Intermediate tables of one call, removed together."""
-
-    def __init__(self, spark):
-        self.spark, self.paths = spark, []
-
-    def keep(self, df: DataFrame, name: str) -> DataFrame:
-        out, path = staged(df, name)
-        self.paths.append(path)
-        return out
-
-    def drop(self) -> None:
-        discard(self.spark, *self.paths)
-
-
-def _turns(rows: DataFrame, scratch: _Scratch) -> tuple[DataFrame, DataFrame]:
+def _turns(rows: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
     """(conv_id, place, digest, words) of every turn, and one row per conversation."""
     role, text = F.coalesce("role", F.lit("")), F.coalesce("text", F.lit(""))
     own = rows.where(F.col("conv_id").isNotNull()).select(
@@ -120,7 +105,7 @@ def _lane(digest: str, at: int) -> Column:
     return F.shiftleft(high, 32).bitwiseOR(low)
 
 
-def _marked(rebuilt: DataFrame, scratch: _Scratch) -> DataFrame:
+def _marked(rebuilt: DataFrame, scratch: Scratch) -> DataFrame:
     """Rebuilt turns with the mark of their prefix and that of the prefix before."""
     hashed = F.unhex(F.sha2(F.concat(F.col("place").cast("string").cast("binary"), F.lit(":").cast("binary"), "digest"), 256))
     own = scratch.keep(
@@ -180,7 +165,7 @@ def _hash_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield row(at, sha)
 
 
-def _ends(ends: DataFrame, scratch: _Scratch) -> DataFrame:
+def _ends(ends: DataFrame, scratch: Scratch) -> DataFrame:
     """(mark, ends_sha256) for the nodes where conversations (mark, conv_id) end."""
     stored = scratch.keep(ends.select(*MARK, "conv_id"), "ends")
     numbered = scratch.keep(number_rows(stored, [*MARK, "conv_id"], "number", 0), "ends-numbered")
@@ -207,7 +192,7 @@ def prefix_trie(rows: DataFrame, finish: int = FINISH) -> DataFrame:
     ranking walks at last.
     """
     spark = prepare(rows.sparkSession)
-    scratch = _Scratch(spark)
+    scratch = Scratch(spark)
     placed, convs = _turns(rows, scratch)
     plans = scratch.keep(_plans(convs), "plans")
     marked = scratch.keep(_marked(_rebuilt(placed, plans), scratch), "turns-marked")
