@@ -6,14 +6,16 @@ one space). One below MIN_WORDS is lengthened, forwards from its first sentence
 backwards from its last, until it has as many, so that a passage of tiny sentences is
 found from its first to its last. A sentence or a pair of LONG words or more is a run
 besides, so that a long passage is found however few sentences it has. Runs meet in one shuffled
-aggregation, which names the first occurrence of each (smallest id, then place), and
-the runs that occur again are joined back to it. A sentence inside any occurrence but
-the first goes.
+aggregation, which names the first occurrence of each, and the runs that occur again
+are joined back to it. A sentence inside any occurrence but the first goes.
+
+Occurrences are ordered by the document's id, then a hash of its text, then the place.
+A document is named by its id and 128 bits of its text's hashes.
 
 Defined results: null and empty texts stay as empty texts; a document whose every
 sentence is a repeat becomes empty; rows that repeat an id are documents of their own,
-ordered by a hash, and rows equal in id and text are one document; a null id is
-ordered first; empty input gives an empty result; other columns are not read.
+and rows equal in id and text are one document; a null id is ordered first; empty input
+gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
@@ -28,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillwright.llm.common import as_bytes, keep, text_blocks
+from tillwright.llm.common import TEXT_MARKS, Scratch, as_bytes, keep, text_blocks, text_marks
 
 RUN = 3
 #: Words of a run at least, so that a few tiny sentences don't count.
@@ -40,7 +42,8 @@ LONG = 40
 #: A sentence with the white space after it; offsets are bytes of the UTF-8.
 SENTENCE = re.compile(rb"[^\n]*?(?:[.!?]+(?=\s)|\n|\Z)\s*", re.DOTALL)
 
-SPAN_SCHEMA = "h1 long, h2 long, handle long, first int, last int"
+NAME = ["doc_id", *TEXT_MARKS]
+SPAN_SCHEMA = "h1 long, h2 long, first int, last int, " + ", ".join(f"{n} long" for n in NAME)
 
 
 def sentences(text: bytes) -> list[tuple[int, int]]:
@@ -83,24 +86,24 @@ def runs(text: bytes, run: int = RUN, min_words: int = MIN_WORDS, long: int = LO
 def _spans(rows: DataFrame) -> DataFrame:
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            handles = batch.column(0).to_pylist()
-            for first, block in text_blocks(as_bytes(batch.column(1)), 1_000_000):
-                found = [(handles[first + i], *r) for i, t in enumerate(block) for r in runs(t)]
+            for first, block in text_blocks(as_bytes(batch.column(0)), 1_000_000):
+                found = [(first + i, *r) for i, t in enumerate(block) for r in runs(t)]
                 if not found:
                     continue
                 hashes = np.frombuffer(b"".join(f[3] for f in found), "<i8").reshape(-1, 2)
+                own = pa.array([f[0] for f in found], pa.int64())
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(np.ascontiguousarray(hashes[:, 0])),
                         pa.array(np.ascontiguousarray(hashes[:, 1])),
-                        pa.array([f[0] for f in found], pa.int64()),
                         pa.array([f[1] for f in found], pa.int32()),
                         pa.array([f[2] for f in found], pa.int32()),
+                        *[batch.column(n).take(own) for n in NAME],
                     ],
-                    ["h1", "h2", "handle", "first", "last"],
+                    ["h1", "h2", "first", "last", *NAME],
                 )
 
-    return rows.select("handle", "text").mapInArrow(emit, SPAN_SCHEMA)
+    return rows.select("text", *NAME).mapInArrow(emit, SPAN_SCHEMA)
 
 
 def _rebuilt(text: bytes, firsts: list[int], lasts: list[int]) -> tuple[bytes, int, int]:
@@ -114,37 +117,27 @@ def _rebuilt(text: bytes, firsts: list[int], lasts: list[int]) -> tuple[bytes, i
     return rest, int(covered.sum()), len(own)
 
 
-def _with_handle(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """A number that tells rows apart: the id where ids do, else a hash of id and text."""
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    odd = rows.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 or doc_id is null")
-    if odd.isEmpty():
-        return rows.withColumn("handle", F.col("doc_id"))
-    return rows.withColumn("handle", F.xxhash64("doc_id", "text"))
-
-
 def substring_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Per document: doc_id, text (what stays), n_sentences, n_removed, n_chars_removed."""
-    rows = _with_handle(docs, doc_id, text)
-    spans = keep(_spans(rows), "spans")
+    scratch = Scratch(docs.sparkSession)
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), *text_marks(text))
+    spans = scratch.keep(_spans(rows), "spans")
+    place = F.struct(*NAME, "first")
     again = (
         spans.groupBy("h1", "h2")
-        .agg(
-            F.min(F.struct("handle", "first")).alias("origin"),
-            F.max(F.struct("handle", "first")).alias("other"),
-        )
+        .agg(F.min(place).alias("origin"), F.max(place).alias("other"))
         .where("origin != other")
-        .select("h1", "h2", F.col("origin.handle").alias("from_handle"), F.col("origin.first").alias("from_first"))
+        .select("h1", "h2", "origin")
     )
-    again = keep(again, "repeated-spans")
+    again = scratch.keep(again, "repeated-spans")
     repeats = (
         spans.join(again, ["h1", "h2"])
-        .where((F.col("handle") != F.col("from_handle")) | (F.col("first") != F.col("from_first")))
-        .groupBy("handle")
+        .where(~place.eqNullSafe(F.col("origin")))
+        .groupBy(*NAME)
         .agg(F.collect_set(F.struct("first", "last")).alias("cover"))
-        .select(F.col("handle").alias("cover_handle"), "cover")
     )
     repeats = keep(repeats, "covered")
+    scratch.drop()
 
     kind = pa.struct([("text", pa.string()), ("n_removed", pa.int64()), ("n_sentences", pa.int64())])
 
@@ -157,8 +150,10 @@ def substring_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
             out.append({"text": rest.decode(), "n_removed": gone, "n_sentences": total})
         return pa.array(out, kind)
 
-    found = rows.join(repeats, F.col("handle") == F.col("cover_handle"), "left").select(
-        "doc_id",
+    marks = [rows[n] == repeats[n] for n in TEXT_MARKS]
+    same = rows["doc_id"].eqNullSafe(repeats["doc_id"]) & marks[0] & marks[1]
+    found = rows.join(repeats, same, "left").select(
+        rows["doc_id"],
         F.char_length(F.coalesce("text", F.lit(""))).alias("n_before"),
         rebuild("text", "cover").alias("new"),
     )
