@@ -6,7 +6,7 @@ in a window, every byte gets a probability of each language, and the text's
 probabilities are their mean.
 
 The training rows are a bounded sample (SAMPLE rows, of each language the smallest by
-a hash of the id, one stretch of STRETCH characters each). Every language has an equal
+a hash of id and text, one stretch of STRETCH characters each). Every language has an equal
 share, and what a rare one leaves goes to the others. Predictions cover every row.
 
 Defined results: a text that is null or has no letter is ``und`` with score 0; equal
@@ -29,6 +29,8 @@ from tillwright.llm.common import as_bytes, text_blocks
 
 SAMPLE = 4000
 STRETCH = 400
+#: Languages that are learned at most; where there are more, the most frequent ones.
+LANGUAGES = 1000
 WINDOW = 128
 HIDDEN = 8
 STEPS = 500
@@ -276,19 +278,24 @@ def learn(rows: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str
     usable = rows.where(F.col(lang).isNotNull()).select(
         F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.col(lang).alias("lang")
     )
-    counts = {r[0]: r[1] for r in usable.groupBy("lang").count().collect()}
+    # One row per language comes to the driver, of LANGUAGES at most: the most frequent.
+    # Rows alike count once (a sketch's count does, since it only sets the cut's width).
+    ordered = usable.withColumn("order", F.xxhash64("doc_id", "text"))
+    sizes = ordered.groupBy("lang").agg(F.approx_count_distinct("order").alias("n"))
+    counts = {r[0]: max(r[1], 1) for r in sizes.orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()}
     each = _share(list(counts.values()), sample)
     wanted = each + each // 2 + 200  # a cut at the hash first, as in bounded_sample
     cuts = [(k, -(1 << 63) + (1 << 64) * min(wanted, n) // n - (n <= wanted)) for k, n in counts.items()]
     near = (
-        usable.withColumn("order", F.xxhash64("doc_id"))
-        .join(F.broadcast(rows.sparkSession.createDataFrame(cuts, "lang string, cut long")), "lang")
+        ordered.join(F.broadcast(rows.sparkSession.createDataFrame(cuts, "lang string, cut long")), "lang")
         .where("order <= cut")
     )
     start = 1 + F.pmod(F.col("order"), F.greatest(F.char_length("text") - STRETCH, F.lit(1)))
     stretch = F.coalesce(F.col("text").substr(start.cast("int"), F.lit(STRETCH)), F.lit(""))
     first = Window.partitionBy("lang").orderBy("order", "doc_id", "stretch")
-    cut = near.select("lang", "order", "doc_id", stretch.alias("stretch")).withColumn("nth", F.row_number().over(first))
+    # Rows alike count once, so that no hot row fills a language's window.
+    own = near.select("lang", "order", "doc_id", stretch.alias("stretch")).distinct()
+    cut = own.withColumn("nth", F.row_number().over(first))
     picked = sorted(cut.where(F.col("nth") <= each).collect(), key=lambda r: (r.lang, r.stretch))
     return train([r.stretch.encode() for r in picked], [r.lang for r in picked])
 
