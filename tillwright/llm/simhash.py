@@ -11,7 +11,8 @@ off: there each link x-y is found through a value z within 1 bit of y and ``dist
 Defined results: null and empty texts have fingerprint zero and link like any other;
 fewer words than a shingle count as one shingle; rows that repeat an id are rows of
 their own; a null id never becomes a component's name while another id is there;
-empty input gives an empty result; other columns are not read.
+empty input gives an empty result; other columns are not read unless ``carry`` names
+them.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from itertools import combinations, repeat
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillwright.llm.common import as_bytes, attach, keep
@@ -51,13 +52,14 @@ def fingerprint(text: bytes | None, words: int) -> int:
 
 
 def with_fingerprint(docs: DataFrame, text: str = "text", words: int = 3) -> DataFrame:
-    """doc_id and fp (signed 64 bits) of every row."""
+    """fp (signed 64 bits) of every row, in place of the text."""
 
     @F.arrow_udf("long")
     def simhash(column: pa.Array) -> pa.Array:
         return pa.array([fingerprint(t, words) for t in as_bytes(column)], pa.int64())
 
-    return docs.select("doc_id", simhash(F.col(text)).alias("fp"))
+    others = [c for c in docs.columns if c not in ("doc_id", text)]
+    return docs.select("doc_id", simhash(F.col(text)).alias("fp"), *others)
 
 
 def _pieces(blocks: int) -> list[int]:
@@ -112,7 +114,8 @@ def _crowded(members: DataFrame, masks: list[int], distance: int) -> DataFrame:
 
     x and y are within ``distance`` bits exactly when some z is within 1 bit of y and
     ``distance`` - 1 of x. All y of one z are linked to every x of it, so one y stands
-    for them. The changed bits lie outside the key's pieces.
+    for them; each y is an x of z as well, from distance 2 on. At distance 1 all pairs
+    are made, 64 a member at most. The changed bits lie outside the key's pieces.
     """
     if distance < 1:
         return members.select(F.col("fp").alias("a"), F.col("fp").alias("b")).limit(0)
@@ -133,6 +136,11 @@ def _crowded(members: DataFrame, masks: list[int], distance: int) -> DataFrame:
         )
         return flipped.select("choice", F.col("fp").bitwiseXOR(F.col("flip")).alias("z"), "fp")
 
+    if distance == 1:
+        others = members.select("choice", F.col("fp").alias("z"))
+        return spread(1).join(others, ["choice", "z"]).where("fp < z").select(
+            F.col("fp").alias("a"), F.col("z").alias("b")
+        ).distinct()
     hubs = spread(1).groupBy("choice", "z").agg(F.min("fp").alias("hub"))
     return (
         spread(distance - 1).join(hubs, ["choice", "z"]).where("fp != hub")
@@ -146,10 +154,18 @@ def near_duplicates(
     text: str = "text",
     words: int = 3,
     distance: int = 3,
+    carry: list[Column] | None = None,
 ) -> DataFrame:
-    """Every row's doc_id, fp and component_id: the smallest id reachable by links."""
-    own = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    """Every row's doc_id, fp, component_id, group_fp, and what ``carry`` names.
+
+    component_id is the smallest id reachable by links; group_fp, the smallest fingerprint
+    reachable, names the group also where ids are null.
+    """
+    own = docs.select(
+        F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), *(carry or [])
+    )
     prints = keep(with_fingerprint(own, "text", words), "fingerprints")
+    extra = [c for c in prints.columns if c not in ("doc_id", "fp")]
     classes = keep(
         prints.groupBy("fp").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("n")), "fp-classes"
     )
@@ -158,16 +174,16 @@ def near_duplicates(
     nodes = keep(components(links(classes, distance)), "nodes")
     linked = nodes.join(classes, nodes["node"] == classes["fp"]).select("fp", "root", "first_id")
     lowest = linked.groupBy("root").agg(F.min("first_id").alias("lowest"))
-    reached = keep(linked.join(lowest, "root").select("fp", "lowest"), "reached")
+    reached = keep(linked.join(lowest, "root").select("fp", "root", "lowest"), "reached")
     named = keep(
         classes.join(reached, "fp", "left").select(
-            "fp", "n", F.coalesce("lowest", "first_id").alias("component_id")
+            "fp", "n",
+            F.when(F.col("root").isNull(), F.col("first_id")).otherwise(F.col("lowest")).alias("component_id"),
+            F.coalesce("root", "fp").alias("group_fp"),
         ),
         "fp-components",
     )
-    return attach(prints, named, "fp", "n").select(
-        "doc_id", "fp", "component_id"
-    )
+    return attach(prints, named, "fp", "n").select("doc_id", "fp", "component_id", "group_fp", *extra)
 
 
 def hex_print(column: str = "fp"):
