@@ -16,7 +16,7 @@ one or another letter by what follows its word, is replaced before.
 Defined results: null and empty texts have no words and no hits; items without words
 hit nothing; items without an id are not listed; repeated item ids are one item;
 a repeated document row gets a result of its own; with an empty benchmark every
-document is clean; other columns are not read.
+document is clean; other columns are not read unless ``carry`` names them.
 """
 
 from __future__ import annotations
@@ -37,6 +37,8 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: Benchmark fingerprints or windows are broadcast up to this many (64 bits, or
 #: some 70 bytes of text, each); a larger benchmark is joined by a shuffle.
 BROADCAST_ROWS = 200_000
+#: Short items up to this many are looked for inside the arrays of a document's runs.
+FEW_SHORT = 200
 
 
 def words(text: Column) -> Column:
@@ -132,22 +134,35 @@ def _small(df: DataFrame) -> DataFrame:
 
 
 def _short_hits(rows: DataFrame, windows: DataFrame) -> DataFrame | None:
-    """Occurrences of the items that have fewer than SPAN words, by exact runs of that length."""
-    lengths = [r[0] for r in windows.where(F.col("size") < SPAN).select("size").distinct().collect()]
-    found = None
-    for size in lengths:  # nine lengths at most
-        own = rows.select("doc_id", "text_key", words(F.col("text")).alias("own"))
-        starts = own.select(
-            "doc_id", "text_key", "own", F.explode(_positions(F.size("own"), size)).alias("start")
-        )
-        runs = starts.select(
-            "doc_id", "text_key", "start", F.lit(size).alias("size"),
-            _window_text("own", F.col("start"), size).alias("window"),
+    """Occurrences of the items that have fewer than SPAN words, by exact runs of that length.
+
+    One pass for all lengths: the runs' hashes stay in an array until they are known to be
+    wanted, so a row is made for a hit only. The texts of the hits are compared.
+    """
+    short = windows.where(F.col("size") < SPAN).select("window", "size").distinct()
+    wanted = short.groupBy("size").agg(F.count(F.lit(1)).alias("n")).collect()  # nine lengths at most
+    if not wanted:
+        return None
+    key = ["doc_id", "text_key"]
+    own = rows.select(*key, words(F.col("text")).alias("own"))
+
+    def runs_of(size: int) -> Column:
+        def run(i):
+            return F.struct(i.alias("start"), F.lit(size).alias("size"))
+
+        return F.transform(_positions(F.size("own"), size), run)
+
+    runs = F.concat(*[runs_of(r["size"]) for r in wanted])
+    if sum(r["n"] for r in wanted) <= FEW_SHORT:
+        # Bounded by FEW_SHORT, so the set is a literal of the plan.
+        marks = F.array(*[F.lit(r[0]) for r in short.select(F.xxhash64("window")).distinct().collect()])
+        runs = F.filter(
+            runs, lambda r: F.array_contains(marks, F.xxhash64(_window_text("own", r["start"], r["size"])))
         )
-        wanted = _small(windows.where(F.col("size") == size).select("window").distinct())
-        hits = runs.join(wanted, "window", "left_semi")
-        found = hits if found is None else found.unionByName(hits)
-    return found
+    found = own.select(*key, "own", F.explode(runs).alias("run")).select(
+        *key, "run.start", "run.size", _window_text("own", F.col("run.start"), F.col("run.size")).alias("window")
+    )
+    return found.join(_small(short), ["window", "size"], "left_semi").select(*key, "start", "size", "window")
 
 
 def occurrences(rows: DataFrame, items: DataFrame) -> DataFrame:
@@ -192,14 +207,21 @@ def occurrences(rows: DataFrame, items: DataFrame) -> DataFrame:
 
 
 def decontaminate(
-    docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", item_id: str = "item_id", text: str = "text"
+    docs: DataFrame,
+    items: DataFrame,
+    doc_id: str = "doc_id",
+    item_id: str = "item_id",
+    text: str = "text",
+    carry: list[Column] | None = None,
 ) -> DataFrame:
-    """Per document: n_words, n_hit, n_items, items_sha256, contaminated."""
+    """Per document: n_words, n_hit, n_items, items_sha256, contaminated, and what ``carry`` names."""
     rows = docs.select(
         F.col(doc_id).cast("long").alias("doc_id"),
         F.xxhash64(text).alias("text_key"),
         F.col(text).alias("text"),
+        *(carry or []),
     )
+    extra = rows.columns[3:]
     asked = items.select(F.col(item_id).alias("item_id"), F.col(text).alias("text"))
     found, windows = occurrences(rows, asked)
     key = ["doc_id", "text_key"]
@@ -221,8 +243,8 @@ def decontaminate(
         ).select(covered["doc_id"], covered["text_key"], "n_hit", "items"),
         "hits",
     )
-    counted = _cut(rows, F.coalesce("text", F.lit("")), "doc_id", "text_key").select(
-        "doc_id", "text_key", F.size("own").cast("long").alias("n_words")
+    counted = _cut(rows, F.coalesce("text", F.lit("")), "doc_id", "text_key", *extra).select(
+        "doc_id", "text_key", *extra, F.size("own").cast("long").alias("n_words")
     )
     none = F.array().cast("array<string>")
     hit_items = F.coalesce("items", none)
@@ -235,4 +257,5 @@ def decontaminate(
         F.size(hit_items).cast("long").alias("n_items"),
         F.sha2(F.concat_ws(",", hit_items), 256).alias("items_sha256"),
         (F.coalesce("n_hit", F.lit(0)) > 0).alias("contaminated"),
+        *extra,
     )
