@@ -240,20 +240,22 @@ def pack(
 ) -> DataFrame:
     """One row per piece: where it starts in its document and where it lies."""
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    pieces = keep(cut_pieces(rows, tokenizer, capacity), "pieces")
+    # The number tells rows apart that are alike in all else; it is stored with them.
+    numbered = cut_pieces(rows, tokenizer, capacity).withColumn("row", F.monotonically_increasing_id())
+    pieces = keep(numbered, "pieces")
     # At most ``capacity`` rows come to the driver.
     counts = {r[0]: r[1] for r in pieces.groupBy("length").count().collect()}
     slots, _ = plan(counts, capacity)
     shards = max(1, -(-max(counts.values(), default=0) // SHARD_ROWS))
     sharded = pieces.withColumn(
-        "shard", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(shards)).cast("int")
+        "shard", F.pmod(F.xxhash64("row"), F.lit(shards)).cast("int")
     )
     sizes = sharded.groupBy("length", "shard").agg(F.count("*").alias("n"))
     before = Window.partitionBy("length").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     bases = sizes.select(
         "length", "shard", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base")
     )
-    within = Window.partitionBy("length", "shard").orderBy("doc_id", "piece", "ids_crc32")
+    within = Window.partitionBy("length", "shard").orderBy("row")
     ranked = (
         sharded.withColumn("place", F.row_number().over(within) - 1)
         .join(bases, ["length", "shard"])
