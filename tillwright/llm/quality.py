@@ -9,8 +9,9 @@ the log of their number. The network is trained in numpy on
 a bounded sample of labelled rows (SAMPLE, the smallest by a hash of the id), and a
 temperature fitted on a part it did not train on calibrates its probabilities.
 
-Defined results: null and empty texts score like a text without words; labels that
-repeat an id, or say both, each count as a row; null labels are not learned from;
+Defined results: null and empty texts score like a text without words; of documents that
+share a labelled id the one with the smallest hash of its text is learned from; labels
+that repeat an id with another value each count; null labels are not learned from;
 without labels of both kinds every score is the share of 1 (0.5 without any); empty
 input gives an empty result; other columns are not read.
 """
@@ -191,11 +192,15 @@ def train(
     )
     picked = bounded_sample(marked, sample, "label_id").select("label_id", "label")
     asked = F.broadcast(keep(picked, "labels"))  # SAMPLE rows at most
-    found = (
-        docs.join(asked, F.col(doc_id) == F.col("label_id"))
-        .select(_per_text(lambda b: pool(vectors, b), "array<double>", F.col(text)).alias("pooled"), "label_id", "label")
-        .collect()
+    own = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("own"))
+    # One document per label, so that what comes of a repeated id is bounded as well.
+    one = (
+        own.join(asked, F.col("doc_id") == F.col("label_id"))
+        .groupBy("label_id", "label").agg(F.min_by("own", F.xxhash64("own")).alias("own"))
     )
+    found = one.select(
+        _per_text(lambda b: pool(vectors, b), "array<double>", F.col("own")).alias("pooled"), "label_id", "label"
+    ).collect()
     found.sort(key=lambda r: (r.label_id, r.label, r.pooled))
     pooled = np.array([r.pooled for r in found]).reshape(len(found), FEATURES)
     return fit(vectors, pooled, np.array([float(r.label > 0) for r in found]))
