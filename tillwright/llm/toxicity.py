@@ -1,21 +1,28 @@
 """Toxicity by maximum-scoring segments.
 
-A token's score is the lower bound of its log-odds between toxic and clean documents
-under a Dirichlet prior that follows its share of the whole corpus; a word's stems
-(its first bytes) are counted the same way and stand in where the word itself is too
-rare. All other tokens score a small negative drift, so a passage is a stretch with
-more toxic evidence than its length explains. One linear scan (Ruzzo and Tompa's)
-finds all maximal segments of a text; a segment's expected number by chance in a text
-of that length is K n exp(-lambda S), from the scores of clean text, and the passages
-below SIGNIFICANT are reported. A document's evidence is the sum over them of
-lambda S - ln(K n), mapped to a probability on the labelled rows.
+A token's score is its own log-odds between toxic and clean documents under a Dirichlet
+prior that follows its share of the whole corpus, less CAUTION standard errors; so most
+tokens score below zero, and a passage is a stretch with more toxic evidence than chance
+explains. A word's stems (its first bytes) are counted the same way, and the greatest of
+a word's own and its stems' log-odds counts. Tokens that the toxic sample has not, or
+once only, have the log-odds of all such tokens together.
+
+One linear scan (Ruzzo and Tompa's, with links between the candidates) finds all maximal
+segments of a text. The expected number of segments of score S or more in n clean tokens
+is K n exp(-lambda S); K and lambda are fitted to the greatest segments of the clean
+labelled texts. Passages whose expected number is below SIGNIFICANT are reported. A
+document's evidence is minus the log of the chance of its best segment, or the sum over
+its significant ones, mapped to a probability on the labelled rows.
 
 The labelled rows are a bounded sample (half of SAMPLE of each kind, the smallest by a
-hash of the id); the prior counts every document.
-
-Defined results: null and empty texts have no tokens and the lowest score; labels that
-repeat an id each count; null labels are not learned from; without labels of both
-kinds every score is 0; empty input gives an empty result; other columns are not read.
+hash of the id); the UNITS most frequent words and stems of its toxic texts are scored;
+the prior counts every document.
+
+Defined results: null and empty texts have no tokens and the lowest score; of documents
+that share a labelled id the one with the smallest hash of its text is learned from;
+labels that repeat an id with another value each count; null labels are not learned from;
+without labels of both kinds every score is 0; empty input gives an empty result; other
+columns are not read.
 """
 
 from __future__ import annotations
@@ -34,30 +41,36 @@ from tillwright.llm.words import LETTER, mix, split
 SAMPLE = 20_000
 BLOCK = 1_000_000
 STEMS = (4, 5)
-#: Standard errors that a log-odds must stand above zero by.
-CAUTION = 1.5
-#: The least score of a scored unit: weaker ones are chance, and a text that repeats a
-#: phrase many times would add them up.
-LEAST = 1.0
+#: Words and stems that are scored at most.
+UNITS = 300_000
+#: Standard errors that a log-odds is lowered by.
+CAUTION = 2.5
 #: Evidence beyond this is certain either way and doesn't bend the final mapping.
 CERTAIN = 30.0
 #: The prior's weight as a share of the words of the toxic rows.
 PRIOR = 0.25
-DRIFT = 0.04
 SIGNIFICANT = 0.05
+#: The least cost of a token that has no unit.
+FLOOR = 0.05
+#: Clean texts with a segment that the fit of both parameters needs.
+FEW = 10
 FILTER_BITS = 22
 
 
 @dataclass
 class Lexicon:
-    """Sorted hashes of scored units (whole words, and stems by size) with a value each."""
+    """Sorted hashes of scored units (whole words, and stems by size) with a value each.
+
+    ``other`` is the value of a token that has none of them.
+    """
 
     hashes: np.ndarray
     values: np.ndarray
+    other: float = 0.0
     maybe: np.ndarray = field(init=False)
 
     def __post_init__(self) -> None:
-        # Most tokens are none of these: a bit table tells so before the search.
+        # Many tokens are none of these: a bit table tells so before the search.
         self.maybe = np.zeros(1 << FILTER_BITS, bool)
         self.maybe[(self.hashes & np.uint64((1 << FILTER_BITS) - 1)).astype(np.int64)] = True
 
@@ -71,15 +84,15 @@ class Lexicon:
         same = self.hashes[place] == wanted[at]
         return at[same], place[same]
 
-
     def values_of(self, words) -> tuple[np.ndarray, np.ndarray]:
-        """Each token's value (0 if none) and the place of the unit that gave it (-1)."""
-        value = np.zeros(len(words.hash))
+        """Each token's value and the place of the unit that gave it (-1 if none did)."""
+        value = np.full(len(words.hash), -np.inf)
         best = np.full(len(words.hash), -1, np.int64)
         for own in _units(words):
             at, place = self.find(own)
             better = self.values[place] > value[at]
             value[at[better]], best[at[better]] = self.values[place[better]], place[better]
+        value[best < 0] = self.other
         return value, best
 
 
@@ -130,24 +143,28 @@ def toxic_units(sample: DataFrame) -> DataFrame:
     )
 
 
-def distinct_words(rows: DataFrame) -> dict[int, int]:
-    """Per label, the sum over its texts of the distinct words in each."""
+def distinct_words(rows: DataFrame, lexicon: Lexicon) -> dict[int, tuple[int, int]]:
+    """Per label, sums over its texts of the distinct words in each: all, and those without a unit."""
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(2, np.int64)
+        total = np.zeros((2, 2), np.int64)
         for batch in batches:
             label = np.array(batch.column(1).to_pylist(), np.int64)
             for first, block in text_blocks(as_bytes(batch.column(0)), BLOCK):
                 words = _words(block)
+                _, best = lexicon.values_of(words)
                 order = np.lexsort((words.hash, words.owner))
-                owner, own = words.owner[order], words.hash[order]
+                owner, own, none = words.owner[order], words.hash[order], best[order] < 0
                 new = np.ones(len(own), bool)
                 new[1:] = (owner[1:] != owner[:-1]) | (own[1:] != own[:-1])
-                total += np.bincount(label[first + owner[new]], minlength=2)
-        yield pa.RecordBatch.from_arrays([pa.array([0, 1]), pa.array(total)], ["label", "n"])
+                for which, picked in enumerate((new, new & none)):
+                    total[which] += np.bincount(label[first + owner[picked]], minlength=2)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([0, 1]), pa.array(total[0]), pa.array(total[1])], ["label", "n", "n_other"]
+        )
 
-    summed = rows.select("own", "label").mapInArrow(gather, "label long, n long")
-    return {r[0]: r[1] for r in summed.groupBy("label").agg(F.sum("n")).collect()}
+    summed = rows.select("own", "label").mapInArrow(gather, "label long, n long, n_other long")
+    return {r[0]: (r[1], r[2]) for r in summed.groupBy("label").agg(F.sum("n"), F.sum("n_other")).collect()}
 
 
 def document_counts(rows: DataFrame, lexicon: Lexicon) -> tuple[np.ndarray, int]:
@@ -200,30 +217,49 @@ def _gathered(rows: DataFrame, gather, size: int) -> tuple[np.ndarray, int]:
     return out[:-1], int(out[-1])
 
 
-def segments(scores: list[float], places: list[int], drift: float) -> list[tuple[int, int, float]]:
-    """All maximal scoring segments, as (first place, last place, score).
+def maximal(before: list[float], after: list[float]) -> list[tuple[int, int]]:
+    """All maximal scoring segments of a sequence, as (first, last) runs of positive tokens.
 
-    ``scores`` are those of the positive tokens at ``places``; every token between two
-    of them costs the drift. The scan keeps candidate segments with the total before
-    and up to them; one that could extend an earlier candidate is merged with all after it.
+    A run is given by the totals of all tokens before it and up to its end. Each candidate
+    has a link to the nearest earlier one with a smaller total before it, so that the
+    search for one that a new run could extend skips those that it can't, and the whole
+    scan is linear.
     """
-    kept: list[tuple[int, int, float, float]] = []  # first, last, total before, total after
-    total, last = 0.0, -1
-    for value, place in zip(scores, places, strict=True):
-        total -= drift * (place - last - 1)
-        first, before = place, total
-        total += value
-        last = place
+    first: list[int] = []
+    last: list[int] = []
+    left: list[float] = []
+    right: list[float] = []
+    link: list[int] = []
+    for i, (b, a) in enumerate(zip(before, after, strict=True)):
+        start = i
         while True:
-            j = len(kept) - 1
-            while j >= 0 and kept[j][2] >= before:
-                j -= 1
-            if j < 0 or kept[j][3] >= total:
+            j = len(first) - 1
+            while j >= 0 and left[j] >= b:
+                j = link[j]
+            if j < 0 or right[j] >= a:
                 break
-            first, before = kept[j][0], kept[j][2]
-            del kept[j:]
-        kept.append((first, place, before, total))
-    return [(a, b, after - before) for a, b, before, after in kept]
+            start, b = first[j], left[j]
+            for own in (first, last, left, right, link):
+                del own[j:]
+        first.append(start)
+        last.append(i)
+        left.append(b)
+        right.append(a)
+        link.append(j)
+    return list(zip(first, last, strict=True))
+
+
+def segments(scores: list[float], places: list[int], drift: float) -> list[tuple[int, int, float]]:
+    """All maximal segments, as (first place, last place, score), of tokens that cost ``drift``
+    but for those at ``places``, which have positive scores."""
+    total, at, before, after = 0.0, -1, [], []
+    for value, place in zip(scores, places, strict=True):
+        total -= drift * (place - at - 1)
+        before.append(total)
+        total += value
+        after.append(total)
+        at = place
+    return [(places[a], places[b], after[b] - before[a]) for a, b in maximal(before, after)]
 
 
 def decay(values: np.ndarray, counts: np.ndarray) -> float:
@@ -241,6 +277,29 @@ def decay(values: np.ndarray, counts: np.ndarray) -> float:
     return high
 
 
+def extreme_value(best: np.ndarray, tokens: np.ndarray, start: float) -> tuple[float, float]:
+    """Lambda and K by maximum likelihood from the greatest segment scores of clean texts.
+
+    P(best <= x) is exp(-K n exp(-lambda x)). A text without a segment (best 0) says that
+    none was above zero. For each lambda the best K has a closed form; lambda is searched
+    around ``start``.
+    """
+    n = np.maximum(tokens, 1).astype(float)
+    there = best > 0
+    if there.sum() < FEW:
+        # Too few to fit both: as many segments as there are, at the scores' own rate.
+        return start, float(max(there.sum(), 1) / n.sum())
+
+    def fitted(rate: float) -> tuple[float, float]:
+        decayed = n * np.exp(-rate * best)
+        k = there.sum() / decayed.sum()
+        chance = there.sum() * (np.log(rate) + np.log(k)) - rate * best[there].sum() - k * decayed.sum()
+        return float(chance), float(k)
+
+    rate = max(np.geomspace(start / 8, start * 8, 97), key=lambda r: fitted(r)[0])
+    return float(rate), fitted(rate)[1]
+
+
 @dataclass
 class Judge:
     """The lexicon, the extreme-value parameters and the final mapping."""
@@ -252,37 +311,53 @@ class Judge:
     offset: float = 0.0
     known: bool = True
 
+    def found(self, texts: list[bytes]):
+        """The words, the number in each text, and per text its maximal segments (first, last, score)."""
+        words = _words(texts)
+        value, _ = self.lexicon.values_of(words)
+        n = np.bincount(words.owner, minlength=len(texts))
+        hot = value > 0
+        fresh = np.ones(len(hot), bool)
+        fresh[1:] = words.owner[1:] != words.owner[:-1]
+        begins = np.flatnonzero(hot & (fresh | ~np.concatenate([[False], hot[:-1]])))
+        ends = np.flatnonzero(hot & np.concatenate([fresh[1:] | ~hot[1:], [True]])) if len(hot) else begins
+        total = np.concatenate([[0.0], np.cumsum(value)])
+        before, after, owner = total[begins], total[ends + 1], words.owner[begins]
+        out: list[list[tuple[int, int, float]]] = [[] for _ in texts]
+        edges = np.flatnonzero(np.diff(owner)) + 1
+        for part in np.split(np.arange(len(begins)), edges) if len(begins) else []:
+            b, a = before[part].tolist(), after[part].tolist()
+            at = part[0]
+            out[owner[at]] = [
+                (int(begins[at + x]), int(ends[at + y]), a[y] - b[x]) for x, y in maximal(b, a)
+            ]
+        return words, n, out
+
     def passages(self, texts: list[bytes]) -> list[tuple[float, list[tuple[int, int, float, float]]]]:
         """Per text: its evidence, and the significant passages (start, stop, score, expected).
 
         Places are code points, as in the text.
         """
-        words = _words(texts)
-        value, _ = self.lexicon.values_of(words)
-        n = np.bincount(words.owner, minlength=len(texts))
-        first = np.cumsum(n) - n
-        hot = np.flatnonzero(value > 0)
-        owners = words.owner[hot]
-        out: list[tuple[float, list]] = [(-self._floor(k), []) for k in n.tolist()]
-        for i in np.unique(owners).tolist():
-            own = hot[owners == i] if len(hot) < 64 else hot[np.searchsorted(owners, i) : np.searchsorted(owners, i, "right")]
-            found = segments(value[own].tolist(), (own - first[i]).tolist(), DRIFT)
-            floor = self._floor(int(n[i]))
-            evidence = [self.rate * s - floor for _, _, s in found]
-            significant = []
+        words, n, found = self.found(texts)
+        out: list[tuple[float, list]] = []
+        for i, own in enumerate(found):
+            evidence, significant = 0.0, []
             base = int(words.text_start[i])
-            for (a, b, s), e in zip(found, evidence, strict=True):
-                expected = float(np.exp(-min(e, 700.0)))
+            for a, b, score in own:
+                expected = self.expected(score, int(n[i]))
+                evidence = max(evidence, _surprise(expected))
                 if expected <= SIGNIFICANT:
-                    begin, end = int(words.start[first[i] + a]), int(words.stop[first[i] + b])
+                    begin, end = int(words.start[a]), int(words.stop[b])
                     points = (words.raw[base:end] & 0xC0) != 0x80
-                    significant.append((int(points[: begin - base].sum()), int(points.sum()), s, expected))
-            strong = [e for e in evidence if np.exp(-min(e, 700.0)) <= SIGNIFICANT]
-            out[i] = (sum(strong) if strong else max(evidence), significant)
+                    significant.append((int(points[: begin - base].sum()), int(points.sum()), score, expected))
+            if significant:
+                evidence = sum(_surprise(e) for *_, e in significant)
+            out.append((evidence, significant))
         return out
 
-    def _floor(self, tokens: int) -> float:
-        return float(np.log(self.scale * max(tokens, 1)))
+    def expected(self, score: float, tokens: int) -> float:
+        """Segments of such a score by chance in so many tokens."""
+        return float(self.scale * max(tokens, 1) * np.exp(-min(self.rate * score, 700.0)))
 
     def probability(self, evidence: float) -> float:
         if not self.known:
@@ -291,6 +366,11 @@ class Judge:
         return float(1 / (1 + np.exp(-np.clip(z, -30, 30))))
 
 
+def _surprise(expected: float) -> float:
+    """Minus the log of the chance of one such segment or more."""
+    return float(-np.log(-np.expm1(-expected))) if expected > 1e-12 else float(-np.log(max(expected, 1e-300)))
+
+
 def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     """Slope and offset of a one-variable logistic fit (Newton steps, lightly damped)."""
     center, spread = x.mean(), x.std() + 1e-6
@@ -317,10 +397,11 @@ def train(
         for v in (0, 1)
     ]
     asked = F.broadcast(keep(picked[0].union(picked[1]), "labels"))  # ``sample`` rows at most
+    own = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("own"))
+    # One document per label, so that what comes of a repeated id is bounded as well.
     rows = keep(
-        docs.join(asked, F.col(doc_id) == F.col("label_id")).select(
-            F.col(text).alias("own"), "label", "label_id"
-        ),
+        own.join(asked, F.col("doc_id") == F.col("label_id"))
+        .groupBy("label_id", "label").agg(F.min_by("own", F.xxhash64("own")).alias("own")),
         "labelled",
     )
     return _train(docs.select(text), rows)
@@ -331,24 +412,32 @@ def _train(corpus: DataFrame, rows: DataFrame) -> Judge:
     n_bad, n_good = sizes.get(1, 0), sizes.get(0, 0)
     if not n_bad or not n_good:
         return Judge(Lexicon(np.zeros(0, np.uint64), np.zeros(0)), 1.0, 1.0, known=False)
-    found = np.array([tuple(r) for r in toxic_units(rows).collect()], np.int64).reshape(-1, 2)
+    most = toxic_units(rows).orderBy(F.desc("n"), "unit").limit(UNITS)
+    found = np.array([tuple(r) for r in most.collect()], np.int64).reshape(-1, 2)
     names, bad = found[:, 0].view(np.uint64), found[:, 1]
     order = np.argsort(names)
     names, bad = names[order], bad[order]
     every = Lexicon(names, np.zeros(len(names)))
     counts, n_all = document_counts(corpus, every)
-    good, _ = document_counts(rows.where("label = 0").select("own"), every)
+    clean = rows.where("label = 0").select("own")
+    good, _ = document_counts(clean, every)
     # Shares are of all distinct words in a class's texts, so that long texts and very
     # common words weigh no more than they should.
-    sums = distinct_words(rows)
-    all_bad, all_good = sums.get(1, 0) + 1, sums.get(0, 0) + 1
+    sums = distinct_words(rows, every)
+    (all_good, other_good), (all_bad, other_bad) = sums.get(0, (0, 0)), sums.get(1, (0, 0))
+    all_bad, all_good = all_bad + 1, all_good + 1
     weight = PRIOR * all_bad
-    prior = weight * np.maximum(counts, 1) / (max(n_all, 1) * (all_bad + all_good) / (n_bad + n_good))
-    a, b = bad + prior, good + prior
-    odds = np.log(a / (all_bad + weight)) - np.log(b / (all_good + weight))
-    lower = odds - CAUTION * np.sqrt(1 / a + 1 / b)
-    judge = Judge(Lexicon(names[lower >= LEAST], lower[lower >= LEAST]), 1.0, 1.0)
-    judge.rate = _rate(judge.lexicon, rows.where("label = 0").select("own"))
+
+    def odds(bad, good, share):
+        a, b = bad + weight * share, good + weight * share
+        out = np.log(a / (all_bad + weight)) - np.log(b / (all_good + weight))
+        return out - CAUTION * np.sqrt(1 / a + 1 / b)
+
+    share = np.maximum(counts, 1) / (max(n_all, 1) * (all_bad + all_good) / (n_bad + n_good))
+    other = odds(other_bad, other_good, max(other_bad + other_good, 1) / (all_bad + all_good))
+    judge = Judge(Lexicon(names, odds(bad, good, share), float(min(other, -FLOOR))), 1.0, 1.0)
+    best, tokens = _best_segments(judge, clean)
+    judge.rate, judge.scale = extreme_value(best, tokens, _rate(judge.lexicon, clean))
     seen = rows.select(score(judge, F.col("own"))["evidence"].alias("evidence"), "label", "label_id")
     pairs = sorted((r.label_id, r.label, r.evidence) for r in seen.collect())
     judge.slope, judge.offset = _logistic(
@@ -357,18 +446,33 @@ def _train(corpus: DataFrame, rows: DataFrame) -> Judge:
     return judge
 
 
+def _best_segments(judge: Judge, clean: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """The greatest segment score (0 if none) and the number of tokens of every clean text."""
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, block in text_blocks(as_bytes(batch.column(0)), BLOCK):
+                _, n, found = judge.found(block)
+                best = [max((s for *_, s in own), default=0.0) for own in found]
+                yield pa.RecordBatch.from_arrays([pa.array(best, pa.float64()), pa.array(n)], ["best", "n"])
+
+    pairs = sorted(map(tuple, clean.mapInArrow(gather, "best double, n long").collect()))  # of the sample
+    return np.array([p[0] for p in pairs]), np.array([p[1] for p in pairs])
+
+
 def _rate(lexicon: Lexicon, clean: DataFrame) -> float:
     """Lambda from the token scores of clean texts; the strongest score counts once more."""
-    if not len(lexicon.hashes):
+    if not len(lexicon.hashes) or lexicon.values.max() <= 0:
         return 1.0
     counts, tokens = token_counts(clean, lexicon)
     counts[lexicon.values.argmax()] += 1
-    below = max(tokens - int(counts.sum()), 1)
-    # Enough drifting tokens that the mean is negative, however little text there is.
-    below = max(below, 2 * (counts * lexicon.values).sum() / DRIFT)
-    return decay(
-        np.concatenate([[-DRIFT], lexicon.values]), np.concatenate([[below], counts]).astype(float)
-    )
+    none = max(tokens - int(counts.sum()), 1)
+    values = np.concatenate([[lexicon.other], lexicon.values])
+    counts = np.concatenate([[none], counts]).astype(float)
+    mean = (counts * values).sum()
+    if mean >= 0:  # so little text that chance outweighs: enough other tokens that it does not
+        counts[0] += 2 * mean / -lexicon.other
+    return decay(values, counts)
 
 
 def score(judge: Judge, text: Column) -> Column:
