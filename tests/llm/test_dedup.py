@@ -89,6 +89,26 @@ def test_index_remembers(spark, folder):
     again.forget()
 
 
+def test_a_batch_that_is_repeated_keeps_its_rows(spark, folder):
+    """The driver dies after the index knows the batch and before the answer is written."""
+    index = DigestIndex(spark, "index_after_a_crash", folder, buckets=4)
+    index.add(docs(spark, [(9, "old")]), batch="monday").collect()
+    batch = docs(spark, [(1, "a b"), (2, "c"), (3, "ab"), (4, "o l d")])
+    first = sorted(map(tuple, index.add(batch, batch="tuesday").collect()))
+    again = sorted(map(tuple, index.add(batch, batch="tuesday").collect()))
+    assert first == again and sorted(r[0] for r in first if r[3]) == [1, 2]
+    assert index.rows().count() == 3
+    # The same texts as another batch are known.
+    assert not any(r.kept for r in index.add(batch, batch="wednesday").collect())
+    index.forget()
+
+
+def test_exact_hot_equal_rows_and_smallest_long(spark):
+    rows = [(1, "copy")] * 3000 + [(-(1 << 63), "x"), (5, "x"), ((1 << 63) - 1, "x"), (None, "x")]
+    rows += [(10 + i, f"text {i}") for i in range(100)]
+    assert sorted(map(tuple, exact_dedup(docs(spark, rows)).collect()), key=repr) == plain_exact(rows)
+
+
 def plain_print(text, words=3):
     own = [w.encode() for w in re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))]
     if not own:
@@ -270,3 +290,30 @@ def test_every_long_enough_stretch_is_found(spark):
     found = {r.doc_id: r.text for r in substring_dedup.substring_dedup(docs(spark, rows)).collect()}
     assert found == every_repeat(rows)
     assert [found[2 * i + 1] for i in range(4)] == [f"Before {i}. After {i}." for i in range(4)]
+
+
+def test_order_of_substrings_does_not_depend_on_other_rows(spark):
+    """One unrelated row without an id, or one id twice, changes nothing for the others."""
+    passage = "Here is a passage of many words that several documents share. It has a second sentence of some length. And it ends with a third."
+    given = [(i, f"Own words of document {i}. {passage} The end of {i} is its own.") for i in (7, 1, 5, 3)]
+    alone = {r.doc_id: r.text for r in substring_dedup.substring_dedup(docs(spark, given)).collect()}
+    assert passage in alone[1] and not any(passage in alone[i] for i in (3, 5, 7))
+    for more in ([(None, "something else")], [(9, "a"), (9, "b")], [(None, "x y z"), (None, "x y z")]):
+        found = {r.doc_id: r.text for r in substring_dedup.substring_dedup(docs(spark, given + more)).collect()}
+        assert {i: found[i] for i in alone} == alone
+
+
+@pytest.mark.parametrize("distance", [1, 2, 3])
+def test_crowded_links_reach_the_same(spark, distance):
+    rng = random.Random(distance)
+    base = rng.getrandbits(64)
+    values = {base}
+    while len(values) < 60:
+        values.add(rng.choice(sorted(values)) ^ 1 << rng.randrange(64))
+    values = [simhash._signed(v) for v in values]
+    want = reach(sorted(values), distance)
+    for crowd in (1, 5, 1000):
+        found = components(links(spark.createDataFrame([(v,) for v in values], "fp long"), distance, crowd=crowd))
+        roots = {r.node: r.root for r in found.collect()}
+        got = [roots.get(v, v) for v in sorted(values)]
+        assert got == [sorted(values)[w] for w in want]

@@ -190,6 +190,67 @@ def test_segments_are_the_maximal_ones():
         assert [s for *_, s in found] == pytest.approx([s for *_, s in expected])
 
 
+def test_many_hits_take_linear_time():
+    import time
+
+    values = np.random.default_rng(1).uniform(0.05, 2, 100_000)
+    start = time.perf_counter()
+    for drift in (0.01, 0.6, 3.0):
+        toxicity.segments(values.tolist(), list(range(0, 300_000, 3)), drift)
+    falling = np.linspace(2, 1, 100_000)
+    toxicity.segments(falling.tolist(), list(range(0, 300_000, 3)), 1.6)
+    assert time.perf_counter() - start < 4
+
+
+def test_segments_of_texts_match_the_plain_scan():
+    rng = np.random.default_rng(6)
+    names = [f"w{'abcdefghij'[i // 10]}{'abcdefghij'[i % 10]}zzzz" for i in range(40)]
+    own = split([" ".join(names).encode()], lower=True)
+    own_hash = own.hash[own.kind == 1]
+    order = np.argsort(own_hash)
+    value = rng.uniform(-1, 1.2, 40)
+    judge = toxicity.Judge(toxicity.Lexicon(own_hash[order], value[order], -0.4), 1.0, 0.1)
+    texts = [[rng.integers(0, 45) for _ in range(rng.integers(0, 30))] for _ in range(60)]
+    raw = [" ".join(names[i] if i < 40 else "other" for i in t).encode() for t in texts]
+    words, n, found = judge.found(raw)
+    first = 0
+    for t, segments in zip(texts, found, strict=True):
+        plain = plain_segments([value[i] if i < 40 else -0.4 for i in t])
+        assert [(a - first, b - first) for a, b, _ in segments] == [(a, b) for a, b, _ in plain]
+        assert [s for *_, s in segments] == pytest.approx([s for *_, s in plain])
+        first += len(t)
+
+
+def test_extreme_value_parameters_are_found():
+    """Greatest of Poisson many exponential scores, the law that is fitted."""
+    rng = np.random.default_rng(8)
+    tokens = rng.integers(50, 3000, 6000)
+    best = np.array([max(rng.exponential(1 / 1.7, rng.poisson(0.002 * n)), default=0.0) for n in tokens])
+    rate, scale = toxicity.extreme_value(best, tokens, 1.0)
+    assert rate == pytest.approx(1.7, rel=0.1) and scale == pytest.approx(0.002, rel=0.1)
+
+
+def test_one_document_of_a_labelled_id_is_learned_from(spark):
+    prepare(spark)
+    rows = [(1, f"the same id with text {i} and good words") for i in range(500)]
+    rows += [(i, f"a vile thing numbered {i} for all") for i in range(2, 40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    marked = labels(spark, [(1, 1, 0)] + [(i, i % 2, 1) for i in range(2, 40)])
+    found = docs.select(toxicity.score(toxicity.train(docs, marked), F.col("text")).alias("f"))
+    assert found.count() == len(rows)
+    assert quality.train(docs, marked).constant is None
+
+
+def test_languages_of_rows_that_share_an_id(spark):
+    """Labels of rows without an id, or with one id for all, are learned as well."""
+    rows = [(None if i % 2 else 7, f"die W\u00f6rter Nummer {i} eines Textes", "de") for i in range(3000)]
+    rows += [(i, f"the words number {i} of a text", "en") for i in range(300)]
+    net = langid.learn(spark.createDataFrame(rows, "doc_id long, text string, lang string"), sample=200)
+    assert net.labels == ["de", "en"]
+    hot = spark.createDataFrame([(None, "alles gleich hier", "de")] * 2000 + rows[-300:], "doc_id long, text string, lang string")
+    assert langid.learn(hot, sample=200).labels == ["de", "en"]
+
+
 def test_decay_solves_its_equation():
     values, counts = np.array([-1.0, 2.0]), np.array([9.0, 1.0])
     rate = toxicity.decay(values, counts)

@@ -25,7 +25,7 @@ def test_pipeline_against_plain_rules(spark, data):
     found = docs.select("doc_id", "text", predict(net, F.col("text")).alias("f")).collect()
     kept = [
         (r.doc_id, r.text) for r in found
-        if r.f.lang != "und" and r.f.score >= pipeline.MIN_LANGUAGE_SCORE
+        if r.f.lang != "und" and r.f.score >= pipeline.least_score(len(net.labels))
     ]
     assert len(kept) >= 0.97 * len(found)
     texts = dict(kept)
@@ -57,13 +57,42 @@ def test_stages_take_any_table(spark, data):
         out = stage(spark, docs, data)
         assert out.columns == docs.columns and out.dtypes == docs.dtypes, name
         ids = rows(out, "doc_id")
-        assert len(ids) == len(set(ids)) and (None,) not in ids
         assert stage(spark, docs.limit(0), data).count() == 0
         if name == "language_id":
-            assert ids == [(1,), (4,)]
-            assert out.where("doc_id = 1").first().text == given[0][1]
-        elif name in ("exact_dedup", "simhash_near_dedup"):
-            assert ids == [(1,), (2,), (4,)]
+            assert ids == [(1,), (1,), (1,), (4,), (None,)]
+        elif name == "benchmark_decontamination":
+            assert ids == rows(docs, "doc_id")
+        else:  # one of the rows alike in id and text, one of the empty texts
+            assert ids == [(1,), (1,), (2,), (4,), (None,)]
+            assert {r.text for r in out.where("doc_id = 1").collect()} == {given[0][1], "short"}
     pieces = pipeline.pack_sequences(spark, docs, data)
-    assert {r.doc_id for r in pieces.collect()} == {1, 2, 3, 4}
+    assert {r.doc_id for r in pieces.collect()} == {None, 1, 2, 3, 4}
     assert pipeline.pack_sequences(spark, docs.limit(0), data).count() == 0
+
+
+def test_rows_without_an_id_of_their_own_are_judged_by_their_text(spark, data):
+    """A third of the rows without an id, a third with the same one: only copies go."""
+    prepare(spark)
+    docs = spark.createDataFrame(
+        [(i if i % 3 == 0 else (None if i % 3 == 1 else 7), f"text {i} with words {i * i} {i + 1}x of its own {i}", "en") for i in range(90)],
+        "doc_id long, text string, lang string",
+    )
+    copies = docs.where("text LIKE 'text 1%'")
+    doubled = docs.unionByName(copies.withColumn("text", F.concat(F.lit(" "), "text"))).unionByName(copies)
+    found = pipeline.drop_exact_copies(spark, doubled, data)
+    assert found.count() == 90
+    # Of each group the text with one more blank is the longest.
+    assert found.where("text LIKE ' %'").count() == copies.count()
+    near = pipeline.drop_near_copies(spark, doubled, data)
+    kept = [r.text.strip() for r in near.collect()]
+    prints = {simhash._signed(plain_print(r.text)) for r in docs.collect()}
+    assert len(kept) == len(set(kept)) == len(set(reach(sorted(prints), 3)))
+    items = [r.text for r in spark.read.parquet(f"{data}/benchmark.parquet").limit(1).collect()]
+    dirty = spark.createDataFrame([(None, f"a {items[0]} b", "en"), (7, f"c {items[0]} d", "en")], docs.schema)
+    clean = pipeline.drop_contaminated(spark, docs.unionByName(dirty), data)
+    assert rows(clean, "text") == rows(docs, "text")
+    assert pipeline.language_id(spark, docs, data).count() == 90
+
+
+def test_the_language_limit_follows_the_number_of_languages():
+    assert [pipeline.least_score(k) for k in (0, 1, 2, 3, 4, 100)] == [0.6, 0.6, 0.6, 0.39999999999999997, 0.3, 0.012]

@@ -290,6 +290,67 @@ def test_unclosed_elements_end_with_their_parent(html, text):
     assert html_extract.extract(page, weights) == "First words.\n\n" + text
 
 
+@pytest.mark.parametrize(
+    "inner",
+    [
+        '<h2 class="section-header">{}</h2>',
+        '<p class="ad-hoc">{}</p>',
+        '<p class="form-factor">{}</p>',
+        "<header><h1>{}</h1></header>",
+        '<div class="header">{}</div>',
+    ],
+)
+def test_names_alone_drop_nothing_of_an_article(inner):
+    page = PAGE.format(open="article", close="article").replace("<p>x</p>", "<p>x</p>" + inner.format("More of it."))
+    for weights in (html_extract.Weights(), html_extract.learn([PAGE.format(open="article", close="article")] * 5)):
+        assert html_extract.extract(page, weights) == TEXT + "\n\nMore of it."
+
+
+def test_names_are_learned_from_where_they_stand():
+    def page(name, inside):
+        box = f'<div class="{name}"><p>Some words in a box.</p></div>'
+        return f"<body>{'' if inside else box}<article><p>The text.</p>{box if inside else ''}<p>Its end.</p></article>"
+
+    weights = html_extract.learn([page("qux", False)] * 20 + [page("promo", True)] * 60)
+    assert html_extract.extract(page("qux", True), weights) == "The text.\n\nIts end."
+    assert html_extract.extract(page("promo", True), weights) == "The text.\n\nSome words in a box.\n\nIts end."
+    assert html_extract.extract(page("quux", True), weights) == "The text.\n\nSome words in a box.\n\nIts end."
+
+
+def test_unclosed_elements_take_linear_time():
+    import time
+
+    def seconds(n):
+        page = "<article>" + "<div><p>word <b>bold<span class='x'>" * n + "</article>"
+        start = time.perf_counter()
+        html_extract.extract(page, html_extract.Weights())
+        return time.perf_counter() - start
+
+    seconds(100)
+    assert seconds(16_000) < 12 * max(seconds(4_000), 0.02)
+
+
+def test_region_is_the_best_contiguous_one():
+    """Against all pairs of ends."""
+    import random
+
+    rng = random.Random(4)
+    weights = html_extract.Weights({"p": 0.4, "/p": 0.4, "div": 5.0, "/div": 5.0, "b": 0.1, "/b": 0.1}, 0.3)
+    for _ in range(60):
+        parts = [rng.choice(["<p>", "</p>", "<div>", "</div>", "<b>", "</b>", "one two ", "a few more words "]) for _ in range(18)]
+        own = html_extract.tokens("".join(parts))
+        skip = [False] * len(own)
+        value = [-weights.of(t) if t.key else weights.word * len(t.text.split()) for t in own]
+        best = max((sum(value[i:j]) for i in range(len(own)) for j in range(i + 1, len(own) + 1)), default=0)
+        first, end = html_extract.region(own, skip, weights)
+        if best <= 0:
+            assert (first, end) == (0, len(own))
+            continue
+        # Growth adds cheap tags only, to both sides of a best region.
+        inner = [(i, j) for i in range(first, end) for j in range(i + 1, end + 1) if abs(sum(value[i:j]) - best) < 1e-9]
+        assert inner
+
+
 def test_page_table_edges(spark):
     prepare(spark)
     rows = [(1, "u", None), (2, None, ""), (2, "v", "<p>x y</p>"), (None, "w", PAGE.format(open="article", close="article"))]
