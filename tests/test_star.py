@@ -1,10 +1,10 @@
 from datetime import date
 
 import pytest
-from helpers import rows
+from helpers import plan, rows
 from pyspark.sql import functions as F
 
-from tillwright.operators import windows
+from tillwright.operators import joins, windows
 from tillwright.operators.quality import QualityError, verify_history
 from tillwright.plans import analytics, marts, scd2, star
 from tillwright.sources.tables import Warehouse
@@ -330,3 +330,50 @@ def test_a_damaged_star_leaves_the_old_one(spark, folder, monkeypatch):
     monkeypatch.setattr(star, "build_fact", build)
     star.load_star(warehouse, customers, products, more, "2024-02-02")
     assert warehouse.read("fact_sales").count() == 2 and warehouse.read("dim_store").count() == 2
+
+
+def versioned(spark, records):
+    return spark.createDataFrame(
+        records, "customer_key bigint, customer_id string, effective_from date, effective_to date"
+    )
+
+
+def test_as_of_merge_equals_the_join(spark):
+    from datetime import timedelta
+
+    day = date(2024, 1, 1)
+    # A key with 1,500 versions of a day, gaps among them; an open one; one that begins late.
+    versions = [(i, "many", day + timedelta(i), day + timedelta(i)) for i in range(1500) if i % 10]
+    versions += [(5000, "open", day, END), (5001, "late", day + timedelta(400), END), (5002, None, day, END)]
+    dim = versioned(spark, versions)
+    facts = [(f"m{i}", "many", day + timedelta(i), 1) for i in range(0, 1600, 3)]
+    # A hot key, days before, at and after every edge, nulls.
+    facts += [(f"o{i}", "open", day + timedelta(i % 700 - 5), 2) for i in range(900)]
+    facts += [("l1", "late", day + timedelta(399), 3), ("l2", "late", day + timedelta(400), 3)]
+    facts += [("n1", None, day, 4), ("n2", "open", None, 5), ("u", "unknown", day, 6)]
+    sales = spark.createDataFrame(facts, "sale string, customer_id string, d date, effective_to int")
+    args = ("customer_id", "d", ["customer_key"])
+    merged = joins.as_of_merge(sales, dim, *args)
+    assert merged.columns == [*sales.columns, "customer_key"]
+    assert rows(merged) == rows(joins.as_of_version(sales, dim, *args))
+    assert rows(joins.as_of(sales, dim, *args)) == rows(merged)
+    # Where no key is hot nothing is cut into months.
+    few = sales.where("customer_id = 'many'").limit(3).unionByName(sales.where("customer_id <> 'many'").limit(2))
+    assert rows(joins.as_of_merge(few, dim, *args)) == rows(joins.as_of_version(few, dim, *args))
+    assert joins.as_of_merge(sales.limit(0), dim, *args).count() == 0
+    assert joins.as_of_merge(sales, dim.limit(0), *args).count() == 0
+
+
+def test_one_join_in_the_dimension(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(scd2, "cut", lambda df: seen.append(plan(df)) or df.checkpoint())
+    source_1 = source(spark, ("1", "a", "x"), ("2", "b", "x"), ("3", "c", "x"))
+    dim = scd2.build_customer_dimension(source_1, None, FIRST, "2024-02-01")
+    source_2 = source(spark, ("1", "a", "x"), ("2", "moved", "x"), ("4", None, "x"))
+    second = scd2.build_customer_dimension(source_2, dim, FIRST, "2024-02-02")
+    assert len(seen) == 1 and seen[0].count("FullOuter") == 1
+    found = rows(second, "customer_key", "customer_id", "city", "is_current", "version")
+    assert found == [
+        (1, "1", "a", True, 1), (2, "2", "b", False, 1), (3, "3", "c", True, 1),
+        (4, "2", "moved", True, 2), (5, "4", None, True, 1),
+    ]

@@ -15,6 +15,7 @@ from tillwright.sources import bridge
 from tillwright.sources.sinks import replace_table
 from tillwright.sources.storage import read_table
 from tillwright.sources.tables import Warehouse
+from tillwright.streaming import ledger
 
 NEXT_AT = "2024-02-02 06:00:00"
 
@@ -68,8 +69,9 @@ INCREMENTAL_SQL = f"""WITH {CUSTOMERS_SQL},
 def job_incremental(t):
     """A first arrival, a new folder with a changed one, nothing new, a folder put back.
 
-    Files lie in a folder per segment. Each run loads and marks only what is new; the
-    rows of a run are what it processed.
+    Files lie in a folder per segment, as many as Spark writes. Each run loads and marks
+    only what is new: the folders of its files are counted in the ledger, the rows are
+    what it processed.
     """
     base = run_dir(t.spark, "incremental")
     text = {"header": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
@@ -78,17 +80,19 @@ def job_incremental(t):
     def arrive(parts):
         for part in parts:
             own = raw.filter(F.col("part") == part).drop("part")
-            own.coalesce(1).write.options(**text).mode("overwrite").csv(
-                f"{base}/raw/customers/part-{part}"
-            )
+            own.write.options(**text).mode("overwrite").csv(f"{base}/raw/customers/part-{part}")
 
     segments = [r["part"] for r in raw.select("part").distinct().collect()]
     arrivals = [[n for n in segments if n != "furniture"], ["furniture", "building"], [], ["building"]]
     runs = []
     for number, parts in enumerate(arrivals, 1):
         arrive(parts)
-        (load,) = incremental.run(t.spark, f"{base}/raw", f"{base}/lake", f"2024-02-0{number} 06:00:00")
-        runs.append((number, load.files, load.rows))
+        at = f"2024-02-0{number} 06:00:00"
+        (load,) = incremental.run(t.spark, f"{base}/raw", f"{base}/lake", at)
+        book = ledger.read_ledger(Warehouse(t.spark, f"{base}/lake"))
+        own = book.filter(F.col("processed_at") == F.lit(at).cast("timestamp"))
+        folders = own.agg(F.count_distinct(F.substring_index("path", "/", 1))).first()[0]
+        runs.append((number, folders, load.rows))
     return t.spark.createDataFrame(runs, "run int, segments bigint, rows bigint")
 
 
@@ -135,7 +139,7 @@ ORDERS_SQL = f"""{CUSTOMERS_SQL}, {PRODUCTS_SQL}, {s.CAST_ORDERS}, batched AS (
         AND order_id NOT IN (SELECT order_id FROM good WHERE batch = 2))))"""
 
 
-def _load_orders(t, zones):
+def _load_orders(t, zones, summary=False):
     curate.load_customers(zones, bridge.raw_customers(t), at=RUN_AT, batch="1")
     curate.load_products(zones, bridge.raw_products(t), at=RUN_AT, batch="1")
     raw = bridge.raw_orders(t)
@@ -144,6 +148,8 @@ def _load_orders(t, zones):
         ("2", raw.filter("arrived_on >= '2000-01-01'")),
     ):
         curate.load_orders(zones, part, at=RUN_AT, batch=batch, arrival=["arrived_on"])
+        if summary:
+            curate.load_order_summary(zones, at=RUN_AT)
 
 
 @query(
@@ -170,9 +176,9 @@ def job_orders(t):
            {s.money('quantity * unit_price')} AS total_sales FROM curated_o GROUP BY order_date""",
 )
 def job_order_summary(t):
+    """The summary is brought up to date after each of two arrivals."""
     zones = _zones(t, "summary")
-    _load_orders(t, zones)
-    curate.load_order_summary(zones, at=RUN_AT)
+    _load_orders(t, zones, summary=True)
     return zones.read("curated/order_summary").drop("processed_timestamp")
 
 

@@ -48,22 +48,24 @@ def left_on(t):
     return joins.lookup_on(lines, large, "l_partkey", "p_partkey")
 
 
-@query(
-    "jn_scd2_asof",
-    f"""WITH {s.HISTORY}, {s.ORDERS}
+ASOF_SQL = f"""WITH {s.HISTORY}, {s.ORDERS}
     SELECT order_id, product_id, o.customer_id, order_date, h.customer_key, h.customer_segment
     FROM r_orders o JOIN history h ON o.customer_id = h.customer_id
-      AND order_date BETWEEN effective_from AND effective_to""",
-)
+      AND order_date BETWEEN effective_from AND effective_to"""
+ASOF = ("customer_id", "order_date", ["customer_key", "customer_segment"])
+
+
+@query("jn_scd2_asof", ASOF_SQL)
 def asof(t):
     orders = bridge.order_lines(t).select("order_id", "product_id", "customer_id", "order_date")
-    return joins.as_of_version(
-        orders,
-        bridge.customer_history(t),
-        "customer_id",
-        "order_date",
-        ["customer_key", "customer_segment"],
-    )
+    return joins.as_of_version(orders, bridge.customer_history(t), *ASOF)
+
+
+@query("jn_scd2_asof_merge", ASOF_SQL)
+def asof_merge(t):
+    """The same by one sorted stream of versions and orders."""
+    orders = bridge.order_lines(t).select("order_id", "product_id", "customer_id", "order_date")
+    return joins.as_of_merge(orders, bridge.customer_history(t), *ASOF)
 
 
 @query(

@@ -12,8 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillwright.operators import clean, quality
-from tillwright.operators.aggregates import order_summary_daily
 from tillwright.operators.windows import keep_last
+from tillwright.plans import daily
 from tillwright.plans.state import apply_changes
 from tillwright.schemas import (
     CUSTOMER_COLUMNS,
@@ -244,12 +244,14 @@ def load_enriched(
 
 
 def load_order_summary(zones: Warehouse, at: str | None = None) -> int:
-    """Daily summary of the curated orders, rewritten whole; no orders, no summary."""
-    orders = zones.read_or_none("curated/orders")
-    if orders is None:
+    """Daily summary of the curated orders; only what changed is summed again.
+
+    Returns the days that the summary has; no orders, no summary.
+    """
+    if not zones.has(daily.ORDERS):
         return 0
-    summary = clean.stamp(order_summary_daily(orders), at)
-    return sinks.replace_table(summary, zones.path("curated/order_summary"))
+    daily.refresh(zones, at)
+    return zones.read(daily.SUMMARY).count()
 
 
 LOADERS = {

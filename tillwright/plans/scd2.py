@@ -3,15 +3,15 @@
 from __future__ import annotations
 
 from datetime import date
-from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillwright.functions.text import tidy
 from tillwright.operators.clean import accept_customer_name, normalise_day
 from tillwright.operators.windows import keep_last, max_key, number_rows
 from tillwright.schemas import TRACKED_CUSTOMER_COLUMNS, require_columns
+from tillwright.session import cut
 
 # Fixed value: end of a version that is still open.
 OPEN_END = "9999-12-31"
@@ -70,8 +70,10 @@ def must_rebuild(dim: DataFrame, first_day: date | str) -> bool:
 def next_load(dim: DataFrame, source: DataFrame, run_day: date | str) -> DataFrame:
     """Open, close and update versions for one run.
 
-    One join of the current versions with the source decides every row. Ids the
-    source does not mention stay open. Only new versions get new keys.
+    One join of the current versions with the source decides every row, and each joined
+    row emits what becomes of it: the version that was there, kept, updated in place or
+    closed, and the version that it opens. The emitted rows are stored once; only those
+    that opened are numbered. Ids the source does not mention stay open.
     """
     today = _day(run_day)
     attributes = TRACKED_CUSTOMER_COLUMNS
@@ -81,39 +83,43 @@ def next_load(dim: DataFrame, source: DataFrame, run_day: date | str) -> DataFra
         F.col("customer_id").alias("new_id"), *[F.col(n).alias(f"new_{n}") for n in attributes]
     )
     both = current.join(incoming, F.col("customer_id") == F.col("new_id"), "full_outer")
-    differs = reduce(
-        lambda a, b: a | b,
-        [
-            ~F.col(n).cast("string").eqNullSafe(F.col(f"new_{n}").cast("string"))
-            for n in attributes
-        ],
-    )
-    changed = F.col("new_id").isNotNull() & F.col("customer_id").isNotNull() & differs
+    known, offered = F.col("customer_id").isNotNull(), F.col("new_id").isNotNull()
+    # The attributes of both sides as one value each; nulls are equal to each other.
+    before = F.struct(*[F.col(n).cast("string").alias(n) for n in attributes])
+    after = F.struct(*[F.col(f"new_{n}").cast("string").alias(n) for n in attributes])
+    changed = known & offered & ~before.eqNullSafe(after)
     in_place = changed & (F.col("effective_from") == today)
     closed = changed & (F.col("effective_from") != today)
 
-    # Rows that were there: kept, updated in place, or closed.
-    settled = both.filter(F.col("customer_id").isNotNull()).select(
-        "customer_key",
-        "customer_id",
-        *[F.when(in_place, F.col(f"new_{n}")).otherwise(F.col(n)).alias(n) for n in attributes],
-        "effective_from",
-        F.when(closed, F.date_sub(today, 1)).otherwise(F.col("effective_to")).alias("effective_to"),
-        (~closed).alias("is_current"),
-        "version",
+    def version(**columns) -> Column:
+        return F.struct(*[columns[n].cast(dim.schema[n].dataType).alias(n) for n in COLUMNS])
+
+    settled = version(
+        customer_key=F.col("customer_key"),
+        customer_id=F.col("customer_id"),
+        **{n: F.when(in_place, F.col(f"new_{n}")).otherwise(F.col(n)) for n in attributes},
+        effective_from=F.col("effective_from"),
+        effective_to=F.when(closed, F.date_sub(today, 1)).otherwise(F.col("effective_to")),
+        is_current=~closed,
+        version=F.col("version"),
     )
-    opened = both.filter(F.col("customer_id").isNull() | closed).select(
-        F.col("new_id").alias("customer_id"),
-        *[F.col(f"new_{n}").alias(n) for n in attributes],
-        today.alias("effective_from"),
-        _day(OPEN_END).alias("effective_to"),
-        F.lit(True).alias("is_current"),
-        (F.coalesce("version", F.lit(0)) + 1).alias("version"),
+    opened = version(
+        customer_key=F.lit(None),
+        customer_id=F.col("new_id"),
+        **{n: F.col(f"new_{n}") for n in attributes},
+        effective_from=today,
+        effective_to=_day(OPEN_END),
+        is_current=F.lit(True),
+        version=F.coalesce("version", F.lit(0)) + 1,
+    )
+    opens = offered & (~known | closed)
+    emitted = cut(
+        both.select(F.inline(F.array_compact(F.array(F.when(known, settled), F.when(opens, opened)))))
     )
-    opened = number_rows(
-        opened, ["customer_id"], "customer_key", max_key(dim, "customer_key") + 1
-    ).select(*COLUMNS)
-    return history.unionByName(settled).unionByName(opened)
+    fresh = emitted.filter("customer_key IS NULL").drop("customer_key")
+    numbered = number_rows(fresh, ["customer_id"], "customer_key", max_key(dim, "customer_key") + 1)
+    kept = emitted.filter("customer_key IS NOT NULL")
+    return history.unionByName(kept).unionByName(numbered.select(*COLUMNS))
 
 
 def build_customer_dimension(

@@ -12,7 +12,7 @@ from tillwright.functions.money import line_amount
 from tillwright.functions.text import tidy
 from tillwright.operators import quality
 from tillwright.operators.clean import default_discount
-from tillwright.operators.joins import as_of_version, lookup_on
+from tillwright.operators.joins import as_of, as_of_version, lookup_on
 from tillwright.operators.sets import distinct_values
 from tillwright.operators.windows import keep_last, number_rows
 from tillwright.plans.scd2 import build_customer_dimension
@@ -88,7 +88,9 @@ def build_fact(
         "quantity", "unit_price", "discount", *order,
     ]
     df = keep_last(df.select(*used), ["order_id"], order)
-    df = as_of_version(df, dim_customer, "customer_id", "order_date", ["customer_key"])
+    overlap = versions_overlap(dim_customer)
+    as_of_day = as_of_version if overlap else as_of
+    df = as_of_day(df, dim_customer, "customer_id", "order_date", ["customer_key"])
     df = lookup_on(df, dim_product.select("product_key", "product_id"), "product_id", "product_id")
     df = lookup_on(df, dim_store.select("store_key", "store_id"), "store_id", "store_id")
     df = lookup_on(df, dim_date.select("date_key", "full_date"), "order_date", "full_date")
@@ -104,7 +106,7 @@ def build_fact(
     )
     # Orders are unique already. A sale can only repeat where versions overlap,
     # and looking at the dimension is cheaper than another pass over the fact.
-    if versions_overlap(dim_customer):
+    if overlap:
         fact = keep_last(fact, ["sale_id"], ["customer_key"])
     return fact.select(*FACT_COLUMNS)
 
