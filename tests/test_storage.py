@@ -5,6 +5,7 @@ import pytest
 from helpers import rows
 from pyspark.sql import functions as F
 
+from tillwright.plans import incremental
 from tillwright.schemas import SchemaError
 from tillwright.sources import files, publish, sinks, storage, tables
 
@@ -36,6 +37,40 @@ def test_csv_keeps_text_and_reads_folders(spark, folder):
     assert rows(read) == sorted([("007", " x "), (None, "y")] * 2, key=repr)
 
 
+def test_broken_lines_are_kept(spark, folder):
+    text = 'Order ID,name,city\n1,a,x\n2,b\n3,c,y,more\n4,"d, e",z\n5,"open,z\n6,f,\n\n,,\n7,"g h",w\n'
+    spark.createDataFrame([(text.rstrip("\n"),)], "value string").coalesce(1).write.text(f"{folder}/raw")
+    checked = files.read_csv_checked(spark, f"{folder}/raw")
+    good, bad = files.split_lines(checked)
+    assert good.columns == ["order_id", "name", "city"]
+    assert rows(good) == sorted(
+        [("1", "a", "x"), ("4", "d, e", "z"), ("6", "f", None), (None, None, None), ("7", "g h", "w")], key=repr
+    )
+    assert rows(bad, "line") == [("2,b",), ("3,c,y,more",), ('5,"open,z',)]
+    assert bad.filter("file LIKE '%/raw/part-%'").count() == 3 and bad.count() == 3
+    (counts,) = files.line_counts(checked).collect()
+    assert (counts.good_lines, counts.bad_lines) == (5, 3)
+    with pytest.raises(ValueError):
+        files.read_csv_checked(spark, f"{folder}/raw", header=False)
+
+
+def test_broken_lines_go_to_quarantine(spark, folder):
+    header = "product_id,product_name,category,price,supplier"
+    text = header + "\n1,A,x,2.5,s\n2,B,x,3.5\n3,C, with a comma,x,1,s\n4,D,x,oops,s"
+    spark.createDataFrame([(text,)], "value string").coalesce(1).write.text(f"{folder}/raw/products")
+    spark.createDataFrame([("keep",)], "value string").write.text(f"{folder}/other")
+    paths = spark.read.format("binaryFile").load(f"{folder}/raw/products/part-*").select("path").collect()
+    for row in paths:  # the ledger lists CSV files
+        fs = storage._fs(spark, row.path)
+        fs.rename(storage._path(spark, row.path), storage._path(spark, row.path.replace(".txt", ".csv")))
+    (load,) = incremental.run(spark, f"{folder}/raw", f"{folder}/lake", "2024-02-01 06:00:00")
+    assert (load.rows, load.broken) == (1, 2)
+    zones = tables.Warehouse(spark, f"{folder}/lake")
+    assert rows(zones.read("quarantine/products_lines"), "line") == [("2,B,x,3.5",), ("3,C, with a comma,x,1,s",)]
+    assert zones.read("quarantine/products").count() == 1
+    assert rows(zones.read("curated/products"), "product_id", "product_name") == [("1", "A")]
+
+
 def test_unknown_format(spark, folder):
     with pytest.raises(ValueError):
         files.read_source(spark, folder, "xml")

@@ -32,6 +32,50 @@ def csv_text(t):
     return files.read_csv_text(t.spark, path)
 
 
+# A line per product: some lack their last field, some have one too many because a comma
+# is not quoted.
+LINES_SQL = """lines AS (SELECT p_partkey, p_size,
+      CASE WHEN p_size = 1 THEN p_partkey || ',' || p_name
+           WHEN p_size = 2 THEN p_partkey || ',' || p_name || ',' || p_brand || ',' || p_size
+           WHEN p_size = 3 THEN CAST(p_partkey AS VARCHAR)
+           WHEN p_size = 4 THEN p_partkey || ',"' || p_name || ', new",' || p_brand
+           ELSE p_partkey || ',' || p_name || ',' || p_brand END AS line,
+      CASE WHEN p_size = 4 THEN p_name || ', new' ELSE p_name END AS name, p_brand
+    FROM part)"""
+
+
+@query(
+    "src_csv_malformed",
+    f"""WITH {LINES_SQL} SELECT CASE WHEN p_size > 3 THEN 'good' ELSE 'bad' END AS outcome,
+           CASE WHEN p_size > 3 THEN CAST(p_partkey AS VARCHAR) END AS product_id,
+           CASE WHEN p_size > 3 THEN name END AS product_name,
+           CASE WHEN p_size > 3 THEN p_brand END AS supplier,
+           CASE WHEN p_size <= 3 THEN line END AS line, 1 AS files FROM lines""",
+)
+def csv_malformed(t):
+    """Broken lines keep their text and file, the others their fields; none is lost."""
+    path = run_dir(t.spark, "malformed")
+    size, key = F.col("p_size"), F.col("p_partkey").cast("string")
+    new_name = F.concat(F.lit('"'), F.col("p_name"), F.lit(', new"'))
+    line = (
+        F.when(size == 1, F.concat_ws(",", key, "p_name"))
+        .when(size == 2, F.concat_ws(",", key, "p_name", "p_brand", size))
+        .when(size == 3, key)
+        .when(size == 4, F.concat_ws(",", key, new_name, "p_brand"))
+        .otherwise(F.concat_ws(",", key, "p_name", "p_brand"))
+    )
+    t.part.select(line.alias("value")).write.text(path)
+    checked = files.read_csv_checked(t.spark, path, ["product_id", "product_name", "supplier"], header=False)
+    good, bad = files.split_lines(checked)
+    of_file = F.when(F.col("file").contains("/malformed-"), 1).otherwise(0)
+    return good.select(
+        F.lit("good").alias("outcome"), "product_id", "product_name", "supplier",
+        F.lit(None).cast("string").alias("line"), F.lit(1).alias("files"),
+    ).unionByName(
+        bad.select(F.lit("bad").alias("outcome"), "line", of_file.alias("files")), allowMissingColumns=True
+    )
+
+
 @query(
     "src_csv_chunked",
     f"""WITH {s.RAW_ORDERS} SELECT order_id, product_id, quantity, order_status FROM raw_o

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import hashlib
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillwright.plans import curate
-from tillwright.sources.files import read_csv_text
+from tillwright.sources.files import read_csv_checked, split_lines
+from tillwright.sources.sinks import write_quarantine
 from tillwright.sources.tables import Warehouse
 from tillwright.streaming import ledger
 
@@ -18,11 +20,12 @@ ORDER = ("customers", "products", "orders", "orders_enriched")
 
 @dataclass(frozen=True)
 class Load:
-    """What one run did with one dataset."""
+    """What one run did with one dataset; ``broken`` lines went to quarantine."""
 
     dataset: str
     files: int
     rows: int
+    broken: int = 0
 
 
 def new_files(zones: Warehouse, folder: str, dataset: str) -> DataFrame:
@@ -39,18 +42,23 @@ def load_new(
 ) -> Load:
     """One dataset: nothing is read or marked if no file is new or changed.
 
-    Only the names of the new files come to the driver. Files are marked after their
-    rows are in the tables, so a failed run is repeated and applies the same changes.
+    Only the names of the new files come to the driver. Lines that do not fit their file's
+    header go to ``quarantine/<dataset>_lines`` with their text and file. Files are marked
+    after their rows are in the tables, so a failed run is repeated and applies the same
+    changes.
     """
     found = new_files(zones, folder, dataset).collect()
     if not found:
         return Load(dataset, 0, 0)
     base = folder.rstrip("/")
-    raw = read_csv_text(zones.spark, [f"{base}/{r['path']}" for r in found])
-    rows = curate.load(zones, dataset, raw, at=at, **options)
+    good, broken = split_lines(read_csv_checked(zones.spark, [f"{base}/{r['path']}" for r in found]))
+    # The same files always make the same folder, so a repeated run replaces its lines.
+    batch = options.get("batch") or hashlib.sha256(repr(sorted(map(tuple, found))).encode()).hexdigest()[:32]
+    n_broken = write_quarantine(broken, zones.path(f"quarantine/{dataset}_lines"), batch)
+    rows = curate.load(zones, dataset, good, at=at, **options)
     marked = zones.spark.createDataFrame(found)
     ledger.mark_processed(zones, marked, at, records=rows)
-    return Load(dataset, len(found), rows)
+    return Load(dataset, len(found), rows, n_broken)
 
 
 def run(

@@ -31,6 +31,53 @@ def read_csv_text(
     return clean_names(reader.csv(paths))
 
 
+#: The columns that a checked read adds: the text of a line that does not fit, its file.
+LINE, FILE = "_bad_line", "_file"
+
+
+def read_csv_checked(
+    spark: SparkSession, paths: str | list[str], columns: list[str] | None = None, header: bool = True
+) -> DataFrame:
+    """CSV as text, with the lines that do not fit marked: ``_bad_line`` and ``_file``.
+
+    A line fits if it has as many fields as the header (or ``columns``, where there is no
+    header). Of one that does not, the text is kept in ``_bad_line`` and its fields count for
+    nothing; for all others ``_bad_line`` is null. Line breaks inside quotes are not read.
+    """
+    reader = spark.read.option("header", header).option("recursiveFileLookup", True)
+    if columns is None:
+        if not header:
+            raise ValueError("a file without a header needs the names of its columns")
+        columns = reader.option("enforceSchema", False).csv(paths).columns
+    schema = text_schema([*columns, LINE])
+    rows = (
+        reader.schema(schema)
+        .option("enforceSchema", True)
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", LINE)
+        .csv(paths)
+    )
+    # A line is judged by all of its fields, so whoever asks for it reads them all.
+    every = F.coalesce(*[F.col(f"`{n}`") for n in columns], F.lit(""))
+    line = F.concat(F.col(LINE), F.substring(every, 1, 0))
+    return clean_names(rows.withColumns({FILE: F.col("_metadata.file_path"), LINE: line}))
+
+
+def split_lines(checked: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows of lines that fit, and (file, line) of those that do not."""
+    good = checked.filter(F.col(LINE).isNull()).drop(LINE, FILE)
+    bad = checked.filter(F.col(LINE).isNotNull())
+    return good, bad.select(F.col(FILE).alias("file"), F.col(LINE).alias("line"))
+
+
+def line_counts(checked: DataFrame) -> DataFrame:
+    """Per file: lines that fit and lines that do not."""
+    return checked.groupBy(F.col(FILE).alias("file")).agg(
+        F.count_if(F.col(LINE).isNull()).alias("good_lines"),
+        F.count_if(F.col(LINE).isNotNull()).alias("bad_lines"),
+    )
+
+
 def read_source(spark: SparkSession, path: str, file_format: str = "parquet") -> DataFrame:
     """Parquet, or CSV with a header and inferred types."""
     if file_format == "csv":
