@@ -5,8 +5,10 @@ from helpers import plan
 
 import __spark_entry__ as entry
 from tillwright.catalogue.base import Tables
-from tillwright.operators import quality, windows
+from tillwright.operators import clean, quality, windows
+from tillwright.plans import analytics
 from tillwright.sources import bridge, files
+from tillwright.sources.storage import read_table
 
 
 @pytest.fixture
@@ -23,6 +25,58 @@ def test_filter_reaches_the_scan(t):
     assert "ReadSchema: struct<o_orderkey:bigint,o_orderdate:timestamp_ntz>" in text
 
 
+def test_rules_read_columns_that_are_computed_once(t):
+    """Every cast stands once in the plan, and the orders are read once for both outcomes."""
+    typed = clean.cast_orders(bridge.raw_orders(t))
+    valid, _ = quality.split_valid(typed, quality.order_rules())
+    text = valid._jdf.queryExecution().optimizedPlan().toString()
+    casts = text.count("try_cast(trim(") + text.count("cast(trim(")
+    plain = typed._jdf.queryExecution().optimizedPlan().toString()
+    assert casts == plain.count("try_cast(trim(") + plain.count("cast(trim(")
+    assert text.count("Relation ") == plain.count("Relation ")
+
+
+def test_outcomes_are_one_write(spark, t, folder):
+    from tillwright.sources import storage
+
+    typed = clean.cast_orders(bridge.raw_orders(t))
+    marked = typed.withColumn("is_delete", quality.is_delete(typed))
+    found = quality.write_outcomes(quality.classify(marked, quality.order_rules()), folder, "is_delete")
+    assert sum(found.counts.values()) == typed.count() and all(found.counts.values())
+    for rows, name in ((found.valid, "valid"), (found.rejected, "rejected"), (found.deletes, "deleted")):
+        assert rows.count() == found.counts[name]
+        assert all(f"outcome={name}/" in f for f in rows.inputFiles())
+    assert storage.exists(spark, f"{folder}/_SUCCESS")
+
+
+def test_months_are_pruned_through_the_dimension(spark, t, folder):
+    analytics.load_fact_by_month(bridge.fact_sales(t), folder)
+    fact = read_table(spark, folder)
+    asked = analytics.category_revenue(
+        fact, bridge.dim_product(t), bridge.dim_date(t), "1996-02-01", "1996-04-01"
+    )
+    asked.collect()
+    text = plan(asked)
+    assert "dynamicpruning" in text.lower()
+    scans = {}
+
+    def visit(node):
+        if node.nodeName().startswith("Scan parquet") and "month_key" in node.toString():
+            files = node.metrics().get("numFiles")
+            scans[node.id()] = files.get().value() if files.isDefined() else None
+        kids = list(spark._jvm.scala.jdk.javaapi.CollectionConverters.asJava(node.children()))
+        for kid in kids:
+            visit(kid)
+        if node.nodeName().startswith("AdaptiveSparkPlan"):
+            visit(node.executedPlan())
+        if "QueryStage" in node.nodeName():
+            visit(node.plan())
+
+    visit(asked._jdf.queryExecution().executedPlan())
+    months = fact.select("month_key").distinct().count()
+    assert 0 < max(scans.values()) <= 0.1 * max(months, len(fact.inputFiles()))
+
+
 def test_only_the_asked_column_is_read(t):
     assert "ReadSchema: struct<o_custkey:bigint>" in plan(files.read_columns(t.orders, "o_custkey"))
 

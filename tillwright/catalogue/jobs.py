@@ -9,6 +9,7 @@ from tillwright.catalogue.base import query
 from tillwright.catalogue.cleaning import RUN_AT, TITLE
 from tillwright.catalogue.dataquality import EVENTS_SQL
 from tillwright.operators import clean, vectors
+from tillwright.operators.vector_index import VectorIndex
 from tillwright.plans import curate, incremental, marts, monitoring, optimised_join, scd2, star
 from tillwright.session import run_dir
 from tillwright.sources import bridge
@@ -460,17 +461,17 @@ def job_monitoring(t):
     )
 
 
-@query(
-    "rag_topk",
-    """WITH q AS (SELECT CAST(label AS BIGINT) AS probe_id, min(vec_id) AS vec_id FROM embeddings GROUP BY label),
+RAG_SQL = """WITH q AS (SELECT CAST(label AS BIGINT) AS probe_id, min(vec_id) AS vec_id FROM embeddings GROUP BY label),
     p AS (SELECT probe_id, CAST(embedding AS DOUBLE[]) AS probe FROM q JOIN embeddings e USING (vec_id)),
     d AS (SELECT e.vec_id, probe_id, list_distance(CAST(embedding AS DOUBLE[]), probe) AS distance
       FROM embeddings e, p)
     SELECT vec_id, probe_id, CAST(round(CAST(distance AS DECIMAL(38,10)), 6) AS DOUBLE) AS distance,
            CAST(position AS INTEGER) AS position
     FROM (SELECT *, row_number() OVER (PARTITION BY probe_id ORDER BY distance, vec_id) AS position
-          FROM d) WHERE position <= 5""",
-)
+          FROM d) WHERE position <= 5"""
+
+
+@query("rag_topk", RAG_SQL)
 def rag_topk(t):
     """The first vector of each label asks for its five nearest neighbours."""
     probes = t.embeddings.groupBy(F.col("label").alias("probe_id")).agg(
@@ -480,3 +481,16 @@ def rag_topk(t):
     return found.withColumn(
         "distance", F.round(F.col("distance").cast("decimal(38,10)"), 6).cast("double")
     )
+
+
+@query("rag_topk_index", RAG_SQL)
+def rag_topk_index(t):
+    """The same from a stored index of cells, which rules out most pairs without a look."""
+    probes = t.embeddings.groupBy(F.col("label").alias("probe_id")).agg(
+        F.min_by("embedding", "vec_id").alias("embedding")
+    )
+    index = VectorIndex.build(t.embeddings, run_dir(t.spark, "vector-index"))
+    found = index.nearest(probes, 5).rows
+    return found.withColumn(
+        "distance", F.round(F.col("distance").cast("decimal(38,10)"), 6).cast("double")
+    )

@@ -10,7 +10,9 @@ from tillwright.functions.dates import month_start
 from tillwright.operators import aggregates, joins, ordering, windows
 from tillwright.operators.clean import month_column
 from tillwright.plans import adhoc, analytics
+from tillwright.session import run_dir
 from tillwright.sources import bridge
+from tillwright.sources.storage import read_table
 
 STAR = f"{s.FACT}, {s.DIM_DATE}, {s.DIM_PRODUCT}"
 
@@ -117,36 +119,57 @@ COMPARE_SQL = f"""{MONTHS_SQL},
       LEFT JOIN (SELECT * FROM cm WHERE month = (SELECT m FROM latest)) l USING (category))"""
 
 
-@query(
-    "q5_declining_categories",
-    f"""WITH {COMPARE_SQL}
+Q5_SQL = f"""WITH {COMPARE_SQL}
     SELECT category, previous_month_revenue, latest_month_revenue,
            latest_month_revenue - previous_month_revenue AS revenue_change,
            CASE WHEN previous_month_revenue <> 0
                 THEN (latest_month_revenue - previous_month_revenue) / previous_month_revenue
                      * 100.0 END AS change_percent
     FROM pair WHERE latest_month_revenue - previous_month_revenue < 0
-    ORDER BY revenue_change, category""",
-)
+    ORDER BY revenue_change, category"""
+
+
+@query("q5_declining_categories", Q5_SQL)
 def q5(t):
     return analytics.declining_categories(
         bridge.fact_sales(t), bridge.dim_product(t), bridge.dim_date(t)
     )
 
 
-@query(
-    "q6_category_revenue_range",
-    f"""WITH {STAR} SELECT category, {s.money('sales_amount')} AS revenue
+Q6_SQL = f"""WITH {STAR} SELECT category, {s.money('sales_amount')} AS revenue
     FROM fact JOIN d_product USING (product_key) JOIN d_date USING (date_key)
     WHERE full_date >= DATE '1996-01-01' AND full_date < DATE '1997-01-01'
-    GROUP BY category ORDER BY category""",
-)
+    GROUP BY category ORDER BY category"""
+
+
+@query("q6_category_revenue_range", Q6_SQL)
 def q6(t):
     return analytics.category_revenue(
         bridge.fact_sales(t), bridge.dim_product(t), bridge.dim_date(t), "1996-01-01", "1997-01-01"
     )
 
 
+def _by_month(t):
+    """The fact written to a folder per month, and read back."""
+    path = run_dir(t.spark, "fact-by-month")
+    analytics.load_fact_by_month(bridge.fact_sales(t), path)
+    return read_table(t.spark, path)
+
+
+@query("q5_declining_by_month_folder", Q5_SQL)
+def q5_by_month(t):
+    """Only the folders of the last months are read."""
+    return analytics.declining_categories(_by_month(t), bridge.dim_product(t), bridge.dim_date(t))
+
+
+@query("q6_revenue_by_month_folder", Q6_SQL)
+def q6_by_month(t):
+    """Only the folders of the months that the date dimension chooses are read."""
+    return analytics.category_revenue(
+        _by_month(t), bridge.dim_product(t), bridge.dim_date(t), "1996-01-01", "1997-01-01"
+    )
+
+
 # --- joins and filters inside the questions -------------------------------------
 
 

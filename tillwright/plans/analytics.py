@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillwright.functions.dates import month_start
@@ -10,6 +10,7 @@ from tillwright.functions.money import money_sum, percent, total
 from tillwright.operators.ordering import top
 from tillwright.operators.quality import current_versions
 from tillwright.operators.windows import change_to_previous
+from tillwright.sources.sinks import replace_partitioned
 
 # Length of the top list, days without order that make inactive.
 TOP_PRODUCTS = 10
@@ -102,7 +103,13 @@ def inactive_customers(
 
 
 def last_months(fact: DataFrame, dim_date: DataFrame, n: int = 2) -> DataFrame:
-    """Days (date_key, month) of the last months that have sales, found by the distinct days."""
+    """Days (date_key, month) of the last months that have sales, found by the distinct days.
+
+    Where the fact lies in month folders, only those of the last months are read for that.
+    """
+    if "month_key" in fact.columns:
+        newest = fact.select("month_key").distinct().orderBy(F.desc("month_key")).limit(n)
+        fact = fact.where(F.col("month_key").isin([r["month_key"] for r in newest.collect()]))
     sold = fact.select("date_key").distinct()
     days = dim_date.join(sold, "date_key", "left_semi").select(
         "date_key", month_start("full_date").alias("month")
@@ -114,7 +121,7 @@ def last_months(fact: DataFrame, dim_date: DataFrame, n: int = 2) -> DataFrame:
 def category_months(fact: DataFrame, dim_product: DataFrame, days: DataFrame) -> DataFrame:
     """Revenue per category and month over the given days, summed by key before the product join."""
     by_key = (
-        fact.join(days.select("date_key", "month"), "date_key")
+        _by_day(fact, days, "month")
         .groupBy("product_key", "month")
         .agg(total("sales_amount").alias("r"))
     )
@@ -163,6 +170,35 @@ def declining_categories(
     )
 
 
+def month_key(date_key: Column | str) -> Column:
+    """199601 of the key 19960131."""
+    key = F.col(date_key) if isinstance(date_key, str) else date_key
+    return F.floor(key / 100).cast("int").alias("month_key")
+
+
+def fact_by_month(fact: DataFrame) -> DataFrame:
+    """The fact with the column that its folders are named by."""
+    return fact.withColumn("month_key", month_key("date_key"))
+
+
+def load_fact_by_month(fact: DataFrame, path: str) -> None:
+    """The fact in a folder per month, where the questions below find it.
+
+    A question that chooses days in the date dimension joins by month and day. Spark then
+    takes the months of the chosen days from the dimension at run time and lists only
+    their folders.
+    """
+    replace_partitioned(fact_by_month(fact), path, "month_key")
+
+
+def _by_day(fact: DataFrame, days: DataFrame, *carry: str) -> DataFrame:
+    """The sales of the given days; by month as well, where the fact lies in month folders."""
+    if "month_key" not in fact.columns:
+        return fact.join(days.select("date_key", *carry), "date_key", "inner" if carry else "left_semi")
+    keyed = days.select("date_key", month_key("date_key"), *carry)
+    return fact.join(keyed, ["month_key", "date_key"], "inner" if carry else "left_semi")
+
+
 def category_revenue(
     fact: DataFrame, dim_product: DataFrame, dim_date: DataFrame, start: str, end: str
 ) -> DataFrame:
@@ -172,7 +208,7 @@ def category_revenue(
         (day >= F.lit(start).cast("date")) & (day < F.lit(end).cast("date"))
     ).select("date_key")
     by_key = (
-        fact.join(days, "date_key", "left_semi")
+        _by_day(fact, days)
         .groupBy("product_key")
         .agg(total("sales_amount").alias("r"))
     )
