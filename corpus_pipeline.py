@@ -27,6 +27,8 @@ from tillwright.llm.simhash import near_duplicates
 #: A document is rejected when the mean probability of its best language is below so
 #: many times what guessing gives, which is 1 / languages.
 TIMES_CHANCE = 1.2
+#: Names of dropped rows (24 bytes each) that are broadcast at most.
+BROADCAST_NAMES = 1_000_000
 _TEMP = "_stage_value"
 
 
@@ -49,8 +51,13 @@ def _named(docs: DataFrame) -> DataFrame:
 
 
 def _without(docs: DataFrame, dropped: DataFrame, name: str) -> DataFrame:
-    """``docs`` but for the dropped names, which are written first."""
+    """``docs`` but for the dropped names, which are written first.
+
+    Up to BROADCAST_NAMES of them are sent to the texts, beyond that both sides are shuffled.
+    """
     gone = keep(dropped.select(*KEY).distinct(), name)
+    if gone.count() <= BROADCAST_NAMES:
+        gone = F.broadcast(gone)
     named = _named(docs)
     return named.join(gone, _same_row(named, gone), "left_anti").select(*docs.columns)
 
