@@ -21,6 +21,7 @@ gives an empty result; other columns are not read.
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
 from itertools import accumulate
 
@@ -56,22 +57,27 @@ def _weight(joined: bytes) -> int:
     return max(joined.count(b" ") + 1, len(joined) // WORD_BYTES) if joined else 0
 
 
-def runs(text: bytes, run: int = RUN, min_words: int = MIN_WORDS, long: int = LONG) -> list[tuple[int, int, bytes]]:
-    """(first sentence, last sentence, 16-byte hash) of every run."""
+def _run_arrays(
+    text: bytes, run: int = RUN, min_words: int = MIN_WORDS, long: int = LONG
+) -> tuple[np.ndarray, np.ndarray, bytes]:
+    """First and last sentence of every run, and their hashes, 16 bytes each.
+
+    Runs are held as numbers, not as objects: a long text has millions.
+    """
     joined = [b" ".join(text[a:b].split()) for a, b in sentences(text)]
     n = len(joined)
-    before = [0, *accumulate(map(_weight, joined))]
-    found = set()
+    before = array("q", [0, *accumulate(map(_weight, joined))])
+    found = array("q")  # first * (n + 1) + end
     end = 0  # behind the shortest run from i; never falls
     for i in range(n):
         for k in range(i + 1, min(i + run, n + 1)):
             if before[k] - before[i] >= long:
-                found.add((i, k))
+                found.append(i * (n + 1) + k)
         end = max(end, i + run)
         while end <= n and before[end] - before[i] < min_words:
             end += 1
         if end <= n:
-            found.add((i, end))
+            found.append(i * (n + 1) + end)
     start = n  # of the shortest run up to k
     for k in range(n, run - 1, -1):
         start = min(start, k - run)
@@ -79,25 +85,37 @@ def runs(text: bytes, run: int = RUN, min_words: int = MIN_WORDS, long: int = LO
             start -= 1
         if start < 0:
             break
-        found.add((start, k))
-    return [(i, k - 1, xxhash.xxh3_128_digest(b" ".join(joined[i:k]))) for i, k in sorted(found)]
+        found.append(start * (n + 1) + k)
+    pairs = np.unique(np.frombuffer(found, np.int64)) if found else np.zeros(0, np.int64)
+    firsts, ends = pairs // (n + 1), pairs % (n + 1)
+    out = bytearray(16 * len(pairs))
+    for at, (i, k) in enumerate(zip(firsts, ends, strict=True)):
+        out[16 * at : 16 * at + 16] = xxhash.xxh3_128_digest(b" ".join(joined[i:k]))
+    return firsts.astype(np.int32), (ends - 1).astype(np.int32), bytes(out)
+
+
+def runs(text: bytes, run: int = RUN, min_words: int = MIN_WORDS, long: int = LONG) -> list[tuple[int, int, bytes]]:
+    """(first sentence, last sentence, 16-byte hash) of every run."""
+    firsts, lasts, hashes = _run_arrays(text, run, min_words, long)
+    return [(int(a), int(b), hashes[16 * i : 16 * i + 16]) for i, (a, b) in enumerate(zip(firsts, lasts, strict=True))]
 
 
 def _spans(rows: DataFrame) -> DataFrame:
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, block in text_blocks(as_bytes(batch.column(0)), 1_000_000):
-                found = [(first + i, *r) for i, t in enumerate(block) for r in runs(t)]
-                if not found:
+                made = [_run_arrays(t) for t in block]
+                counts = [len(firsts) for firsts, _, _ in made]
+                if not any(counts):
                     continue
-                hashes = np.frombuffer(b"".join(f[3] for f in found), "<i8").reshape(-1, 2)
-                own = pa.array([f[0] for f in found], pa.int64())
+                hashes = np.frombuffer(b"".join(h for *_, h in made), "<i8").reshape(-1, 2)
+                own = pa.array(np.repeat(np.arange(first, first + len(block)), counts))
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(np.ascontiguousarray(hashes[:, 0])),
                         pa.array(np.ascontiguousarray(hashes[:, 1])),
-                        pa.array([f[1] for f in found], pa.int32()),
-                        pa.array([f[2] for f in found], pa.int32()),
+                        pa.array(np.concatenate([f for f, *_ in made])),
+                        pa.array(np.concatenate([last for _, last, _ in made])),
                         *[batch.column(n).take(own) for n in NAME],
                     ],
                     ["h1", "h2", "first", "last", *NAME],
