@@ -13,7 +13,7 @@ from tillwright.operators.windows import keep_last
 from tillwright.session import run_dir
 from tillwright.sources import bridge
 from tillwright.sources.tables import Warehouse
-from tillwright.streaming import ingest, ledger
+from tillwright.streaming import ingest, keyed, ledger
 
 TEXT = {"header": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
 
@@ -203,6 +203,18 @@ def upsert_stream(t):
     return warehouse.read("users").drop("operation")
 
 
+@query("inc_upsert_stream_state", STREAM_SQL)
+def upsert_stream_state(t):
+    """The same four arrivals through a stream that keeps the users as its state."""
+    base = run_dir(t.spark, "keyed-stream")
+    changes = bridge.user_changes(t)
+    for i in range(len(WEEKS) + 1):
+        _week(changes, i, "updated_at").write.mode("append").parquet(f"{base}/arrivals")
+        stream = ingest.parquet_stream(t.spark, f"{base}/arrivals", changes.schema)
+        keyed.keyed_load(stream, f"{base}/log", f"{base}/checkpoint", "user_id")
+    return keyed.read_keyed(t.spark, f"{base}/log", "user_id").drop("operation")
+
+
 @query(
     "inc_new_file_trigger",
     f"""WITH {s.RAW_CUSTOMERS} SELECT * FROM raw_c""",

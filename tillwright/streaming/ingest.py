@@ -47,11 +47,15 @@ def parquet_stream(
 
 
 def run_batches(
-    stream: DataFrame, checkpoint: str, batch: Callable[[DataFrame, int], None]
+    stream: DataFrame,
+    checkpoint: str,
+    batch: Callable[[DataFrame, int], None],
+    mode: str = "append",
 ) -> None:
     """Process everything available, batch by batch, and return."""
     query = (
         stream.writeStream.foreachBatch(batch)
+        .outputMode(mode)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
