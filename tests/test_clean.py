@@ -157,3 +157,21 @@ def test_calendar(spark):
     assert (got[20241230]["week_of_year"], got[20241230]["day_of_week"]) == (1, 1)
     assert (got[20230101]["week_of_year"], got[20230101]["day_of_week"]) == (52, 7)
     assert got[20230101]["day_name"] == "Sunday" and got[20241230]["quarter"] == 4
+
+
+def test_intervals(spark):
+    df = spark.createDataFrame(
+        [(date(2024, 1, 31), datetime(2024, 3, 1, 12), 2), (date(2023, 12, 30), datetime(2024, 2, 29), -1), (None, None, 1)],
+        "d date, t timestamp_ntz, n int",
+    )
+    found = df.select(
+        dates.shifted("d", months=1).alias("a"),
+        dates.shifted("d", days=F.col("n"), months=F.col("n")).alias("b"),
+        dates.shifted("t", hours=-13).alias("c"),
+        dates.shifted("t", days=1, months=12).alias("e"),
+        dates.whole_days("d", F.col("t").cast("date")).alias("f"),
+    ).collect()
+    # A day that the month does not have becomes its last one.
+    assert tuple(found[0]) == (date(2024, 2, 29), date(2024, 4, 2), datetime(2024, 2, 29, 23), datetime(2025, 3, 2, 12), 30)
+    assert tuple(found[1]) == (date(2024, 1, 30), date(2023, 11, 29), datetime(2024, 2, 28, 11), datetime(2025, 3, 1), 61)
+    assert tuple(found[2]) == (None,) * 5

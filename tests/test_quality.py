@@ -1,5 +1,5 @@
 import pytest
-from helpers import rows
+from helpers import plan, rows
 
 from tillwright.operators import clean, quality
 from tillwright.plans import curate
@@ -196,3 +196,28 @@ def test_first_change_column_counts(spark):
     assert rows(quality.split_deletes(df)[1]) == [("d", "U")]
     plain = spark.createDataFrame([(1,)], "k int")
     assert quality.split_deletes(plain)[1].isEmpty()
+
+
+def test_integrity_reads_the_orders_once(spark):
+    orders = spark.createDataFrame(
+        [("1", 1, "p", None), ("1", 1, "p", "n"), ("2", None, "q", "n"), (None, 3, "p", "n"), ("4", 9, None, "n")],
+        "order_id string, customer_id int, product_id string, customer_name string",
+    )
+    people = spark.createDataFrame([(1,), (3,), (None,)], "customer_id bigint")
+    goods = spark.createDataFrame([("p",), ("p",)], "product_id string")
+    found = quality.integrity_report(orders, people, goods)
+    assert dict(rows(found)) == {
+        "missing_order_id": 1, "missing_customer_id": 1, "missing_product_id": 1, "missing_customer_name": 1,
+        "duplicate_order_id": 1, "orphan_customer_id": 1, "orphan_product_id": 1,
+    }
+    nothing = dict(rows(quality.integrity_report(orders.limit(0), people, goods)))
+    assert set(nothing.values()) == {0} and len(nothing) == 7
+
+
+def test_rows_without_a_key_are_spread(spark):
+    orders = spark.createDataFrame([(None, i) for i in range(500)] + [(7, 1), (8, 2)], "customer_id bigint, n int")
+    people = spark.createDataFrame([(7,), (None,)], "customer_id bigint")
+    valid, rejected = quality.check_references(orders, {"customer_id": people.hint("merge")})
+    assert rows(valid) == [(7, 1)] and rejected.count() == 501
+    joined = quality.classify(orders, {}, {"customer_id": people.hint("merge")})
+    assert "hashpartitioning(customer_id" in plan(joined) and "__null_spread" in plan(joined)

@@ -160,6 +160,18 @@ def test_a_table_that_the_catalogue_lost_is_not_taken_for_new(spark, folder, mon
         storage.adopt(spark, f"{folder}/none")
 
 
+def test_days_in_month_folders(spark, folder):
+    df = spark.createDataFrame([(i, date(2024, 1 + i % 2, 1 + i % 28)) for i in range(60)] + [(99, None)], "k int, d date")
+    for grain, folders in (("month", 3), ("day", 29)):
+        sinks.write_by_day(df, f"{folder}/{grain}", "d", grain=grain)
+        found = storage.read_table(spark, f"{folder}/{grain}")
+        assert rows(found, "k", "d") == rows(df)
+        parts = {f.split("/")[-2] for f in found.inputFiles()}
+        assert len(parts) == folders
+    with pytest.raises(ValueError):
+        sinks.write_by_day(df, f"{folder}/x", "d", grain="hour")
+
+
 def test_unfinished_write_is_no_table(spark, folder):
     spark.createDataFrame([(1,)], "k int").write.parquet(f"{folder}/t/_temporary/0")
     assert not storage.has_data(spark, f"{folder}/t")

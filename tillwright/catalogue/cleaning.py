@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tillwright.catalogue import fragments as s
 from tillwright.catalogue.base import query
+from tillwright.functions import dates
 from tillwright.functions.dates import calendar_columns
 from tillwright.operators import clean
 from tillwright.schemas import CUSTOMER_COLUMNS, require_columns, validate_schema
@@ -243,3 +244,28 @@ def regions(t):
 def month_trunc(t):
     days = t.orders.select("o_orderkey", F.col("o_orderdate").cast("date").alias("full_date"))
     return clean.month_column(days).drop("full_date")
+
+
+@query(
+    "fn_interval_arithmetic",
+    """SELECT o_orderkey, CAST(o_orderdate + INTERVAL 30 DAY AS DATE) AS due,
+           CAST(o_orderdate - INTERVAL 1 MONTH AS DATE) AS month_before,
+           CAST(o_orderdate + INTERVAL 1 YEAR - INTERVAL 36 HOUR AS TIMESTAMP) AS reminder,
+           CAST(o_orderdate + CAST(o_custkey % 50 AS INTEGER) * INTERVAL 1 MONTH + CAST(o_orderkey % 7 AS INTEGER) * INTERVAL 1 DAY AS DATE) AS by_row,
+           date_diff('day', TIMESTAMP '1996-02-29', o_orderdate) AS days_since,
+           o_orderdate >= TIMESTAMP '1998-08-02' - INTERVAL '3 months' AS recent FROM orders""",
+)
+def interval_arithmetic(t):
+    """Days and times moved by constant intervals and by intervals of each row."""
+    day = F.col("o_orderdate")
+    return t.orders.select(
+        "o_orderkey",
+        dates.shifted(day, days=30).cast("date").alias("due"),
+        dates.shifted(day, months=-1).cast("date").alias("month_before"),
+        dates.shifted(day, months=12, hours=-36).alias("reminder"),
+        dates.shifted(
+            day, days=(F.col("o_orderkey") % 7).cast("int"), months=(F.col("o_custkey") % 50).cast("int")
+        ).cast("date").alias("by_row"),
+        dates.whole_days(F.lit("1996-02-29").cast("timestamp_ntz"), day).alias("days_since"),
+        (day >= dates.shifted(F.lit("1998-08-02").cast("timestamp_ntz"), months=-3)).alias("recent"),
+    )

@@ -32,6 +32,25 @@ def month_start(c: Column | str) -> Column:
     return F.trunc(col(c), "MM")
 
 
+def shifted(
+    c: Column | str, days: int | Column = 0, months: int | Column = 0, hours: int | Column = 0
+) -> Column:
+    """A date or timestamp moved by an interval; months first, then days and hours.
+
+    A day that the month does not have becomes the month's last. Hours are for timestamps.
+    """
+
+    def number(n: int | Column) -> Column:
+        return n if isinstance(n, Column) else F.lit(n)
+
+    return col(c) + F.make_interval(months=number(months), days=number(days), hours=number(hours))
+
+
+def whole_days(start: Column | str, end: Column | str) -> Column:
+    """Days between two dates or timestamps, by the interval between them; negative if reversed."""
+    return F.extract(F.lit("DAY"), col(end) - col(start)).cast("bigint")
+
+
 def day_key(c: Column | str) -> Column:
     """20240131 for 2024-01-31."""
     d = col(c)

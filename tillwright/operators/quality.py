@@ -339,38 +339,39 @@ def inspect_rows(df: DataFrame) -> DataFrame:
 def integrity_report(orders: DataFrame, customers: DataFrame, products: DataFrame) -> DataFrame:
     """Orphan ids, repeated order ids and missing names or ids: (check, failed_rows).
 
-    Orphans are counted on distinct ids with their row counts, so a hot id
-    crosses the shuffle as one row per task.
+    The orders are read once: each row becomes one entry per id or name that is checked, and
+    the entries are counted by kind and value, which combines in every task before the one
+    shuffle. Of names only the lack is of interest, so all others are one value. The counted
+    ids then meet the references, where no id is hot any more.
     """
-
-    def orphans(key: str, table: DataFrame) -> DataFrame:
-        ids = orders.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-        lost = ids.filter(F.col(key).isNotNull()).join(table.select(key), key, "left_anti")
-        return lost.agg(
-            F.lit(f"orphan_{key}").alias("check"),
-            F.coalesce(F.sum("n"), F.lit(0)).alias("failed_rows"),
-        )
-
-    missing = orders.agg(
-        *[
-            F.count_if(F.col(n).isNull()).alias(f"missing_{n}")
-            for n in ("order_id", "customer_id", "product_id", "customer_name", "product_name")
-            if n in orders.columns
-        ]
-    )
-    pairs = F.array(
-        *[F.struct(F.lit(n).alias("check"), F.col(n).alias("failed_rows")) for n in missing.columns]
-    )
-    repeated = orders.agg(
-        F.lit("duplicate_order_id").alias("check"),
-        (F.count("order_id") - F.count_distinct("order_id")).alias("failed_rows"),
-    )
-    return (
-        missing.select(F.inline(pairs))
-        .unionByName(repeated)
-        .unionByName(orphans("customer_id", customers))
-        .unionByName(orphans("product_id", products))
-    )
+    references = {"customer_id": customers, "product_id": products}
+    ids = ["order_id", *references]
+    names = [n for n in ("customer_name", "product_name") if n in orders.columns]
+    present = [
+        *[(n, F.col(n).cast("string")) for n in ids],
+        *[(n, F.when(F.col(n).isNotNull(), F.lit(""))) for n in names],
+    ]
+    entries = F.array(*[F.struct(F.lit(n).alias("kind"), value.alias("value")) for n, value in present])
+    counted = orders.select(F.inline(entries)).groupBy("kind", "value").agg(F.count(F.lit(1)).alias("n"))
+    known = None
+    for name, table in references.items():
+        own = table.select(F.lit(name).alias("kind"), F.col(name).cast("string").alias("value"))
+        known = own if known is None else known.unionByName(own)
+    known = known.filter("value IS NOT NULL").distinct().withColumn("known", F.lit(True))
+    met = counted.join(known, ["kind", "value"], "left")
+    missing = F.col("value").isNull()
+
+    def rows_where(condition: Column, n: Column | str = "n") -> Column:
+        return F.coalesce(F.sum(F.when(condition, F.col(n) if isinstance(n, str) else n)), F.lit(0))
+
+    checks = {f"missing_{n}": rows_where((F.col("kind") == n) & missing) for n, _ in present}
+    checks["duplicate_order_id"] = rows_where((F.col("kind") == "order_id") & ~missing, F.col("n") - 1)
+    for name in references:
+        lost = (F.col("kind") == name) & ~missing & F.col("known").isNull()
+        checks[f"orphan_{name}"] = rows_where(lost)
+    found = met.agg(*[c.alias(n) for n, c in checks.items()])
+    pairs = F.array(*[F.struct(F.lit(n).alias("check"), F.col(n).alias("failed_rows")) for n in checks])
+    return found.select(F.inline(pairs))
 
 
 def profile(df: DataFrame) -> DataFrame:

@@ -1,4 +1,4 @@
-"""The wide order join: prune, filter, join, write by day."""
+"""The wide order join: prune, filter, join, write by month or day."""
 
 from __future__ import annotations
 
@@ -55,7 +55,9 @@ def run(
     output_partitions: int | None = None,
     keep_orders: bool = False,
     explain: bool = False,
+    grain: str = "month",
 ) -> None:
+    """Read, filter, join and write; ``grain`` says whether a folder holds a month or a day."""
     orders = read_source(spark, orders_path, file_format)
     if keep_orders:
         orders = _chosen(orders, start, end).persist(StorageLevel.MEMORY_AND_DISK)
@@ -69,6 +71,6 @@ def run(
     )
     if explain:
         joined.explain("formatted")
-    write_by_day(joined, output, "order_date", output_partitions)
+    write_by_day(joined, output, "order_date", output_partitions, grain)
     if keep_orders:
         orders.unpersist()
