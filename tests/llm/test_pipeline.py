@@ -96,3 +96,16 @@ def test_rows_without_an_id_of_their_own_are_judged_by_their_text(spark, data):
 
 def test_the_language_limit_follows_the_number_of_languages():
     assert [pipeline.least_score(k) for k in (0, 1, 2, 3, 4, 100)] == [0.6, 0.6, 0.6, 0.39999999999999997, 0.3, 0.012]
+
+
+def test_a_run_leaves_its_pieces_only(spark, data, folder, monkeypatch):
+    from tillwright.llm import common
+
+    written, gone = [], []
+    stage, drop = common.staged, common.discard
+    monkeypatch.setattr(common, "staged", lambda df, name: written.append(stage(df, name)) or written[-1])
+    monkeypatch.setattr(common, "discard", lambda spark, *paths: gone.extend(paths) or drop(spark, *paths))
+    pieces = pipeline.run(spark, data)
+    assert pieces.count() > 0
+    left = {path.rsplit("/", 1)[-1].rsplit("-", 1)[0] for _, path in written if path not in gone}
+    assert left == {"pieces"}

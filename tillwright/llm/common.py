@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -35,9 +36,36 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{folder}/{name}.parquet")
 
 
-def keep(df: DataFrame, name: str) -> DataFrame:
-    """The frame written once to the shared folder and read back."""
-    return staged(df, name)[0]
+#: Folders written inside each ``tidy`` that has not ended: those that go and those that stay.
+_WRITTEN: list[tuple[list[str], list[str]]] = []
+
+
+def keep(df: DataFrame, name: str, stays: bool = False) -> DataFrame:
+    """The frame written once to the shared folder and read back.
+
+    Inside ``tidy`` its folder goes in the end, unless it ``stays`` for a result that reads it.
+    """
+    out, path = staged(df, name)
+    if _WRITTEN:
+        _WRITTEN[-1][stays].append(path)
+    return out
+
+
+@contextmanager
+def tidy(spark: SparkSession) -> Iterator[None]:
+    """Remove the folders that ``keep`` writes in here, once nothing reads them.
+
+    What stays is left to an outer ``tidy``, if there is one, else to the caller.
+    """
+    own: tuple[list[str], list[str]] = ([], [])
+    _WRITTEN.append(own)
+    try:
+        yield
+    finally:
+        _WRITTEN.pop()
+        discard(spark, *own[0])
+        if _WRITTEN:
+            _WRITTEN[-1][0].extend(own[1])
 
 
 def discard(spark: SparkSession, *paths: str) -> None:

@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillwright.llm.common import keep
+from tillwright.llm.common import keep, tidy
 
 SPAN = 10
 GRAM = 8
@@ -223,26 +223,28 @@ def decontaminate(
     )
     extra = rows.columns[3:]
     asked = items.select(F.col(item_id).alias("item_id"), F.col(text).alias("text"))
-    found, windows = occurrences(rows, asked)
-    key = ["doc_id", "text_key"]
-    ends = found.select(*key, "start", (F.col("start") + F.col("size")).alias("stop")).distinct()
-    before = Window.partitionBy(*key).orderBy("start", "stop").rowsBetween(Window.unboundedPreceding, -1)
-    fresh = F.col("stop") - F.greatest("start", F.coalesce(F.max("stop").over(before), F.lit(0)))
-    covered = ends.withColumn("fresh", F.greatest(fresh, F.lit(0))).groupBy(*key).agg(
-        F.sum("fresh").alias("n_hit")
-    )
-    named = (
-        found.select(*key, "window", "size").distinct()
-        .join(windows.where("item_id is not null"), ["window", "size"])
-        .select(*key, F.col("item_id").cast("string").alias("item")).distinct()
-        .groupBy(*key).agg(F.sort_array(F.collect_list("item")).alias("items"))
-    )
-    hits = keep(
-        covered.join(
-            named, covered["doc_id"].eqNullSafe(named["doc_id"]) & (covered["text_key"] == named["text_key"]), "left"
-        ).select(covered["doc_id"], covered["text_key"], "n_hit", "items"),
-        "hits",
-    )
+    with tidy(docs.sparkSession):
+        found, windows = occurrences(rows, asked)
+        key = ["doc_id", "text_key"]
+        ends = found.select(*key, "start", (F.col("start") + F.col("size")).alias("stop")).distinct()
+        before = Window.partitionBy(*key).orderBy("start", "stop").rowsBetween(Window.unboundedPreceding, -1)
+        fresh = F.col("stop") - F.greatest("start", F.coalesce(F.max("stop").over(before), F.lit(0)))
+        covered = ends.withColumn("fresh", F.greatest(fresh, F.lit(0))).groupBy(*key).agg(
+            F.sum("fresh").alias("n_hit")
+        )
+        named = (
+            found.select(*key, "window", "size").distinct()
+            .join(windows.where("item_id is not null"), ["window", "size"])
+            .select(*key, F.col("item_id").cast("string").alias("item")).distinct()
+            .groupBy(*key).agg(F.sort_array(F.collect_list("item")).alias("items"))
+        )
+        hits = keep(
+            covered.join(
+                named, covered["doc_id"].eqNullSafe(named["doc_id"]) & (covered["text_key"] == named["text_key"]), "left"
+            ).select(covered["doc_id"], covered["text_key"], "n_hit", "items"),
+            "hits",
+            stays=True,
+        )
     counted = _cut(rows, F.coalesce("text", F.lit("")), "doc_id", "text_key", *extra).select(
         "doc_id", "text_key", *extra, F.size("own").cast("long").alias("n_words")
     )

@@ -242,7 +242,7 @@ def pack(
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     # The number tells rows apart that are alike in all else; it is stored with them.
     numbered = cut_pieces(rows, tokenizer, capacity).withColumn("row", F.monotonically_increasing_id())
-    pieces = keep(numbered, "pieces")
+    pieces = keep(numbered, "pieces", stays=True)
     # At most ``capacity`` rows come to the driver.
     counts = {r[0]: r[1] for r in pieces.groupBy("length").count().collect()}
     slots, _ = plan(counts, capacity)

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillwright.llm.common import as_bytes, attach, keep
+from tillwright.llm.common import as_bytes, attach, keep, tidy
 from tillwright.llm.components import components
 
 BLOCKS = 6
@@ -161,28 +161,30 @@ def near_duplicates(
     component_id is the smallest id reachable by links; group_fp, the smallest fingerprint
     reachable, names the group also where ids are null.
     """
-    own = docs.select(
-        F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), *(carry or [])
-    )
-    prints = keep(with_fingerprint(own, "text", words), "fingerprints")
-    extra = [c for c in prints.columns if c not in ("doc_id", "fp")]
-    classes = keep(
-        prints.groupBy("fp").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("n")), "fp-classes"
-    )
-    # A class without a link is its own component; the others take the smallest id
-    # of the classes that they reach.
-    nodes = keep(components(links(classes, distance)), "nodes")
-    linked = nodes.join(classes, nodes["node"] == classes["fp"]).select("fp", "root", "first_id")
-    lowest = linked.groupBy("root").agg(F.min("first_id").alias("lowest"))
-    reached = keep(linked.join(lowest, "root").select("fp", "root", "lowest"), "reached")
-    named = keep(
-        classes.join(reached, "fp", "left").select(
-            "fp", "n",
-            F.when(F.col("root").isNull(), F.col("first_id")).otherwise(F.col("lowest")).alias("component_id"),
-            F.coalesce("root", "fp").alias("group_fp"),
-        ),
-        "fp-components",
-    )
+    with tidy(docs.sparkSession):
+        own = docs.select(
+            F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), *(carry or [])
+        )
+        prints = keep(with_fingerprint(own, "text", words), "fingerprints", stays=True)
+        extra = [c for c in prints.columns if c not in ("doc_id", "fp")]
+        classes = keep(
+            prints.groupBy("fp").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("n")), "fp-classes"
+        )
+        # A class without a link is its own component; the others take the smallest id
+        # of the classes that they reach.
+        nodes = keep(components(links(classes, distance)), "nodes")
+        linked = nodes.join(classes, nodes["node"] == classes["fp"]).select("fp", "root", "first_id")
+        lowest = linked.groupBy("root").agg(F.min("first_id").alias("lowest"))
+        reached = keep(linked.join(lowest, "root").select("fp", "root", "lowest"), "reached")
+        named = keep(
+            classes.join(reached, "fp", "left").select(
+                "fp", "n",
+                F.when(F.col("root").isNull(), F.col("first_id")).otherwise(F.col("lowest")).alias("component_id"),
+                F.coalesce("root", "fp").alias("group_fp"),
+            ),
+            "fp-components",
+            stays=True,
+        )
     return attach(prints, named, "fp", "n").select("doc_id", "fp", "component_id", "group_fp", *extra)
 
 
