@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tillwright.llm.catalogue import TOKENIZER, language_training_rows
-from tillwright.llm.common import TEXT_MARKS, attach, keep, prepare, table, text_marks
+from tillwright.llm.common import TEXT_MARKS, attach, keep, prepare, table, text_marks, tidy
 from tillwright.llm.decontaminate import decontaminate
 from tillwright.llm.exact_dedup import exact_dedup
 from tillwright.llm.langid import UNDETERMINED, learn, predict
@@ -138,8 +138,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; each result is written before the next reads it."""
-    docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES[:-1]:
-        docs = keep(stage(spark, docs, sf_dir), name)
-    return STAGES[-1][1](spark, docs, sf_dir)
+    """All stages over ``documents``; each result is written before the next reads it.
+
+    What the stages wrote goes as soon as the next one has read it; the pieces stay.
+    """
+    prepare(spark)
+    with tidy(spark):
+        docs = table(spark, sf_dir, "documents")
+        for name, stage in STAGES[:-1]:
+            with tidy(spark):
+                docs = keep(stage(spark, docs, sf_dir), name, stays=True)
+        return STAGES[-1][1](spark, docs, sf_dir)
