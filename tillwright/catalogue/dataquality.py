@@ -11,6 +11,7 @@ from tillwright.catalogue.base import query
 from tillwright.operators import clean, quality
 from tillwright.plans import monitoring
 from tillwright.schemas import FACT_COLUMNS
+from tillwright.session import run_dir
 from tillwright.sources import bridge
 
 REASON = quality.RULE_REASON
@@ -55,11 +56,13 @@ def enriched_valid(t):
     FROM cast_o GROUP BY ALL""",
 )
 def split_quarantine(t):
-    """Both outputs of the split counted per day: every row is in exactly one."""
-    typed = clean.cast_orders(_raw_orders(t))
-    valid, rejected = quality.split_valid(typed, quality.order_rules())
-    both = valid.select("order_date", F.lit("valid").alias("outcome")).unionByName(
-        rejected.select("order_date", F.lit("rejected").alias("outcome"))
+    """Both outputs of one write counted per day: every row is in exactly one."""
+    classified = quality.classify(clean.cast_orders(_raw_orders(t)), quality.order_rules())
+    found = quality.write_outcomes(
+        classified.select("order_date", "failed_rules", "dq_reason"), run_dir(t.spark, "outcomes")
+    )
+    both = found.valid.select("order_date", F.lit("valid").alias("outcome")).unionByName(
+        found.rejected.select("order_date", F.lit("rejected").alias("outcome"))
     )
     return both.groupBy("order_date", "outcome").agg(F.count(F.lit(1)).alias("rows"))
 
