@@ -302,3 +302,58 @@ def test_rare_languages_are_learned(spark):
     found = rows.select("lang", langid.predict(net, F.col("text")).alias("f")).distinct().collect()
     assert all(r.f.lang == r.lang for r in found)
     assert [langid._share(c, 40) for c in ([500, 300, 3], [5, 6], [], [9] * 100)] == [18, 6, 1, 1]
+
+
+def test_quality_scores_match_a_plain_version(spark):
+    """Vectors, pooling, network and temperature, worked out word by word."""
+    prepare(spark)
+    texts = {i: f"good words number {i % 7} stand here and there {i % 3}" for i in range(40)}
+    texts |= {100 + i: f"bad bad bad thing {i % 5} buy now now" for i in range(40)} | {200: "", 201: None, 202: "one"}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    marked = labels(spark, [(i, int(i < 100), 0) for i in texts if i < 200])
+    scorer = quality.train(docs, marked)
+    table = np.zeros((quality.BUCKETS, quality.SIZE))
+    for text in texts.values():
+        own = [int(h) for h in split([(text or "").encode()]).hash]
+        for i, h in enumerate(own):
+            for j in range(max(0, i - quality.REACH), min(len(own), i + quality.REACH + 1)):
+                for k in range(quality.NONZERO if i != j else 0):
+                    bits = own[j] >> (20 + 6 * k)
+                    table[h % quality.BUCKETS, bits % quality.SIZE] += 1 - 2 * (bits >> 5 & 1)
+    table /= np.maximum(np.linalg.norm(table, axis=1, keepdims=True), 1e-9)
+    assert np.abs(table - scorer.vectors).max() < 1e-5
+    w1, b1, w2, b2 = scorer.weights
+    for row in docs.select("doc_id", quality.score(scorer, F.col("text")).alias("score")).collect():
+        own = [int(h) for h in split([(texts[row.doc_id] or "").encode()]).hash]
+        pooled = np.zeros(quality.FEATURES)
+        if own:
+            vectors = np.array([table[h % quality.BUCKETS] for h in own])
+            pooled[: quality.SIZE] = vectors.mean(0)
+            pooled[quality.SIZE : 2 * quality.SIZE] = vectors.std(0)
+            pooled[2 * quality.SIZE] = len(set(own)) / len(own)
+        pooled[-1] = np.log1p(len(own)) / 10
+        hidden = np.tanh((pooled - scorer.center) / scorer.scale @ w1 + b1)
+        z = float(hidden @ w2 + b2) if np.ndim(hidden @ w2 + b2) == 0 else float((hidden @ w2 + b2)[0])
+        assert row.score == pytest.approx(1 / (1 + np.exp(-z / scorer.temperature)), abs=1e-3)
+    assert scorer.temperature > 0
+
+
+def test_languages_match_a_plain_version(spark):
+    """Every byte's probabilities by single steps, their mean, and the best label."""
+    prepare(spark)
+    net = langid.train([b"aaa bbb " * 9, b"xyz zyx " * 9, b"kkk qqq " * 9], ["one", "two", "three"])
+    texts = ["aaa bbb", "xyz" * 100, "", None, "12 34", "é kkk qqq aaa" * 20, "z"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for row in docs.select("doc_id", langid.predict(net, F.col("text")).alias("f")).collect():
+        raw = (texts[row.doc_id] or "").encode()
+        if not any(c.isalpha() for c in raw.decode()):
+            assert (row.f.lang, row.f.score) == ("und", 0.0)
+            continue
+        parts = []
+        for at in range(0, len(raw), langid.WINDOW):
+            own = np.frombuffer(raw[at : at + langid.WINDOW].ljust(langid.WINDOW, b"\0"), np.uint8)
+            parts.append(_plain_positions(net, own)[: len(raw) - at])
+        every = np.concatenate(parts)
+        assert row.f.lang == net.labels[every.mean(0).argmax()]
+        assert row.f.score == pytest.approx(every.mean(0).max(), abs=1e-4)
+        assert row.f.label_bytes == np.bincount(every.argmax(1), minlength=3).tolist()
