@@ -136,29 +136,47 @@ def _small(df: DataFrame) -> DataFrame:
 def _short_hits(rows: DataFrame, windows: DataFrame) -> DataFrame | None:
     """Occurrences of the items that have fewer than SPAN words, by exact runs of that length.
 
-    One pass for all lengths: the runs' hashes stay in an array until they are known to be
-    wanted, so a row is made for a hit only. The texts of the hits are compared.
+    One pass for all lengths. With up to FEW_SHORT items a run is looked at only where a
+    word is the first of some item, and stays in an array until its hash is that of an item;
+    so a row is made for a hit only, and its text is compared. More items are found by a join
+    of all runs of those lengths.
     """
     short = windows.where(F.col("size") < SPAN).select("window", "size").distinct()
     wanted = short.groupBy("size").agg(F.count(F.lit(1)).alias("n")).collect()  # nine lengths at most
     if not wanted:
         return None
     key = ["doc_id", "text_key"]
+    sizes = sorted(r["size"] for r in wanted)
     own = rows.select(*key, words(F.col("text")).alias("own"))
+    if sum(r["n"] for r in wanted) <= FEW_SHORT:
+        # Bounded by FEW_SHORT, so the hashes are literals of the plan.
+        few = short.select(
+            F.xxhash64("window").alias("whole"), F.xxhash64(F.substring_index("window", " ", 1)).alias("first")
+        ).collect()
+        wholes = F.array(*map(F.lit, sorted({r["whole"] for r in few})))
+        firsts = F.array(*map(F.lit, sorted({r["first"] for r in few})))
+        starts = F.filter(
+            _positions(F.size("own"), sizes[0]),
+            lambda i: F.array_contains(firsts, F.xxhash64(F.element_at(F.col("own"), i))),
+        )
 
-    def runs_of(size: int) -> Column:
-        def run(i):
-            return F.struct(i.alias("start"), F.lit(size).alias("size"))
+        def runs_at(i: Column) -> Column:
+            return F.filter(
+                F.array(*[F.struct(i.alias("start"), F.lit(s).alias("size")) for s in sizes]),
+                lambda r: (i + r["size"] - 1 <= F.size("own"))
+                & F.array_contains(wholes, F.xxhash64(_window_text("own", i, r["size"]))),
+            )
 
-        return F.transform(_positions(F.size("own"), size), run)
+        runs = F.flatten(F.transform(starts, runs_at))
+    else:
 
-    runs = F.concat(*[runs_of(r["size"]) for r in wanted])
-    if sum(r["n"] for r in wanted) <= FEW_SHORT:
-        # Bounded by FEW_SHORT, so the set is a literal of the plan.
-        marks = F.array(*[F.lit(r[0]) for r in short.select(F.xxhash64("window")).distinct().collect()])
-        runs = F.filter(
-            runs, lambda r: F.array_contains(marks, F.xxhash64(_window_text("own", r["start"], r["size"])))
-        )
+        def runs_of(size: int) -> Column:
+            def run(i):
+                return F.struct(i.alias("start"), F.lit(size).alias("size"))
+
+            return F.transform(_positions(F.size("own"), size), run)
+
+        runs = F.concat(*map(runs_of, sizes))
     found = own.select(*key, "own", F.explode(runs).alias("run")).select(
         *key, "run.start", "run.size", _window_text("own", F.col("run.start"), F.col("run.size")).alias("window")
     )
