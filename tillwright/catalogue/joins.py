@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tillwright.catalogue import fragments as s
 from tillwright.catalogue.base import query
-from tillwright.operators import joins, sets, windows
+from tillwright.operators import joins, key_filter, sets, windows
 from tillwright.operators.clean import join_inputs
 from tillwright.plans.optimised_join import wide_orders
 from tillwright.schemas import TRACKED_CUSTOMER_COLUMNS
@@ -93,6 +93,18 @@ def semi_keys(t):
     )
 
 
+@query(
+    "jn_semi_filtered",
+    """SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem
+    WHERE l_partkey IN (SELECT p_partkey FROM part WHERE p_size > 45)""",
+)
+def semi_filtered(t):
+    """Lines of few products: a bitmap of their keys drops most others before the join."""
+    lines = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey")
+    few = t.part.filter("p_size > 45").select(F.col("p_partkey").cast("string").alias("l_partkey"))
+    return key_filter.semi_join(lines, few, "l_partkey")
+
+
 @query(
     "jn_enrich_wide",
     f"""WITH {s.CUSTOMERS}, {s.PRODUCTS}, {s.ORDERS}
