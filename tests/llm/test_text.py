@@ -11,7 +11,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tillwright.llm import catalogue, html_extract, token_counts
+from tillwright.llm import catalogue, html_extract, packing, token_counts
 from tillwright.llm.common import prepare
 from tillwright.llm.packing import pack, plan, reduce_instance
 from tillwright.llm.tokens import word_encoder
@@ -138,6 +138,21 @@ def test_pack_edges(spark):
     assert pack(docs.limit(0), catalogue.TOKENIZER, 16).collect() == []
 
 
+def test_pack_rows_that_are_alike(spark, monkeypatch):
+    """A third of the rows equal in id and text: they are dealt over the shards like others."""
+    prepare(spark)
+    monkeypatch.setattr(packing, "SHARD_ROWS", 25)
+    rows = [(7, "one and the same text")] * 400 + [(i, "words " * (i % 40)) for i in range(800)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    found = pack(docs, catalogue.TOKENIZER, 64)
+    used, least = check_packing(rows, found.collect(), 64)
+    assert used <= 1.05 * least
+    pieces = packing.cut_pieces(docs, catalogue.TOKENIZER, 64).withColumn("row", F.monotonically_increasing_id())
+    shard = F.pmod(F.xxhash64("row"), F.lit(16))
+    sizes = [r[1] for r in pieces.where("doc_id = 7").groupBy(shard).count().collect()]
+    assert len(sizes) == 16 and max(sizes) < 60
+
+
 def test_pack_query(spark, data):
     rows = [tuple(r) for r in spark.read.parquet(f"{data}/documents.parquet").select("doc_id", "text").collect()]
     used, least = check_packing(rows, catalogue.op9_best_fit_packing(spark, data).collect(), 4096)
