@@ -4,7 +4,6 @@ from datetime import date
 
 import pytest
 from helpers import rows
-from pyspark.sql import functions as F
 
 from tillwright.operators.aggregates import order_summary_daily
 from tillwright.plans import daily
