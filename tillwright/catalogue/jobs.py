@@ -295,29 +295,24 @@ def job_dim_date(t):
 def _star(t):
     """The fact and its dimensions, with customer versions of different age."""
     orders = bridge.order_lines(t)
+    dim_store, dim_date = star.order_dimensions(orders)
     dims = {
         "dim_customer": bridge.customer_history(t),
         "dim_product": star.product_dimension(bridge.products(t)),
-        "dim_store": star.store_dimension(orders),
-        "dim_date": star.date_dimension(orders),
+        "dim_store": dim_store,
+        "dim_date": dim_date,
     }
     return star.build_fact(orders, *dims.values(), arrival=["arrived_on"]), dims
 
 
-# Where the star of a session and folder was written; the marts read it from there.
-_STARS: dict[tuple[str, str], str] = {}
-
-
 def _stored_star(t):
-    """The star as tables, written once per session and folder."""
-    own = (t.spark.sparkContext.applicationId, t.folder)
-    if own not in _STARS:
-        base = run_dir(t.spark, "star")
-        fact, dims = _star(t)
-        for name, df in {"fact_sales": fact, **dims}.items():
-            df.write.parquet(f"{base}/{name}")
-        _STARS[own] = base
-    read = {n: t.spark.read.parquet(f"{_STARS[own]}/{n}") for n in ("fact_sales", "dim_customer", "dim_product", "dim_store", "dim_date")}
+    """The star as tables in a folder of this call; the marts read it from there."""
+    base = run_dir(t.spark, "star")
+    fact, dims = _star(t)
+    tables = {"fact_sales": fact, **dims}
+    for name, df in tables.items():
+        df.write.parquet(f"{base}/{name}")
+    read = {n: t.spark.read.schema(df.schema).parquet(f"{base}/{n}") for n, df in tables.items()}
     return read.pop("fact_sales"), read
 
 

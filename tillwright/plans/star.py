@@ -17,6 +17,7 @@ from tillwright.operators.sets import distinct_values
 from tillwright.operators.windows import keep_last, number_rows
 from tillwright.plans.scd2 import build_customer_dimension
 from tillwright.schemas import FACT_COLUMNS, require_columns
+from tillwright.session import cut
 from tillwright.sources import storage
 from tillwright.sources.sinks import write_version
 from tillwright.sources.tables import Warehouse
@@ -47,6 +48,21 @@ def date_dimension(orders: DataFrame) -> DataFrame:
     return distinct_values(days, "d").select(*calendar_columns("d"))
 
 
+def order_dimensions(orders: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``store_dimension`` and ``date_dimension`` by one pass over the orders.
+
+    Each order gives its store and its day as a row of their own; the distinct ones are kept
+    and both dimensions made from them, so orders that are a join are joined once.
+    """
+    store, day = tidy("store_id"), as_day(orders, "order_date")
+    entries = F.array(
+        F.struct(store.alias("store_id"), F.lit(None).cast("date").alias("order_date")),
+        F.struct(F.lit(None).cast("string").alias("store_id"), day.alias("order_date")),
+    )
+    found = cut(orders.select(F.inline(entries)).distinct())
+    return store_dimension(found), date_dimension(found)
+
+
 def versions_overlap(dim_customer: DataFrame) -> bool:
     """Whether some day falls into two versions of one customer."""
     previous = Window.partitionBy("customer_id").orderBy("effective_from", "effective_to")
@@ -152,7 +168,8 @@ def load_star(
     it so.
     """
     spark = warehouse.spark
-    first_day = orders.agg(F.min(as_day(orders, "order_date"))).first()[0]
+    dim_store, dim_date = order_dimensions(orders)
+    first_day = dim_date.agg(F.min("full_date")).first()[0]
     if first_day is None:
         raise ValueError("orders hold no date, so the history cannot start")
     ready: dict[str, storage.Shown] = {}
@@ -166,8 +183,8 @@ def load_star(
     dims = [
         write("dim_customer", build_customer_dimension(customers, known, first_day, run_day, arrival)),
         write("dim_product", product_dimension(products, arrival)),
-        write("dim_store", store_dimension(orders)),
-        write("dim_date", date_dimension(orders)),
+        write("dim_store", dim_store),
+        write("dim_date", dim_date),
     ]
     fact = write("fact_sales", build_fact(orders, *dims, arrival))
     counts = require_sound_star(fact, dims[0])
