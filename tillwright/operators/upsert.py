@@ -75,6 +75,24 @@ def upsert(
     return latest_by(old, new, [key], timestamp if timed else None)
 
 
+def replace_keys(
+    existing: DataFrame | None, incoming: DataFrame, deletes: DataFrame | None, key: str
+) -> DataFrame:
+    """``upsert`` after ``apply_deletes``, where each side has a key once and no timestamp.
+
+    Incoming rows win, so the old rows are shuffled once, to meet the keys that leave them,
+    and the incoming rows not at all.
+    """
+    new = _keyed(incoming, key, "updated_at", "incoming")
+    if existing is None:
+        return new
+    old, new = align(_keyed(existing, key, "updated_at", "existing"), new)
+    gone = new.select(key)
+    if deletes is not None and key in deletes.columns:
+        gone = gone.unionByName(deletes.select(F.col(key).cast("string").alias(key)))
+    return without_keys(old, gone.filter(F.col(key).isNotNull()), [key]).unionByName(new)
+
+
 def upsert_counts(existing: DataFrame | None, incoming: DataFrame, key: str) -> DataFrame:
     """One row: inserted and matched keys."""
     new = _keyed(incoming, key, "updated_at", "incoming")

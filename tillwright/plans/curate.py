@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass, replace
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,6 +42,21 @@ def _arrival(df: DataFrame, arrival: list[str] | None) -> list[str]:
     return [n for n in arrival or [] if n in df.columns]
 
 
+def _last_then(
+    valid: DataFrame, key: str, arrival: list[str] | None, derived: list[str], finish: Finish
+) -> DataFrame:
+    """The last row per key, with columns that ``finish`` derives from the others.
+
+    Derived columns come after all others and cannot decide between rows that are equal in
+    those, so they are computed for the rows that stay and are not shuffled. Where the input
+    has such a column, or the arrival is told by one, they are computed first.
+    """
+    if {*valid.columns, *(arrival or [])} & {*derived}:
+        whole = finish(valid)
+        return keep_last(whole, [key], _arrival(whole, arrival))
+    return finish(keep_last(valid, [key], _arrival(valid, arrival)))
+
+
 #: Takes a classified batch and, if it has one, the column that marks deletes.
 Stage = Callable[[DataFrame, str | None], quality.Outcomes]
 Finish = Callable[[DataFrame], DataFrame]
@@ -99,11 +115,15 @@ def curate_orders(
         marked, quality.order_rules(), {"customer_id": customers, "product_id": products}
     )
     checked = _split(classified, stage, "is_delete")
-    priced = clean.order_amount(checked.valid, "total_amount", rounded=False)
-    priced = clean.order_calendar(clean.order_amount(priced, "order_amount", rounded=True))
+
+    def price(df: DataFrame) -> DataFrame:
+        priced = clean.order_amount(df, "total_amount", rounded=False)
+        return clean.order_calendar(clean.order_amount(priced, "order_amount", rounded=True))
+
+    derived = ["total_amount", "order_amount", "order_year", "order_month"]
     return replace(
         checked,
-        valid=keep_last(priced, ["order_id"], _arrival(priced, arrival)),
+        valid=_last_then(checked.valid, "order_id", arrival, derived, price),
         deletes=checked.deletes.select("order_id"),
     )
 
@@ -113,10 +133,10 @@ def curate_enriched(
 ) -> Checked:
     df = clean.cast_enriched(clean.clean_names(raw))
     checked = _split(quality.classify(df, quality.enriched_rules(df.columns)), stage)
-    valid = checked.valid
-    if {"quantity", "unit_price"} <= set(valid.columns):
-        valid = clean.order_amount(valid, "total_amount", rounded=False)
-    return replace(checked, valid=keep_last(valid, ["order_id"], _arrival(valid, arrival)))
+    finish, derived = _as_is, []
+    if {"quantity", "unit_price"} <= set(checked.valid.columns):
+        finish, derived = partial(clean.order_amount, name="total_amount", rounded=False), ["total_amount"]
+    return replace(checked, valid=_last_then(checked.valid, "order_id", arrival, derived, finish))
 
 
 def _load(
@@ -153,7 +173,8 @@ def _load(
         deletes = checked.deletes if checked.n_deletes else None
         if rows or (deletes is not None and zones.has(curated)):
             incoming = clean.stamp(finish(processed), at)
-            apply_changes(zones, curated, key, incoming, deletes, buckets=buckets)
+            # The processed rows are the last of each key already.
+            apply_changes(zones, curated, key, incoming, deletes, buckets=buckets, unique=True)
         return rows
     finally:
         for path in folders:

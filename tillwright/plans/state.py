@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tillwright.operators.clean import null_columns_to_string
-from tillwright.operators.upsert import apply_deletes, upsert
+from tillwright.operators.upsert import apply_deletes, replace_keys, upsert
 from tillwright.sources import storage
 from tillwright.sources.tables import Warehouse
 
@@ -42,9 +42,13 @@ def apply_changes(
     timestamp: str = "updated_at",
     arrival: list[str] | None = None,
     buckets: int | None = None,
+    unique: bool = False,
 ) -> None:
     """Deletes leave the old state first, then the incoming rows are upserted.
 
+    ``unique`` says that the caller has left one row per key in ``incoming``. Then no side
+    is put in order by key again: the old rows only meet the incoming and deleted keys.
+
     Applying the same batch again gives the same state, so a failed run is simply
     repeated. ``buckets`` is taken from the table where it has a count; another one is
     refused. A table that was not in buckets is put into them.
@@ -63,8 +67,13 @@ def apply_changes(
             return
         state = _buckets(zones, shown, touched)
     # Otherwise a first load, or new columns that every file has to get.
-    old = apply_deletes(state, deletes, key) if deletes is not None else state
-    new = null_columns_to_string(upsert(old, incoming, key, timestamp, arrival))
+    # The buckets hold each key once; a table that comes from elsewhere may not.
+    settled = unique and (kept or state is None)
+    if settled and timestamp not in {*incoming.columns, *(state.columns if state else [])}:
+        new = null_columns_to_string(replace_keys(state, incoming, deletes, key))
+    else:
+        old = apply_deletes(state, deletes, key) if deletes is not None else state
+        new = null_columns_to_string(upsert(old, incoming, key, timestamp, arrival))
     folder = storage.new_version(path)
     schema = new.schema
     seen = Observation()
