@@ -1,7 +1,10 @@
 """Keyed state in a stream against the batch upsert."""
 
+import time
 from datetime import datetime
 
+import numpy as np
+import pandas as pd
 import pytest
 from helpers import rows
 
@@ -71,8 +74,6 @@ def test_restart_and_repeated_batch(spark, folder, monkeypatch):
 
 
 def test_a_key_that_is_forgotten_takes_any_record(spark, folder):
-    import time
-
     df = arrive(spark, folder, ("a", 5, "upsert", 1, "first"))
     run(spark, folder, df.schema, forget_after="1 second")
     time.sleep(1.5)
@@ -81,3 +82,38 @@ def test_a_key_that_is_forgotten_takes_any_record(spark, folder):
     arrive(spark, folder, ("a", 1, "upsert", 3, "older"))
     found = run(spark, folder, df.schema, forget_after="1 second")
     assert rows(found, "k", "v") == [("a", 3), ("b", 2)]
+
+
+ORDER = ["updated_at", "v", "note"]
+
+
+def few_rows(seed):
+    """A key's rows of one batch, with ties, nulls and equal rows; ``n`` tells them apart."""
+    pick = np.random.default_rng(seed)
+    n = int(pick.integers(1, 20))
+    days = pick.choice(pd.to_datetime(["2024-01-01", "2024-01-02", None]), n)
+    return pd.DataFrame(
+        {
+            "updated_at": pd.Series(days, dtype="datetime64[ns]"),
+            "v": pick.choice([1.5, 2.5, np.nan], n),
+            "note": pick.choice(np.array(["a", "b", None], dtype=object), n),
+            "n": range(n),
+        }
+    )
+
+
+def test_the_last_row_is_the_sort_s_without_its_cost():
+    last = keyed.last_by(ORDER)
+    frames = [few_rows(seed) for seed in range(300)]
+
+    def by_sort(rows):
+        return rows.sort_values(ORDER, na_position="first", kind="stable").tail(1)
+
+    def timed(pick):
+        start = time.process_time()
+        found = [int(pick(rows)["n"].iloc[0]) for rows in frames]
+        return found, time.process_time() - start
+
+    (found, cost), (expected, sort_cost) = timed(last), timed(by_sort)
+    assert found == expected
+    assert cost < sort_cost

@@ -8,8 +8,9 @@ is repeated writes its rows to the same folder again.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +23,28 @@ from tillwright.streaming.ingest import run_batches
 GONE = "_gone"
 
 
+def last_by(order: list[str]) -> Callable[[pd.DataFrame], pd.DataFrame]:
+    """Picks the greatest row by the columns, nulls lowest; the last one of equal rows.
+
+    One column after the other leaves its greatest rows, mostly one after the first. A sort
+    by all columns costs milliseconds a key, however few rows it has.
+    """
+
+    def last(rows: pd.DataFrame) -> pd.DataFrame:
+        for name in order:
+            if len(rows) == 1:
+                break
+            values = rows[name].to_numpy()
+            known = ~pd.isna(values)
+            if known.any():
+                places = np.flatnonzero(known)
+                values = values[places]
+                rows = rows.iloc[places[values == values.max()]]
+        return rows.tail(1)
+
+    return last
+
+
 def keyed_changes(
     changes: DataFrame, key: str, timestamp: str = "updated_at", forget_after: str | None = None
 ) -> DataFrame:
@@ -42,7 +65,7 @@ def keyed_changes(
     out = T.StructType([*fields, T.StructField(GONE, T.BooleanType())])
     # The state holds what decides, as text: pandas would change integers with nulls.
     kept = T.StructType([T.StructField("at", T.StringType()), T.StructField("there", T.BooleanType())])
-    order = [timestamp, *[n for n in names if n != timestamp]]
+    last = last_by([timestamp, *[n for n in names if n != timestamp]])
     wait = pd.Timedelta(forget_after).value // 1_000_000 if forget_after else None
 
     def text(value) -> str | None:
@@ -55,13 +78,12 @@ def keyed_changes(
         at, there = state.get if state.exists else (None, False)
         best, deletes = None, None
         for batch in batches:
-            gone = batch[batch[GONE].astype(bool)]
-            if len(gone):
-                deletes = gone.tail(1)
-            loads = batch[~batch[GONE].astype(bool)]
-            if len(loads):
-                both = loads if best is None else pd.concat([best, loads])
-                best = both.sort_values(order, na_position="first", kind="stable").tail(1)
+            gone = batch[GONE].to_numpy(dtype=bool)
+            if gone.any():
+                deletes = batch[gone].tail(1)
+            if not gone.all():
+                loads = last(batch[~gone])
+                best = loads if best is None else last(pd.concat([best, loads]))
         if deletes is not None:
             at, there = None, False
         if best is not None:
