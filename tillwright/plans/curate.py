@@ -173,8 +173,8 @@ def _load(
         deletes = checked.deletes if checked.n_deletes else None
         if rows or (deletes is not None and zones.has(curated)):
             incoming = clean.stamp(finish(processed), at)
-            # The processed rows are the last of each key already.
-            apply_changes(zones, curated, key, incoming, deletes, buckets=buckets, unique=True)
+            # The processed rows, if there are any, are the last of each key already.
+            apply_changes(zones, curated, key, incoming, deletes, buckets=buckets, unique=rows > 0)
         return rows
     finally:
         for path in folders:

@@ -46,7 +46,7 @@ def apply_changes(
 ) -> None:
     """Deletes leave the old state first, then the incoming rows are upserted.
 
-    ``unique`` says that the caller has left one row per key in ``incoming``. Then no side
+    ``unique`` says that ``incoming`` has rows, and one per key. Then no side
     is put in order by key again: the old rows only meet the incoming and deleted keys.
 
     Applying the same batch again gives the same state, so a failed run is simply
