@@ -1,11 +1,14 @@
 """Shuffles that a job can do without: their number, and the results without them."""
 
+from datetime import date, datetime
+
 import pytest
 from helpers import plan, rows
 
 from tillwright.catalogue import jobs
-from tillwright.operators import upsert
+from tillwright.operators import joins, upsert
 from tillwright.plans import curate, star, state
+from tillwright.sources import bridge
 from tillwright.sources.bridge import Tables
 from tillwright.sources.tables import Warehouse
 
@@ -82,3 +85,62 @@ def test_a_mart_builds_its_own_star(spark, data):
     (first, _), (second, _) = (jobs._stored_star(Tables(spark, data)) for _ in range(2))
     assert set(first.inputFiles()).isdisjoint(second.inputFiles())
     assert first.count() == second.count()
+
+
+LINE = "l_orderkey bigint, l_linenumber int, l_partkey bigint, l_suppkey bigint, l_quantity double, l_extendedprice double, l_discount double, l_shipdate timestamp"
+HEAD = "o_orderkey bigint, o_custkey bigint, o_orderdate timestamp, o_orderpriority string, o_orderstatus string"
+DAY = datetime(2024, 1, 5)
+
+
+def given(spark, *numbers):
+    """Tables whose lines have these (order key, line number, quantity)."""
+    t = Tables(spark, "unused")
+    lines = [(k, n, 3, 4, q, 10.0, 0.5, DAY) for k, n, q in numbers]
+    heads = [(k, 7, DAY, "1-URGENT", "O") for k in sorted({k for k, *_ in numbers})]
+    t._read = {"lineitem": spark.createDataFrame(lines, LINE), "orders": spark.createDataFrame(heads, HEAD)}
+    return t
+
+
+def built(spark, t):
+    orders, within = jobs._keyed_orders(t)
+    people = spark.createDataFrame(
+        [("7", 70, date(2020, 1, 1), date(9999, 12, 31), True)],
+        "customer_id string, customer_key bigint, effective_from date, effective_to date, is_current boolean",
+    )
+    goods = spark.createDataFrame([(30, "3")], "product_key bigint, product_id string")
+    dims = star.order_dimensions(orders)
+    return star.build_fact(orders, people, goods, *dims, ["arrived_on"], within), within
+
+
+def test_orders_are_not_dealt_out_again_by_number(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        fact, within = built(spark, given(spark, (1, 1, 2.0), (1, 1, 5.0), (1, 2, 1.0), (2, 1, 4.0)))
+        assert within == bridge.ORDER_KEY
+        dealt = [x for x in plan(fact).splitlines() if "Exchange hashpartitioning(order_id" in x]
+        assert not dealt
+        assert rows(fact, "sale_id", "quantity", "sales_amount") == [
+            ("11", 5, 10.0), ("12", 1, 10.0), ("21", 4, 10.0),
+        ]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+@pytest.mark.parametrize("line", [15, -5, None])
+def test_numbers_that_two_keys_share_are_one_order(spark, line):
+    numbers = {15: [(1, 15, 2.0), (2, 5, 6.0)], -5: [(3, -5, 2.0), (2, 5, 6.0)], None: [(1, None, 2.0), (2, None, 6.0)]}
+    fact, within = built(spark, given(spark, *numbers[line]))
+    assert within is None
+    assert rows(fact, "sale_id", "quantity") == [(None if line is None else "25", 6)]
+
+
+def test_a_table_of_few_rows_is_sent_to_every_task(spark, monkeypatch):
+    wide = spark.range(100).withColumnRenamed("id", "k").repartition(4)
+    small = spark.range(5).withColumnRenamed("id", "k").repartition(2)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert "BroadcastHashJoin" in plan(wide.join(joins.few_rows(small), "k", "left"))
+        monkeypatch.setattr(joins, "FEW_ROWS", 4)
+        assert "BroadcastHashJoin" not in plan(wide.join(joins.few_rows(small), "k", "left"))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

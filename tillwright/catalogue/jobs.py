@@ -292,9 +292,15 @@ def job_dim_date(t):
     return star.date_dimension(bridge.order_lines(t))
 
 
+def _keyed_orders(t):
+    """The orders, and the column that keeps the copies of an order together, if there is one."""
+    keyed = bridge.one_key_per_number(t)
+    return bridge.order_lines(t, keyed), bridge.ORDER_KEY if keyed else None
+
+
 def _star(t):
     """The fact and its dimensions, with customer versions of different age."""
-    orders = bridge.order_lines(t)
+    orders, within = _keyed_orders(t)
     dim_store, dim_date = star.order_dimensions(orders)
     dims = {
         "dim_customer": bridge.customer_history(t),
@@ -302,7 +308,7 @@ def _star(t):
         "dim_store": dim_store,
         "dim_date": dim_date,
     }
-    return star.build_fact(orders, *dims.values(), arrival=["arrived_on"]), dims
+    return star.build_fact(orders, *dims.values(), arrival=["arrived_on"], within=within), dims
 
 
 def _stored_star(t):
@@ -408,13 +414,15 @@ def job_marts(t):
     Without regions in the store dimension each store is its own region.
     """
     warehouse = _zones(t, "marts")
+    orders, within = _keyed_orders(t)
     star.load_star(
         warehouse,
         bridge.customers(t),
         bridge.products(t),
-        bridge.order_lines(t),
+        orders,
         "2001-09-01",
         ["arrived_on"],
+        within,
     )
     marts.load_marts(warehouse)
 

@@ -12,7 +12,7 @@ from tillwright.functions.money import line_amount
 from tillwright.functions.text import tidy
 from tillwright.operators import quality
 from tillwright.operators.clean import default_discount
-from tillwright.operators.joins import as_of, as_of_version, lookup_on
+from tillwright.operators.joins import as_of, as_of_version, few_rows, lookup_on
 from tillwright.operators.sets import distinct_values
 from tillwright.operators.windows import keep_last, number_rows
 from tillwright.plans.scd2 import build_customer_dimension
@@ -83,11 +83,14 @@ def build_fact(
     dim_store: DataFrame,
     dim_date: DataFrame,
     arrival: list[str] | None = None,
+    within: str | None = None,
 ) -> DataFrame:
     """One row per order with the customer version of the order day.
 
     Orders without a valid version drop out; a missing product, store or day
-    fails the job. The discount is carried, not subtracted.
+    fails the job. The discount is carried, not subtracted. ``within`` names a column that
+    has one value for each order id, by which the orders are dealt out already, as after a
+    join on it; then they are not shuffled by order id.
     """
     df = default_discount(orders).withColumns(
         {
@@ -103,13 +106,16 @@ def build_fact(
         "order_id", "customer_id", "product_id", "store_id", "order_date",
         "quantity", "unit_price", "discount", *order,
     ]
-    df = keep_last(df.select(*used), ["order_id"], order)
+    keys = [within, "order_id"] if within else ["order_id"]
+    df = keep_last(df.select(*dict.fromkeys([*keys, *used])), keys, order)
     overlap = versions_overlap(dim_customer)
     as_of_day = as_of_version if overlap else as_of
+    # A store's key is shorter than its id in the shuffles that follow.
+    stores = few_rows(dim_store.select("store_key", "store_id"))
+    df = lookup_on(df, stores, "store_id", "store_id")
     df = as_of_day(df, dim_customer, "customer_id", "order_date", ["customer_key"])
-    df = lookup_on(df, dim_product.select("product_key", "product_id"), "product_id", "product_id")
-    df = lookup_on(df, dim_store.select("store_key", "store_id"), "store_id", "store_id")
     df = lookup_on(df, dim_date.select("date_key", "full_date"), "order_date", "full_date")
+    df = lookup_on(df, dim_product.select("product_key", "product_id"), "product_id", "product_id")
     fact = df.select(
         F.col("order_id").alias("sale_id"),
         "customer_key",
@@ -161,11 +167,12 @@ def load_star(
     orders: DataFrame,
     run_day: date | str,
     arrival: list[str] | None = None,
+    within: str | None = None,
 ) -> dict[str, int]:
     """All dimensions, then the fact, verified and only then shown, all in one step.
 
     Until the written tables have passed, readers see the star as it was; a fault leaves
-    it so.
+    it so. ``within`` is that of ``build_fact``.
     """
     spark = warehouse.spark
     dim_store, dim_date = order_dimensions(orders)
@@ -186,7 +193,7 @@ def load_star(
         write("dim_store", dim_store),
         write("dim_date", dim_date),
     ]
-    fact = write("fact_sales", build_fact(orders, *dims, arrival))
+    fact = write("fact_sales", build_fact(orders, *dims, arrival, within))
     counts = require_sound_star(fact, dims[0])
     for name, check in (("fact_sales", "fact_total_rows"), ("dim_customer", "customer_total_rows")):
         if counts[check] != rows[name]:

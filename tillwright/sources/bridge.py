@@ -107,9 +107,28 @@ def _unit_price() -> Column:
     return F.try_divide("l_extendedprice", "l_quantity")
 
 
-def order_lines(t: Tables) -> DataFrame:
-    """One retail order per order line; order numbers repeat in the given data."""
+#: The key of the given order, beside its lines.
+ORDER_KEY = "order_key"
+
+
+def one_key_per_number(t: Tables) -> bool:
+    """Whether lines with the same order number belong to the same given order.
+
+    The number is ten times the key plus the line, so it tells the key if each line is a
+    digit. One scan of the line numbers that ends with the first that is none.
+    """
+    digit = F.coalesce(F.col("l_linenumber").between(0, 9), F.lit(False))
+    return t.lineitem.filter(~digit).isEmpty()
+
+
+def order_lines(t: Tables, keyed: bool = False) -> DataFrame:
+    """One retail order per order line; order numbers repeat in the given data.
+
+    ``keyed`` adds ``ORDER_KEY``, by which the join of lines and orders deals them out.
+    """
+    key = [F.col("l_orderkey").alias(ORDER_KEY)] if keyed else []
     return _lines(t).select(
+        *key,
         _order_number().cast("string").alias("order_id"),
         F.col("o_custkey").cast("string").alias("customer_id"),
         F.col("l_partkey").cast("string").alias("product_id"),
