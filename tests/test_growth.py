@@ -7,7 +7,7 @@ from helpers import plan, rows
 
 from tillwright.catalogue import jobs
 from tillwright.operators import joins, upsert
-from tillwright.plans import curate, star, state
+from tillwright.plans import curate, marts, star, state
 from tillwright.sources import bridge
 from tillwright.sources.bridge import Tables
 from tillwright.sources.tables import Warehouse
@@ -134,6 +134,39 @@ def test_numbers_that_two_keys_share_are_one_order(spark, line):
     assert rows(fact, "sale_id", "quantity") == [(None if line is None else "25", 6)]
 
 
+FACT = "sale_id string, customer_key bigint, product_key bigint, store_key bigint, date_key int, quantity bigint, sales_amount double, discount double"
+SALES = [
+    ("1", 1, 1, 1, 20240101, 2, 10.005, 0.0),
+    ("2", 2, 1, 1, 20240101, 1, 2.5, 0.0),
+    ("3", 1, 2, 2, 20240102, 4, float("nan"), 0.0),
+    (None, 1, 9, 9, 20240102, None, 1.0, 0.0),
+    ("5", 3, 2, 1, 20240102, 1, None, 0.0),
+]
+
+
+@pytest.fixture
+def sold(spark):
+    frame = spark.createDataFrame
+    days = frame([(20240101, date(2024, 1, 1)), (20240102, date(2024, 1, 2))], "date_key int, full_date date")
+    people = frame(
+        # b is listed twice, as where a source repeats a customer
+        [(1, "a", "x", False), (2, "a", "y", True), (3, "b", "z", True), (3, "b", "z", True), (8, None, "n", True)],
+        "customer_key bigint, customer_id string, customer_segment string, is_current boolean",
+    )
+    goods = frame([(1, "c"), (2, None)], "product_key bigint, category string")
+    shops = frame([(1, "s1"), (2, "s2")], "store_key bigint, store_id string")
+    regions = frame([("s1", "west"), ("s2", "east")], "store_id string, region string")
+    return frame(SALES, FACT), days, people, goods, shops, regions
+
+
+def test_unique_sales_are_counted_without_their_ids(spark, sold):
+    fact, days, _, goods, shops, regions = sold
+    summary, known = (marts.sales_summary(fact, days, goods, shops, regions, u) for u in (False, True))
+    assert rows(known) == rows(summary)
+    assert (date(2024, 1, 2), "Unknown", "Unknown", 0, None, 1.0) in rows(known)
+    assert "distinct" not in plan(known)
+
+
 def test_a_table_of_few_rows_is_sent_to_every_task(spark, monkeypatch):
     wide = spark.range(100).withColumnRenamed("id", "k").repartition(4)
     small = spark.range(5).withColumnRenamed("id", "k").repartition(2)

@@ -363,6 +363,7 @@ def sales_summary(t):
         dims["dim_product"],
         dims["dim_store"],
         clean.region_lookup(bridge.stores(t)),
+        unique=True,
     )
 
 

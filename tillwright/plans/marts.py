@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillwright.functions.money import money_sum, round2, total
 from tillwright.operators.clean import region_lookup
-from tillwright.operators.joins import lookup
+from tillwright.operators.joins import few_rows, lookup
 from tillwright.operators.quality import current_versions, gate_lookups
 from tillwright.operators.windows import dense_rank_by, keep_last
 from tillwright.schemas import require_columns
@@ -16,21 +16,38 @@ from tillwright.sources.sinks import replace_table
 from tillwright.sources.tables import Warehouse
 
 
+def _sale_count(unique: bool) -> tuple[Column, Column]:
+    """What a sale has to carry to be counted, and the count by sale id.
+
+    Where sale ids are unique a sale counts for itself and its id is left behind.
+    """
+    if unique:
+        return F.when(F.col("sale_id").isNotNull(), 1).alias("sale"), F.count("sale")
+    return F.col("sale_id").alias("sale"), F.count_distinct("sale")
+
+
 def sales_summary(
     fact: DataFrame,
     dim_date: DataFrame,
     dim_product: DataFrame,
     dim_store: DataFrame,
     regions: DataFrame,
+    unique: bool = False,
 ) -> DataFrame:
-    """Orders, quantity and revenue per day, region and category."""
+    """Orders, quantity and revenue per day, region and category.
+
+    ``unique`` says that neither sale ids nor the keys of the dimensions repeat, as in the
+    star that ``build_fact`` makes; then no sale ids are moved and compared.
+    """
     require_columns(
         fact,
         ["sale_id", "date_key", "product_key", "store_key", "quantity", "sales_amount"],
         "fact_sales",
     )
+    sale, orders = _sale_count(unique)
     store_regions = lookup(dim_store.select("store_key", "store_id"), regions, ["store_id"])
-    sales = fact.join(
+    sales = fact.select(sale, "date_key", "product_key", "store_key", "quantity", "sales_amount")
+    sales = sales.join(
         dim_date.select("date_key", F.col("full_date").alias("date")), "date_key", "left"
     )
     sales = lookup(
@@ -41,7 +58,7 @@ def sales_summary(
     )
     sales = lookup(
         sales,
-        store_regions.select("store_key", "region"),
+        few_rows(store_regions.select("store_key", "region")),
         ["store_key"],
         {"region": "Unknown"},
     )
@@ -53,7 +70,7 @@ def sales_summary(
         sales.withColumn("date", day)
         .groupBy("date", "region", "category")
         .agg(
-            F.count_distinct("sale_id").alias("total_orders"),
+            orders.alias("total_orders"),
             F.sum("quantity").alias("total_quantity"),
             money_sum("sales_amount").alias("total_revenue"),
         )
@@ -143,9 +160,13 @@ def product_analytics(fact: DataFrame, dim_product: DataFrame) -> DataFrame:
 
 
 def load_marts(
-    warehouse: Warehouse, region_by_store: dict[str, str] | None = None
+    warehouse: Warehouse, region_by_store: dict[str, str] | None = None, unique: bool = False
 ) -> dict[str, int]:
-    """Rebuild all marts; an empty input table stops the job before anything is written."""
+    """Rebuild all marts; an empty input table stops the job before anything is written.
+
+    ``unique`` is for a star that ``load_star`` has verified: its sale ids and keys do not
+    repeat.
+    """
     names = ("fact_sales", "dim_customer", "dim_product", "dim_store", "dim_date")
     tables = {n: warehouse.read(n) for n in names}
     empty = [n for n, df in tables.items() if df.isEmpty()]
@@ -159,6 +180,7 @@ def load_marts(
             tables["dim_product"],
             tables["dim_store"],
             region_lookup(tables["dim_store"], region_by_store),
+            unique,
         ),
         "mart_customer_analytics": customer_analytics(
             fact, tables["dim_date"], tables["dim_customer"]
