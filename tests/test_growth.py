@@ -167,6 +167,22 @@ def test_unique_sales_are_counted_without_their_ids(spark, sold):
     assert "distinct" not in plan(known)
 
 
+def test_customers_are_summed_by_key_before_the_join(spark, sold):
+    fact, days, people, *_ = sold
+    by_customer, summed = (marts.customer_analytics(fact, days, people, u) for u in (False, True))
+    assert rows(summed) == rows(by_customer)
+    assert [r[:2] for r in rows(summed)] == [("a", 3), ("b", 1)]
+    assert "distinct" not in plan(summed)
+
+
+def test_a_copied_customer_adds_amounts_as_often(spark, sold):
+    fact, days, people, *_ = sold
+    more = fact.union(spark.createDataFrame([("6", 3, 1, 1, 20240101, 1, 4.0, 0.0)], FACT))
+    by_customer, summed = (marts.customer_analytics(more, days, people, u) for u in (False, True))
+    assert rows(summed) == rows(by_customer)
+    assert [r[:3] for r in rows(summed) if r[0] == "b"] == [("b", 2, 8.0)]
+
+
 def test_a_table_of_few_rows_is_sent_to_every_task(spark, monkeypatch):
     wide = spark.range(100).withColumnRenamed("id", "k").repartition(4)
     small = spark.range(5).withColumnRenamed("id", "k").repartition(2)

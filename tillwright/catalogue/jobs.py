@@ -381,7 +381,7 @@ CUSTOMER_MART_SQL = f"""SELECT h.customer_id, count(DISTINCT sale_id) AS total_o
 @query("ag_customer_analytics", f"WITH {s.STAR} {CUSTOMER_MART_SQL}")
 def customer_analytics(t):
     fact, dims = _stored_star(t)
-    return marts.customer_analytics(fact, dims["dim_date"], dims["dim_customer"])
+    return marts.customer_analytics(fact, dims["dim_date"], dims["dim_customer"], unique=True)
 
 
 PRODUCT_MART_SQL = f"""SELECT *, dense_rank() OVER (ORDER BY total_revenue DESC) AS sales_rank FROM (

@@ -78,25 +78,45 @@ def sales_summary(
     )
 
 
-def customer_analytics(fact: DataFrame, dim_date: DataFrame, dim_customer: DataFrame) -> DataFrame:
-    """Per natural customer over all versions, with the segment of the current one."""
+def customer_analytics(
+    fact: DataFrame, dim_date: DataFrame, dim_customer: DataFrame, unique: bool = False
+) -> DataFrame:
+    """Per natural customer over all versions, with the segment of the current one.
+
+    ``unique`` says that neither sale ids nor the keys of ``dim_date`` repeat. Then the fact
+    is summed by customer key, and the join sees one row per version.
+    """
     require_columns(fact, ["sale_id", "customer_key", "date_key", "sales_amount"], "fact_sales")
     require_columns(
         dim_customer, ["customer_key", "customer_id", "customer_segment"], "dim_customer"
     )
-    keys = dim_customer.select("customer_key", F.col("customer_id").cast("string"))
-    sales = (
-        fact.select("sale_id", "customer_key", "date_key", "sales_amount")
-        .join(keys.filter("customer_id IS NOT NULL"), "customer_key")
-        .join(
-            dim_date.select("date_key", F.col("full_date").alias("order_date")), "date_key", "left"
-        )
+    keys = dim_customer.select("customer_key", F.col("customer_id").cast("string")).filter(
+        "customer_id IS NOT NULL"
     )
-    spend = sales.groupBy("customer_id").agg(
-        F.count_distinct("sale_id").alias("total_orders"),
-        money_sum("sales_amount").alias("spend"),
-        F.max("order_date").alias("last_order_date"),
+    sale, orders = _sale_count(unique)
+    days = dim_date.select("date_key", F.col("full_date").alias("order_date"))
+    sales = fact.select(sale, "customer_key", "date_key", "sales_amount").join(
+        days, "date_key", "left"
     )
+    last_day = F.max("order_date")
+    if unique:
+        by_key = sales.groupBy("customer_key").agg(
+            orders.alias("n"), total("sales_amount").alias("r"), last_day.alias("order_date")
+        )
+        # A key that comes several times for a customer adds its amounts as often, its
+        # sales once.
+        copies = keys.groupBy("customer_key", "customer_id").agg(F.count(F.lit(1)).alias("copies"))
+        spend = by_key.join(copies, "customer_key").groupBy("customer_id").agg(
+            F.sum("n").alias("total_orders"),
+            F.round(F.sum(F.col("r") * F.col("copies")), 2).alias("spend"),
+            last_day.alias("last_order_date"),
+        )
+    else:
+        spend = sales.join(keys, "customer_key").groupBy("customer_id").agg(
+            orders.alias("total_orders"),
+            money_sum("sales_amount").alias("spend"),
+            last_day.alias("last_order_date"),
+        )
     segments = current_versions(dim_customer).select(
         F.col("customer_id").cast("string"),
         F.coalesce("customer_segment", F.lit("Unknown")).alias("customer_segment"),
@@ -183,7 +203,7 @@ def load_marts(
             unique,
         ),
         "mart_customer_analytics": customer_analytics(
-            fact, tables["dim_date"], tables["dim_customer"]
+            fact, tables["dim_date"], tables["dim_customer"], unique
         ),
         "mart_product_analytics": product_analytics(fact, tables["dim_product"]),
     }
