@@ -425,7 +425,7 @@ def job_marts(t):
         ["arrived_on"],
         within,
     )
-    marts.load_marts(warehouse)
+    marts.load_marts(warehouse, unique=True)
 
     def total(name, amount):
         return warehouse.read(name).agg(
